@@ -29,14 +29,21 @@ def constant_column(df: DataFrame, name: str, value: Any, first: bool = True) ->
     return reorder_first(out, [name]) if first else out
 
 
-def add_row_id(df: DataFrame, name: str, key_cols: Sequence[str] | None = None) -> DataFrame:
+def add_row_id(df: DataFrame, name: str, key_cols: Sequence[str] | None = None, method: str = "xxhash64") -> DataFrame:
     """Id column in front.
 
-    With ``key_cols`` the id is ``xxhash64`` of the business key: stable across
-    reruns and partitionings. Without, ``monotonically_increasing_id`` as the
-    feature tables use it: unique but neither dense nor stable.
+    With ``key_cols`` the id is a hash of the business key, stable across reruns
+    and partitionings: ``xxhash64`` (fast), or ``md5`` (first 15 hex digits as a
+    bigint: repeatable in SQL engines). Without, ``monotonically_increasing_id``
+    as the feature tables use it: unique but neither dense nor stable.
     """
-    ident = F.xxhash64(*[F.col(c) for c in key_cols]) if key_cols else F.monotonically_increasing_id()
+    if key_cols and method == "md5":
+        text = F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols])
+        ident = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    elif key_cols:
+        ident = F.xxhash64(*[F.col(c) for c in key_cols])
+    else:
+        ident = F.monotonically_increasing_id()
     return df.select(ident.alias(name), *[F.col(c) for c in df.columns if c != name])
 
 
