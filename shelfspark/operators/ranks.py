@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from shelfspark.operators.sizing import broadcast_if_bounded
 
 BUCKET = "__bucket"
+_ONE = "__one"
 
 
 def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
@@ -40,24 +41,25 @@ def _probs(k: int) -> list[float]:
 def with_value_buckets(
     counts: DataFrame, value: str, by: Sequence[str] = (), n_buckets: int | None = None, accuracy: int = 10_000
 ) -> DataFrame:
-    """Add a range-bucket column that is monotone in ``value`` within each ``by`` group."""
+    """Add a range-bucket column that is monotone in ``value`` within each ``by`` group.
+
+    Split points come from ``percentile_approx`` per group: a table of one row per
+    group, joined by broadcast (bounded by the number of groups). Everything stays
+    in one lazy plan, so the value-count shuffle is shared, not recomputed.
+    """
     k = _n_buckets(counts, n_buckets)
     if k == 1:
         return counts.withColumn(BUCKET, F.lit(0))
     v = F.col(value).cast("double")
     probs = _probs(k)
-    if not by:
-        # k-1 numbers to the driver; the bucket is then a literal-array expression.
-        splits = sorted(set(x for x in counts.approxQuantile(value, probs, 1.0 / accuracy) if x is not None))
-        arr = F.array(*[F.lit(float(s)) for s in splits]) if splits else F.array().cast("array<double>")
-        return counts.withColumn(BUCKET, F.size(F.filter(arr, lambda s: s <= v)))
-    split_tab = counts.groupBy(*by).agg(
-        F.percentile_approx(v, F.array(*[F.lit(p) for p in probs]), accuracy).alias("__splits")
+    keys = list(by) if by else [_ONE]
+    src = counts if by else counts.withColumn(_ONE, F.lit(0))
+    split_tab = src.groupBy(*keys).agg(
+        F.array_distinct(F.percentile_approx(v, F.array(*[F.lit(p) for p in probs]), accuracy)).alias("__splits")
     )
-    joined = counts.join(broadcast_if_bounded(split_tab), on=list(by), how="left")
-    return joined.withColumn(
-        BUCKET, F.size(F.filter(F.array_distinct(F.col("__splits")), lambda s: s <= v))
-    ).drop("__splits")
+    joined = src.join(broadcast_if_bounded(split_tab, 100_000), on=keys, how="left")
+    out = joined.withColumn(BUCKET, F.size(F.filter(F.col("__splits"), lambda s: s <= v))).drop("__splits")
+    return out if by else out.drop(_ONE)
 
 
 def cumulative_counts(

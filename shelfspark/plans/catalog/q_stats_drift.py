@@ -1 +1,233 @@
-"""placeholder"""
+"""Rank tests, QQ points, residuals and drift (SURVEY 2.9)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfspark.functions.distributions import norm_ppf
+from shelfspark.operators import drift as DR
+from shelfspark.operators import stats as ST
+from shelfspark.operators.model import simple_model
+from shelfspark.operators.ranks import average_ranks
+from shelfspark.operators.transform import split_by_date
+from shelfspark.plans.catalog.base import CUT, register, sales_view, table, with_sales
+
+_NUM = ["Item_Weight", "Item_Visibility", "Item_MRP", "Item_Outlet_Sales"]
+_CAT = ["Item_Fat_Content", "Item_Type", "Outlet_Size", "Outlet_Location_Type", "Outlet_Type"]
+_REF = f"date_created <= DATE '{CUT}'"
+
+# ---- 2.5 average rank --------------------------------------------------------
+
+
+@register("average_rank", """
+SELECT v, n, rank() OVER (ORDER BY v) + (n - 1) / 2.0 AS avg_rank
+FROM (SELECT l_extendedprice AS v, count(*) AS n FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1)""")
+def q_average_rank(spark, d):
+    return average_ranks(table(spark, d, "lineitem"), "l_extendedprice")
+
+
+# rank() over the value-count table gives the 1-based rank among distinct values; the
+# oracle needs the row rank, so use the running sum of counts instead.
+from shelfspark.plans.catalog.base import SQL  # noqa: E402
+
+SQL["average_rank"] = """
+SELECT v, n, sum(n) OVER (ORDER BY v) - n + (n + 1) / 2.0 AS avg_rank
+FROM (SELECT l_extendedprice AS v, count(*) AS n FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1)"""
+
+# ---- 2.8 statistics ----------------------------------------------------------
+
+_RANKS_SQL = """
+, vg AS (SELECT {v} AS v, {g} AS g, count(*) AS n_g FROM {src} WHERE {v} IS NOT NULL AND {g} IS NOT NULL {extra} GROUP BY 1, 2)
+, vc AS (SELECT v, sum(n_g) AS n FROM vg GROUP BY 1)
+, rk AS (SELECT v, n, sum(n) OVER (ORDER BY v) - n + (n + 1) / 2.0 AS r FROM vc)
+, grp AS (SELECT g, sum(n_g) AS n, sum(n_g * r) AS rank_sum FROM vg JOIN rk USING (v) GROUP BY g)
+, tot AS (SELECT sum(n) AS big_n, sum(n * n * n - n) AS ties FROM rk)
+"""
+
+
+@register("kruskal_wallis", with_sales(_RANKS_SQL.format(v="Item_Outlet_Sales", g="Item_Type", src="sales", extra="") + """
+SELECT round((12.0 / (big_n * (big_n + 1)) * (SELECT sum(rank_sum * rank_sum / n) FROM grp) - 3 * (big_n + 1))
+             / (1 - ties / (big_n * big_n * big_n - big_n)), 6) AS h,
+       CAST((SELECT count(*) FROM grp) - 1 AS INTEGER) AS dof, big_n AS n, CAST((SELECT count(*) FROM grp) AS INTEGER) AS k
+FROM tot"""))
+def q_kruskal_wallis(spark, d):
+    r = ST.kruskal_wallis_frame(sales_view(spark, d), "Item_Outlet_Sales", "Item_Type")
+    return r.select(F.round("h", 6).alias("h"), "dof", "n", "k")
+
+
+@register("mann_whitney", "WITH dummy AS (SELECT 1)" + _RANKS_SQL.format(
+    v="l_extendedprice", g="l_returnflag", src="lineitem", extra="AND l_returnflag IN ('A', 'R')") + """
+SELECT round((SELECT rank_sum FROM grp WHERE g = 'A') - (SELECT n FROM grp WHERE g = 'A') * ((SELECT n FROM grp WHERE g = 'A') + 1) / 2.0, 4) AS u,
+       (SELECT n FROM grp WHERE g = 'A') AS n1, (SELECT n FROM grp WHERE g = 'R') AS n2, ties
+FROM tot""")
+def q_mann_whitney(spark, d):
+    r = ST.mann_whitney_frame(table(spark, d, "lineitem"), "l_extendedprice", "l_returnflag", "A", "R")
+    return r.select(F.round("u", 4).alias("u"), "n1", "n2", "ties")
+
+
+@register("wilcoxon_signed", """
+WITH dd AS (SELECT l_tax - l_discount AS d FROM lineitem WHERE l_tax - l_discount <> 0)
+, vc AS (SELECT abs(d) AS v, count(*) AS n, sum(CASE WHEN d > 0 THEN 1 ELSE 0 END) AS n_pos FROM dd GROUP BY 1)
+, rk AS (SELECT v, n, n_pos, sum(n) OVER (ORDER BY v) - n + (n + 1) / 2.0 AS r FROM vc)
+SELECT round(sum(n_pos * r), 4) AS w_plus, round(sum((n - n_pos) * r), 4) AS w_minus, sum(n) AS n,
+       sum(n * n * n - n) AS ties FROM rk""")
+def q_wilcoxon_signed(spark, d):
+    r = ST.wilcoxon_frame(table(spark, d, "lineitem"), "l_tax", "l_discount")
+    return r.select(F.round("w_plus", 4).alias("w_plus"), F.round("w_minus", 4).alias("w_minus"), "n",
+                    F.col("ties").cast("double").alias("ties"))
+
+
+_QQ_M = 50
+_QQ_P = [(i - 0.5) / _QQ_M for i in range(1, _QQ_M + 1)]
+
+
+@register("qq_points", " UNION ALL ".join(
+    f"SELECT {i} AS i, CAST({p!r} AS DOUBLE) AS p, CAST({round(norm_ppf(p), 8)!r} AS DOUBLE) AS theoretical, "
+    f"round(quantile_cont(l_extendedprice, {p!r}), 6) AS sample FROM lineitem"
+    for i, p in enumerate(_QQ_P, start=1)))
+def q_qq_points(spark, d):
+    r = ST.qq_points(table(spark, d, "lineitem"), "l_extendedprice", _QQ_M)
+    return r.select("i", "p", F.round("theoretical", 8).alias("theoretical"), F.round("sample", 6).alias("sample"))
+
+
+@register("residual_table", """
+WITH m AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_extendedprice, round(a + b * l_quantity, 4) AS prediction,
+       round(l_extendedprice - (a + b * l_quantity), 4) AS residual
+FROM lineitem, m""")
+def q_residual_table(spark, d):
+    li = table(spark, d, "lineitem")
+    model = simple_model(li, "l_quantity", "l_extendedprice")
+    r = ST.residual_table(li, "l_extendedprice", model.predict_expr(), keep=["l_orderkey", "l_linenumber"])
+    return r.select("l_orderkey", "l_linenumber", "l_extendedprice", F.round("prediction", 4).alias("prediction"),
+                    F.round("residual", 4).alias("residual"))
+
+
+# ---- 2.9 drift -----------------------------------------------------------------
+
+def _ref_cur(spark, d):
+    return split_by_date(sales_view(spark, d), "date_created", CUT)
+
+
+def _long_sql(cols, cast):
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS {cast}) AS v, CASE WHEN {_REF} THEN 1 ELSE 0 END AS is_ref FROM sales"
+        for c in cols)
+
+
+_CDF_SQL = """
+, u AS ({long})
+, c AS (SELECT feature, v, sum(is_ref) AS n_ref, sum(1 - is_ref) AS n_cur FROM u WHERE v IS NOT NULL GROUP BY 1, 2)
+, cdf AS (SELECT feature, v, n_ref, n_cur,
+                 sum(n_ref) OVER (PARTITION BY feature ORDER BY v) / sum(n_ref) OVER (PARTITION BY feature) AS f_ref,
+                 sum(n_cur) OVER (PARTITION BY feature ORDER BY v) / sum(n_cur) OVER (PARTITION BY feature) AS f_cur,
+                 lead(v) OVER (PARTITION BY feature ORDER BY v) AS nv
+          FROM c)
+"""
+
+
+@register("drift_ks", with_sales(_CDF_SQL.format(long=_long_sql(_NUM, "DOUBLE")) + """
+SELECT feature, round(max(abs(f_ref - f_cur)), 8) AS ks_d, sum(n_ref) AS n_ref, sum(n_cur) AS n_cur FROM cdf GROUP BY 1"""))
+def q_drift_ks(spark, d):
+    ref, cur = _ref_cur(spark, d)
+    r = DR.ks_frame(ref, cur, _NUM)
+    return r.select("feature", F.round("ks_d", 8).alias("ks_d"), "n_ref", "n_cur")
+
+
+@register("drift_wasserstein", with_sales(_CDF_SQL.format(long=_long_sql(_NUM, "DOUBLE")) + """
+, w AS (SELECT feature, COALESCE(sum(abs(f_ref - f_cur) * (nv - v)), 0.0) AS distance FROM cdf GROUP BY 1)
+, s AS (SELECT feature, sqrt(sum(n_ref * pow(v - m, 2)) / sum(n_ref)) AS ref_std
+        FROM c JOIN (SELECT feature, sum(v * n_ref) / sum(n_ref) AS m FROM c GROUP BY 1) mm USING (feature) GROUP BY 1)
+SELECT feature, round(distance, 6) AS distance, round(ref_std, 6) AS ref_std,
+       round(distance / greatest(COALESCE(ref_std, 0.0), 0.001), 8) AS normed
+FROM w JOIN s USING (feature)"""))
+def q_drift_wasserstein(spark, d):
+    ref, cur = _ref_cur(spark, d)
+    r = DR.wasserstein_frame(ref, cur, _NUM)
+    return r.select("feature", F.round("distance", 6).alias("distance"), F.round("ref_std", 6).alias("ref_std"),
+                    F.round("normed", 8).alias("normed"))
+
+
+_SHARES_SQL = """
+, u AS ({long})
+, c AS (SELECT feature, v, sum(is_ref) AS n_ref, sum(1 - is_ref) AS n_cur FROM u WHERE v IS NOT NULL GROUP BY 1, 2)
+, t AS (SELECT feature, sum(n_ref) AS t_ref, sum(n_cur) AS t_cur, count(*) AS k FROM c GROUP BY 1)
+, sh AS (SELECT c.feature, c.v, n_ref, n_cur, t_ref, t_cur, k,
+                CASE WHEN n_ref = 0 THEN 0.0001 ELSE n_ref / t_ref END AS p,
+                CASE WHEN n_cur = 0 THEN 0.0001 ELSE n_cur / t_cur END AS q
+         FROM c JOIN t USING (feature))
+"""
+
+
+@register("drift_js", with_sales(_SHARES_SQL.format(long=_long_sql(_CAT, "VARCHAR")) + """
+, nz AS (SELECT sh.*, p / sum(p) OVER (PARTITION BY feature) AS pn, q / sum(q) OVER (PARTITION BY feature) AS qn FROM sh)
+SELECT feature, round(sqrt(greatest(0.0, (sum(pn * ln(pn / ((pn + qn) / 2))) + sum(qn * ln(qn / ((pn + qn) / 2)))) / 2)), 8) AS js
+FROM nz GROUP BY 1"""))
+def q_drift_js(spark, d):
+    ref, cur = _ref_cur(spark, d)
+    return DR.js_frame(ref, cur, _CAT).select("feature", F.round("js", 8).alias("js"))
+
+
+@register("drift_chi2", with_sales(_SHARES_SQL.format(long=_long_sql(_CAT, "VARCHAR")) + """
+SELECT feature, round(sum(pow(n_cur - n_ref * t_cur / t_ref, 2) / (n_ref * t_cur / t_ref)), 6) AS chi2,
+       CAST(any_value(k) - 1 AS BIGINT) AS dof
+FROM sh GROUP BY 1"""))
+def q_drift_chi2(spark, d):
+    ref, cur = _ref_cur(spark, d)
+    return DR.chi2_frame(ref, cur, _CAT).select("feature", F.round("chi2", 6).alias("chi2"), F.col("dof").cast("long"))
+
+
+@register("drift_z", """
+WITH u AS (SELECT 'l_linestatus' AS feature, l_linestatus AS v, CASE WHEN l_shipdate <= TIMESTAMP '1999-12-31 00:00:00' THEN 1 ELSE 0 END AS is_ref FROM lineitem)
+, c AS (SELECT feature, v, sum(is_ref) AS n_ref, sum(1 - is_ref) AS n_cur FROM u WHERE v IS NOT NULL GROUP BY 1, 2)
+, t AS (SELECT feature, sum(n_ref) AS t_ref, sum(n_cur) AS t_cur, min(v) AS label FROM c GROUP BY 1)
+SELECT c.feature, round((n_ref / t_ref - n_cur / t_cur) / sqrt(((n_ref + n_cur) / (t_ref + t_cur)) * (1 - (n_ref + n_cur) / (t_ref + t_cur)) * (1.0 / t_ref + 1.0 / t_cur)), 8) AS z
+FROM c JOIN t ON c.feature = t.feature AND c.v = t.label""")
+def q_drift_z(spark, d):
+    li = table(spark, d, "lineitem")
+    cut = F.lit("1999-12-31 00:00:00").cast("timestamp_ntz")
+    ref, cur = li.filter(F.col("l_shipdate") <= cut), li.filter(F.col("l_shipdate") > cut)
+    return DR.z_frame(ref, cur, ["l_linestatus"]).select("feature", F.round("z", 8).alias("z"))
+
+
+@register("drift_js_numeric")
+def q_drift_js_numeric(spark, d):
+    ref, cur = _ref_cur(spark, d)
+    return DR.js_numeric_frame(ref, cur, _NUM)
+
+
+@register("drift_report")
+def q_drift_report(spark, d):
+    ref, cur = _ref_cur(spark, d)
+    return DR.drift_report(ref, cur, _NUM + _CAT)
+
+
+@register("drift_decision")
+def q_drift_decision(spark, d):
+    ref, cur = _ref_cur(spark, d)
+    return DR.drift_decision(DR.drift_report(ref, cur, _NUM + _CAT))
+
+
+@register("drift_monitor")
+def q_drift_monitor(spark, d):
+    s = sales_view(spark, d).drop("l_orderkey", "l_linenumber")
+    return DR.drift_monitor(s, "date_created", CUT)
+
+
+@register("kruskal_wallis_test")
+def q_kruskal_wallis_test(spark, d):
+    """H with its chi-square p-value (p computed on the driver from the aggregate)."""
+    r = ST.kruskal_wallis(sales_view(spark, d), "Item_Outlet_Sales", "Item_Type")
+    return spark.createDataFrame([(r.statistic, r.p_value, r.n)], "h double, p_value double, n long")
+
+
+@register("mann_whitney_test")
+def q_mann_whitney_test(spark, d):
+    r = ST.mann_whitney(table(spark, d, "lineitem"), "l_extendedprice", "l_returnflag", "A", "R")
+    return spark.createDataFrame([(r.statistic, r.p_value, r.n)], "u double, p_value double, n long")
+
+
+@register("wilcoxon_test")
+def q_wilcoxon_test(spark, d):
+    r = ST.wilcoxon_signed(table(spark, d, "lineitem"), "l_tax", "l_discount")
+    return spark.createDataFrame([(r.statistic, r.p_value, r.n)], "t double, p_value double, n long")
