@@ -1 +1,27 @@
-"""placeholder"""
+"""Streaming scoring over record files written from the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfspark.operators import model as M
+from shelfspark.plans.catalog.base import CUT, register, sales_view, scratch
+from shelfspark.plans.catalog.q_features import _fit
+from shelfspark.plans.catalog.q_model import _FEATURES
+from shelfspark.plans.retail import TESTDATA_PRESET as P
+from shelfspark.streaming.scoring import score_stream
+
+
+@register("score_stream")
+def q_score_stream(spark, d):
+    """New rows written as JSON record files, scored by a stream with the saved
+    parameters; returns what the stream's sink holds (same rows as batch scoring)."""
+    _, test, feats, params = _fit(spark, d)
+    model = M.fit_linear(feats, _FEATURES, "Item_Outlet_Sales")
+    base = scratch(spark, "stream")
+    records = test.drop("date_created")
+    records.write.json(f"{base}/in")
+    q = score_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", records.schema, P, params, model,
+                     keep=("l_orderkey", "l_linenumber"))
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")

@@ -45,7 +45,12 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def _read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(r[0] for r in spark.read.option("wholetext", True).text(path).collect())
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def table_path(root: str, name: str) -> str:
