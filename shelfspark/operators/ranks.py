@@ -18,13 +18,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.operators.sizing import broadcast_if_bounded
 
 BUCKET = "__bucket"
-_ONE = "__one"
 
 
 def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
@@ -34,32 +34,52 @@ def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
     return max(4, 4 * parts)
 
 
+# Distinct values one window task may sort on its own (small rows: value and a few counts).
+MAX_ROWS_ONE_WINDOW = 1_000_000
+
+
+def _size_buckets(counts: DataFrame) -> tuple[DataFrame, int]:
+    """One bucket when the value-count table is provably small, else the bucketed plan.
+
+    The table is persisted while it is counted (at most ``MAX_ROWS_ONE_WINDOW + 1``
+    rows are read); it stays cached only when it is under that bound, so the cache
+    is bounded too. Above the bound it is released and the lazy bucketed plan runs.
+    """
+    cached = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached.limit(MAX_ROWS_ONE_WINDOW + 1).count() <= MAX_ROWS_ONE_WINDOW:
+        return cached, 1
+    cached.unpersist()
+    return counts, _n_buckets(counts, None)
+
+
 def _probs(k: int) -> list[float]:
     return [i / k for i in range(1, k)]
 
 
 def with_value_buckets(
-    counts: DataFrame, value: str, by: Sequence[str] = (), n_buckets: int | None = None, accuracy: int = 10_000
+    counts: DataFrame, value: str, by: Sequence[str] = (), n_buckets: int | None = None, accuracy: int | None = None
 ) -> DataFrame:
     """Add a range-bucket column that is monotone in ``value`` within each ``by`` group.
 
-    Split points come from ``percentile_approx`` per group: a table of one row per
-    group, joined by broadcast (bounded by the number of groups). Everything stays
-    in one lazy plan, so the value-count shuffle is shared, not recomputed.
+    Split points come from ``percentile_approx`` (relative error ``1 / accuracy``;
+    buckets only need to be balanced, so 4 x buckets is enough). Without groups
+    they are a scalar subquery; with groups a table of one row per group joined
+    by broadcast (bounded by the number of groups). Everything stays in one lazy
+    plan, so the value-count shuffle is shared, not recomputed by driver actions.
     """
     k = _n_buckets(counts, n_buckets)
     if k == 1:
         return counts.withColumn(BUCKET, F.lit(0))
+    acc = accuracy or max(100, 4 * k)
     v = F.col(value).cast("double")
-    probs = _probs(k)
-    keys = list(by) if by else [_ONE]
-    src = counts if by else counts.withColumn(_ONE, F.lit(0))
-    split_tab = src.groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx(v, F.array(*[F.lit(p) for p in probs]), accuracy)).alias("__splits")
-    )
-    joined = src.join(broadcast_if_bounded(split_tab, 100_000), on=keys, how="left")
-    out = joined.withColumn(BUCKET, F.size(F.filter(F.col("__splits"), lambda s: s <= v))).drop("__splits")
-    return out if by else out.drop(_ONE)
+    splits = F.array_distinct(F.percentile_approx(v, F.array(*[F.lit(p) for p in _probs(k)]), acc))
+    if not by:
+        split_col = counts.select(splits.alias("__splits")).scalar()
+        with_splits = counts.withColumn("__splits", split_col)
+        return with_splits.withColumn(BUCKET, F.size(F.filter(F.col("__splits"), lambda s: s <= v))).drop("__splits")
+    split_tab = counts.groupBy(*by).agg(splits.alias("__splits"))
+    joined = counts.join(broadcast_if_bounded(split_tab, 100_000), on=list(by), how="left")
+    return joined.withColumn(BUCKET, F.size(F.filter(F.col("__splits"), lambda s: s <= v))).drop("__splits")
 
 
 def cumulative_counts(
@@ -77,6 +97,8 @@ def cumulative_counts(
     and ``next_value``: the next larger value within ``by`` (null for the last).
     """
     by = list(by)
+    if n_buckets is None:
+        counts, n_buckets = _size_buckets(counts)
     b = with_value_buckets(counts, value, by, n_buckets)
     part = by + [BUCKET]
     w_run = Window.partitionBy(*part).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)

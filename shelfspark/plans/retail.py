@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions.scalar import age_from_year, recode, set_when_in
+from shelfspark.session import materialize
 from shelfspark.operators.features import (
     ModeImputer,
     mode_impute_apply,
@@ -134,17 +135,28 @@ def encode(df: DataFrame, cfg: RetailConfig, cuts: list[float]) -> DataFrame:
     return out.drop(*cfg.drop)
 
 
-def feature_pipeline_fit(df: DataFrame, cfg: RetailConfig, impute_train: bool = True) -> tuple[DataFrame, FeatureParams]:
-    """Fit modes and price cuts on ``df`` (train rows only) and return its features."""
-    cleaned = clean_labels(df, cfg)
+def feature_pipeline_fit(df: DataFrame, cfg: RetailConfig, impute_train: bool = True,
+                         materialize_as: str = "persist") -> tuple[DataFrame, FeatureParams]:
+    """Fit modes and price cuts on ``df`` (train rows only) and return its features.
+
+    The fit reads the cleaned rows several times (global mode, mode table, exact
+    cuts, output), so they are materialized once (``materialize_as``, see
+    ``session.materialize``); the small mode table is materialized too.
+    """
+    cleaned = materialize(clean_labels(df, cfg), materialize_as)
     filled, imputer = mode_impute_fit(cleaned, cfg.key, cfg.weight, fill_train=impute_train)
+    imputer.table = materialize(imputer.table, materialize_as)
     cuts = quantile_bin_fit(filled, cfg.price, cfg.n_price_bins)
     return encode(filled, cfg, cuts), FeatureParams(imputer, cuts)
 
 
-def feature_pipeline_apply(df: DataFrame, cfg: RetailConfig, params: FeatureParams, fallback: Any = "frame") -> DataFrame:
-    """Apply saved parameters. ``fallback="frame"``: global mode of ``df`` (batch);
-    pass ``params.global_mode`` where the frame cannot be aggregated first (streams)."""
+def feature_pipeline_apply(df: DataFrame, cfg: RetailConfig, params: FeatureParams, fallback: Any = "frame",
+                           materialize_as: str = "persist") -> DataFrame:
+    """Apply saved parameters. ``fallback="frame"``: global mode of ``df`` (batch), which
+    reads the rows twice, so they are materialized first; pass ``params.global_mode``
+    where the frame cannot be aggregated first (streams): then nothing is materialized."""
     cleaned = clean_labels(df, cfg)
+    if isinstance(fallback, str) and fallback == "frame":
+        cleaned = materialize(cleaned, materialize_as)
     filled = mode_impute_apply(cleaned, params.modes, cfg.key, cfg.weight, fallback=fallback)
     return encode(filled, cfg, params.cuts)

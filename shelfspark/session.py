@@ -69,3 +69,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local checkpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, how: str = "persist") -> DataFrame:
+    """Keep a frame that several passes read.
+
+    ``persist``: memory and executor disk; a lost executor's blocks are rebuilt
+    from lineage. ``checkpoint``: written to the shared checkpoint folder, lineage
+    cut (for very long plans). ``none``: recompute on every pass.
+    """
+    if how == "persist":
+        from pyspark import StorageLevel
+
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if how == "checkpoint":
+        return cut_lineage(df)
+    if how == "none":
+        return df
+    raise ValueError(f"unknown materialize mode {how!r}")
