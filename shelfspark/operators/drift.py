@@ -20,14 +20,14 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfspark.functions.distributions import chi2_sf, ks_2samp_pvalue, norm_sf
 from shelfspark.operators.ranks import cumulative_counts
 from shelfspark.operators.sizing import broadcast_if_bounded
-from shelfspark.operators.transform import split_by_date
+from shelfspark.session import materialize
 
 
 @dataclass(frozen=True)
@@ -45,22 +45,26 @@ def _is_numeric(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, T.NumericType)
 
 
-def long_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str], numeric: bool) -> DataFrame:
-    """(feature, v, n_ref, n_cur) for the listed columns; values as double or as text."""
+def long_counts_tagged(df: DataFrame, is_ref: Column, columns: Sequence[str], numeric: bool) -> DataFrame:
+    """(feature, v, n_ref, n_cur) for the listed columns of one frame whose rows are tagged
+    reference or current by ``is_ref`` (one scan; rows where it is null are left out)."""
     typ = "double" if numeric else "string"
-
-    def tagged(df: DataFrame, flag: int) -> DataFrame:
-        return df.select(
-            F.lit(flag).alias("__ref"),
-            F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast(typ).alias("v")) for c in columns])).alias("__s"),
-        )
-
-    u = tagged(ref, 1).unionByName(tagged(cur, 0)).select("__ref", "__s.feature", "__s.v").filter(F.col("v").isNotNull())
+    u = df.select(
+        is_ref.cast("int").alias("__ref"),
+        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast(typ).alias("v")) for c in columns])).alias("__s"),
+    ).select("__ref", "__s.feature", "__s.v").filter(F.col("v").isNotNull() & F.col("__ref").isNotNull())
     return u.groupBy("feature", "v").agg(
         F.sum("__ref").cast("long").alias("n_ref"), F.sum(1 - F.col("__ref")).cast("long").alias("n_cur")
     )
 
 
+def long_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str], numeric: bool) -> DataFrame:
+    """(feature, v, n_ref, n_cur) for two separate frames (one scan of each)."""
+    cols = list(columns)
+    both = ref.select(*cols, F.lit(True).alias("__is_ref")).unionByName(cur.select(*cols, F.lit(False).alias("__is_ref")))
+    return long_counts_tagged(both, F.col("__is_ref"), cols, numeric)
+
+
 def _cdf(counts: DataFrame) -> DataFrame:
     cum = cumulative_counts(counts, "v", ["n_ref", "n_cur"], by=["feature"])
     return cum.select(
@@ -73,7 +77,11 @@ def _cdf(counts: DataFrame) -> DataFrame:
 
 def ks_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic per numeric column."""
-    cdf = _cdf(long_counts(ref, cur, columns, True))
+    return ks_from_counts(long_counts(ref, cur, columns, True))
+
+
+def ks_from_counts(counts: DataFrame) -> DataFrame:
+    cdf = _cdf(counts)
     return cdf.groupBy("feature").agg(
         F.max(F.abs(F.col("f_ref") - F.col("f_cur"))).alias("ks_d"),
         F.first("total_n_ref").alias("n_ref"), F.first("total_n_cur").alias("n_cur"),
@@ -82,7 +90,10 @@ def ks_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFram
 
 def wasserstein_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str], min_norm: float = 0.001) -> DataFrame:
     """First Wasserstein distance per column, and the same divided by the reference std (population)."""
-    counts = long_counts(ref, cur, columns, True)
+    return wasserstein_from_counts(long_counts(ref, cur, columns, True), min_norm)
+
+
+def wasserstein_from_counts(counts: DataFrame, min_norm: float = 0.001) -> DataFrame:
     cdf = _cdf(counts)
     dist = cdf.groupBy("feature").agg(
         F.coalesce(F.sum(F.abs(F.col("f_ref") - F.col("f_cur")) * (F.col("next_value") - F.col("v"))), F.lit(0.0)).alias("distance")
@@ -114,8 +125,11 @@ def _shares(counts: DataFrame, zero_share: float) -> DataFrame:
 
 def js_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str], zero_share: float = 1e-4) -> DataFrame:
     """Jensen-Shannon distance (natural log) of category shares, zero shares replaced by ``zero_share``."""
-    s = _shares(long_counts(ref, cur, columns, False), zero_share)
-    return _js_from_shares(s)
+    return js_from_counts(long_counts(ref, cur, columns, False), zero_share)
+
+
+def js_from_counts(counts: DataFrame, zero_share: float = 1e-4) -> DataFrame:
+    return _js_from_shares(_shares(counts, zero_share))
 
 
 def _js_from_shares(s: DataFrame) -> DataFrame:
@@ -131,7 +145,10 @@ def _js_from_shares(s: DataFrame) -> DataFrame:
 
 def js_numeric_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str], zero_share: float = 1e-4) -> DataFrame:
     """Jensen-Shannon distance of numeric columns binned into Sturges equal-width bins over both samples."""
-    counts = long_counts(ref, cur, columns, True)
+    return js_numeric_from_counts(long_counts(ref, cur, columns, True), zero_share)
+
+
+def js_numeric_from_counts(counts: DataFrame, zero_share: float = 1e-4) -> DataFrame:
     rng = counts.groupBy("feature").agg(
         F.min("v").alias("lo"), F.max("v").alias("hi"), (F.sum("n_ref") + F.sum("n_cur")).alias("n")
     ).withColumn("k", F.ceil(F.log2(F.col("n")) + 1).cast("int"))
@@ -149,7 +166,10 @@ def js_numeric_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str], zer
 
 def chi2_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str], numeric: bool = False) -> DataFrame:
     """Chi-square statistic of current counts against reference shares scaled to the current size."""
-    counts = long_counts(ref, cur, columns, numeric)
+    return chi2_from_counts(long_counts(ref, cur, columns, numeric))
+
+
+def chi2_from_counts(counts: DataFrame) -> DataFrame:
     tot = counts.groupBy("feature").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"), F.count(F.lit(1)).alias("k"))
     j = counts.join(broadcast_if_bounded(tot), "feature")
     exp = F.col("n_ref") * F.col("t_cur") / F.col("t_ref")
@@ -160,7 +180,10 @@ def chi2_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str], numeric:
 
 def z_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str], numeric: bool = False) -> DataFrame:
     """Two-proportion z statistic for two-valued columns (share of the smallest value)."""
-    counts = long_counts(ref, cur, columns, numeric)
+    return z_from_counts(long_counts(ref, cur, columns, numeric))
+
+
+def z_from_counts(counts: DataFrame) -> DataFrame:
     tot = counts.groupBy("feature").agg(
         F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"), F.min("v").alias("label"))
     j = counts.join(broadcast_if_bounded(tot), "feature").filter(F.col("v") == F.col("label"))
@@ -174,60 +197,85 @@ def drift_report(ref: DataFrame, cur: DataFrame, columns: Sequence[str] | None =
                  rules: DriftRules = DriftRules()) -> DataFrame:
     """One row per column: kind, test, score, threshold, drift flag."""
     cols = [c for c in (columns or ref.columns) if c not in rules.ignore and c in cur.columns]
-    num = [c for c in cols if _is_numeric(ref, c)]
+    both = ref.select(*cols, F.lit(True).alias("__is_ref")).unionByName(cur.select(*cols, F.lit(False).alias("__is_ref")))
+    return drift_report_tagged(both, F.col("__is_ref"), cols, rules)
+
+
+def drift_report_tagged(df: DataFrame, is_ref: Column, columns: Sequence[str], rules: DriftRules = DriftRules()) -> DataFrame:
+    """Report for one frame tagged reference/current by ``is_ref``: one scan builds the
+    value-count table of every column; it is kept while the tests read it and released after."""
+    cols = [c for c in columns if c not in rules.ignore]
+    num = [c for c in cols if _is_numeric(df, c)]
     cat = [c for c in cols if c not in num]
-    n_ref = ref.count()
-    stats = {}
-    for group, is_num in ((num, True), (cat, False)):
-        if group:
-            for r in long_counts(ref, cur, group, is_num).groupBy("feature").agg(F.count(F.lit(1)).alias("u")).collect():
-                stats[r["feature"]] = r["u"]
-    small = n_ref <= rules.small_reference_rows
-    plan: dict[str, str] = {}
-    for c in cols:
-        u = stats.get(c, 0)
-        is_num = c in num
-        if small:
-            if is_num and u > rules.few_values:
-                plan[c] = "ks"
-            else:
-                plan[c] = "chisquare" if u > 2 else "z"
-        else:
-            plan[c] = "wasserstein" if (is_num and u > rules.few_values) else "jensenshannon"
-    out = []
-
-    def pick(test: str, nums: bool) -> list[str]:
-        return [c for c in cols if plan[c] == test and ((c in num) == nums)]
-
-    if pick("ks", True):
-        for r in ks_frame(ref, cur, pick("ks", True)).collect():
-            p = ks_2samp_pvalue(r["ks_d"], r["n_ref"], r["n_cur"])
-            out.append((r["feature"], "num", "ks", p, rules.p_threshold, p < rules.p_threshold))
-    if pick("wasserstein", True):
-        for r in wasserstein_frame(ref, cur, pick("wasserstein", True)).collect():
-            d = r["normed"]
-            out.append((r["feature"], "num", "wasserstein", d, rules.distance_threshold, d >= rules.distance_threshold))
-    for nums in (True, False):
-        kind = "num" if nums else "cat"
-        sel = pick("jensenshannon", nums)
-        if sel:
-            frame = js_numeric_frame(ref, cur, sel, rules.zero_share) if nums else js_frame(ref, cur, sel, rules.zero_share)
-            for r in frame.collect():
-                d = r["js"]
-                out.append((r["feature"], kind, "jensenshannon", d, rules.distance_threshold, d >= rules.distance_threshold))
-        sel = pick("chisquare", nums)
-        if sel:
-            for r in chi2_frame(ref, cur, sel, nums).collect():
-                p = chi2_sf(r["chi2"], r["dof"]) if r["chi2"] is not None else float("nan")
-                out.append((r["feature"], kind, "chisquare", p, rules.p_threshold, bool(p < rules.p_threshold)))
-        sel = pick("z", nums)
-        if sel:
-            for r in z_frame(ref, cur, sel, nums).collect():
-                z = r["z"]
-                p = 2 * norm_sf(abs(z)) if z is not None and not math.isnan(z) else float("nan")
-                out.append((r["feature"], kind, "z", p, rules.p_threshold, bool(p < rules.p_threshold)))
+    parts = []
+    if num:
+        parts.append(long_counts_tagged(df, is_ref, num, True).withColumn("__num", F.lit(True)))
+    if cat:
+        parts.append(long_counts_tagged(df, is_ref, cat, False).withColumn("__num", F.lit(False))
+                     .withColumn("v", F.col("v")))
+    spark = df.sparkSession
     schema = "feature string, kind string, test string, score double, threshold double, drift boolean"
-    return ref.sparkSession.createDataFrame(sorted(out), schema)
+    if not parts:
+        return spark.createDataFrame([], schema)
+    num_counts = materialize(parts[0], "persist") if num else None
+    cat_counts = materialize(parts[-1], "persist") if cat else None
+    try:
+        stats = {}
+        for c in (num_counts, cat_counts):
+            if c is not None:
+                for r in c.groupBy("feature").agg(F.count(F.lit(1)).alias("u"), F.sum("n_ref").alias("nr")).collect():
+                    stats[r["feature"]] = (r["u"], r["nr"])
+        plan: dict[str, str] = {}
+        for c in cols:
+            u, n_ref = stats.get(c, (0, 0))
+            is_num = c in num
+            if n_ref <= rules.small_reference_rows:
+                plan[c] = "ks" if (is_num and u > rules.few_values) else ("chisquare" if u > 2 else "z")
+            else:
+                plan[c] = "wasserstein" if (is_num and u > rules.few_values) else "jensenshannon"
+        out = []
+
+        for counts, kind in ((num_counts, "num"), (cat_counts, "cat")):
+            if counts is None:
+                continue
+            own = num if kind == "num" else cat
+
+            def sel(counts: DataFrame, test: str, own=own) -> tuple[DataFrame, bool]:
+                names = [c for c in own if plan[c] == test]
+                return counts.filter(F.col("feature").isin(names)).drop("__num"), bool(names)
+
+            sub, any_ = sel(counts, "ks")
+            if any_:
+                for r in ks_from_counts(sub).collect():
+                    p = ks_2samp_pvalue(r["ks_d"], r["n_ref"], r["n_cur"])
+                    out.append((r["feature"], kind, "ks", p, rules.p_threshold, p < rules.p_threshold))
+            sub, any_ = sel(counts, "wasserstein")
+            if any_:
+                for r in wasserstein_from_counts(sub).collect():
+                    d = r["normed"]
+                    out.append((r["feature"], kind, "wasserstein", d, rules.distance_threshold, d >= rules.distance_threshold))
+            sub, any_ = sel(counts, "jensenshannon")
+            if any_:
+                frame = js_numeric_from_counts(sub, rules.zero_share) if kind == "num" else js_from_counts(sub, rules.zero_share)
+                for r in frame.collect():
+                    d = r["js"]
+                    out.append((r["feature"], kind, "jensenshannon", d, rules.distance_threshold, d >= rules.distance_threshold))
+            sub, any_ = sel(counts, "chisquare")
+            if any_:
+                for r in chi2_from_counts(sub).collect():
+                    p = chi2_sf(r["chi2"], r["dof"]) if r["chi2"] is not None else float("nan")
+                    out.append((r["feature"], kind, "chisquare", p, rules.p_threshold, bool(p < rules.p_threshold)))
+            sub, any_ = sel(counts, "z")
+            if any_:
+                for r in z_from_counts(sub).collect():
+                    z = r["z"]
+                    p = 2 * norm_sf(abs(z)) if z is not None and not math.isnan(z) else float("nan")
+                    out.append((r["feature"], kind, "z", p, rules.p_threshold, bool(p < rules.p_threshold)))
+    finally:
+        for c in (num_counts, cat_counts):
+            if c is not None:
+                c.unpersist()
+    return spark.createDataFrame(sorted(out), schema)
 
 
 def drift_decision(report: DataFrame, rules: DriftRules = DriftRules()) -> DataFrame:
@@ -240,15 +288,18 @@ def drift_decision(report: DataFrame, rules: DriftRules = DriftRules()) -> DataF
 
 def drift_monitor(df: DataFrame, date_col: str, cut: str, start: str | None = None, min_rows: int = 1000,
                   rules: DriftRules = DriftRules(), columns: Sequence[str] | None = None) -> DataFrame:
-    """Date split, row gate on the new rows, report and decision, as one row (no exit code)."""
-    ref, cur = split_by_date(df, date_col, cut, start)
+    """Date split, row gate on the new rows, report and decision, as one row (no exit code).
+
+    The split is a tag on one scan (reference: ``start <= d <= cut``; current: ``d > cut``)."""
+    d = F.col(date_col)
+    cut_d = F.lit(cut).cast("date")
+    ref_cond = d <= cut_d if start is None else (d <= cut_d) & (d >= F.lit(start).cast("date"))
+    is_ref = F.when(ref_cond, F.lit(True)).when(d > cut_d, F.lit(False))
     cols = [c for c in (columns or df.columns) if c != date_col]
-    n_cur = cur.limit(min_rows).count()
-    n_ref = ref.count()
+    gate = df.filter(d > cut_d).limit(min_rows).count()
     spark = df.sparkSession
-    if n_cur < min_rows:
-        return spark.createDataFrame([(n_ref, n_cur, False, 0, 0, False)],
-                                     "n_ref long, n_cur_checked long, gate boolean, n_columns long, n_drifted long, drift boolean")
-    dec = drift_decision(drift_report(ref, cur, cols, rules), rules).first()
-    return spark.createDataFrame([(n_ref, n_cur, True, dec["n_columns"], dec["n_drifted"], bool(dec["drift"]))],
-                                 "n_ref long, n_cur_checked long, gate boolean, n_columns long, n_drifted long, drift boolean")
+    schema = "n_cur_checked long, gate boolean, n_columns long, n_drifted long, drift boolean"
+    if gate < min_rows:
+        return spark.createDataFrame([(gate, False, 0, 0, False)], schema)
+    dec = drift_decision(drift_report_tagged(df, is_ref, cols, rules), rules).first()
+    return spark.createDataFrame([(gate, True, dec["n_columns"], dec["n_drifted"], bool(dec["drift"]))], schema)

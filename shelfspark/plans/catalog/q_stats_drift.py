@@ -196,16 +196,24 @@ def q_drift_js_numeric(spark, d):
     return DR.js_numeric_frame(ref, cur, _NUM)
 
 
+def _tag():
+    return F.col("date_created") <= F.lit(CUT).cast("date")
+
+
 @register("drift_report")
 def q_drift_report(spark, d):
+    return DR.drift_report_tagged(sales_view(spark, d), _tag(), _NUM + _CAT)
+
+
+@register("drift_report_two_frames")
+def q_drift_report_two_frames(spark, d):
     ref, cur = _ref_cur(spark, d)
     return DR.drift_report(ref, cur, _NUM + _CAT)
 
 
 @register("drift_decision")
 def q_drift_decision(spark, d):
-    ref, cur = _ref_cur(spark, d)
-    return DR.drift_decision(DR.drift_report(ref, cur, _NUM + _CAT))
+    return DR.drift_decision(DR.drift_report_tagged(sales_view(spark, d), _tag(), _NUM + _CAT))
 
 
 @register("drift_monitor")
