@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.operators.ranks import cumulative_counts
 from shelfspark.operators.stats import TestResult, wilcoxon_signed
+from shelfspark.session import materialize
 
 
 # ---- split -------------------------------------------------------------------
@@ -136,14 +137,28 @@ class Comparison:
 def compare_models(df: DataFrame, label: str, pred_new: str | Column, pred_old: str | Column | None = None,
                    alpha: float = 0.05) -> Comparison:
     """Accept the new model if its R2 is higher and the paired signed-rank test on the
-    errors has p < alpha. The first model (no old predictions) passes."""
+    errors has p < alpha. The first model (no old predictions) passes.
+
+    Both R2 come from one aggregate; the three needed columns are kept while the
+    two passes (metrics, signed ranks) read them, then released.
+    """
     new = F.col(pred_new) if isinstance(pred_new, str) else pred_new
-    r2_new = regression_metrics(df, label, new).first()["r2"]
     if pred_old is None:
-        return Comparison(r2_new, None, None, True)
+        return Comparison(regression_metrics(df, label, new).first()["r2"], None, None, True)
     old = F.col(pred_old) if isinstance(pred_old, str) else pred_old
-    r2_old = regression_metrics(df, label, old).first()["r2"]
-    w = wilcoxon_signed(df, new - F.col(label), old - F.col(label))
+    scored = materialize(df.select(F.col(label).alias("y"), new.alias("p_new"), old.alias("p_old"))
+                         .filter("y IS NOT NULL AND p_new IS NOT NULL AND p_old IS NOT NULL"), "persist")
+    try:
+        m = scored.agg(
+            F.avg(F.pow(F.col("y") - F.col("p_new"), 2)).alias("mse_new"),
+            F.avg(F.pow(F.col("y") - F.col("p_old"), 2)).alias("mse_old"),
+            F.var_pop("y").alias("var"),
+        ).first()
+        r2_new = None if not m["var"] else 1 - m["mse_new"] / m["var"]
+        r2_old = None if not m["var"] else 1 - m["mse_old"] / m["var"]
+        w = wilcoxon_signed(scored, F.col("p_new") - F.col("y"), F.col("p_old") - F.col("y"))
+    finally:
+        scored.unpersist()
     accept = (r2_new is not None and r2_old is not None and r2_new > r2_old
               and w.p_value is not None and w.p_value < alpha)
     return Comparison(r2_new, r2_old, w, bool(accept))

@@ -99,6 +99,16 @@ def cumulative_counts(
     by = list(by)
     if n_buckets is None:
         counts, n_buckets = _size_buckets(counts)
+    if n_buckets == 1:
+        # Bounded table: plain windows, no bucket offsets and no join.
+        w_run = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        w_all = Window.partitionBy(*by)
+        return counts.select(
+            *counts.columns,
+            *[F.sum(c).over(w_run).alias(f"cum_{c}") for c in count_cols],
+            *[F.sum(c).over(w_all).alias(f"total_{c}") for c in count_cols],
+            F.lead(value).over(Window.partitionBy(*by).orderBy(value)).alias("next_value"),
+        )
     b = with_value_buckets(counts, value, by, n_buckets)
     part = by + [BUCKET]
     w_run = Window.partitionBy(*part).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)

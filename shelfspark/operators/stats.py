@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions.distributions import chi2_sf, norm_ppf, norm_sf
 from shelfspark.operators.ranks import cumulative_counts, exact_quantiles
+from shelfspark.session import materialize
 
 
 def _tie_term() -> Column:
@@ -45,12 +46,19 @@ def group_rank_sums(df: DataFrame, value: str, group: str, groups: Sequence | No
 
 
 def kruskal_wallis_frame(df: DataFrame, value: str, group: str, groups: Sequence | None = None) -> DataFrame:
-    """One row: H (tie corrected), degrees of freedom, N and k."""
+    """One row: H (tie corrected), degrees of freedom, N and k.
+
+    The per-group rank sums (one row per group) are kept while both driver reads run."""
     per_group, overall = group_rank_sums(df, value, group, groups)
-    g = per_group.agg(F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("n")).alias("s"), F.count(F.lit(1)).alias("k"))
-    o = overall.first()
-    N, ties = float(o["N"] or 0), float(o["ties"] or 0)
-    gg = g.first()
+    per_group = materialize(per_group, "persist")
+    try:
+        g = per_group.agg(F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("n")).alias("s"),
+                          F.count(F.lit(1)).alias("k"), F.sum("n").alias("N"))
+        gg = g.first()
+        o = overall.first()
+    finally:
+        per_group.unpersist()
+    N, ties = float(gg["N"] or 0), float(o["ties"] or 0)
     if N < 2 or gg["k"] < 2:
         h = None
     else:

@@ -10,6 +10,7 @@ from shelfspark.operators.transform import split_by_date
 from shelfspark.plans.catalog.base import CUT, register, sales_view, table, with_sales
 from shelfspark.plans.retail import TESTDATA_PRESET as P
 from shelfspark.plans.retail import clean_labels, feature_pipeline_apply, feature_pipeline_fit
+from shelfspark.session import materialize
 
 
 def _lit(v) -> str:
@@ -88,11 +89,18 @@ def _split(spark, d):
 
 
 def _fit(spark, d):
-    train, test = _split(spark, d)
-    feats, params = feature_pipeline_fit(train, P)
+    """Fit on the reference period. Both periods come from one materialized view
+    (one join of lineitem instead of one per period); the chain then reads the cache."""
+    view = materialize(sales_view(spark, d), "persist")
+    train, test = split_by_date(view, "date_created", CUT)
+    feats, params = feature_pipeline_fit(train, P, materialize_as="none")
     return train, test, feats, params
 
 
+def _apply(test, params):
+    return feature_pipeline_apply(test, P, params, materialize_as="none")
+
+
 @register("mode_impute_fit", with_sales(_TRAIN_CTES + "SELECT Item_Identifier, mode FROM gap_table"))
 def q_mode_impute_fit(spark, d):
     train, _ = _split(spark, d)
@@ -175,7 +183,7 @@ def q_feature_pipeline_fit(spark, d):
 @register("feature_pipeline_apply", with_sales(_TRAIN_CTES + "SELECT * FROM test_feat"))
 def q_feature_pipeline_apply(spark, d):
     _, test, _, params = _fit(spark, d)
-    return feature_pipeline_apply(test, P, params)
+    return _apply(test, params)
 
 
 @register("feature_bins_report", with_sales(_TRAIN_CTES + """
@@ -187,7 +195,7 @@ SELECT 'test' AS "Set", Item_MRP, count(*) AS n, round(avg(Item_Outlet_Sales), 4
 def q_feature_bins_report(spark, d):
     """Flagship: fit on the reference period, apply to the new rows, mean sales per price bin."""
     _, test, feats, params = _fit(spark, d)
-    applied = feature_pipeline_apply(test, P, params)
+    applied = _apply(test, params)
 
     def rep(df, tag):
         return df.groupBy("Item_MRP").agg(

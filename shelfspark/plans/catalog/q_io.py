@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from shelfspark.operators import model as M
 from shelfspark.operators.transform import add_row_id
 from shelfspark.plans.catalog.base import CUT, register, sales_view, scratch, table, with_sales
-from shelfspark.plans.catalog.q_features import _TRAIN_CTES, _fit
+from shelfspark.plans.catalog.q_features import _TRAIN_CTES, _apply, _fit
 from shelfspark.plans.retail import TESTDATA_PRESET as P
 from shelfspark.plans.retail import clean_labels
 from shelfspark.sources import files as FI
@@ -140,7 +140,7 @@ def q_write_predictions(spark, d):
 
     root = scratch(spark, "tables")
     test, _, params, model = _trained(spark, d)
-    scored = M.score_batch(feature_pipeline_apply(test, P, params), model, "pred_Sales")
+    scored = M.score_batch(_apply(test, params), model, "pred_Sales")
     # (l_orderkey, l_linenumber) repeats in lineitem: the id is a generated unique key, as the feature tables use.
     keyed = add_row_id(scored.select("l_orderkey", "l_linenumber", "pred_Sales"), "item_id")
     TB.write_predictions(spark, root, "predictions_s", keyed, "item_id")

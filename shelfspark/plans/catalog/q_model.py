@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.operators import model as M
 from shelfspark.plans.catalog.base import register, table, with_sales
-from shelfspark.plans.catalog.q_features import _fit
+from shelfspark.plans.catalog.q_features import _apply, _fit
 from shelfspark.plans.retail import TESTDATA_PRESET as P
 from shelfspark.plans.retail import feature_pipeline_apply
 
@@ -81,7 +81,7 @@ def q_coefficients(spark, d):
 @register("score_batch")
 def q_score_batch(spark, d):
     test, _, params, model = _trained(spark, d)
-    applied = feature_pipeline_apply(test, P, params)
+    applied = _apply(test, params)
     return M.score_batch(applied, model, "pred_Sales").select("l_orderkey", "l_linenumber", *_FEATURES, "pred_Sales")
 
 
@@ -104,7 +104,7 @@ def q_compare_models(spark, d):
     """New model (all features) against the current one (price bin only) on the new rows."""
     test, feats, params, new_model = _trained(spark, d)
     old_model = M.fit_linear(feats, ["Item_MRP"], "Item_Outlet_Sales")
-    applied = feature_pipeline_apply(test, P, params)
+    applied = _apply(test, params)
     scored = applied.select("Item_Outlet_Sales", new_model.predict_expr().alias("pred_new"),
                             old_model.predict_expr().alias("pred_old"))
     c = M.compare_models(scored, "Item_Outlet_Sales", "pred_new", "pred_old")

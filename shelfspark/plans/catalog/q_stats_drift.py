@@ -109,6 +109,12 @@ def _ref_cur(spark, d):
     return split_by_date(sales_view(spark, d), "date_created", CUT)
 
 
+def _counts(spark, d, cols, numeric):
+    """Value counts of both periods from one scan of the view, tagged by the date cut."""
+    tag = F.col("date_created") <= F.lit(CUT).cast("date")
+    return DR.long_counts_tagged(sales_view(spark, d), tag, cols, numeric)
+
+
 def _long_sql(cols, cast):
     return " UNION ALL ".join(
         f"SELECT '{c}' AS feature, CAST({c} AS {cast}) AS v, CASE WHEN {_REF} THEN 1 ELSE 0 END AS is_ref FROM sales"
@@ -129,8 +135,7 @@ _CDF_SQL = """
 @register("drift_ks", with_sales(_CDF_SQL.format(long=_long_sql(_NUM, "DOUBLE")) + """
 SELECT feature, round(max(abs(f_ref - f_cur)), 8) AS ks_d, sum(n_ref) AS n_ref, sum(n_cur) AS n_cur FROM cdf GROUP BY 1"""))
 def q_drift_ks(spark, d):
-    ref, cur = _ref_cur(spark, d)
-    r = DR.ks_frame(ref, cur, _NUM)
+    r = DR.ks_from_counts(_counts(spark, d, _NUM, True))
     return r.select("feature", F.round("ks_d", 8).alias("ks_d"), "n_ref", "n_cur")
 
 
@@ -142,8 +147,7 @@ SELECT feature, round(distance, 6) AS distance, round(ref_std, 6) AS ref_std,
        round(distance / greatest(COALESCE(ref_std, 0.0), 0.001), 8) AS normed
 FROM w JOIN s USING (feature)"""))
 def q_drift_wasserstein(spark, d):
-    ref, cur = _ref_cur(spark, d)
-    r = DR.wasserstein_frame(ref, cur, _NUM)
+    r = DR.wasserstein_from_counts(_counts(spark, d, _NUM, True))
     return r.select("feature", F.round("distance", 6).alias("distance"), F.round("ref_std", 6).alias("ref_std"),
                     F.round("normed", 8).alias("normed"))
 
@@ -164,8 +168,7 @@ _SHARES_SQL = """
 SELECT feature, round(sqrt(greatest(0.0, (sum(pn * ln(pn / ((pn + qn) / 2))) + sum(qn * ln(qn / ((pn + qn) / 2)))) / 2)), 8) AS js
 FROM nz GROUP BY 1"""))
 def q_drift_js(spark, d):
-    ref, cur = _ref_cur(spark, d)
-    return DR.js_frame(ref, cur, _CAT).select("feature", F.round("js", 8).alias("js"))
+    return DR.js_from_counts(_counts(spark, d, _CAT, False)).select("feature", F.round("js", 8).alias("js"))
 
 
 @register("drift_chi2", with_sales(_SHARES_SQL.format(long=_long_sql(_CAT, "VARCHAR")) + """
@@ -173,8 +176,7 @@ SELECT feature, round(sum(pow(n_cur - n_ref * t_cur / t_ref, 2) / (n_ref * t_cur
        CAST(any_value(k) - 1 AS BIGINT) AS dof
 FROM sh GROUP BY 1"""))
 def q_drift_chi2(spark, d):
-    ref, cur = _ref_cur(spark, d)
-    return DR.chi2_frame(ref, cur, _CAT).select("feature", F.round("chi2", 6).alias("chi2"), F.col("dof").cast("long"))
+    return DR.chi2_from_counts(_counts(spark, d, _CAT, False)).select("feature", F.round("chi2", 6).alias("chi2"), F.col("dof").cast("long"))
 
 
 @register("drift_z", """
@@ -192,8 +194,7 @@ def q_drift_z(spark, d):
 
 @register("drift_js_numeric")
 def q_drift_js_numeric(spark, d):
-    ref, cur = _ref_cur(spark, d)
-    return DR.js_numeric_frame(ref, cur, _NUM)
+    return DR.js_numeric_from_counts(_counts(spark, d, _NUM, True))
 
 
 def _tag():
