@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -47,7 +48,7 @@ def train_val_split(df: DataFrame, key_cols: Sequence[str], seed: int = 28, trai
     counts = keyed.groupBy("__h").agg(F.count(F.lit(1)).alias("n"))
     cum = cumulative_counts(counts, "__h", ["n"])
     n_total = keyed.count()
-    cutoff = int(round(train_frac * n_total))
+    cutoff = int(math.floor(train_frac * n_total + 0.5))  # half-up, the same in every engine
     side = cum.select("__h", (F.col("cum_n") <= F.lit(cutoff)).alias("__train"))
     j = keyed.join(side, "__h")
     return (j.filter("__train").drop("__h", "__train"), j.filter(~F.col("__train")).drop("__h", "__train"))

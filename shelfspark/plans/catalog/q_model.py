@@ -24,7 +24,12 @@ def q_train_val_split(spark, d):
     return M.train_val_split_tag(li, ["l_orderkey", "l_linenumber"], seed=28, train_frac=0.7)
 
 
-@register("train_val_split_exact")
+@register("train_val_split_exact", """
+WITH h AS (SELECT o_orderkey, o_totalprice,
+                  CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|28'), 1, 15)) AS BIGINT) AS hv FROM orders)
+SELECT o_orderkey, o_totalprice,
+       CASE WHEN count(*) OVER (ORDER BY hv) <= floor(0.7 * count(*) OVER () + 0.5) THEN 'train' ELSE 'val' END AS split
+FROM h""")
 def q_train_val_split_exact(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     tr, va = M.train_val_split(o, ["o_orderkey"], seed=28, train_frac=0.7, exact_size=True)

@@ -192,9 +192,24 @@ def q_drift_z(spark, d):
     return DR.z_frame(ref, cur, ["l_linestatus"]).select("feature", F.round("z", 8).alias("z"))
 
 
-@register("drift_js_numeric")
+@register("drift_js_numeric", with_sales(f"""
+, u AS ({_long_sql(_NUM, "DOUBLE")})
+, c AS (SELECT feature, v, sum(is_ref) AS n_ref, sum(1 - is_ref) AS n_cur FROM u WHERE v IS NOT NULL GROUP BY 1, 2)
+, rng AS (SELECT feature, min(v) AS lo, max(v) AS hi, CAST(ceil(log2(sum(n_ref) + sum(n_cur)) + 1) AS INTEGER) AS k
+          FROM c GROUP BY 1)
+, b AS (SELECT c.feature, CASE WHEN hi = lo THEN 0 ELSE LEAST(CAST(floor((v - lo) / ((hi - lo) / k)) AS INTEGER), k - 1) END AS bin,
+               sum(n_ref) AS n_ref, sum(n_cur) AS n_cur FROM c JOIN rng USING (feature) GROUP BY 1, 2)
+, grid AS (SELECT feature, unnest(range(0, k)) AS bin FROM rng)
+, full_ AS (SELECT g.feature, g.bin, COALESCE(b.n_ref, 0) AS n_ref, COALESCE(b.n_cur, 0) AS n_cur
+            FROM grid g LEFT JOIN b ON g.feature = b.feature AND g.bin = b.bin)
+, sh AS (SELECT feature, bin,
+                CASE WHEN n_ref = 0 THEN 0.0001 ELSE n_ref / sum(n_ref) OVER (PARTITION BY feature) END AS p,
+                CASE WHEN n_cur = 0 THEN 0.0001 ELSE n_cur / sum(n_cur) OVER (PARTITION BY feature) END AS q FROM full_)
+, nz AS (SELECT feature, p / sum(p) OVER (PARTITION BY feature) AS pn, q / sum(q) OVER (PARTITION BY feature) AS qn FROM sh)
+SELECT feature, round(sqrt(greatest(0.0, (sum(pn * ln(pn / ((pn + qn) / 2))) + sum(qn * ln(qn / ((pn + qn) / 2)))) / 2)), 8) AS js
+FROM nz GROUP BY 1"""))
 def q_drift_js_numeric(spark, d):
-    return DR.js_numeric_from_counts(_counts(spark, d, _NUM, True))
+    return DR.js_numeric_from_counts(_counts(spark, d, _NUM, True)).select("feature", F.round("js", 8).alias("js"))
 
 
 def _tag():
