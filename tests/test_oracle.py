@@ -19,6 +19,7 @@ def con():
 def test_query(spark, con, name):
     r = compare(spark, con, name, queries()[name], oracle_sql().get(name), SF_SMALL)
     assert r["status"] in ("ok", "rows-only"), r
+    assert not r["cross_join"], "cartesian / nested-loop join in the plan"
 
 
 def test_every_oracle_has_a_query():
