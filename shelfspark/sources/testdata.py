@@ -11,7 +11,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.operators.sizing import broadcast_if_bounded
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -28,17 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem with the raw sales-record columns.
 
-    Join plan: geography (nation, region: fixed tiny tables, size-checked
-    broadcast) onto supplier; customer onto orders; then lineitem against
+    Join plan: geography (nation, region: fixed tiny tables, broadcast by the
+    planner's size estimate) onto supplier; customer onto orders; then lineitem against
     orders, part and supplier. Left joins keep every lineitem even if a
     dimension row is missing. The big joins are left to Catalyst/AQE: sort-merge
     by key at scale, broadcast at runtime when a side turns out small.
     """
     t = lambda n: table(spark, sf_dir, n)
-    geo = broadcast_if_bounded(
-        t("nation").join(broadcast_if_bounded(t("region")), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        .select("n_nationkey", "r_name"), 10_000
-    )
+    # Geography: no hint; the planner broadcasts it from its file size and AQE re-checks
+    # at runtime (both size checks), so no extra counting job per view.
+    geo = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left").select("n_nationkey", "r_name")
     supp = t("supplier").select("s_suppkey", "s_nationkey").join(geo, F.col("s_nationkey") == F.col("n_nationkey"), "left")
     orders = t("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority").join(
         t("customer").select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"), "left"
