@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.operators.sizing import broadcast_if_bounded
+from shelfspark.session import cut_lineage
 
 BUCKET = "__bucket"
 
@@ -42,14 +43,17 @@ def _size_buckets(counts: DataFrame) -> tuple[DataFrame, int]:
     """One bucket when the value-count table is provably small, else the bucketed plan.
 
     The table is persisted while it is counted (at most ``MAX_ROWS_ONE_WINDOW + 1``
-    rows are read); it stays cached only when it is under that bound, so the cache
-    is bounded too. Above the bound it is released and the lazy bucketed plan runs.
+    rows are read). Under the bound it stays cached (a bounded cache) and one window
+    sorts it. Above the bound it is written once as a reliable checkpoint into the
+    cluster's shared checkpoint folder (lineage cut, no executor memory held), so
+    the bucketed passes read it instead of aggregating the input again.
     """
     cached = counts.persist(StorageLevel.MEMORY_AND_DISK)
     if cached.limit(MAX_ROWS_ONE_WINDOW + 1).count() <= MAX_ROWS_ONE_WINDOW:
         return cached, 1
+    written = cut_lineage(cached)
     cached.unpersist()
-    return counts, _n_buckets(counts, None)
+    return written, _n_buckets(written, None)
 
 
 def _probs(k: int) -> list[float]:
