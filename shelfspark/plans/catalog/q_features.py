@@ -130,7 +130,7 @@ def q_mode_impute_overwrite(spark, d):
 
 
 @register("quantile_bin_fit", with_sales(" UNION ALL ".join(
-    f"SELECT {p} AS p, round(quantile_cont(Item_MRP, {p}), 6) AS cut FROM sales WHERE date_created <= DATE '{CUT}'"
+    f"SELECT CAST({p} AS DOUBLE) AS p, round(quantile_cont(Item_MRP, {p}), 6) AS cut FROM sales WHERE date_created <= DATE '{CUT}'"
     for p in ("0.0", "0.25", "0.5", "0.75", "1.0"))))
 def q_quantile_bin_fit(spark, d):
     train, _ = _split(spark, d)

@@ -38,7 +38,7 @@ def q_train_val_split_exact(spark, d):
 
 @register("fit_simple_linear", """
 SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept,
-       regr_count(l_extendedprice, l_quantity) AS n FROM lineitem""")
+       CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n FROM lineitem""")
 def q_fit_simple_linear(spark, d):
     r = M.fit_simple_linear(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice")
     return r.select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"), "n")

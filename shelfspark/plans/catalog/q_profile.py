@@ -79,7 +79,7 @@ def q_describe_numeric(spark, d):
 
 
 @register("describe_categorical", " UNION ALL ".join(f"""
-SELECT '{c}' AS "column", sum(n) AS count, count(*) AS "unique",
+SELECT '{c}' AS "column", CAST(sum(n) AS BIGINT) AS count, count(*) AS "unique",
        arg_min({c}, struct_pack(a := -n, b := {c})) AS top, max(n) AS freq
 FROM (SELECT {c}, count(*) AS n FROM orders WHERE {c} IS NOT NULL GROUP BY 1)""" for c in ["o_orderstatus", "o_orderpriority"]))
 def q_describe_categorical(spark, d):
@@ -114,7 +114,7 @@ def q_grouped_mean(spark, d):
 SELECT q.Outlet_Type, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3, round(q3 - q1, 4) AS iqr,
        round(min(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN v END), 4) AS whisker_low,
        round(max(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN v END), 4) AS whisker_high,
-       sum(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN 0 ELSE 1 END) AS outliers
+       CAST(sum(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN 0 ELSE 1 END) AS BIGINT) AS outliers
 FROM q JOIN (SELECT Outlet_Type, Item_Outlet_Sales AS v FROM sales WHERE Item_Outlet_Sales IS NOT NULL) s
   ON q.Outlet_Type = s.Outlet_Type
 GROUP BY q.Outlet_Type, q1, median, q3"""))

@@ -48,7 +48,7 @@ _RANKS_SQL = """
 @register("kruskal_wallis", with_sales(_RANKS_SQL.format(v="Item_Outlet_Sales", g="Item_Type", src="sales", extra="") + """
 SELECT round((12.0 / (big_n * (big_n + 1)) * (SELECT sum(rank_sum * rank_sum / n) FROM grp) - 3 * (big_n + 1))
              / (1 - ties / (big_n * big_n * big_n - big_n)), 6) AS h,
-       CAST((SELECT count(*) FROM grp) - 1 AS INTEGER) AS dof, big_n AS n, CAST((SELECT count(*) FROM grp) AS INTEGER) AS k
+       CAST((SELECT count(*) FROM grp) - 1 AS INTEGER) AS dof, CAST(big_n AS BIGINT) AS n, CAST((SELECT count(*) FROM grp) AS INTEGER) AS k
 FROM tot"""))
 def q_kruskal_wallis(spark, d):
     r = ST.kruskal_wallis_frame(sales_view(spark, d), "Item_Outlet_Sales", "Item_Type")
@@ -58,7 +58,7 @@ def q_kruskal_wallis(spark, d):
 @register("mann_whitney", "WITH dummy AS (SELECT 1)" + _RANKS_SQL.format(
     v="l_extendedprice", g="l_returnflag", src="lineitem", extra="AND l_returnflag IN ('A', 'R')") + """
 SELECT round((SELECT rank_sum FROM grp WHERE g = 'A') - (SELECT n FROM grp WHERE g = 'A') * ((SELECT n FROM grp WHERE g = 'A') + 1) / 2.0, 4) AS u,
-       (SELECT n FROM grp WHERE g = 'A') AS n1, (SELECT n FROM grp WHERE g = 'R') AS n2, ties
+       CAST((SELECT n FROM grp WHERE g = 'A') AS BIGINT) AS n1, CAST((SELECT n FROM grp WHERE g = 'R') AS BIGINT) AS n2, CAST(ties AS DOUBLE) AS ties
 FROM tot""")
 def q_mann_whitney(spark, d):
     r = ST.mann_whitney_frame(table(spark, d, "lineitem"), "l_extendedprice", "l_returnflag", "A", "R")
@@ -69,8 +69,8 @@ def q_mann_whitney(spark, d):
 WITH dd AS (SELECT l_tax - l_discount AS d FROM lineitem WHERE l_tax - l_discount <> 0)
 , vc AS (SELECT abs(d) AS v, count(*) AS n, sum(CASE WHEN d > 0 THEN 1 ELSE 0 END) AS n_pos FROM dd GROUP BY 1)
 , rk AS (SELECT v, n, n_pos, sum(n) OVER (ORDER BY v) - n + (n + 1) / 2.0 AS r FROM vc)
-SELECT round(sum(n_pos * r), 4) AS w_plus, round(sum((n - n_pos) * r), 4) AS w_minus, sum(n) AS n,
-       sum(n * n * n - n) AS ties FROM rk""")
+SELECT round(sum(n_pos * r), 4) AS w_plus, round(sum((n - n_pos) * r), 4) AS w_minus, CAST(sum(n) AS BIGINT) AS n,
+       CAST(sum(n * n * n - n) AS DOUBLE) AS ties FROM rk""")
 def q_wilcoxon_signed(spark, d):
     r = ST.wilcoxon_frame(table(spark, d, "lineitem"), "l_tax", "l_discount")
     return r.select(F.round("w_plus", 4).alias("w_plus"), F.round("w_minus", 4).alias("w_minus"), "n",
@@ -133,7 +133,7 @@ _CDF_SQL = """
 
 
 @register("drift_ks", with_sales(_CDF_SQL.format(long=_long_sql(_NUM, "DOUBLE")) + """
-SELECT feature, round(max(abs(f_ref - f_cur)), 8) AS ks_d, sum(n_ref) AS n_ref, sum(n_cur) AS n_cur FROM cdf GROUP BY 1"""))
+SELECT feature, round(max(abs(f_ref - f_cur)), 8) AS ks_d, CAST(sum(n_ref) AS BIGINT) AS n_ref, CAST(sum(n_cur) AS BIGINT) AS n_cur FROM cdf GROUP BY 1"""))
 def q_drift_ks(spark, d):
     r = DR.ks_from_counts(_counts(spark, d, _NUM, True))
     return r.select("feature", F.round("ks_d", 8).alias("ks_d"), "n_ref", "n_cur")
