@@ -26,9 +26,14 @@ SALES_RECORD_SCHEMA = T.StructType([
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True) -> DataFrame:
-    """CSV with a header and an explicit schema (no inference pass); 'NaN' and empty text become null."""
-    return (spark.read.option("header", header).option("nanValue", "NaN").option("nullValue", "")
-            .option("mode", "PERMISSIVE").schema(schema).csv(path))
+    """CSV with a header and an explicit schema (no inference pass).
+
+    Missing values written as empty text or as NaN become null (Spark's missing value)."""
+    df = (spark.read.option("header", header).option("nanValue", "NaN").option("nullValue", "")
+          .option("mode", "PERMISSIVE").schema(schema).csv(path))
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return df.select(*[F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)).alias(c) if c in floats else F.col(c)
+                       for c in df.columns])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

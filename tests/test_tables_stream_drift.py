@@ -81,3 +81,19 @@ def test_drift_decision_threshold(spark):
     rep = spark.createDataFrame(rows, "feature string, kind string, test string, score double, threshold double, drift boolean")
     assert DR.drift_decision(rep).first()["drift"] is True
     assert DR.drift_decision(rep.filter(F.col("feature") != "c0")).first()["drift"] is False
+
+
+def test_read_csv_nan_and_empty_become_null(spark):
+    from shelfspark.sources.files import SALES_RECORD_SCHEMA, read_csv
+
+    path = _root(spark) + "/raw"
+    lines = ["Item_Identifier,Item_Weight,Item_Fat_Content,Item_Visibility,Item_Type,Item_MRP,Outlet_Identifier,"
+             "Outlet_Establishment_Year,Outlet_Size,Outlet_Location_Type,Outlet_Type",
+             "FDA15,9.3,Low Fat,0.016,Dairy,249.8,OUT049,1999,Medium,Tier 1,Supermarket Type1",
+             "FDX07,NaN,Regular,0.0,Fruits and Vegetables,182.1,OUT010,1998,,Tier 3,Grocery Store",
+             "FDX08,,Regular,0.0,Dairy,182.1,OUT010,1998,,Tier 3,Grocery Store"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    rows = read_csv(spark, path, SALES_RECORD_SCHEMA).collect()
+    assert [r["Item_Weight"] for r in rows] == [9.3, None, None]
+    assert [r["Outlet_Size"] for r in rows] == ["Medium", None, None]
+    assert rows[0]["Outlet_Establishment_Year"] == 1999
