@@ -109,10 +109,11 @@ def mode_impute_apply(
     filling. A stream cannot aggregate first: pass the saved global mode.
     """
     if isinstance(fallback, str) and fallback == "frame":
-        fb = global_mode(df, value)
+        # Scalar subquery: evaluated once inside the same lazy plan, no driver round trip.
+        fb = global_mode_frame(df, value).scalar()
     else:
-        fb = fallback
-    return _fill_from(df, table, key, value, F.lit(fb))
+        fb = F.lit(fallback)
+    return _fill_from(df, table, key, value, fb)
 
 
 def mode_impute_overwrite(df: DataFrame, key: str, value: str) -> DataFrame:

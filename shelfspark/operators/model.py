@@ -98,7 +98,13 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str, reg_param: fl
     )
     lr = LinearRegression(featuresCol="__features", labelCol=label, solver="normal", regParam=reg_param,
                           fitIntercept=True, standardization=False)
-    m = lr.fit(assembled)
+    # The fit makes several passes (summary, normal equations); keep the assembled rows
+    # for them instead of recomputing the feature chain, and release them after.
+    assembled = materialize(assembled, "persist")
+    try:
+        m = lr.fit(assembled)
+    finally:
+        assembled.unpersist()
     return LinearModel(feats, [float(x) for x in m.coefficients.toArray()], float(m.intercept), label)
 
 
