@@ -6,7 +6,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,12 +44,10 @@ def count_distinct(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Count per value (nulls left out) and share of all rows."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
-    return counts.filter(F.col(column).isNotNull()).select(
-        column, "n", (F.col("n") / F.lit(float(total))).alias("share")
-    ) if total else counts.filter(F.lit(False)).select(column, "n", F.lit(0.0).alias("share"))
+    """Count per value (nulls left out) and share of all rows (the total is a scalar subquery)."""
+    total = df.select(F.count(F.lit(1)).cast("double")).scalar()
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).filter(F.col(column).isNotNull())
+    return counts.select(column, "n", (F.col("n") / total).alias("share"))
 
 
 def null_profile(df: DataFrame) -> DataFrame:

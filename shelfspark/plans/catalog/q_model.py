@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfspark.operators import model as M
-from shelfspark.plans.catalog.base import register, table, with_sales
+from shelfspark.plans.catalog.base import register, table
 from shelfspark.plans.catalog.q_features import _apply, _fit
 from shelfspark.plans.retail import TESTDATA_PRESET as P
-from shelfspark.plans.retail import feature_pipeline_apply
 
 _THRESH = M.split_threshold(0.7)
 _FEATURES = ["Item_Weight", "Item_Visibility", "Item_MRP", "Outlet_Establishment_Year", "Outlet_Size",

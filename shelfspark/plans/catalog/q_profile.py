@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfspark.functions.scalar import safe_name
 from shelfspark.operators import profile as PR
 from shelfspark.operators.features import global_mode_frame, group_mode
 from shelfspark.plans.catalog.base import register, sales_view, table, with_sales

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from shelfspark.operators import model as M
-from shelfspark.plans.catalog.base import CUT, register, sales_view, scratch
+from shelfspark.plans.catalog.base import register, scratch
 from shelfspark.plans.catalog.q_features import _fit
 from shelfspark.plans.catalog.q_model import _FEATURES
 from shelfspark.plans.retail import TESTDATA_PRESET as P

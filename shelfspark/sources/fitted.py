@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from shelfspark.operators.features import ModeImputer
 from shelfspark.plans.retail import FeatureParams

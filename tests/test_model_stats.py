@@ -4,7 +4,6 @@ import math
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from shelfspark.functions.distributions import chi2_sf, norm_sf
 from shelfspark.operators import model as M

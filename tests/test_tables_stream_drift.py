@@ -42,7 +42,6 @@ def test_key_check(spark):
 def test_stream_equals_batch(spark):
     from __spark_entry__ import queries
     from shelfspark.operators.model import score_batch
-    from shelfspark.plans.catalog.q_features import _fit
     from shelfspark.plans.catalog.q_model import _trained
     from shelfspark.plans.retail import TESTDATA_PRESET as P
     from shelfspark.plans.retail import feature_pipeline_apply
