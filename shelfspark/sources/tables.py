@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfspark.session import materialize
+
 _PREFIX = "v="
 
 
@@ -91,14 +93,19 @@ def meta(spark: SparkSession, root: str, name: str) -> dict:
 
 
 def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if a key column is null or a key repeats (one aggregate; stops at the first offender)."""
+    """Raise if a key column is null or a key repeats.
+
+    One grouped aggregate (partially combined map-side): null keys form their own
+    groups, so both faults show up as an offending group; the scan stops at the first.
+    """
     keys = list(keys)
-    nulls = df.filter(" OR ".join(f"`{k}` IS NULL" for k in keys)).limit(1).count()
-    if nulls:
-        raise KeyError_(f"null in primary key {keys}")
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").limit(1).count()
-    if dup:
-        raise KeyError_(f"duplicate primary key {keys}")
+    bad = " OR ".join(["__n > 1"] + [f"`{k}` IS NULL" for k in keys])
+    offender = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(bad).limit(1).collect()
+    if offender:
+        row = offender[0]
+        if any(row[k] is None for k in keys):
+            raise KeyError_(f"null in primary key {keys}")
+        raise KeyError_(f"duplicate primary key {keys}: {[row[k] for k in keys]}")
 
 
 def create_keyed_table(spark: SparkSession, root: str, name: str, schema: T.StructType, primary_keys: Sequence[str],
@@ -148,18 +155,24 @@ def write_table(spark: SparkSession, root: str, name: str, df: DataFrame, mode:
     m = meta(spark, root, name)
     schema = T.StructType.fromJson(json.loads(m["schema"]))
     keys = m["primary_keys"]
-    new = _conform(df, schema, allow_missing=(mode == "merge"))
-    if check:
-        check_keys(new, keys)
-    if mode == "overwrite" or not _versions(spark, root, name):
-        out = new
-    elif mode == "merge":
-        old = read_table(spark, root, name)
-        out = old.join(new.select(*keys), on=keys, how="left_anti").unionByName(new)
-    else:
+    if mode not in ("overwrite", "merge"):
         raise ValueError(f"unknown mode {mode!r}")
-    v = _next_version(spark, root, name)
-    out.write.mode("errorifexists").parquet(f"{table_path(root, name)}/{_PREFIX}{v:08d}")
+    new = _conform(df, schema, allow_missing=(mode == "merge"))
+    # Read by the key check and by the write: computed once, released after.
+    new = materialize(new, "persist") if check else new
+    try:
+        if check:
+            check_keys(new, keys)
+        if mode == "overwrite" or not _versions(spark, root, name):
+            out = new
+        else:
+            old = read_table(spark, root, name)
+            out = old.join(new.select(*keys), on=keys, how="left_anti").unionByName(new)
+        v = _next_version(spark, root, name)
+        out.write.mode("errorifexists").parquet(f"{table_path(root, name)}/{_PREFIX}{v:08d}")
+    finally:
+        if check:
+            new.unpersist()
     return v
 
 

@@ -96,3 +96,11 @@ def test_read_csv_nan_and_empty_become_null(spark):
     assert [r["Item_Weight"] for r in rows] == [9.3, None, None]
     assert [r["Outlet_Size"] for r in rows] == ["Medium", None, None]
     assert rows[0]["Outlet_Establishment_Year"] == 1999
+
+
+def test_key_check_null(spark):
+    root = _root(spark)
+    df = spark.createDataFrame([(1, 1), (None, 2)], "item_id long, x long")
+    TB.create_keyed_table(spark, root, "nul", df.schema, ["item_id"])
+    with pytest.raises(TB.KeyError_, match="null"):
+        TB.write_table(spark, root, "nul", df)
