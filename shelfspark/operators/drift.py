@@ -206,18 +206,23 @@ def drift_report_tagged(df: DataFrame, is_ref: Column, columns: Sequence[str], r
     cols = [c for c in columns if c not in rules.ignore]
     num = [c for c in cols if _is_numeric(df, c)]
     cat = [c for c in cols if c not in num]
-    parts = []
-    if num:
-        parts.append(long_counts_tagged(df, is_ref, num, True).withColumn("__num", F.lit(True)))
-    if cat:
-        parts.append(long_counts_tagged(df, is_ref, cat, False).withColumn("__num", F.lit(False))
-                     .withColumn("v", F.col("v")))
     spark = df.sparkSession
     schema = "feature string, kind string, test string, score double, threshold double, drift boolean"
-    if not parts:
+    if not cols:
         return spark.createDataFrame([], schema)
-    num_counts = materialize(parts[0], "persist") if num else None
-    cat_counts = materialize(parts[-1], "persist") if cat else None
+    # One scan and one shuffle for every column: numeric values in a double slot,
+    # categorical values in a text slot.
+    slots = [F.struct(F.lit(c).alias("feature"),
+                      (F.col(c).cast("double") if c in num else F.lit(None).cast("double")).alias("vn"),
+                      (F.col(c).cast("string") if c in cat else F.lit(None).cast("string")).alias("vs"))
+             for c in cols]
+    u = (df.select(is_ref.cast("int").alias("__ref"), F.explode(F.array(*slots)).alias("__s"))
+         .select("__ref", "__s.*")
+         .filter(F.col("__ref").isNotNull() & (F.col("vn").isNotNull() | F.col("vs").isNotNull())))
+    both = materialize(u.groupBy("feature", "vn", "vs").agg(
+        F.sum("__ref").cast("long").alias("n_ref"), F.sum(1 - F.col("__ref")).cast("long").alias("n_cur")), "persist")
+    num_counts = both.filter(F.col("vn").isNotNull()).select("feature", F.col("vn").alias("v"), "n_ref", "n_cur") if num else None
+    cat_counts = both.filter(F.col("vs").isNotNull()).select("feature", F.col("vs").alias("v"), "n_ref", "n_cur") if cat else None
     try:
         stats = {}
         for c in (num_counts, cat_counts):
@@ -241,7 +246,7 @@ def drift_report_tagged(df: DataFrame, is_ref: Column, columns: Sequence[str], r
 
             def sel(counts: DataFrame, test: str, own=own) -> tuple[DataFrame, bool]:
                 names = [c for c in own if plan[c] == test]
-                return counts.filter(F.col("feature").isin(names)).drop("__num"), bool(names)
+                return counts.filter(F.col("feature").isin(names)), bool(names)
 
             sub, any_ = sel(counts, "ks")
             if any_:
@@ -271,9 +276,7 @@ def drift_report_tagged(df: DataFrame, is_ref: Column, columns: Sequence[str], r
                     p = 2 * norm_sf(abs(z)) if z is not None and not math.isnan(z) else float("nan")
                     out.append((r["feature"], kind, "z", p, rules.p_threshold, bool(p < rules.p_threshold)))
     finally:
-        for c in (num_counts, cat_counts):
-            if c is not None:
-                c.unpersist()
+        both.unpersist()
     return spark.createDataFrame(sorted(out), schema)
 
 

@@ -104,3 +104,18 @@ def test_key_check_null(spark):
     TB.create_keyed_table(spark, root, "nul", df.schema, ["item_id"])
     with pytest.raises(TB.KeyError_, match="null"):
         TB.write_table(spark, root, "nul", df)
+
+
+def test_small_reference_uses_p_value_tests(spark):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    ref = li.filter(F.col("l_orderkey") < 200)   # a few hundred reference rows
+    cur = li.filter(F.col("l_orderkey") >= 200)
+    rep = {r["feature"]: r for r in DR.drift_report(
+        ref, cur, ["l_extendedprice", "l_returnflag", "l_linestatus", "l_tax"]).collect()}
+    assert ref.count() <= 1000
+    assert rep["l_extendedprice"]["test"] == "ks"
+    assert rep["l_returnflag"]["test"] == "chisquare"
+    assert rep["l_linestatus"]["test"] == "z"
+    assert rep["l_tax"]["test"] == "ks"          # 9 distinct values: more than five
+    for r in rep.values():
+        assert 0.0 <= r["score"] <= 1.0 and r["drift"] == (r["score"] < 0.05)
