@@ -104,6 +104,13 @@ TESTDATA_PRESET = RetailConfig(
 class FeatureParams:
     imputer: ModeImputer
     cuts: list[float]
+    held: list[DataFrame] = field(default_factory=list, repr=False)
+
+    def release(self) -> None:
+        """Unpersist what the fit materialized (the features it returned become recomputed)."""
+        for df in self.held:
+            df.unpersist()
+        self.held.clear()
 
     @property
     def modes(self) -> DataFrame:
@@ -124,10 +131,10 @@ def clean_labels(df: DataFrame, cfg: RetailConfig) -> DataFrame:
     return df.select(*[repl[c].alias(c) if c in repl else F.col(c) for c in df.columns])
 
 
-def encode(df: DataFrame, cfg: RetailConfig, cuts: list[float]) -> DataFrame:
+def encode(df: DataFrame, cfg: RetailConfig, cuts: list[float], round_cuts: int | None = None) -> DataFrame:
     """Steps after imputation: size label for listed outlets, bins, codes, one-hot, drops."""
     size = set_when_in(cfg.size, cfg.outlet, cfg.small_outlets, cfg.small_label)
-    repl = {cfg.size: size, cfg.price: quantile_bin_expr(cfg.price, cuts)}
+    repl = {cfg.size: size, cfg.price: quantile_bin_expr(cfg.price, cuts, round_cuts)}
     out = df.select(*[repl[c].alias(c) if c in repl else F.col(c) for c in df.columns])
     out = ordinal_encode(out, cfg.size, cfg.size_codes)
     out = ordinal_encode(out, cfg.location, cfg.location_codes)
@@ -147,16 +154,18 @@ def feature_pipeline_fit(df: DataFrame, cfg: RetailConfig, impute_train: bool =
     filled, imputer = mode_impute_fit(cleaned, cfg.key, cfg.weight, fill_train=impute_train)
     imputer.table = materialize(imputer.table, materialize_as)
     cuts = quantile_bin_fit(filled, cfg.price, cfg.n_price_bins)
-    return encode(filled, cfg, cuts), FeatureParams(imputer, cuts)
+    held = [cleaned, imputer.table] if materialize_as == "persist" else []
+    return encode(filled, cfg, cuts), FeatureParams(imputer, cuts, held)
 
 
 def feature_pipeline_apply(df: DataFrame, cfg: RetailConfig, params: FeatureParams, fallback: Any = "frame",
-                           materialize_as: str = "persist") -> DataFrame:
+                           materialize_as: str = "persist", round_cuts: int | None = None) -> DataFrame:
     """Apply saved parameters. ``fallback="frame"``: global mode of ``df`` (batch), which
     reads the rows twice, so they are materialized first; pass ``params.global_mode``
-    where the frame cannot be aggregated first (streams): then nothing is materialized."""
+    where the frame cannot be aggregated first (streams): then nothing is materialized.
+    ``round_cuts=3`` bins with edges rounded as the saved interval labels were."""
     cleaned = clean_labels(df, cfg)
     if isinstance(fallback, str) and fallback == "frame":
         cleaned = materialize(cleaned, materialize_as)
     filled = mode_impute_apply(cleaned, params.modes, cfg.key, cfg.weight, fallback=fallback)
-    return encode(filled, cfg, params.cuts)
+    return encode(filled, cfg, params.cuts, round_cuts)

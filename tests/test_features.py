@@ -91,3 +91,15 @@ def test_sales_record_chain(spark):
     applied = feature_pipeline_apply(df, REF, params).collect()
     assert [r["Item_MRP"] for r in applied] == [r["Item_MRP"] for r in rows]
     assert applied[5]["Item_Weight"] == 9.3
+
+
+def test_release_and_rounded_cuts(spark):
+    df = _records(spark)
+    feats, params = feature_pipeline_fit(df, REF)
+    assert len(params.held) == 2
+    exact = [r["Item_MRP"] for r in feature_pipeline_apply(df, REF, params).collect()]
+    rounded = [r["Item_MRP"] for r in feature_pipeline_apply(df, REF, params, round_cuts=3).collect()]
+    assert len(exact) == len(rounded) == 8
+    params.release()
+    assert params.held == []
+    assert feats.count() == 8  # still computable after release
