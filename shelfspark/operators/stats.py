@@ -25,16 +25,21 @@ def _tie_term() -> Column:
 
 
 def group_rank_sums(df: DataFrame, value: str, group: str, groups: Sequence | None = None,
-                    n_buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+                    n_buckets: int | None = None, hold: list | None = None) -> tuple[DataFrame, DataFrame]:
     """Per group: size and rank sum; overall: N and the tie term sum(t^3 - t).
 
     Counts are kept per (value, group); the ranks are computed on the per-value
     table and joined back on the value (one row per distinct value each side).
+    With ``hold`` (a list), the (value, group) count table is persisted, since both
+    outputs read it, and appended to ``hold`` for the caller to release.
     """
     src = df.select(F.col(value).alias("v"), F.col(group).alias("g")).filter(F.col("v").isNotNull() & F.col("g").isNotNull())
     if groups is not None:
         src = src.filter(F.col("g").isin(list(groups)))
     vg = src.groupBy("v", "g").agg(F.count(F.lit(1)).alias("n_g"))
+    if hold is not None:
+        vg = materialize(vg, "persist")
+        hold.append(vg)
     vc = vg.groupBy("v").agg(F.sum("n_g").alias("n"))
     cum = cumulative_counts(vc, "v", ["n"], (), n_buckets)
     ranked = cum.select("v", "n", (F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2.0).alias("avg_rank"))
@@ -49,15 +54,18 @@ def kruskal_wallis_frame(df: DataFrame, value: str, group: str, groups: Sequence
     """One row: H (tie corrected), degrees of freedom, N and k.
 
     The per-group rank sums (one row per group) are kept while both driver reads run."""
-    per_group, overall = group_rank_sums(df, value, group, groups)
+    hold: list = []
+    per_group, overall = group_rank_sums(df, value, group, groups, hold=hold)
     per_group = materialize(per_group, "persist")
+    hold.append(per_group)
     try:
         g = per_group.agg(F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("n")).alias("s"),
                           F.count(F.lit(1)).alias("k"), F.sum("n").alias("N"))
         gg = g.first()
         o = overall.first()
     finally:
-        per_group.unpersist()
+        for h in hold:
+            h.unpersist()
     N, ties = float(gg["N"] or 0), float(o["ties"] or 0)
     if N < 2 or gg["k"] < 2:
         h = None
@@ -85,9 +93,14 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, groups: Sequence | Non
 
 def mann_whitney_frame(df: DataFrame, value: str, group: str, first, second) -> DataFrame:
     """One row: U of the first group, n1, n2, tie term."""
-    per_group, overall = group_rank_sums(df, value, group, [first, second])
-    rows = {r["g"]: r for r in per_group.collect()}  # two rows
-    o = overall.first()
+    hold: list = []
+    per_group, overall = group_rank_sums(df, value, group, [first, second], hold=hold)
+    try:
+        rows = {r["g"]: r for r in per_group.collect()}  # two rows
+        o = overall.first()
+    finally:
+        for h in hold:
+            h.unpersist()
     n1 = rows[first]["n"] if first in rows else 0
     n2 = rows[second]["n"] if second in rows else 0
     r1 = rows[first]["rank_sum"] if first in rows else 0.0
