@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from shelfspark.functions.distributions import chi2_sf, ks_2samp_pvalue, norm_sf
 from shelfspark.operators.ranks import cumulative_counts
-from shelfspark.operators.sizing import broadcast_if_bounded
+from shelfspark.operators.sizing import broadcast_if_bounded, broadcast_known
 from shelfspark.session import materialize
 
 
@@ -41,6 +41,12 @@ class DriftRules:
     ignore: tuple[str, ...] = ("index",)
 
 
+def _per_feature(df: DataFrame, n_features: int | None) -> DataFrame:
+    """A table of one row per feature, for a broadcast join: the caller that knows how many
+    columns it asked for bounds it by construction (no job); otherwise its size is checked."""
+    return broadcast_known(df, n_features) if n_features is not None else broadcast_if_bounded(df)
+
+
 def _is_numeric(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, T.NumericType)
 
@@ -77,10 +83,10 @@ def _cdf(counts: DataFrame) -> DataFrame:
 
 def ks_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic per numeric column."""
-    return ks_from_counts(long_counts(ref, cur, columns, True))
+    return ks_from_counts(long_counts(ref, cur, columns, True), len(columns))
 
 
-def ks_from_counts(counts: DataFrame) -> DataFrame:
+def ks_from_counts(counts: DataFrame, n_features: int | None = None) -> DataFrame:
     cdf = _cdf(counts)
     return cdf.groupBy("feature").agg(
         F.max(F.abs(F.col("f_ref") - F.col("f_cur"))).alias("ks_d"),
@@ -90,17 +96,17 @@ def ks_from_counts(counts: DataFrame) -> DataFrame:
 
 def wasserstein_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str], min_norm: float = 0.001) -> DataFrame:
     """First Wasserstein distance per column, and the same divided by the reference std (population)."""
-    return wasserstein_from_counts(long_counts(ref, cur, columns, True), min_norm)
+    return wasserstein_from_counts(long_counts(ref, cur, columns, True), min_norm, len(columns))
 
 
-def wasserstein_from_counts(counts: DataFrame, min_norm: float = 0.001) -> DataFrame:
+def wasserstein_from_counts(counts: DataFrame, min_norm: float = 0.001, n_features: int | None = None) -> DataFrame:
     cdf = _cdf(counts)
     dist = cdf.groupBy("feature").agg(
         F.coalesce(F.sum(F.abs(F.col("f_ref") - F.col("f_cur")) * (F.col("next_value") - F.col("v"))), F.lit(0.0)).alias("distance")
     )
     # Reference std in two stable passes over the count table (one row per column in between).
     means = counts.groupBy("feature").agg((F.sum(F.col("v") * F.col("n_ref")) / F.sum("n_ref")).alias("__mean"))
-    var = counts.join(broadcast_if_bounded(means), "feature").groupBy("feature").agg(
+    var = counts.join(_per_feature(means, n_features), "feature").groupBy("feature").agg(
         F.sqrt(F.sum(F.col("n_ref") * F.pow(F.col("v") - F.col("__mean"), 2)) / F.sum("n_ref")).alias("ref_std")
     )
     return dist.join(var, "feature", "left").select(
@@ -109,10 +115,10 @@ def wasserstein_from_counts(counts: DataFrame, min_norm: float = 0.001) -> DataF
     )
 
 
-def _shares(counts: DataFrame, zero_share: float) -> DataFrame:
+def _shares(counts: DataFrame, zero_share: float, n_features: int | None) -> DataFrame:
     # Per-feature totals via a grouped aggregate joined back (bounded by the number of columns).
     tot = counts.groupBy("feature").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
-    j = counts.join(broadcast_if_bounded(tot), "feature")
+    j = counts.join(_per_feature(tot, n_features), "feature")
     p = F.col("n_ref") / F.col("t_ref")
     q = F.col("n_cur") / F.col("t_cur")
     return j.select(
@@ -124,16 +130,16 @@ def _shares(counts: DataFrame, zero_share: float) -> DataFrame:
 
 def js_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str], zero_share: float = 1e-4) -> DataFrame:
     """Jensen-Shannon distance (natural log) of category shares, zero shares replaced by ``zero_share``."""
-    return js_from_counts(long_counts(ref, cur, columns, False), zero_share)
+    return js_from_counts(long_counts(ref, cur, columns, False), zero_share, len(columns))
 
 
-def js_from_counts(counts: DataFrame, zero_share: float = 1e-4) -> DataFrame:
-    return _js_from_shares(_shares(counts, zero_share))
+def js_from_counts(counts: DataFrame, zero_share: float = 1e-4, n_features: int | None = None) -> DataFrame:
+    return _js_from_shares(_shares(counts, zero_share, n_features), n_features)
 
 
-def _js_from_shares(s: DataFrame) -> DataFrame:
+def _js_from_shares(s: DataFrame, n_features: int | None) -> DataFrame:
     norm = s.groupBy("feature").agg(F.sum("p").alias("sp"), F.sum("q").alias("sq"))
-    j = s.join(broadcast_if_bounded(norm), "feature")
+    j = s.join(_per_feature(norm, n_features), "feature")
     p = F.col("p") / F.col("sp")
     q = F.col("q") / F.col("sq")
     m = (p + q) / 2
@@ -144,14 +150,14 @@ def _js_from_shares(s: DataFrame) -> DataFrame:
 
 def js_numeric_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str], zero_share: float = 1e-4) -> DataFrame:
     """Jensen-Shannon distance of numeric columns binned into Sturges equal-width bins over both samples."""
-    return js_numeric_from_counts(long_counts(ref, cur, columns, True), zero_share)
+    return js_numeric_from_counts(long_counts(ref, cur, columns, True), zero_share, len(columns))
 
 
-def js_numeric_from_counts(counts: DataFrame, zero_share: float = 1e-4) -> DataFrame:
+def js_numeric_from_counts(counts: DataFrame, zero_share: float = 1e-4, n_features: int | None = None) -> DataFrame:
     rng = counts.groupBy("feature").agg(
         F.min("v").alias("lo"), F.max("v").alias("hi"), (F.sum("n_ref") + F.sum("n_cur")).alias("n")
     ).withColumn("k", F.ceil(F.log2(F.col("n")) + 1).cast("int"))
-    j = counts.join(broadcast_if_bounded(rng), "feature")
+    j = counts.join(_per_feature(rng, n_features), "feature")
     width = (F.col("hi") - F.col("lo")) / F.col("k")
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("v") - F.col("lo")) / width).cast("int"), F.col("k") - 1))
@@ -160,17 +166,17 @@ def js_numeric_from_counts(counts: DataFrame, zero_share: float = 1e-4) -> DataF
     grid = rng.select("feature", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("bin"))
     full = grid.join(binned.drop("k"), ["feature", "bin"], "left").select(
         "feature", F.col("bin").alias("v"), F.coalesce("n_ref", F.lit(0)).alias("n_ref"), F.coalesce("n_cur", F.lit(0)).alias("n_cur"))
-    return _js_from_shares(_shares(full, zero_share))
+    return _js_from_shares(_shares(full, zero_share, n_features), n_features)
 
 
 def chi2_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str], numeric: bool = False) -> DataFrame:
     """Chi-square statistic of current counts against reference shares scaled to the current size."""
-    return chi2_from_counts(long_counts(ref, cur, columns, numeric))
+    return chi2_from_counts(long_counts(ref, cur, columns, numeric), len(columns))
 
 
-def chi2_from_counts(counts: DataFrame) -> DataFrame:
+def chi2_from_counts(counts: DataFrame, n_features: int | None = None) -> DataFrame:
     tot = counts.groupBy("feature").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"), F.count(F.lit(1)).alias("k"))
-    j = counts.join(broadcast_if_bounded(tot), "feature")
+    j = counts.join(_per_feature(tot, n_features), "feature")
     exp = F.col("n_ref") * F.col("t_cur") / F.col("t_ref")
     return j.groupBy("feature").agg(
         F.sum(F.pow(F.col("n_cur") - exp, 2) / exp).alias("chi2"), (F.first("k") - 1).alias("dof")
@@ -179,13 +185,13 @@ def chi2_from_counts(counts: DataFrame) -> DataFrame:
 
 def z_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str], numeric: bool = False) -> DataFrame:
     """Two-proportion z statistic for two-valued columns (share of the smallest value)."""
-    return z_from_counts(long_counts(ref, cur, columns, numeric))
+    return z_from_counts(long_counts(ref, cur, columns, numeric), len(columns))
 
 
-def z_from_counts(counts: DataFrame) -> DataFrame:
+def z_from_counts(counts: DataFrame, n_features: int | None = None) -> DataFrame:
     tot = counts.groupBy("feature").agg(
         F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"), F.min("v").alias("label"))
-    j = counts.join(broadcast_if_bounded(tot), "feature").filter(F.col("v") == F.col("label"))
+    j = counts.join(_per_feature(tot, n_features), "feature").filter(F.col("v") == F.col("label"))
     p1 = F.col("n_ref") / F.col("t_ref")
     p2 = F.col("n_cur") / F.col("t_cur")
     pp = (F.col("n_ref") + F.col("n_cur")) / (F.col("t_ref") + F.col("t_cur"))
@@ -244,34 +250,35 @@ def drift_report_tagged(df: DataFrame, is_ref: Column, columns: Sequence[str], r
                 continue
             own = num if kind == "num" else cat
 
-            def sel(counts: DataFrame, test: str, own=own) -> tuple[DataFrame, bool]:
+            def sel(counts: DataFrame, test: str, own=own) -> tuple[DataFrame, int]:
                 names = [c for c in own if plan[c] == test]
-                return counts.filter(F.col("feature").isin(names)), bool(names)
+                return counts.filter(F.col("feature").isin(names)), len(names)
 
-            sub, any_ = sel(counts, "ks")
-            if any_:
-                for r in ks_from_counts(sub).collect():
+            sub, n_sel = sel(counts, "ks")
+            if n_sel:
+                for r in ks_from_counts(sub, n_sel).collect():
                     p = ks_2samp_pvalue(r["ks_d"], r["n_ref"], r["n_cur"])
                     out.append((r["feature"], kind, "ks", p, rules.p_threshold, p < rules.p_threshold))
-            sub, any_ = sel(counts, "wasserstein")
-            if any_:
-                for r in wasserstein_from_counts(sub).collect():
+            sub, n_sel = sel(counts, "wasserstein")
+            if n_sel:
+                for r in wasserstein_from_counts(sub, n_features=n_sel).collect():
                     d = r["normed"]
                     out.append((r["feature"], kind, "wasserstein", d, rules.distance_threshold, d >= rules.distance_threshold))
-            sub, any_ = sel(counts, "jensenshannon")
-            if any_:
-                frame = js_numeric_from_counts(sub, rules.zero_share) if kind == "num" else js_from_counts(sub, rules.zero_share)
+            sub, n_sel = sel(counts, "jensenshannon")
+            if n_sel:
+                frame = (js_numeric_from_counts(sub, rules.zero_share, n_sel) if kind == "num"
+                         else js_from_counts(sub, rules.zero_share, n_sel))
                 for r in frame.collect():
                     d = r["js"]
                     out.append((r["feature"], kind, "jensenshannon", d, rules.distance_threshold, d >= rules.distance_threshold))
-            sub, any_ = sel(counts, "chisquare")
-            if any_:
-                for r in chi2_from_counts(sub).collect():
+            sub, n_sel = sel(counts, "chisquare")
+            if n_sel:
+                for r in chi2_from_counts(sub, n_sel).collect():
                     p = chi2_sf(r["chi2"], r["dof"]) if r["chi2"] is not None else float("nan")
                     out.append((r["feature"], kind, "chisquare", p, rules.p_threshold, bool(p < rules.p_threshold)))
-            sub, any_ = sel(counts, "z")
-            if any_:
-                for r in z_from_counts(sub).collect():
+            sub, n_sel = sel(counts, "z")
+            if n_sel:
+                for r in z_from_counts(sub, n_sel).collect():
                     z = r["z"]
                     p = 2 * norm_sf(abs(z)) if z is not None and not math.isnan(z) else float("nan")
                     out.append((r["feature"], kind, "z", p, rules.p_threshold, bool(p < rules.p_threshold)))

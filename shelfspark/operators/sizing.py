@@ -1,12 +1,20 @@
-"""Broadcast only behind a checked size bound.
-
-``broadcast_if_bounded`` counts at most ``max_rows + 1`` rows of the small
-side; above the bound the plain DataFrame is returned and the join falls
-back to a shuffle join (AQE may still pick broadcast from runtime stats).
+"""Broadcast only behind a size bound.
+
+Two kinds of bound:
+
+* ``broadcast_known``: the row count is bounded by how the table is built (one
+  row per listed column, per range bucket, ...). The bound is known without
+  running anything, so no job is spent on it.
+* ``broadcast_if_bounded``: the size depends on the data (one row per key). The
+  side is computed once and kept, its rows are counted from that copy up to
+  ``max_rows + 1``, and the same copy is joined, so the check does not evaluate
+  the side's inputs a second time. Above the bound the copy is released and the
+  join stays a shuffle join (AQE may still pick broadcast from runtime sizes).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +27,16 @@ def bounded_count(df: DataFrame, max_rows: int) -> int:
     return df.limit(max_rows + 1).count()
 
 
+def broadcast_known(df: DataFrame, bound_rows: int, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a side whose row count is at most ``bound_rows`` by construction."""
+    return F.broadcast(df) if bound_rows <= max_rows else df
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    if bounded_count(df, max_rows) <= max_rows:
-        return F.broadcast(df)
+    was_cached = df.is_cached
+    kept = df if was_cached else df.persist(StorageLevel.MEMORY_AND_DISK)
+    if bounded_count(kept, max_rows) <= max_rows:
+        return F.broadcast(kept)
+    if not was_cached:
+        kept.unpersist()
     return df

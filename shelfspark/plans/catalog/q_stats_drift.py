@@ -135,7 +135,7 @@ _CDF_SQL = """
 @register("drift_ks", with_sales(_CDF_SQL.format(long=_long_sql(_NUM, "DOUBLE")) + """
 SELECT feature, round(max(abs(f_ref - f_cur)), 8) AS ks_d, CAST(sum(n_ref) AS BIGINT) AS n_ref, CAST(sum(n_cur) AS BIGINT) AS n_cur FROM cdf GROUP BY 1"""))
 def q_drift_ks(spark, d):
-    r = DR.ks_from_counts(_counts(spark, d, _NUM, True))
+    r = DR.ks_from_counts(_counts(spark, d, _NUM, True), len(_NUM))
     return r.select("feature", F.round("ks_d", 8).alias("ks_d"), "n_ref", "n_cur")
 
 
@@ -147,7 +147,7 @@ SELECT feature, round(distance, 6) AS distance, round(ref_std, 6) AS ref_std,
        round(distance / greatest(COALESCE(ref_std, 0.0), 0.001), 8) AS normed
 FROM w JOIN s USING (feature)"""))
 def q_drift_wasserstein(spark, d):
-    r = DR.wasserstein_from_counts(_counts(spark, d, _NUM, True))
+    r = DR.wasserstein_from_counts(_counts(spark, d, _NUM, True), n_features=len(_NUM))
     return r.select("feature", F.round("distance", 6).alias("distance"), F.round("ref_std", 6).alias("ref_std"),
                     F.round("normed", 8).alias("normed"))
 
@@ -168,7 +168,7 @@ _SHARES_SQL = """
 SELECT feature, round(sqrt(greatest(0.0, (sum(pn * ln(pn / ((pn + qn) / 2))) + sum(qn * ln(qn / ((pn + qn) / 2)))) / 2)), 8) AS js
 FROM nz GROUP BY 1"""))
 def q_drift_js(spark, d):
-    return DR.js_from_counts(_counts(spark, d, _CAT, False)).select("feature", F.round("js", 8).alias("js"))
+    return DR.js_from_counts(_counts(spark, d, _CAT, False), n_features=len(_CAT)).select("feature", F.round("js", 8).alias("js"))
 
 
 @register("drift_chi2", with_sales(_SHARES_SQL.format(long=_long_sql(_CAT, "VARCHAR")) + """
@@ -176,7 +176,7 @@ SELECT feature, round(sum(pow(n_cur - n_ref * t_cur / t_ref, 2) / (n_ref * t_cur
        CAST(any_value(k) - 1 AS BIGINT) AS dof
 FROM sh GROUP BY 1"""))
 def q_drift_chi2(spark, d):
-    return DR.chi2_from_counts(_counts(spark, d, _CAT, False)).select("feature", F.round("chi2", 6).alias("chi2"), F.col("dof").cast("long"))
+    return DR.chi2_from_counts(_counts(spark, d, _CAT, False), len(_CAT)).select("feature", F.round("chi2", 6).alias("chi2"), F.col("dof").cast("long"))
 
 
 @register("drift_z", """
@@ -209,7 +209,7 @@ def q_drift_z(spark, d):
 SELECT feature, round(sqrt(greatest(0.0, (sum(pn * ln(pn / ((pn + qn) / 2))) + sum(qn * ln(qn / ((pn + qn) / 2)))) / 2)), 8) AS js
 FROM nz GROUP BY 1"""))
 def q_drift_js_numeric(spark, d):
-    return DR.js_numeric_from_counts(_counts(spark, d, _NUM, True)).select("feature", F.round("js", 8).alias("js"))
+    return DR.js_numeric_from_counts(_counts(spark, d, _NUM, True), n_features=len(_NUM)).select("feature", F.round("js", 8).alias("js"))
 
 
 def _tag():
