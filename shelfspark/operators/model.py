@@ -38,7 +38,8 @@ def train_val_split_tag(df: DataFrame, key_cols: Sequence[str], seed: int = 28,
 def train_val_split(df: DataFrame, key_cols: Sequence[str], seed: int = 28, train_frac: float = 0.7,
                     exact_size: bool = False) -> tuple[DataFrame, DataFrame]:
     """70/30 split by default. ``exact_size`` orders rows by the hash and cuts at
-    round(frac * n) through the bucketed prefix sums (rows with equal keys stay together)."""
+    round(frac * n) through the bucketed prefix sums (rows with equal keys stay together);
+    the cut is one boundary hash, so each row is tagged by a comparison."""
     if not exact_size:
         tagged = train_val_split_tag(df, key_cols, seed, train_frac, "__split")
         return (tagged.filter(F.col("__split") == "train").drop("__split"),
@@ -49,9 +50,11 @@ def train_val_split(df: DataFrame, key_cols: Sequence[str], seed: int = 28, trai
     cum = cumulative_counts(counts, "__h", ["n"])
     n_total = keyed.count()
     cutoff = int(math.floor(train_frac * n_total + 0.5))  # half-up, the same in every engine
-    side = cum.select("__h", (F.col("cum_n") <= F.lit(cutoff)).alias("__train"))
-    j = keyed.join(side, "__h")
-    return (j.filter("__train").drop("__h", "__train"), j.filter(~F.col("__train")).drop("__h", "__train"))
+    # cum_n grows with the hash, so the train rows are those up to one boundary hash:
+    # a scalar, not a join of every row back to the per-hash table.
+    boundary = cum.filter(F.col("cum_n") <= F.lit(cutoff)).agg(F.max("__h")).scalar()
+    is_train = F.coalesce(F.col("__h") <= boundary, F.lit(False))
+    return (keyed.filter(is_train).drop("__h"), keyed.filter(~is_train).drop("__h"))
 
 
 # ---- linear model ------------------------------------------------------------

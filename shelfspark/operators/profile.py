@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfspark.operators.ranks import exact_quantiles_by
+from shelfspark.operators.ranks import exact_quantiles_by, exact_quantiles_from_counts
+from shelfspark.operators.ranks import value_counts as value_count_table
+from shelfspark.operators.sizing import broadcast_if_bounded
 
 
 def _q(name: str) -> str:
@@ -142,24 +144,29 @@ def grouped_mean(df: DataFrame, group: str, value: str, z: float = 1.95996398454
 
 
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Quartiles (exact), whiskers at 1.5 IQR (most extreme values inside), outlier count per group."""
+    """Quartiles (exact), whiskers at 1.5 IQR (most extreme values inside), outlier count per group.
+
+    Both passes read the (group, value) count table, not the rows: a value or group
+    holding a third of all rows is one row per task after the map-side combine. The
+    quartiles (one row per group) are joined to it by broadcast behind a size check.
+    """
     src = df.select(group, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    qs = exact_quantiles_by(src, "__v", [0.25, 0.5, 0.75], by=[group])
+    vc = value_count_table(src, "__v", [group])
+    qs = exact_quantiles_from_counts(vc, [0.25, 0.5, 0.75], by=[group])
     quart = qs.groupBy(group).agg(
         F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
         F.max(F.when(F.col("p") == 0.5, F.col("q"))).alias("median"),
         F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"),
     )
     quart = quart.withColumn("iqr", F.col("q3") - F.col("q1"))
-    # One row per group: joined back by broadcast only if the group count is bounded (AQE otherwise).
-    j = src.join(quart, group, "inner")
+    j = vc.join(broadcast_if_bounded(quart), group, "inner")
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
-    inside = (F.col("__v") >= lo_f) & (F.col("__v") <= hi_f)
+    inside = (F.col("v") >= lo_f) & (F.col("v") <= hi_f)
     return j.groupBy(group, "q1", "median", "q3", "iqr").agg(
-        F.min(F.when(inside, F.col("__v"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("__v"))).alias("whisker_high"),
-        F.sum((~inside).cast("long")).alias("outliers"),
+        F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
+        F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
+        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("n"))).cast("long").alias("outliers"),
     )
 
 

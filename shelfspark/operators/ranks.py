@@ -180,8 +180,25 @@ def exact_quantiles_by(
     Returns one row per (by..., p) with column ``q``. Only the distinct values that
     sit on a target position survive the filter, so nothing large is gathered.
     """
+    return exact_quantiles_from_counts(value_counts(df, value, by), probs, by, n_buckets)
+
+
+def _count_below(sorted_vals: Sequence[Column], bound: Column, strict: bool, lo: int = 0, hi: int | None = None) -> Column:
+    """Number of ``sorted_vals`` below ``bound`` (``<`` if strict, else ``<=``), by binary search."""
+    hi = len(sorted_vals) if hi is None else hi
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    below = sorted_vals[mid] < bound if strict else sorted_vals[mid] <= bound
+    return F.when(below, _count_below(sorted_vals, bound, strict, mid + 1, hi)).otherwise(
+        _count_below(sorted_vals, bound, strict, lo, mid))
+
+
+def exact_quantiles_from_counts(
+    vc: DataFrame, probs: Sequence[float], by: Sequence[str] = (), n_buckets: int | None = None
+) -> DataFrame:
+    """``exact_quantiles_by`` over a value-count table ``(by..., v, n)`` (see ``value_counts``)."""
     by = list(by)
-    vc = value_counts(df, value, by)
     cum = cumulative_counts(vc, "v", ["n"], by, n_buckets)
     targets = F.array(*[F.lit(float(p)) for p in probs])
     h = lambda p: (F.col("total_n") - 1).cast("double") * p
@@ -201,6 +218,12 @@ def exact_quantiles_by(
         ),
         lambda s: s["is_lo"] | s["is_hi"],
     )
+    # Only the few values that sit on a target position go through the lambda functions.
+    # Value rows cover positions [first, last]; floor(h) or ceil(h) falls in there exactly
+    # when first - 1 < h < last + 1. Counting the sorted targets below both bounds is a
+    # binary search written as nested CASE WHEN: log2(k) plain comparisons per row.
+    hs = [h(F.lit(float(p))) for p in sorted(probs)]
+    cum = cum.filter(_count_below(hs, last + 1, strict=True) > _count_below(hs, first - 1, strict=False))
     ex = cum.select(*by, F.col("v").cast("double").alias("v"), F.explode(hits).alias("t"))
     agg = ex.groupBy(*by, F.col("t.p").alias("p")).agg(
         F.max(F.when(F.col("t.is_lo"), F.col("v"))).alias("lo"),
