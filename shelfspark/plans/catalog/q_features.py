@@ -125,7 +125,7 @@ SELECT s.l_orderkey, s.l_linenumber, s.Item_Identifier,
 FROM sales s LEFT JOIN gaps g ON s.Item_Identifier = g.Item_Identifier
 LEFT JOIN modes m ON s.Item_Identifier = m.Item_Identifier"""))
 def q_mode_impute_overwrite(spark, d):
-    s = sales_view(spark, d).select("l_orderkey", "l_linenumber", "Item_Identifier", "Item_Weight")
+    s = sales_view(spark, d, ["l_orderkey", "l_linenumber", "Item_Identifier", "Item_Weight"])
     return FE.mode_impute_overwrite(s, "Item_Identifier", "Item_Weight")
 
 

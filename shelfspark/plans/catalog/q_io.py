@@ -86,7 +86,7 @@ def q_merge_table(spark, d):
 SELECT l_orderkey, l_linenumber, Item_MRP, Item_Outlet_Sales FROM sales WHERE date_created <= DATE '{CUT}'"""))
 def q_snapshot_table(spark, d):
     path = scratch(spark, "snapshots")
-    s = sales_view(spark, d).select("l_orderkey", "l_linenumber", "Item_MRP", "Item_Outlet_Sales", "date_created")
+    s = sales_view(spark, d, ["l_orderkey", "l_linenumber", "Item_MRP", "Item_Outlet_Sales", "date_created"])
     ref = s.filter(F.col("date_created") <= F.lit(CUT).cast("date")).drop("date_created")
     TB.snapshot_table(ref, path, "job1", "2024-01-02")
     TB.snapshot_table(s.drop("date_created"), path, "job1", "2024-01-03")

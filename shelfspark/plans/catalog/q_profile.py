@@ -88,13 +88,13 @@ def q_describe_categorical(spark, d):
 @register("crosstab", with_sales("SELECT Outlet_Type, " + ", ".join(
     f"count(*) FILTER (WHERE Outlet_Size = '{p}') AS \"{p}\"" for p in _PRIORITIES) + " FROM sales GROUP BY 1"))
 def q_crosstab(spark, d):
-    return PR.crosstab(sales_view(spark, d), "Outlet_Type", "Outlet_Size", _PRIORITIES)
+    return PR.crosstab(sales_view(spark, d, ["Outlet_Type", "Outlet_Size"]), "Outlet_Type", "Outlet_Size", _PRIORITIES)
 
 
 @register("grouped_counts", with_sales(
     "SELECT Item_Type, Item_Fat_Content, count(*) AS n FROM sales GROUP BY 1, 2"))
 def q_grouped_counts(spark, d):
-    return PR.grouped_counts(sales_view(spark, d), "Item_Type", "Item_Fat_Content")
+    return PR.grouped_counts(sales_view(spark, d, ["Item_Type", "Item_Fat_Content"]), "Item_Type", "Item_Fat_Content")
 
 
 @register("grouped_mean", with_sales("""
@@ -103,7 +103,7 @@ SELECT Item_Type, n, round(mean, 4) AS mean, round(std, 4) AS std,
 FROM (SELECT Item_Type, count(Item_Outlet_Sales) AS n, avg(Item_Outlet_Sales) AS mean, stddev_samp(Item_Outlet_Sales) AS std
       FROM sales GROUP BY 1)"""))
 def q_grouped_mean(spark, d):
-    r = PR.grouped_mean(sales_view(spark, d), "Item_Type", "Item_Outlet_Sales")
+    r = PR.grouped_mean(sales_view(spark, d, ["Item_Type", "Item_Outlet_Sales"]), "Item_Type", "Item_Outlet_Sales")
     return r.select("Item_Type", "n", *[F.round(c, 4).alias(c) for c in ("mean", "std", "ci_low", "ci_high")])
 
 
@@ -118,7 +118,7 @@ FROM q JOIN (SELECT Outlet_Type, Item_Outlet_Sales AS v FROM sales WHERE Item_Ou
   ON q.Outlet_Type = s.Outlet_Type
 GROUP BY q.Outlet_Type, q1, median, q3"""))
 def q_box_stats(spark, d):
-    r = PR.box_stats(sales_view(spark, d), "Outlet_Type", "Item_Outlet_Sales")
+    r = PR.box_stats(sales_view(spark, d, ["Outlet_Type", "Item_Outlet_Sales"]), "Outlet_Type", "Item_Outlet_Sales")
     return r.select("Outlet_Type", *[F.round(c, 4).alias(c) for c in
                                      ("q1", "median", "q3", "iqr", "whisker_low", "whisker_high")], "outliers")
 

@@ -51,7 +51,7 @@ SELECT round((12.0 / (big_n * (big_n + 1)) * (SELECT sum(rank_sum * rank_sum / n
        CAST((SELECT count(*) FROM grp) - 1 AS INTEGER) AS dof, CAST(big_n AS BIGINT) AS n, CAST((SELECT count(*) FROM grp) AS INTEGER) AS k
 FROM tot"""))
 def q_kruskal_wallis(spark, d):
-    r = ST.kruskal_wallis_frame(sales_view(spark, d), "Item_Outlet_Sales", "Item_Type")
+    r = ST.kruskal_wallis_frame(sales_view(spark, d, ["Item_Outlet_Sales", "Item_Type"]), "Item_Outlet_Sales", "Item_Type")
     return r.select(F.round("h", 6).alias("h"), "dof", "n", "k")
 
 
@@ -112,7 +112,7 @@ def _ref_cur(spark, d):
 def _counts(spark, d, cols, numeric):
     """Value counts of both periods from one scan of the view, tagged by the date cut."""
     tag = F.col("date_created") <= F.lit(CUT).cast("date")
-    return DR.long_counts_tagged(sales_view(spark, d), tag, cols, numeric)
+    return DR.long_counts_tagged(sales_view(spark, d, [*cols, "date_created"]), tag, cols, numeric)
 
 
 def _long_sql(cols, cast):
@@ -241,7 +241,7 @@ def q_drift_monitor(spark, d):
 @register("kruskal_wallis_test")
 def q_kruskal_wallis_test(spark, d):
     """H with its chi-square p-value (p computed on the driver from the aggregate)."""
-    r = ST.kruskal_wallis(sales_view(spark, d), "Item_Outlet_Sales", "Item_Type")
+    r = ST.kruskal_wallis(sales_view(spark, d, ["Item_Outlet_Sales", "Item_Type"]), "Item_Outlet_Sales", "Item_Type")
     return spark.createDataFrame([(r.statistic, r.p_value, r.n)], "h double, p_value double, n long")
 
 

@@ -73,21 +73,21 @@ def q_recode(spark, d):
     + ", ".join(str(x) for x in P.small_outlets) + f") THEN '{P.small_label}' ELSE Outlet_Size END AS Outlet_Size "
     "FROM sales"))
 def q_conditional_set(spark, d):
-    s = sales_view(spark, d).select("l_orderkey", "l_linenumber", "Outlet_Identifier", "Outlet_Size")
+    s = sales_view(spark, d, ["l_orderkey", "l_linenumber", "Outlet_Identifier", "Outlet_Size"])
     return X.conditional_set(s, "Outlet_Size", "Outlet_Identifier", P.small_outlets, P.small_label)
 
 
 @register("filter_eq", with_sales(
     "SELECT l_orderkey, l_linenumber, Item_Fat_Content, Item_Outlet_Sales FROM sales WHERE Item_Fat_Content = 'R'"))
 def q_filter_eq(spark, d):
-    s = sales_view(spark, d).select("l_orderkey", "l_linenumber", "Item_Fat_Content", "Item_Outlet_Sales")
+    s = sales_view(spark, d, ["l_orderkey", "l_linenumber", "Item_Fat_Content", "Item_Outlet_Sales"])
     return X.filter_eq(s, "Item_Fat_Content", "R")
 
 
 @register("filter_null", with_sales(
     "SELECT l_orderkey, l_linenumber, Item_Identifier, Item_Weight FROM sales WHERE Item_Weight IS NULL"))
 def q_filter_null(spark, d):
-    s = sales_view(spark, d).select("l_orderkey", "l_linenumber", "Item_Identifier", "Item_Weight")
+    s = sales_view(spark, d, ["l_orderkey", "l_linenumber", "Item_Identifier", "Item_Weight"])
     return X.filter_null(s, "Item_Weight")
 
 
@@ -96,7 +96,7 @@ def q_filter_null(spark, d):
     "WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL AND Item_Identifier IS NOT NULL "
     "AND Item_Weight IS NOT NULL AND Outlet_Size IS NOT NULL"))
 def q_drop_missing(spark, d):
-    s = sales_view(spark, d).select("l_orderkey", "l_linenumber", "Item_Identifier", "Item_Weight", "Outlet_Size")
+    s = sales_view(spark, d, ["l_orderkey", "l_linenumber", "Item_Identifier", "Item_Weight", "Outlet_Size"])
     return X.drop_missing(s)
 
 
@@ -104,7 +104,7 @@ def q_drop_missing(spark, d):
     f"SELECT 'reference' AS part, l_orderkey, l_linenumber, date_created FROM sales WHERE date_created <= DATE '{CUT}' "
     f"UNION ALL SELECT 'current' AS part, l_orderkey, l_linenumber, date_created FROM sales WHERE date_created > DATE '{CUT}'"))
 def q_split_by_date(spark, d):
-    s = sales_view(spark, d).select("l_orderkey", "l_linenumber", "date_created")
+    s = sales_view(spark, d, ["l_orderkey", "l_linenumber", "date_created"])
     ref, cur = X.split_by_date(s, "date_created", CUT)
     return X.constant_column(ref, "part", "reference").unionByName(X.constant_column(cur, "part", "current"))
 
@@ -216,7 +216,7 @@ def q_sort_limit_last(spark, d):
     f"SELECT 'test' AS \"Set\", l_orderkey, l_linenumber, Item_MRP, NULL AS Item_Outlet_Sales FROM sales "
     f"WHERE date_created > DATE '{CUT}'"))
 def q_union_rows(spark, d):
-    s = sales_view(spark, d).select("l_orderkey", "l_linenumber", "Item_MRP", "Item_Outlet_Sales", "date_created")
+    s = sales_view(spark, d, ["l_orderkey", "l_linenumber", "Item_MRP", "Item_Outlet_Sales", "date_created"])
     tr, te = X.split_by_date(s, "date_created", CUT)
     tr = X.constant_column(tr.drop("date_created"), "Set", "train")
     te = X.constant_column(te.drop("date_created", "Item_Outlet_Sales"), "Set", "test")

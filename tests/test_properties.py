@@ -58,3 +58,13 @@ def test_bins_partition_rows(spark):
     for r in binned:
         lo = cuts[r["b"] - 1] if r["b"] > 1 else float("-inf")
         assert lo < r["Item_MRP"] <= (cuts[r["b"]] if r["b"] < 4 else float("inf"))
+
+
+@pytest.mark.parametrize("cols", [["l_orderkey", "Item_Fat_Content"], ["Outlet_Type", "Item_Outlet_Sales"],
+                                  ["Item_Weight", "date_created"], ["Outlet_Location_Type", "Item_MRP"]])
+def test_pruned_view_equals_full_view(spark, cols):
+    d = "/root/testdata/sf0.001"
+    full = sales_view(spark, d).select(*cols)
+    pruned = sales_view(spark, d, cols)
+    assert pruned.columns == cols
+    assert full.exceptAll(pruned).count() == 0 and pruned.exceptAll(full).count() == 0
