@@ -89,26 +89,50 @@ class LinearModel:
 
 
 def fit_linear(df: DataFrame, features: Sequence[str], label: str, reg_param: float = 0.0) -> LinearModel:
-    """Ordinary least squares with intercept through ``pyspark.ml`` (normal equations: one
-    distributed pass that aggregates X'X; exactly collinear columns fall back to L-BFGS)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
+    """Ordinary least squares with intercept, from the normal equations.
+
+    One aggregate computes n, the column sums and the sums of all pairwise
+    products (partial sums per task, one row out: k(k+3)/2 + 2 numbers for k
+    features, never the rows). The driver centres them and solves the k x k
+    system by least squares, which gives the minimum-norm solution when columns
+    are exactly collinear (dummies that sum to one); predictions and the
+    identified coefficients do not depend on that choice. Rows with a null
+    feature or label are left out. ``reg_param`` adds ``reg_param * n`` to the
+    diagonal (ridge on the mean squared error, intercept not penalized).
+    """
+    import numpy as np
 
     feats = list(features)
-    assembled = VectorAssembler(inputCols=feats, outputCol="__features", handleInvalid="skip").transform(
-        df.select(*[F.col(f).cast("double") for f in feats], F.col(label).cast("double").alias(label))
-        .dropna(subset=[label])
-    )
-    lr = LinearRegression(featuresCol="__features", labelCol=label, solver="normal", regParam=reg_param,
-                          fitIntercept=True, standardization=False)
-    # The fit makes several passes (summary, normal equations); keep the assembled rows
-    # for them instead of recomputing the feature chain, and release them after.
-    assembled = materialize(assembled, "persist")
-    try:
-        m = lr.fit(assembled)
-    finally:
-        assembled.unpersist()
-    return LinearModel(feats, [float(x) for x in m.coefficients.toArray()], float(m.intercept), label)
+    k = len(feats)
+    xs = [F.col(f).cast("double") for f in feats]
+    y = F.col(label).cast("double")
+    rows = df.select(*[x.alias(f"__x{i}") for i, x in enumerate(xs)], y.alias("__y")).dropna()
+    x = [F.col(f"__x{i}") for i in range(k)]
+    yc = F.col("__y")
+    sums = [F.count(F.lit(1)).alias("n"), F.sum(yc).alias("sy")]
+    sums += [F.sum(x[i]).alias(f"sx{i}") for i in range(k)]
+    sums += [F.sum(x[i] * yc).alias(f"sxy{i}") for i in range(k)]
+    sums += [F.sum(x[i] * x[j]).alias(f"sxx{i}_{j}") for i in range(k) for j in range(i, k)]
+    r = rows.agg(*sums).first()
+    n = int(r["n"] or 0)
+    if n == 0:
+        raise ValueError("no rows with a label and all features to fit on")
+    mx = np.array([r[f"sx{i}"] for i in range(k)], dtype=float) / n
+    my = r["sy"] / n
+    sxx = np.empty((k, k))
+    for i in range(k):
+        for j in range(i, k):
+            sxx[i, j] = sxx[j, i] = r[f"sxx{i}_{j}"] - n * mx[i] * mx[j]
+    sxy = np.array([r[f"sxy{i}"] for i in range(k)], dtype=float) - n * mx * my
+    if reg_param:
+        sxx = sxx + reg_param * n * np.eye(k)
+    # Solve on the correlation scale, so the cut-off for "exactly collinear" is relative
+    # to each column's own spread (columns with no spread keep scale 1).
+    d = np.sqrt(np.diag(sxx))
+    d[d == 0] = 1.0
+    beta = np.linalg.lstsq(sxx / np.outer(d, d), sxy / d, rcond=1e-10)[0] / d
+    intercept = float(my - mx @ beta)
+    return LinearModel(feats, [float(b) for b in beta], intercept, label)
 
 
 def fit_simple_linear(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -80,3 +80,23 @@ def test_golden_scored_rows_are_linear(spark):
     r = M.regression_metrics(df, "pred_Sales", m.predict_expr()).first()
     assert r["n"] == 5681 and r["r2"] == pytest.approx(1.0, abs=1e-9)
     assert m.coefficients[feats.index("Item_MRP")] == pytest.approx(825.2766, abs=1e-3)
+
+
+def test_fit_linear_matches_numpy_with_collinear_dummies(spark):
+    import numpy as np
+
+    rnd = np.random.default_rng(5)
+    n = 400
+    x1 = rnd.normal(50, 10, n)
+    g = rnd.integers(0, 3, n)
+    d = [(g == i).astype(float) for i in range(3)]  # the dummies sum to one: collinear with the intercept
+    y = 3.0 * x1 + 40.0 * d[1] - 25.0 * d[2] + 7.0 + rnd.normal(0, 1, n)
+    rows = [(float(a), float(b), float(c), float(e), float(t)) for a, b, c, e, t in zip(x1, *d, y)]
+    rows.append((None, 1.0, 0.0, 0.0, 5.0))  # a null feature: left out of the fit
+    df = spark.createDataFrame(rows, "x1 double, d0 double, d1 double, d2 double, y double").repartition(4)
+    m = M.fit_linear(df, ["x1", "d0", "d1", "d2"], "y")
+    X = np.column_stack([np.ones(n), x1, *d])
+    coef = np.linalg.lstsq(X, y, rcond=None)[0]
+    assert m.coefficients[0] == pytest.approx(coef[1], rel=1e-9)
+    got = m.intercept + np.column_stack([x1, *d]) @ np.array(m.coefficients)
+    assert np.allclose(got, X @ coef, rtol=1e-9, atol=1e-7)
