@@ -10,12 +10,13 @@ lambda variable first.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.session import cut_lineage
+from shelfspark.session import cut_lineage, scratch_path
 
 # White space of the word rule [^\x20\x09-\x0D]+.
 SPACES = " \t\n\x0b\x0c\r"
@@ -78,3 +79,10 @@ def written(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def kept_table(df: DataFrame, name: str) -> DataFrame:
+    """The frame written as Parquet under the shared checkpoint folder and read back (smaller than a checkpoint)."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
