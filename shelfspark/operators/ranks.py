@@ -10,20 +10,20 @@ splits):
    (a deterministic column, unlike ``spark_partition_id``);
 3. cumulate inside ``Window.partitionBy(bucket).orderBy(value)``, so the
    window work is spread over many tasks;
-4. add per-bucket offsets from a table of ``n_buckets`` rows, joined by
-   broadcast (its size is bounded by ``n_buckets`` times the number of groups).
+4. add per-bucket offsets from a table of ``n_buckets`` rows per group (a null
+   group counts as a group).
+
+The same plan runs at every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfspark.operators.sizing import broadcast_if_bounded, broadcast_known
-from shelfspark.session import cut_lineage
+from shelfspark.operators.sizing import broadcast_known
 
 BUCKET = "__bucket"
 
@@ -35,25 +35,21 @@ def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
     return max(4, 4 * parts)
 
 
-# Distinct values one window task may sort on its own (small rows: value and a few counts).
-MAX_ROWS_ONE_WINDOW = 1_000_000
-
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on equal keys, a null key matching a null key; the keys of the left side stay."""
+    renamed = right.select(*[F.col(c).alias(f"__k_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"__k_{c}"))
+    return left.join(renamed, same, how).drop(*[f"__k_{c}" for c in keys])
 
-def _size_buckets(counts: DataFrame) -> tuple[DataFrame, int]:
-    """One bucket when the value-count table is provably small, else the bucketed plan.
 
-    The table is persisted while it is counted (at most ``MAX_ROWS_ONE_WINDOW + 1``
-    rows are read). Under the bound it stays cached (a bounded cache) and one window
-    sorts it. Above the bound it is written once as a reliable checkpoint into the
-    cluster's shared checkpoint folder (lineage cut, no executor memory held), so
-    the bucketed passes read it instead of aggregating the input again.
-    """
-    cached = counts.persist(StorageLevel.MEMORY_AND_DISK)
-    if cached.limit(MAX_ROWS_ONE_WINDOW + 1).count() <= MAX_ROWS_ONE_WINDOW:
-        return cached, 1
-    written = cut_lineage(cached)
-    cached.unpersist()
-    return written, _n_buckets(written, None)
+def _at_or_below(splits: Column, value: Column, most: int) -> Column:
+    """Number of ascending ``splits`` (at most ``most``) that are <= value, by binary search."""
+    steps = F.array(*[F.lit(1 << s) for s in reversed(range(max(1, most).bit_length()))])
+    search = lambda v: F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(splits, at + step - 1) <= v, at + step).otherwise(at))
+    return F.transform(F.array(value), search).getItem(0)
 
 
 def _probs(k: int) -> list[float]:
@@ -67,8 +63,8 @@ def with_value_buckets(
 
     Split points come from ``percentile_approx`` (relative error ``1 / accuracy``;
     buckets only need to be balanced, so 4 x buckets is enough). Without groups
-    they are a scalar subquery; with groups a table of one row per group joined
-    by broadcast (bounded by the number of groups). Everything stays in one lazy
+    they are a scalar subquery; with groups a table of one row per group (a null
+    group is a group), joined as the planner sees fit. Everything stays in one lazy
     plan, so the value-count shuffle is shared, not recomputed by driver actions.
     """
     k = _n_buckets(counts, n_buckets)
@@ -80,10 +76,10 @@ def with_value_buckets(
     if not by:
         split_col = counts.select(splits.alias("__splits")).scalar()
         with_splits = counts.withColumn("__splits", split_col)
-        return with_splits.withColumn(BUCKET, F.size(F.filter(F.col("__splits"), lambda s: s <= v))).drop("__splits")
+        return with_splits.withColumn(BUCKET, _at_or_below(F.col("__splits"), v, k)).drop("__splits")
     split_tab = counts.groupBy(*by).agg(splits.alias("__splits"))
-    joined = counts.join(broadcast_if_bounded(split_tab, 100_000), on=list(by), how="left")
-    return joined.withColumn(BUCKET, F.size(F.filter(F.col("__splits"), lambda s: s <= v))).drop("__splits")
+    joined = null_safe_join(counts, split_tab, list(by), "left")
+    return joined.withColumn(BUCKET, _at_or_below(F.col("__splits"), v, k)).drop("__splits")
 
 
 def cumulative_counts(
@@ -101,18 +97,7 @@ def cumulative_counts(
     and ``next_value``: the next larger value within ``by`` (null for the last).
     """
     by = list(by)
-    if n_buckets is None:
-        counts, n_buckets = _size_buckets(counts)
-    if n_buckets == 1:
-        # Bounded table: plain windows, no bucket offsets and no join.
-        w_run = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        w_all = Window.partitionBy(*by)
-        return counts.select(
-            *counts.columns,
-            *[F.sum(c).over(w_run).alias(f"cum_{c}") for c in count_cols],
-            *[F.sum(c).over(w_all).alias(f"total_{c}") for c in count_cols],
-            F.lead(value).over(Window.partitionBy(*by).orderBy(value)).alias("next_value"),
-        )
+    n_buckets = _n_buckets(counts, n_buckets)
     b = with_value_buckets(counts, value, by, n_buckets)
     part = by + [BUCKET]
     w_run = Window.partitionBy(*part).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -133,9 +118,9 @@ def cumulative_counts(
         *[F.sum(f"__t_{c}").over(w_all).alias(f"total_{c}") for c in count_cols],
         F.lead("__bmin").over(w_b).alias("__next_b"),
     )
-    # Without groups the table has exactly n_buckets rows: bounded by construction.
-    small = broadcast_known(offsets, n_buckets) if not by else broadcast_if_bounded(offsets)
-    j = within.join(small, on=part, how="inner")
+    # Without groups the table has at most n_buckets rows: bounded by construction.
+    small = broadcast_known(offsets, n_buckets) if not by else offsets
+    j = null_safe_join(within, small, part, "inner")
     return j.select(
         *counts.columns,
         *[(F.col(f"__o_{c}") + F.col(f"__w_{c}")).alias(f"cum_{c}") for c in count_cols],
@@ -166,12 +151,6 @@ def average_ranks(
     )
 
 
-def with_average_rank(df: DataFrame, value: str, out: str = "avg_rank", n_buckets: int | None = None) -> DataFrame:
-    """Each row with its tie-averaged global rank (rows with a null value get null)."""
-    ranks = average_ranks(df, value, n_buckets=n_buckets).select(F.col("v").alias(value), F.col("avg_rank").alias(out))
-    return df.join(ranks, on=value, how="left").select(*df.columns, out)
-
-
 def exact_quantiles_by(
     df: DataFrame, value: str | Column, probs: Sequence[float], by: Sequence[str] = (), n_buckets: int | None = None
 ) -> DataFrame:

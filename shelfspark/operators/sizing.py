@@ -1,42 +1,19 @@
-"""Broadcast only behind a size bound.
+"""Broadcast only a side whose size is bounded by how it is built.
 
-Two kinds of bound:
-
-* ``broadcast_known``: the row count is bounded by how the table is built (one
-  row per listed column, per range bucket, ...). The bound is known without
-  running anything, so no job is spent on it.
-* ``broadcast_if_bounded``: the size depends on the data (one row per key). The
-  side is computed once and kept, its rows are counted from that copy up to
-  ``max_rows + 1``, and the same copy is joined, so the check does not evaluate
-  the side's inputs a second time. Above the bound the copy is released and the
-  join stays a shuffle join (AQE may still pick broadcast from runtime sizes).
+A table with one row per listed column or per range bucket has a known row count, and is
+broadcast without running anything. Every other join is left to the planner, which
+compares bytes at run time (``spark.sql.autoBroadcastJoinThreshold`` under AQE).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a fitted or dimension table we are willing to ship to every executor.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_count(df: DataFrame, max_rows: int) -> int:
-    """Row count capped at ``max_rows + 1`` (reads no more than needed)."""
-    return df.limit(max_rows + 1).count()
+# Rows of a few numbers each: a few megabytes.
+MAX_KNOWN_ROWS = 100_000
 
 
-def broadcast_known(df: DataFrame, bound_rows: int, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a side whose row count is at most ``bound_rows`` by construction."""
+def broadcast_known(df: DataFrame, bound_rows: int, max_rows: int = MAX_KNOWN_ROWS) -> DataFrame:
+    """Broadcast a side of a few numeric columns whose row count is at most ``bound_rows`` by construction."""
     return F.broadcast(df) if bound_rows <= max_rows else df
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    was_cached = df.is_cached
-    kept = df if was_cached else df.persist(StorageLevel.MEMORY_AND_DISK)
-    if bounded_count(kept, max_rows) <= max_rows:
-        return F.broadcast(kept)
-    if not was_cached:
-        kept.unpersist()
-    return df
