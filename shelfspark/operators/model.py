@@ -91,10 +91,10 @@ class LinearModel:
 def fit_linear(df: DataFrame, features: Sequence[str], label: str, reg_param: float = 0.0) -> LinearModel:
     """Ordinary least squares with intercept, from the normal equations.
 
-    One aggregate computes n, the column sums and the sums of all pairwise
-    products (partial sums per task, one row out: k(k+3)/2 + 2 numbers for k
-    features, never the rows). The driver centres them and solves the k x k
-    system by least squares, which gives the minimum-norm solution when columns
+    One aggregate computes n, the column means and the covariances of all pairs
+    (one row out: k(k+5)/2 + 2 numbers for k features, never the rows). Spark's
+    covariance keeps running means, so values far from zero lose no digits. The
+    driver solves the k x k system by least squares, which gives the minimum-norm solution when columns
     are exactly collinear (dummies that sum to one); predictions and the
     identified coefficients do not depend on that choice. Rows with a null
     feature or label are left out. ``reg_param`` adds ``reg_param * n`` to the
@@ -109,21 +109,21 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str, reg_param: fl
     rows = df.select(*[x.alias(f"__x{i}") for i, x in enumerate(xs)], y.alias("__y")).dropna()
     x = [F.col(f"__x{i}") for i in range(k)]
     yc = F.col("__y")
-    sums = [F.count(F.lit(1)).alias("n"), F.sum(yc).alias("sy")]
-    sums += [F.sum(x[i]).alias(f"sx{i}") for i in range(k)]
-    sums += [F.sum(x[i] * yc).alias(f"sxy{i}") for i in range(k)]
-    sums += [F.sum(x[i] * x[j]).alias(f"sxx{i}_{j}") for i in range(k) for j in range(i, k)]
+    sums = [F.count(F.lit(1)).alias("n"), F.avg(yc).alias("my")]
+    sums += [F.avg(x[i]).alias(f"mx{i}") for i in range(k)]
+    sums += [F.covar_pop(x[i], yc).alias(f"sxy{i}") for i in range(k)]
+    sums += [F.covar_pop(x[i], x[j]).alias(f"sxx{i}_{j}") for i in range(k) for j in range(i, k)]
     r = rows.agg(*sums).first()
     n = int(r["n"] or 0)
     if n == 0:
         raise ValueError("no rows with a label and all features to fit on")
-    mx = np.array([r[f"sx{i}"] for i in range(k)], dtype=float) / n
-    my = r["sy"] / n
+    mx = np.array([r[f"mx{i}"] for i in range(k)], dtype=float)
+    my = r["my"]
     sxx = np.empty((k, k))
     for i in range(k):
         for j in range(i, k):
-            sxx[i, j] = sxx[j, i] = r[f"sxx{i}_{j}"] - n * mx[i] * mx[j]
-    sxy = np.array([r[f"sxy{i}"] for i in range(k)], dtype=float) - n * mx * my
+            sxx[i, j] = sxx[j, i] = n * r[f"sxx{i}_{j}"]
+    sxy = np.array([r[f"sxy{i}"] for i in range(k)], dtype=float) * n
     if reg_param:
         sxx = sxx + reg_param * n * np.eye(k)
     # Solve on the correlation scale, so the cut-off for "exactly collinear" is relative
@@ -151,13 +151,13 @@ def score_batch(df: DataFrame, model: LinearModel, out: str = "prediction") -> D
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str | Column) -> DataFrame:
-    """n, MSE, RMSE and R2 in one aggregate (R2 from the stable ``var_pop``)."""
+    """n, MSE, RMSE and R2 in one aggregate (R2 from the stable ``var_pop``; null for a constant label)."""
     pred = F.col(prediction) if isinstance(prediction, str) else prediction
     err = F.col(label) - pred
     agg = df.filter(F.col(label).isNotNull() & pred.isNotNull()).agg(
         F.count(F.lit(1)).alias("n"), F.avg(err * err).alias("mse"), F.var_pop(F.col(label)).alias("__var")
     )
-    return agg.select("n", "mse", F.sqrt("mse").alias("rmse"), (1 - F.col("mse") / F.col("__var")).alias("r2"))
+    return agg.select("n", "mse", F.sqrt("mse").alias("rmse"), (1 - F.try_divide(F.col("mse"), F.col("__var"))).alias("r2"))
 
 
 @dataclass

@@ -67,7 +67,7 @@ def kruskal_wallis_frame(df: DataFrame, value: str, group: str, groups: Sequence
         for h in hold:
             h.unpersist()
     N, ties = float(gg["N"] or 0), float(o["ties"] or 0)
-    if N < 2 or gg["k"] < 2:
+    if N < 2 or gg["k"] < 2 or ties >= N ** 3 - N:  # too few values, or all of them tied
         h = None
     else:
         h = (12.0 / (N * (N + 1)) * gg["s"] - 3 * (N + 1)) / (1 - ties / (N ** 3 - N))
@@ -117,9 +117,11 @@ def mann_whitney(df: DataFrame, value: str, group: str, first, second, continuit
     if n1 == 0 or n2 == 0:
         return TestResult(u, None, N)
     mu = n1 * n2 / 2.0
-    sigma = math.sqrt(n1 * n2 / 12.0 * ((N + 1) - ties / (N * (N - 1))))
+    sigma = math.sqrt(max(0.0, n1 * n2 / 12.0 * ((N + 1) - ties / (N * (N - 1)))))
+    if sigma == 0:  # every value tied: the groups do not differ
+        return TestResult(u, 1.0, N)
     umax = max(u, n1 * n2 - u)
-    z = (umax - mu - (0.5 if continuity else 0.0)) / sigma if sigma > 0 else float("inf")
+    z = (umax - mu - (0.5 if continuity else 0.0)) / sigma
     return TestResult(u, min(1.0, 2.0 * norm_sf(z)), N)
 
 
@@ -167,5 +169,6 @@ def qq_points(df: DataFrame, column: str, n_points: int = 100) -> DataFrame:
 
 
 def residual_table(df: DataFrame, label: str, prediction: str | Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Label, prediction and residual (prediction less label)."""
     pred = F.col(prediction) if isinstance(prediction, str) else prediction
-    return df.select(*keep, F.col(label), pred.alias("prediction"), (F.col(label) - pred).alias("residual"))
+    return df.select(*keep, F.col(label), pred.alias("prediction"), (pred - F.col(label)).alias("residual"))

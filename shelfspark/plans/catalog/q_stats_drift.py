@@ -20,20 +20,12 @@ _REF = f"date_created <= DATE '{CUT}'"
 
 
 @register("average_rank", """
-SELECT v, n, rank() OVER (ORDER BY v) + (n - 1) / 2.0 AS avg_rank
+SELECT v, n, sum(n) OVER (ORDER BY v) - n + (n + 1) / 2.0 AS avg_rank
 FROM (SELECT l_extendedprice AS v, count(*) AS n FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1)""")
 def q_average_rank(spark, d):
     return average_ranks(table(spark, d, "lineitem"), "l_extendedprice")
 
 
-# rank() over the value-count table gives the 1-based rank among distinct values; the
-# oracle needs the row rank, so use the running sum of counts instead.
-from shelfspark.plans.catalog.base import SQL  # noqa: E402
-
-SQL["average_rank"] = """
-SELECT v, n, sum(n) OVER (ORDER BY v) - n + (n + 1) / 2.0 AS avg_rank
-FROM (SELECT l_extendedprice AS v, count(*) AS n FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1)"""
-
 # ---- 2.8 statistics ----------------------------------------------------------
 
 _RANKS_SQL = """
@@ -93,7 +85,7 @@ def q_qq_points(spark, d):
 @register("residual_table", """
 WITH m AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_extendedprice, round(a + b * l_quantity, 4) AS prediction,
-       round(l_extendedprice - (a + b * l_quantity), 4) AS residual
+       round((a + b * l_quantity) - l_extendedprice, 4) AS residual
 FROM lineitem, m""")
 def q_residual_table(spark, d):
     li = table(spark, d, "lineitem")
@@ -172,7 +164,7 @@ def q_drift_js(spark, d):
 
 
 @register("drift_chi2", with_sales(_SHARES_SQL.format(long=_long_sql(_CAT, "VARCHAR")) + """
-SELECT feature, round(sum(pow(n_cur - n_ref * t_cur / t_ref, 2) / (n_ref * t_cur / t_ref)), 6) AS chi2,
+SELECT feature, round(sum(pow(n_cur - p * t_cur, 2) / (p * t_cur)), 6) AS chi2,
        CAST(any_value(k) - 1 AS BIGINT) AS dof
 FROM sh GROUP BY 1"""))
 def q_drift_chi2(spark, d):
