@@ -61,11 +61,6 @@ def iso_date(c: str | Column) -> Column:
     return F.date_format(F.to_date(F.substring(_c(c).cast("string"), 1, 10)), "yyyy-MM-dd")
 
 
-def try_double(c: str | Column) -> Column:
-    """String to double; dirty text becomes null instead of failing."""
-    return _c(c).try_cast("double")
-
-
 def json_field(c: str | Column, path: str) -> Column:
     return F.get_json_object(_c(c), path)
 

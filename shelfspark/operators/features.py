@@ -1,7 +1,7 @@
 """Feature engineering: fit tables first, apply them lazily.
 
 Fits are actions that return small results (a mode table, five cut points);
-applying them is a broadcast lookup join (size checked) or a ``when`` chain,
+applying them is a lookup join or a ``when`` chain,
 so the frame being transformed is never gathered anywhere.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions.scalar import code_lookup, safe_name
 from shelfspark.operators.ranks import exact_quantiles
-from shelfspark.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from shelfspark.session import cut_lineage
 
 # ---- modes -------------------------------------------------------------------
 
@@ -76,15 +76,20 @@ def mode_impute_fit(
     Train rows are filled with their key's mode, ``train_fallback`` when the key
     has no value (``fill_train=False`` leaves the gaps, as the faulty fill did).
     """
-    modes = group_mode(train, key, value)
-    gmode = global_mode(train, value)
-    if only_keys_with_gaps:
-        keys = train.filter(F.col(value).isNull()).select(key).distinct()
-        table = keys.join(modes, on=key, how="left")
-    else:
-        table = train.select(key).distinct().join(modes, on=key, how="left")
+    # One pass: (key, value) counts with nulls give the key modes, the keys with gaps and the global mode. The counts are
+    # written, so neither the later passes nor a lost executor make them again.
+    counts = cut_lineage(train.groupBy(key, value).agg(F.count(F.lit(1)).alias("__n")))
+    there = F.col(value).isNotNull()
+    per_key = counts.groupBy(key).agg(
+        F.min(F.when(there, F.struct((-F.col("__n")).alias("neg"), F.col(value).alias("v")))).alias("__m"),
+        F.max((~there).cast("int")).alias("__gaps")).select(key, F.col("__m.v").alias("mode"), "__gaps")
+    totals = counts.filter(there).groupBy(value).agg(F.sum("__n").alias("__n"))
+    best = totals.agg(F.min(F.struct((-F.col("__n")).alias("neg"), F.col(value).alias("v"))).alias("__m")).first()["__m"]
+    gmode = None if best is None else best["v"]
     fill = F.lit(gmode).cast(train.schema[value].dataType) if gmode is not None else F.lit(None)
-    table = table.select(key, F.coalesce(F.col("mode"), fill).alias("mode"))
+    listed = per_key.filter("__gaps = 1") if only_keys_with_gaps else per_key
+    table = listed.select(key, F.coalesce(F.col("mode"), fill).alias("mode"))
+    modes = per_key.filter(F.col("mode").isNotNull()).select(key, "mode")
     if fill_train:
         filled = _fill_from(train, modes, key, value, F.lit(train_fallback))
     else:
@@ -94,7 +99,7 @@ def mode_impute_fit(
 
 def _fill_from(df: DataFrame, table: DataFrame, key: str, value: str, fallback: Column) -> DataFrame:
     small = table.select(F.col(key), F.col("mode").alias("__mode"))
-    joined = df.join(broadcast_if_bounded(small, DEFAULT_MAX_BROADCAST_ROWS), on=key, how="left")
+    joined = df.join(small, on=key, how="left")
     dtype = df.schema[value].dataType
     filled = F.coalesce(F.col(value), F.col("__mode").cast(dtype), fallback.cast(dtype))
     return joined.select(*[filled.alias(c) if c == value else F.col(c) for c in df.columns])
@@ -121,7 +126,7 @@ def mode_impute_overwrite(df: DataFrame, key: str, value: str) -> DataFrame:
     modes = group_mode(df, key, value)
     gap_keys = df.filter(F.col(value).isNull()).select(key).distinct()
     table = gap_keys.join(modes, on=key, how="inner").select(key, F.col("mode").alias("__mode"))
-    joined = df.join(broadcast_if_bounded(table), on=key, how="left")
+    joined = df.join(table, on=key, how="left")
     dtype = df.schema[value].dataType
     return joined.select(
         *[F.coalesce(F.col("__mode").cast(dtype), F.col(value)).alias(c) if c == value else F.col(c) for c in df.columns]

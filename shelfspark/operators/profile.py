@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfspark.operators.ranks import exact_quantiles_by, exact_quantiles_from_counts
+from shelfspark.operators.ranks import exact_quantiles_by, exact_quantiles_from_counts, null_safe_join
 from shelfspark.operators.ranks import value_counts as value_count_table
-from shelfspark.operators.sizing import broadcast_if_bounded
 
 
 def _q(name: str) -> str:
@@ -148,7 +147,7 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
 
     Both passes read the (group, value) count table, not the rows: a value or group
     holding a third of all rows is one row per task after the map-side combine. The
-    quartiles (one row per group) are joined to it by broadcast behind a size check.
+    quartiles (one row per group) are joined to it; a null group is a group.
     """
     src = df.select(group, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
     vc = value_count_table(src, "__v", [group])
@@ -159,7 +158,7 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
         F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"),
     )
     quart = quart.withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = vc.join(broadcast_if_bounded(quart), group, "inner")
+    j = null_safe_join(vc, quart, [group], "inner")
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
     inside = (F.col("v") >= lo_f) & (F.col("v") <= hi_f)
@@ -171,7 +170,7 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, n_bins: int = 30) -> DataFrame:
-    """Counts in ``n_bins`` equal-width bins between min and max; the last bin is closed."""
+    """Counts in ``n_bins`` equal-width bins between min and max, empty ones included; the last bin is closed."""
     v = F.col(column).cast("double")
     mm = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
     lo, hi = mm["lo"], mm["hi"]
@@ -181,9 +180,10 @@ def histogram(df: DataFrame, column: str, n_bins: int = 30) -> DataFrame:
     width = (hi - lo) / n_bins if hi > lo else 1.0
     b = F.least(F.floor((v - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(n_bins - 1))
     counts = df.filter(v.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(
+    bins = spark.range(n_bins).select(F.col("id").cast("int").alias("bin"))
+    return bins.join(counts, "bin", "left").select(
         "bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lower"),
-        (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"), "n",
+        (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"), F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 
@@ -237,14 +237,18 @@ def skewness_corrected(c: str | Column) -> Column:
 
 
 def row_gate(df: DataFrame, min_rows: int = 1000) -> tuple[bool, int]:
-    """True when ``df`` has at least ``min_rows`` rows; counts no more than needed."""
-    n = df.limit(min_rows).count()
+    """True when ``df`` has at least ``min_rows`` rows, and the number of its rows."""
+    n = df.count()
     return n >= min_rows, n
 
 
-def latest_per_key(df: DataFrame, key: Sequence[str], order: str, value: str | Sequence[str]) -> DataFrame:
-    """Newest row per key by ``order`` (``max_by``), partially aggregated."""
+def latest_per_key(df: DataFrame, key: Sequence[str], order: str, value: str | Sequence[str],
+                   stage: str | None = None, stage_value: str | None = None) -> DataFrame:
+    """Newest row per key by ``order``; on ties the largest values, taken from one row.
+
+    With ``stage``, only rows in that stage count (no such row: empty result). Partially aggregated.
+    """
     vals = [value] if isinstance(value, str) else list(value)
-    return df.groupBy(*key).agg(
-        F.max(order).alias(order), *[F.max_by(v, order).alias(v) for v in vals]
-    )
+    rows = df if stage is None else df.filter(F.col(stage) == stage_value)
+    newest = rows.groupBy(*key).agg(F.max(F.struct(order, *vals)).alias("__newest"))
+    return newest.select(*key, *[F.col(f"__newest.{c}").alias(c) for c in (order, *vals)])

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions.scalar import recode, set_when_in
-from shelfspark.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
 
 
 # ---- projections -----------------------------------------------------------
@@ -18,28 +17,24 @@ def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.drop(*list(columns))
 
 
-def keep_except(df: DataFrame, ignore: Iterable[str]) -> DataFrame:
-    ignore = set(ignore)
-    return df.select(*[c for c in df.columns if c not in ignore])
-
-
 def constant_column(df: DataFrame, name: str, value: Any, first: bool = True) -> DataFrame:
     """Tag or date column; placed in front by default. The value is an argument so runs repeat."""
     out = df.withColumn(name, F.lit(value))
     return reorder_first(out, [name]) if first else out
 
 
-def add_row_id(df: DataFrame, name: str, key_cols: Sequence[str] | None = None, method: str = "xxhash64") -> DataFrame:
+def add_row_id(df: DataFrame, name: str, key_cols: Sequence[str] | None = None, method: str = "md5") -> DataFrame:
     """Id column in front.
 
     With ``key_cols`` the id is a hash of the business key, stable across reruns
-    and partitionings: ``xxhash64`` (fast), or ``md5`` (first 15 hex digits as a
-    bigint: repeatable in SQL engines). Without, ``monotonically_increasing_id``
+    and partitionings: ``md5`` (the whole digest as text: unique in practice at any
+    size and repeatable in SQL engines), or ``xxhash64`` (a bigint; 64 bits repeat
+    by chance from about 1e9 rows on). Without, ``monotonically_increasing_id``
     as the feature tables use it: unique but neither dense nor stable.
     """
     if key_cols and method == "md5":
         text = F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols])
-        ident = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+        ident = F.md5(text)
     elif key_cols:
         ident = F.xxhash64(*[F.col(c) for c in key_cols])
     else:
@@ -117,12 +112,11 @@ def lookup_join(
     value: str,
     out: str | None = None,
     default: Any = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Per-row dictionary lookup with a default; the table is broadcast only if its size is checked small."""
+    """Per-row dictionary lookup with a default. The planner broadcasts the table by its bytes at run time or shuffles."""
     out = out or value
     small = table.select(F.col(key), F.col(value).alias("__lookup_value"))
-    joined = df.join(broadcast_if_bounded(small, max_broadcast_rows), on=key, how="left")
+    joined = df.join(small, on=key, how="left")
     looked = F.col("__lookup_value")
     if default is not None:
         looked = F.coalesce(looked, F.lit(default))
@@ -146,8 +140,8 @@ def isin_filter(df: DataFrame, column: str, values: Iterable[Any]) -> DataFrame:
 
 
 def column_concat(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Side by side by an explicit row key (pandas aligned on its index)."""
-    return left.join(right, on=key, how="inner")
+    """Side by side by an explicit row key (pandas aligned on its index); a key of one side only has nulls on the other."""
+    return left.join(right, on=key, how="full")
 
 
 # ---- sorts, limits, sets ---------------------------------------------------

@@ -10,7 +10,6 @@ from shelfspark.operators.transform import split_by_date
 from shelfspark.plans.catalog.base import CUT, register, sales_view, table, with_sales
 from shelfspark.plans.retail import TESTDATA_PRESET as P
 from shelfspark.plans.retail import clean_labels, feature_pipeline_apply, feature_pipeline_fit
-from shelfspark.session import materialize
 
 
 def _lit(v) -> str:
@@ -84,15 +83,18 @@ _TRAIN_CTES = f"""
 """
 
 
-def _split(spark, d):
-    return split_by_date(sales_view(spark, d), "date_created", CUT)
+def _split(spark, d, columns):
+    return split_by_date(sales_view(spark, d, [*columns, "date_created"]), "date_created", CUT)
+
+
+_WEIGHT = ["l_orderkey", "l_linenumber", "Item_Identifier", "Item_Weight"]
+_PRICE = ["l_orderkey", "l_linenumber", "Item_MRP"]
 
 
 def _fit(spark, d):
-    """Fit on the reference period. Both periods come from one materialized view
-    (one join of lineitem instead of one per period); the chain then reads the cache."""
-    view = materialize(sales_view(spark, d), "persist")
-    train, test = split_by_date(view, "date_created", CUT)
+    """Fit on the reference period. Nothing stays pinned: the chain aggregates the view once for the modes and
+    once for the cuts, each pass reading only the columns it needs."""
+    train, test = split_by_date(sales_view(spark, d), "date_created", CUT)
     feats, params = feature_pipeline_fit(train, P, materialize_as="none")
     return train, test, feats, params
 
@@ -103,7 +105,7 @@ def _apply(test, params):
 
 @register("mode_impute_fit", with_sales(_TRAIN_CTES + "SELECT Item_Identifier, mode FROM gap_table"))
 def q_mode_impute_fit(spark, d):
-    train, _ = _split(spark, d)
+    train, _ = _split(spark, d, _WEIGHT)
     _, imp = FE.mode_impute_fit(clean_labels(train, P), "Item_Identifier", "Item_Weight")
     return imp.table
 
@@ -111,7 +113,7 @@ def q_mode_impute_fit(spark, d):
 @register("mode_impute_apply", with_sales(
     _TRAIN_CTES + "SELECT l_orderkey, l_linenumber, Item_Identifier, Item_Weight FROM test_filled"))
 def q_mode_impute_apply(spark, d):
-    train, test = _split(spark, d)
+    train, test = _split(spark, d, _WEIGHT)
     _, imp = FE.mode_impute_fit(clean_labels(train, P), "Item_Identifier", "Item_Weight")
     out = imp.apply(clean_labels(test, P))
     return out.select("l_orderkey", "l_linenumber", "Item_Identifier", "Item_Weight")
@@ -133,7 +135,7 @@ def q_mode_impute_overwrite(spark, d):
     f"SELECT CAST({p} AS DOUBLE) AS p, round(quantile_cont(Item_MRP, {p}), 6) AS cut FROM sales WHERE date_created <= DATE '{CUT}'"
     for p in ("0.0", "0.25", "0.5", "0.75", "1.0"))))
 def q_quantile_bin_fit(spark, d):
-    train, _ = _split(spark, d)
+    train, _ = _split(spark, d, _PRICE)
     cuts = FE.quantile_bin_fit(train, "Item_MRP", 4)
     return spark.createDataFrame([(i / 4, round(c, 6)) for i, c in enumerate(cuts)], "p double, cut double")
 
@@ -144,7 +146,7 @@ def q_quantile_bin_fit(spark, d):
 SELECT f.l_orderkey, f.l_linenumber, f.Item_MRP, {_BIN} AS price_bin
 FROM (SELECT * FROM sales WHERE date_created > DATE '{CUT}') f, cuts k"""))
 def q_quantile_bin_apply(spark, d):
-    train, test = _split(spark, d)
+    train, test = _split(spark, d, _PRICE)
     cuts = FE.quantile_bin_fit(train, "Item_MRP", 4)
     return FE.quantile_bin_apply(test.select("l_orderkey", "l_linenumber", "Item_MRP"), "Item_MRP", cuts, out="price_bin")
 

@@ -108,17 +108,19 @@ def q_grouped_mean(spark, d):
 
 
 @register("box_stats", with_sales("""
+, named AS (SELECT NULLIF(Outlet_Type, 'BUILDING') AS Outlet_Type, Item_Outlet_Sales FROM sales)
 , q AS (SELECT Outlet_Type, quantile_cont(Item_Outlet_Sales, 0.25) AS q1, quantile_cont(Item_Outlet_Sales, 0.5) AS median,
-               quantile_cont(Item_Outlet_Sales, 0.75) AS q3 FROM sales WHERE Item_Outlet_Sales IS NOT NULL GROUP BY 1)
+               quantile_cont(Item_Outlet_Sales, 0.75) AS q3 FROM named WHERE Item_Outlet_Sales IS NOT NULL GROUP BY 1)
 SELECT q.Outlet_Type, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3, round(q3 - q1, 4) AS iqr,
        round(min(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN v END), 4) AS whisker_low,
        round(max(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN v END), 4) AS whisker_high,
        CAST(sum(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN 0 ELSE 1 END) AS BIGINT) AS outliers
-FROM q JOIN (SELECT Outlet_Type, Item_Outlet_Sales AS v FROM sales WHERE Item_Outlet_Sales IS NOT NULL) s
-  ON q.Outlet_Type = s.Outlet_Type
+FROM q JOIN (SELECT Outlet_Type, Item_Outlet_Sales AS v FROM named WHERE Item_Outlet_Sales IS NOT NULL) s
+  ON q.Outlet_Type IS NOT DISTINCT FROM s.Outlet_Type
 GROUP BY q.Outlet_Type, q1, median, q3"""))
 def q_box_stats(spark, d):
-    r = PR.box_stats(sales_view(spark, d, ["Outlet_Type", "Item_Outlet_Sales"]), "Outlet_Type", "Item_Outlet_Sales")
+    s = sales_view(spark, d, ["Outlet_Type", "Item_Outlet_Sales"]).withColumn("Outlet_Type", F.expr("nullif(Outlet_Type, 'BUILDING')"))
+    r = PR.box_stats(s, "Outlet_Type", "Item_Outlet_Sales")
     return r.select("Outlet_Type", *[F.round(c, 4).alias(c) for c in
                                      ("q1", "median", "q3", "iqr", "whisker_low", "whisker_high")], "outliers")
 
@@ -127,8 +129,10 @@ def q_box_stats(spark, d):
 WITH mm AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
 b AS (SELECT LEAST(CAST(floor((l_extendedprice - lo) / ((hi - lo) / 30)) AS INTEGER), 29) AS bin, lo, hi
       FROM lineitem, mm WHERE l_extendedprice IS NOT NULL)
-SELECT bin, round(lo + bin * ((hi - lo) / 30), 4) AS lower, round(lo + (bin + 1) * ((hi - lo) / 30), 4) AS upper, count(*) AS n
-FROM b GROUP BY bin, lo, hi""")
+SELECT g.bin, round(lo + g.bin * ((hi - lo) / 30), 4) AS lower, round(lo + (g.bin + 1) * ((hi - lo) / 30), 4) AS upper,
+       COALESCE(c.n, 0) AS n
+FROM (SELECT CAST(i AS INTEGER) AS bin FROM range(0, 30) t(i)) g CROSS JOIN mm
+LEFT JOIN (SELECT bin, count(*) AS n FROM b GROUP BY bin) c ON c.bin = g.bin""")
 def q_histogram(spark, d):
     r = PR.histogram(table(spark, d, "lineitem"), "l_extendedprice", 30)
     return r.select("bin", F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"), "n")
@@ -173,13 +177,22 @@ def q_skewness(spark, d):
                  F.round(PR.skewness_corrected("o_totalprice"), 8).alias("skew_total"))
 
 
-@register("row_gate", "SELECT LEAST(count(*), 1000) AS n_checked, count(*) >= 1000 AS passes FROM events")
+@register("row_gate", "SELECT count(*) AS n_rows, count(*) >= 1000 AS passes FROM events")
 def q_row_gate(spark, d):
     ok, n = PR.row_gate(table(spark, d, "events"), 1000)
-    return spark.createDataFrame([(n, ok)], "n_checked long, passes boolean")
+    return spark.createDataFrame([(n, ok)], "n_rows long, passes boolean")
 
 
 @register("latest_per_key", """
-SELECT user_id, event_type, max(ts) AS ts, arg_max(event_id, ts) AS event_id FROM events GROUP BY 1, 2""")
+SELECT user_id, event_type, ts, event_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
 def q_latest_per_key(spark, d):
     return PR.latest_per_key(table(spark, d, "events"), ["user_id", "event_type"], "ts", "event_id")
+
+
+@register("latest_in_stage", """
+SELECT user_id, ts, event_id, value FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, value DESC) AS rn
+    FROM events WHERE event_type = 'click') WHERE rn = 1""")
+def q_latest_in_stage(spark, d):
+    return PR.latest_per_key(table(spark, d, "events"), ["user_id"], "ts", ["event_id", "value"], "event_type", "click")

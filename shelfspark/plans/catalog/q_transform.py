@@ -36,7 +36,7 @@ def q_constant_column(spark, d):
 
 
 @register("add_row_id", """
-SELECT CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|' || CAST(o_custkey AS VARCHAR)), 1, 15)) AS BIGINT) AS item_id,
+SELECT md5(CAST(o_orderkey AS VARCHAR) || '|' || CAST(o_custkey AS VARCHAR)) AS item_id,
        o_orderkey, o_custkey, o_totalprice
 FROM orders""")
 def q_add_row_id(spark, d):
@@ -110,11 +110,11 @@ def q_split_by_date(spark, d):
 
 
 @register("split_by_tag", """
-SELECT 'train' AS side, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'
-UNION ALL SELECT 'test' AS side, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'""")
+SELECT 'train' AS side, l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_linestatus = 'F'
+UNION ALL SELECT 'test' AS side, l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_linestatus = 'O'""")
 def q_split_by_tag(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    tr, te = X.split_by_tag(o, "o_orderstatus", "F", "O")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_linestatus")
+    tr, te = X.split_by_tag(li, "l_linestatus", "F", "O")
     return X.constant_column(tr, "side", "train").unionByName(X.constant_column(te, "side", "test"))
 
 
@@ -135,7 +135,7 @@ def q_cast_columns(spark, d):
 SELECT s.l_orderkey, s.l_linenumber, s.Item_Identifier, COALESCE(m.brand_mode, -1.0) AS brand_mode
 FROM sales s LEFT JOIN modes m ON s.Item_Identifier = m.Item_Identifier"""))
 def q_lookup_join(spark, d):
-    s = sales_view(spark, d)
+    s = sales_view(spark, d, ["l_orderkey", "l_linenumber", "Item_Identifier", "Item_Weight"])
     modes = group_mode(s, "Item_Identifier", "Item_Weight", out="brand_mode")
     base = s.select("l_orderkey", "l_linenumber", "Item_Identifier")
     return X.lookup_join(base, modes, "Item_Identifier", "brand_mode", default=-1.0)
@@ -164,8 +164,8 @@ def q_isin_filter(spark, d):
 
 
 @register("column_concat", """
-SELECT o.o_orderkey, o.o_totalprice, o.o_orderpriority, t.revenue
-FROM orders o JOIN (SELECT l_orderkey AS o_orderkey, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue
+SELECT COALESCE(o.o_orderkey, t.o_orderkey) AS o_orderkey, o.o_totalprice, o.o_orderpriority, t.revenue
+FROM orders o FULL JOIN (SELECT l_orderkey AS o_orderkey, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue
                     FROM lineitem GROUP BY 1) t ON o.o_orderkey = t.o_orderkey""")
 def q_column_concat(spark, d):
     feats = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
@@ -192,7 +192,7 @@ def q_bin_lookup(spark, d):
 SELECT s.l_orderkey, s.l_linenumber, s.Item_Identifier, round(g.m, 4) AS brand_mean_sales
 FROM sales s LEFT JOIN g ON s.Item_Identifier = g.Item_Identifier"""))
 def q_group_transform(spark, d):
-    s = sales_view(spark, d)
+    s = sales_view(spark, d, ["l_orderkey", "l_linenumber", "Item_Identifier", "Item_Outlet_Sales"])
     g = s.groupBy("Item_Identifier").agg(F.avg("Item_Outlet_Sales").alias("m"))
     return X.lookup_join(s.select("l_orderkey", "l_linenumber", "Item_Identifier"), g, "Item_Identifier", "m") \
         .select("l_orderkey", "l_linenumber", "Item_Identifier", F.round("m", 4).alias("brand_mean_sales"))

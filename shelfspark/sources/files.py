@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,11 +47,6 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType, corrupt_c
             .json(path))
 
 
-def parse_records(df: DataFrame, column: str, schema: T.StructType | str, out: str = "record") -> DataFrame:
-    """JSON text column to a struct column (null for malformed text)."""
-    return df.withColumn(out, F.from_json(F.col(column), schema))
-
-
 def read_lookup(spark: SparkSession, path: str, key: str | None = None, out: str = "value") -> DataFrame:
     """Lookup values: one per text line (line ends stripped), or the array ``key`` of a JSON object file."""
     if key is None:
@@ -61,20 +55,8 @@ def read_lookup(spark: SparkSession, path: str, key: str | None = None, out: str
     return spark.read.option("multiLine", True).json(path).select(F.explode(F.col(key)).alias(out))
 
 
-def lookup_values(df: DataFrame, column: str = "value", max_values: int = 100_000) -> list[Any]:
-    """Bring a lookup list to the driver for ``isin`` (refuses unbounded lists)."""
-    rows = df.select(column).limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        raise ValueError("lookup list too large for isin; use a semi join")
-    return [r[0] for r in rows]
-
-
 def write_metrics(spark: SparkSession, metrics: dict[str, Any], path: str, mode: str = "overwrite") -> DataFrame:
     """Metrics as one JSON object (one-row frame); returns the frame."""
     df = spark.createDataFrame([tuple(metrics.values())], list(metrics.keys()))
     df.coalesce(1).write.mode(mode).json(path)
     return df
-
-
-def metrics_json(metrics: dict[str, Any]) -> str:
-    return json.dumps(metrics, sort_keys=True)

@@ -103,3 +103,42 @@ def test_release_and_rounded_cuts(spark):
     params.release()
     assert params.held == []
     assert feats.count() == 8  # still computable after release
+
+
+def test_histogram_has_every_bin_and_latest_takes_one_row(spark):
+    from shelfspark.operators import profile as PR
+
+    df = spark.createDataFrame([(0.0,), (1.0,), (10.0,)], "x double")
+    assert [r["n"] for r in PR.histogram(df, "x", 10).orderBy("bin").collect()] == [1, 1, 0, 0, 0, 0, 0, 0, 0, 1]
+    rows = [("k", 1, "a", 10), ("k", 1, "b", None), ("k", 0, "z", 99), ("s", 3, "c", 5)]
+    for order in (rows, rows[::-1]):
+        v = spark.createDataFrame(order, "key string, ts int, name string, n int")
+        got = {r["key"]: (r["name"], r["n"]) for r in PR.latest_per_key(v, ["key"], "ts", ["name", "n"]).collect()}
+        assert got == {"k": ("b", None), "s": ("c", 5)}
+        assert PR.latest_per_key(v, ["key"], "ts", "name", "name", "nothing").count() == 0
+    assert PR.row_gate(df, 2) == (True, 3)
+
+
+def test_box_stats_keeps_the_null_group(spark):
+    from shelfspark.operators import profile as PR
+
+    df = spark.createDataFrame([("a", 1.0), (None, 2.0), (None, 4.0)], "g string, x double")
+    assert {r["g"]: r["median"] for r in PR.box_stats(df, "g", "x").collect()} == {"a": 1.0, None: 3.0}
+
+
+def test_column_concat_keeps_keys_of_either_side(spark):
+    from shelfspark.operators import transform as X
+
+    a, b = spark.createDataFrame([(1, "x"), (2, "y")], "k int, a string"), spark.createDataFrame([(2, 5), (3, 6)], "k int, b int")
+    assert sorted(map(tuple, X.column_concat(a, b, "k").collect())) == [(1, "x", None), (2, "y", 5), (3, None, 6)]
+
+
+def test_no_local_checkpoint_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from shelfspark.session import checkpoint_dir
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(RuntimeError, match="shared"):
+        checkpoint_dir(session)
