@@ -57,12 +57,12 @@ def q_create_keyed_table(spark, d):
     return TB.read_table(spark, root, "orders_raw")
 
 
-@register("overwrite_table", "SELECT * FROM part WHERE p_size > 25")
+@register("overwrite_table", "SELECT * REPLACE (CAST(p_size + 1 AS INTEGER) AS p_size) FROM part")
 def q_overwrite_table(spark, d):
     root = scratch(spark, "tables")
     p = table(spark, d, "part")
     TB.create_keyed_table(spark, root, "parts", p.schema, ["p_partkey"], df=p)
-    TB.write_table(spark, root, "parts", p.filter(F.col("p_size") > 25), mode="overwrite")
+    TB.write_table(spark, root, "parts", p.withColumn("p_size", F.col("p_size") + 1), mode="overwrite")
     return TB.read_table(spark, root, "parts")
 
 
@@ -104,8 +104,8 @@ def q_read_lookup(spark, d):
 @register("read_lookup_json", "SELECT DISTINCT p_type AS value FROM part")
 def q_read_lookup_json(spark, d):
     path = scratch(spark, "lookup_json")
-    table(spark, d, "part").agg(F.sort_array(F.collect_set("p_type")).alias("prod_no_aplica")).coalesce(1).write.json(path)
-    return FI.read_lookup(spark, path, key="prod_no_aplica")
+    table(spark, d, "part").agg(F.sort_array(F.collect_set("p_type")).alias("types")).coalesce(1).write.json(path)
+    return FI.read_lookup(spark, path, key="types")
 
 
 @register("read_records", """
@@ -140,8 +140,8 @@ def q_write_predictions(spark, d):
     scored = M.score_batch(_apply(test, params), model, "pred_Sales")
     # (l_orderkey, l_linenumber) repeats in lineitem: the id is a generated unique key, as the feature tables use.
     keyed = add_row_id(scored.select("l_orderkey", "l_linenumber", "pred_Sales"), "item_id")
-    TB.write_predictions(spark, root, "predictions_s", keyed, "item_id")
-    return TB.read_table(spark, root, "predictions_s")
+    TB.write_predictions(spark, root, "predictions", keyed, "item_id")
+    return TB.read_table(spark, root, "predictions")
 
 
 @register("write_metrics")

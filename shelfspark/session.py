@@ -53,7 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local runs and tests: the cluster sets its own.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder; a machine-local one would lose data on a cluster")
         configured = tempfile.mkdtemp(prefix="shelfspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

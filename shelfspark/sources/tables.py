@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfspark.session import materialize
 
 _PREFIX = "v="
+_CLAIM = "_claim_"
 
 
 class KeyError_(ValueError):
@@ -77,15 +77,25 @@ def _versions(spark: SparkSession, root: str, name: str) -> list[int]:
     return sorted(out)
 
 
-def _next_version(spark: SparkSession, root: str, name: str) -> int:
-    fs, p = _fs(spark, table_path(root, name))
+def _claim_version(spark: SparkSession, root: str, name: str) -> int:
+    """The next version number, claimed by creating its claim file: of several writers only one can create it."""
     taken = [0]
+    fs, p = _fs(spark, table_path(root, name))
     if fs.exists(p):
         for st in fs.listStatus(p):
             nm = st.getPath().getName()
-            if nm.startswith(_PREFIX):
-                taken.append(int(nm[len(_PREFIX):]))
-    return max(taken) + 1
+            if nm.startswith(_PREFIX) or nm.startswith(_CLAIM):
+                taken.append(int(nm[len(_PREFIX if nm.startswith(_PREFIX) else _CLAIM):]))
+    v = max(taken) + 1
+    while True:
+        cfs, claim = _fs(spark, f"{table_path(root, name)}/{_CLAIM}{v:08d}")
+        try:
+            cfs.create(claim, False).close()
+            return v
+        except Exception as e:  # the file exists: another writer has this version
+            if not cfs.exists(claim):
+                raise e
+            v += 1
 
 
 def meta(spark: SparkSession, root: str, name: str) -> dict:
@@ -124,13 +134,14 @@ def create_keyed_table(spark: SparkSession, root: str, name: str, schema: T.Stru
 
 
 def _conform(df: DataFrame, schema: T.StructType, allow_missing: bool) -> DataFrame:
+    unknown = [c for c in df.columns if c not in schema.fieldNames()]
+    if unknown:
+        raise KeyError_(f"columns {unknown} are not in the table's schema")
     cols = []
     for f in schema.fields:
         if f.name in df.columns:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-        elif allow_missing:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        else:
+        elif not allow_missing:
             raise KeyError_(f"column {f.name!r} missing")
     return df.select(*cols)
 
@@ -148,9 +159,10 @@ def write_table(spark: SparkSession, root: str, name: str, df: DataFrame, mode:
                 check: bool = True) -> int:
     """``overwrite`` replaces the content; ``merge`` upserts by the key.
 
-    Merge = old rows whose key is not in the new frame, plus the new frame.
-    Columns of the table that the new frame lacks are null on the new rows.
-    Returns the committed version.
+    Merge: rows of a known key take the columns that the new frame has and keep the
+    others; rows of a new key have null in columns the new frame lacks. A column
+    that the table does not know is an error. Returns the committed version. A version
+    is claimed by making its folder, which only one writer can do.
     """
     m = meta(spark, root, name)
     schema = T.StructType.fromJson(json.loads(m["schema"]))
@@ -158,24 +170,32 @@ def write_table(spark: SparkSession, root: str, name: str, df: DataFrame, mode:
     if mode not in ("overwrite", "merge"):
         raise ValueError(f"unknown mode {mode!r}")
     new = _conform(df, schema, allow_missing=(mode == "merge"))
-    # Read by the key check and by the write: computed once, released after.
-    new = materialize(new, "persist") if check else new
-    try:
-        if check:
-            check_keys(new, keys)
-        if mode == "overwrite" or not _versions(spark, root, name):
-            out = new
-        else:
-            old = read_table(spark, root, name)
-            out = old.join(new.select(*keys), on=keys, how="left_anti").unionByName(new)
-        v = _next_version(spark, root, name)
-        out.write.mode("errorifexists").parquet(f"{table_path(root, name)}/{_PREFIX}{v:08d}")
-    finally:
-        if check:
-            new.unpersist()
+    if check:
+        check_keys(new, keys)
+    if mode == "overwrite" or not _versions(spark, root, name):
+        out = new.select(*[F.col(f.name) if f.name in new.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    else:
+        old = read_table(spark, root, name)
+        have = [c for c in new.columns if c not in keys]
+        mine = new.select(*keys, *[F.col(c).alias(f"__new_{c}") for c in have], F.lit(True).alias("__in_new"))
+        both = old.join(mine, on=keys, how="full")
+        out = both.select(*[
+            F.col(f.name) if f.name not in have else F.when(F.col("__in_new"), F.col(f"__new_{f.name}")).otherwise(F.col(f.name)).alias(f.name)
+            for f in schema.fields])
+    v = _claim_version(spark, root, name)
+    out.write.mode("append").parquet(f"{table_path(root, name)}/{_PREFIX}{v:08d}")
     return v
 
 
+def drop_old_versions(spark: SparkSession, root: str, name: str, keep: int = 2) -> list[int]:
+    """Delete all but the newest ``keep`` committed versions; returns the deleted ones."""
+    old = _versions(spark, root, name)[:-keep] if keep else []
+    for v in old:
+        fs, p = _fs(spark, f"{table_path(root, name)}/{_PREFIX}{v:08d}")
+        fs.delete(p, True)
+    return old
+
+
 def snapshot_table(df: DataFrame, path: str, job_id: str, snapshot_date: str) -> None:
     """One snapshot per job and day, as partitions ``job_id=/snapshot_date=`` of one table.
     Dynamic partition overwrite replaces only that snapshot on a rerun."""

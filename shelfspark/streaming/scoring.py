@@ -3,13 +3,15 @@
 Stateless: features come from saved parameters (mode table, global mode,
 price cuts) and the model from its saved weights, so no watermark or state is
 needed. A stream cannot aggregate first, so the global-mode fallback is the
-saved one. The mode table is a stream-static join (broadcast after a size
-check). The file sink with a checkpoint location gives exactly-once output.
+saved one. The mode table is a stream-static join. The file sink with a
+checkpoint location gives exactly-once output. A line that is no valid record is not
+scored; its text goes to the reject folder.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,14 +19,30 @@ from shelfspark.operators.model import LinearModel
 from shelfspark.plans.retail import FeatureParams, RetailConfig, feature_pipeline_apply
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _records(spark: SparkSession, input_dir: str, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Records as a stream; a malformed line keeps its text in ``_corrupt_record``."""
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return reader.text(input_dir).select(parsed.alias("r")).select("r.*")
+
+
+def rejected_stream(spark: SparkSession, input_dir: str, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Texts of the malformed lines."""
+    return _records(spark, input_dir, schema, max_files_per_trigger).filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+
+
 def scored_stream(spark: SparkSession, input_dir: str, schema: T.StructType, cfg: RetailConfig,
                   params: FeatureParams, model: LinearModel, keep: tuple[str, ...] = (),
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    records = reader.json(input_dir)
-    feats = feature_pipeline_apply(records, cfg, params, fallback=params.global_mode)
+    records = _records(spark, input_dir, schema, max_files_per_trigger)
+    good = records.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    feats = feature_pipeline_apply(good, cfg, params, fallback=params.global_mode)
     return feats.select(*keep, *model.features, model.predict_expr().alias("pred_Sales"))
 
 
@@ -37,3 +55,12 @@ def score_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpoin
               .option("checkpointLocation", checkpoint_location).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
+
+
+def reject_stream(spark: SparkSession, input_dir: str, reject_dir: str, checkpoint_location: str, schema: T.StructType,
+                  available_now: bool = True) -> StreamingQuery:
+    """Start the stream that keeps malformed lines as text files."""
+    writer = (rejected_stream(spark, input_dir, schema).writeStream.format("text").option("path", reject_dir)
+              .option("checkpointLocation", checkpoint_location).outputMode("append"))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start()

@@ -28,7 +28,52 @@ def test_feature_table_round_trip_and_merge(spark):
     upd = spark.createDataFrame([(1, 100), (1000, 5)], "item_id long, x long")
     TB.write_table(spark, root, "test", upd, mode="merge")
     got = {r["item_id"]: (r["x"], r["y"]) for r in TB.read_table(spark, root, "test").collect()}
-    assert len(got) == 501 and got[1] == (100, None) and got[2] == (2, 502)
+    assert len(got) == 501 and got[1] == (100, 501) and got[2] == (2, 502) and got[1000] == (5, None)
+    with pytest.raises(TB.KeyError_, match="extra"):
+        TB.write_table(spark, root, "test", upd.withColumn("extra", F.lit(1)), mode="merge")
+    assert len(TB.drop_old_versions(spark, root, "test", keep=1)) == 3
+    assert TB.read_table(spark, root, "test").count() == 501
+
+
+def test_one_writer_gets_a_version(spark):
+    root = _root(spark)
+    TB.create_keyed_table(spark, root, "claims", spark.range(1).schema, ["id"])
+    assert TB._claim_version(spark, root, "claims") == 1
+    assert TB._claim_version(spark, root, "claims") == 2
+    assert TB.write_table(spark, root, "claims", spark.range(3)) == 3
+    assert TB.read_table(spark, root, "claims").count() == 3
+
+
+def test_malformed_records_are_kept_apart(spark):
+    from pyspark.sql import types as T
+
+    from shelfspark.streaming import scoring
+
+    base = _root(spark)
+    spark.createDataFrame([('{"a": 1, "b": 2.0}',), ('{"a": 1, "b": ',), ("no json",)], "value string").coalesce(1).write.text(f"{base}/in")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DoubleType())])
+    scoring.reject_stream(spark, f"{base}/in", f"{base}/bad", f"{base}/ckpt", schema).awaitTermination()
+    assert {r["value"] for r in spark.read.text(f"{base}/bad").collect()} == {'{"a": 1, "b": ', "no json"}
+    good = scoring._records(spark, f"{base}/in", schema).filter(F.col(scoring.CORRUPT).isNull()).drop(scoring.CORRUPT)
+    good.writeStream.format("parquet").option("path", f"{base}/good").option("checkpointLocation", f"{base}/ckpt2").trigger(
+        availableNow=True).start().awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(f"{base}/good").collect()] == [(1, 2.0)]
+
+
+def test_every_column_has_a_drift_row(spark):
+    """A new category, a constant column, a column null in one period, and one null in both."""
+    schema = "cat string, same string, gone double, never double, x double"
+    ref = spark.createDataFrame([("a", "k", 1.0, None, float(i)) for i in range(40)], schema)
+    cur = spark.createDataFrame([("b" if i % 2 else "a", "k", None, None, float(i)) for i in range(40)], schema)
+    for small in (None, 1000):
+        rep = {r["feature"]: r for r in DR.drift_report(ref, cur, rules=DR.DriftRules(small_reference_rows=small)).collect()}
+        assert set(rep) == {"cat", "same", "gone", "never", "x"}
+        assert rep["cat"]["drift"] and rep["cat"]["status"] == "ok"
+        assert not rep["same"]["drift"] and not rep["x"]["drift"] and rep["same"]["status"] == "ok"
+        assert rep["gone"]["drift"] and rep["gone"]["status"] == "no_current_values" and rep["gone"]["score"] is None
+        assert not rep["never"]["drift"] and rep["never"]["status"] == "no_values"
+    named = DR.drift_report(ref, cur, ["x", "cat"], DR.DriftRules(tests=(("x", "ks"), ("cat", "chisquare"))))
+    assert {r["feature"]: r["test"] for r in named.collect()} == {"x": "ks", "cat": "chisquare"}
 
 
 def test_key_check(spark):
@@ -111,7 +156,7 @@ def test_small_reference_uses_p_value_tests(spark):
     ref = li.filter(F.col("l_orderkey") < 200)   # a few hundred reference rows
     cur = li.filter(F.col("l_orderkey") >= 200)
     rep = {r["feature"]: r for r in DR.drift_report(
-        ref, cur, ["l_extendedprice", "l_returnflag", "l_linestatus", "l_tax"]).collect()}
+        ref, cur, ["l_extendedprice", "l_returnflag", "l_linestatus", "l_tax"], DR.DriftRules(small_reference_rows=1000)).collect()}
     assert ref.count() <= 1000
     assert rep["l_extendedprice"]["test"] == "ks"
     assert rep["l_returnflag"]["test"] == "chisquare"
