@@ -7,6 +7,8 @@ the longest batch seen; callers cut batches into slices of bounded size.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BASE = 0x9E3779B97F4A7C55  # odd, so powers have inverses modulo 2^64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 BITS_PER_ROW = 32_768
 
 _SPACE = np.zeros(256, bool)
@@ -103,6 +105,18 @@ def shingle_hashes(texts: pa.Array, size: int) -> list[np.ndarray]:
     return out
 
 
+def tidy(run):
+    """``run`` (batches to batches) with its task's freed memory given back to the system at the end, since workers stay."""
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES):
     sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes) // most

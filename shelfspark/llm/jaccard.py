@@ -2,10 +2,13 @@
 
 Two sets whose similarity is at least t share a token among the first n - ceil(t n) + 1 tokens of each,
 under any order of all tokens that both use. Candidates share such a prefix token under the first order, and
-before a candidate is verified it must also share one under each further order. All orders put
+before a candidate is counted it must also share one under each further order. All orders put
 frequent tokens last (by counts over all documents in a table of fixed size), and differ in how
 they order tokens of like frequency.
 
+Two more bounds spare most candidates the shipping of whole sets: what can follow the first shared token in
+both sets must be enough, and the token counts per cell of two sets (one byte a token) bound what they share.
+
 A document's tokens are 64-bit hashes of its five-word shingles. Documents with the same set are one node.
 """
 
@@ -20,13 +23,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.llm.common import kept_table
-from shelfspark.llm.hashing import bit_filter, mix, passes, shingle_hashes, signed, text_slices
-from shelfspark.llm.linking import link_members
+from shelfspark.llm.hashing import bit_filter, mix, passes, shingle_hashes, signed, text_slices, tidy
+from shelfspark.llm.linking import link_members, with_values
 
 SHINGLE = 5
 THRESHOLD = Fraction(3, 4)
 ORDERS = 3
-LOG_CELLS = 19
+LOG_CELLS = 20
 CELL_ROWS = 64
 TOKEN_BITS = 26
 DOCUMENT_BITS = 24
@@ -42,12 +45,11 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
 
 
 def prefix(tokens: np.ndarray, weights: np.ndarray, order: int, t: Fraction) -> np.ndarray:
-    """The first tokens of a set under an order: rarer cells first, then by the order's own hash."""
+    """The first tokens of a set in an order: rarer cells first, then by the order's own hash."""
     k = prefix_length(len(tokens), t)
-    if k >= len(tokens):
-        return tokens
     rank = (weights[_cells(tokens)].astype(np.uint64) << np.uint64(56)) | (mix(tokens, order) >> np.uint64(8))
-    return tokens[np.argpartition(rank, k - 1)[:k]]
+    first = np.argpartition(rank, k - 1)[:k] if k < len(tokens) else np.arange(len(tokens))
+    return tokens[first[np.argsort(rank[first])]]
 
 
 def set_key(tokens: np.ndarray) -> tuple[int, int]:
@@ -85,7 +87,7 @@ def _sets(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [none.cast(kind), *[none.cast(pa.int64())] * 4, pa.array(range(CELL_ROWS), pa.int32()), pa.array(rows, pa.binary())], _SET_COLUMNS)
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema)
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(tidy(run), schema)
 
 
 def _weights(parts: DataFrame) -> np.ndarray:
@@ -104,7 +106,8 @@ def _weights(parts: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, weights, t: Fraction, shared=None) -> DataFrame:
-    """key (token) and node of every prefix token under the first order; only tokens that pass ``shared`` if given."""
+    """key (token), node, its size and the token's place, for every prefix token under the first order; only tokens that
+    pass ``shared`` if given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
@@ -113,13 +116,16 @@ def _prefixes(docs: DataFrame, weights, t: Fraction, shared=None) -> DataFrame:
                     continue
                 firsts = [prefix(s, weights.value, 0, t) for s in sets]
                 tokens = np.concatenate(firsts)
-                nodes = np.repeat(np.array([set_key(s)[0] for s in sets], np.int64), list(map(len, firsts)))
+                counts = list(map(len, firsts))
+                nodes = np.repeat(np.array([set_key(s)[0] for s in sets], np.int64), counts)
+                sizes = np.repeat(np.array(list(map(len, sets)), np.int64), counts)
+                places = np.arange(len(tokens)) - np.repeat(np.cumsum(counts) - counts, counts)
                 if shared is not None:
                     there = passes(shared.value, tokens)
-                    tokens, nodes = tokens[there], nodes[there]
-                yield pa.RecordBatch.from_arrays([signed(tokens), pa.array(nodes)], ["key", "node"])
+                    tokens, nodes, sizes, places = tokens[there], nodes[there], sizes[there], places[there]
+                yield pa.RecordBatch.from_arrays([signed(tokens), pa.array(nodes), pa.array(sizes), pa.array(places)], ["key", "node", "size", "place"])
 
-    return docs.select("text").mapInArrow(run, "key long, node long")
+    return docs.select("text").mapInArrow(tidy(run), "key long, node long, size long, place long")
 
 
 def _members(docs: DataFrame, weights, t: Fraction) -> DataFrame:
@@ -129,11 +135,27 @@ def _members(docs: DataFrame, weights, t: Fraction) -> DataFrame:
     shared = kept_table(by_key(_prefixes(docs, weights, t)).select("key"), "shared")
     bits = spark.sparkContext.broadcast(bit_filter(shared, F.col("key"), TOKEN_BITS))
     rows = _prefixes(docs, weights, t, bits).distinct()
-    return kept_table(rows.join(shared, "key").select("key", "node", F.lit(True).alias("hub")), "members")
+    return kept_table(rows.join(shared, "key").select("key", "node", "size", "place", F.lit(True).alias("hub")), "members")
+
+
+def cell_marks(tokens: np.ndarray) -> bytes:
+    """Tokens per cell, as many cells as tokens (the next power of two): one byte each. Empty if a count needs more."""
+    cells = 1 << max(6, (len(tokens) - 1).bit_length())
+    counts = np.bincount((tokens & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 255 else b""
+
+
+def most_common(x: bytes, y: bytes, nx: int, ny: int) -> int:
+    """Upper bound of the tokens that two sets share, from their marks."""
+    if not x or not y:
+        return min(nx, ny)
+    x, y = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    cells = min(len(x), len(y))
+    return int(np.minimum(x.reshape(-1, cells).sum(axis=0), y.reshape(-1, cells).sum(axis=0)).sum())
 
 
-def _set_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and its tokens (packed ascending) for the nodes (doc_id, node) given, one document of each."""
+def _values(docs: DataFrame, nodes: DataFrame, column: str, make) -> DataFrame:
+    """node and ``make`` of its tokens (binary ``column``) for the nodes (doc_id, node) given."""
     spark = docs.sparkSession
     wanted = nodes.select(F.xxhash64("doc_id").alias("h"), "node")
     bits = spark.sparkContext.broadcast(bit_filter(wanted, F.col("h"), DOCUMENT_BITS))
@@ -144,24 +166,43 @@ def _set_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             for part in text_slices(batch):
                 sets = shingle_hashes(part["text"], SHINGLE)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_key(s)[0] for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "tokens"])
+                    [pa.array([set_key(s)[0] for s in sets], pa.int64()), pa.array([make(s) for s in sets], pa.binary())], ["node", column])
 
-    found = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(run, "node long, tokens binary")
+    found = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(tidy(run), f"node long, {column} binary")
     exact = found.join(nodes.select("node"), "node", "left_semi")
-    return kept_table(exact.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
+    return kept_table(exact.groupBy("node").agg(F.first(column).alias(column)), column)
+
+
+def _packed(tokens: np.ndarray) -> bytes:
+    return tokens.tobytes()
+
+
+def _marked(tokens: np.ndarray) -> bytes:
+    return len(tokens).to_bytes(8, "little") + cell_marks(tokens)
+
+
+def _alike(pairs: DataFrame, marks: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs whose marks allow a link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for x, y in zip(batch["va"].to_pylist(), batch["vb"].to_pylist()):
+                nx, ny = int.from_bytes(x[:8], "little"), int.from_bytes(y[:8], "little")
+                both = min(most_common(x[8:], y[8:], nx, ny), nx, ny)
+                good.append(both * t.denominator >= t.numerator * (nx + ny - both))
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return kept_table(with_values(pairs, marks, "marks").mapInArrow(tidy(run), "a long, b long"), "alike")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, weights, t: Fraction, orders: int) -> DataFrame:
-    """The pairs (a, b) whose sets link: like sizes, a shared prefix token under every further order, then the exact count."""
+    """The pairs (a, b) whose sets link: a shared prefix token under every further order, then the exact count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = weights.value
         for batch in batches:
             good = []
-            for x, y in zip(batch["ta"], batch["tb"]):
+            for x, y in zip(batch["va"], batch["vb"]):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if min(len(x), len(y)) * t.denominator < t.numerator * max(len(x), len(y)):
-                    good.append(False)
-                    continue
                 if not all(_common(np.sort(prefix(x, w, k, t)), np.sort(prefix(y, w, k, t))) for k in range(1, orders)):
                     good.append(False)
                     continue
@@ -169,13 +210,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, weights, t: Fraction, orders: int
                 good.append(both * t.denominator >= t.numerator * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    # The hub of a large group is in many pairs: its set is dealt with a salt for every thousand of them.
-    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 1000).cast("int").alias("s"))
-    left = sets.join(counts, sets["node"] == counts["a"]).select("a", F.col("tokens").alias("ta"), F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"))
-    right = pairs.join(counts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("s")).cast("int")).join(
-        sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
-    both = right.join(left, ["a", "salt"])
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return with_values(pairs, sets, "tokens").mapInArrow(tidy(run), "a long, b long")
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -195,11 +230,21 @@ def _classes(docs: DataFrame, t: Fraction, orders: int) -> DataFrame:
     base = all_sets.filter("cells is null").select("doc_id", "text_hash", "n_shingles", "node", "node2")
     first = kept_table(base.filter("n_shingles > 0").groupBy("node", "node2").agg(F.min("doc_id").alias("doc_id")), "firsts")
     members = _members(docs, weights, t)
-    sets = _set_table(docs, first.join(members.select("node").distinct(), "node", "left_semi").select("doc_id", "node"))
-    labels = link_members(members, lambda pairs: _verify(pairs, sets, weights, t, orders))
-    named = first.join(labels, "node", "left").select("node", "node2", "doc_id", F.coalesce("label", "node").alias("label"))
-    lowest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_set = named.join(lowest, "label").select("node", "node2", "component_id")
+    named = lambda nodes: first.join(nodes, "node", "left_semi").select("doc_id", "node")
+    marks = _values(docs, named(members.select("node").distinct()), "marks", _marked)
+
+    def test(pairs: DataFrame) -> DataFrame:
+        alike = _alike(pairs, marks, t)
+        sets = _values(docs, named(alike.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "tokens", _packed)
+        return _verify(alike, sets, weights, t, orders)
+
+    # From the first shared token on, at most the rest of either set is shared: t / (1 + t) of both sizes is needed.
+    fits = lambda a, b: (F.least(a("size") - a("place"), b("size") - b("place")) * (t.numerator + t.denominator)
+                         >= (a("size") + b("size")) * t.numerator)
+    labels = link_members(members, test, fits)
+    labelled = first.join(labels, "node", "left").select("node", "node2", "doc_id", F.coalesce("label", "node").alias("label"))
+    lowest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    of_set = labelled.join(lowest, "label").select("node", "node2", "component_id")
     linked = base.join(of_set, ["node", "node2"], "left")
     return linked.select("doc_id", "text_hash", "n_shingles",
                          F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
@@ -227,10 +272,15 @@ def keep_one(docs: DataFrame, t: Fraction = THRESHOLD) -> DataFrame:
     stays = own.groupBy(F.col("doc_id").alias("_id")).agg(F.min("text_hash").alias("_hash"))
     gone = rows.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")) &
                      F.col("component_id").eqNullSafe(F.col("doc_id")), "left_anti")
-    repeated = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    verdict = gone.select("doc_id", "text_hash", F.lit(True).alias("_gone")).unionByName(
-        repeated.select("doc_id", "text_hash", F.lit(False).alias("_gone"))).groupBy(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.max("_gone").alias("_gone"))
-    marked = docs.join(verdict, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
-    once = marked.filter("not _gone").withColumn("_turn", F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_hash"))).filter("_turn = 1")
-    return marked.filter("_gone is null").select(*docs.columns).unionByName(once.select(*docs.columns))
+    repeated = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "text_hash")
+    repeated = kept_table(repeated, "repeated")
+    whole = docs.select(F.struct("*").alias("_doc"), F.xxhash64("text").alias("_key"))
+    match = F.col("_doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash"))
+    named = lambda df: df.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    single = whole.join(named(gone.select("doc_id", "text_hash").unionByName(repeated)), match, "left_anti").select("_doc.*")
+    if repeated.isEmpty():
+        return single
+    left = named(repeated.join(gone, repeated["doc_id"].eqNullSafe(gone["doc_id"]) & (repeated["text_hash"] == gone["text_hash"]), "left_anti"))
+    turn = F.row_number().over(Window.partitionBy("_doc.doc_id", "_key").orderBy("_key"))
+    once = whole.join(left, match, "left_semi").withColumn("_turn", turn).filter("_turn = 1").select("_doc.*")
+    return single.unionByName(once)

@@ -12,13 +12,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm.common import kept_table, written
 
 MOST_HUB_ROUNDS = 6
-PAIRS_PER_MEMBER = 2
+PAIRS_PER_MEMBER = 1
+ENOUGH_PROGRESS = 0.75
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -51,34 +52,42 @@ def _measure(edges: DataFrame) -> tuple:
     return r["n"], r["s"]
 
 
-def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
+                 fits: Callable[[Callable, Callable], Column] = lambda a, b: F.lit(True)) -> DataFrame:
     """node, label of every node linked to another one.
 
-    ``members`` (a written table of key, node, hub) has the keys that two different nodes at least share; ``hub`` tells
-    which members a pair needs one of. ``test`` takes distinct pairs (a, b), a < b, and returns those that link.
+    ``members`` (a written table of key, node, size, place, hub) has the keys that two different nodes at least share; ``hub``
+    tells which members a pair needs one of. ``fits`` gets two members (functions from size or place to a column) and
+    tells whether the key allows their pair to link; a pair that links must fit by one of its keys. ``test`` takes
+    distinct pairs (a, b), a < b, and returns those that link.
     """
-    spark = members.sparkSession
     n_members = members.count()
-    hubs = members.filter("hub").groupBy("key").agg(F.min("node").alias("h1"), F.max("node").alias("h2"))
-    pairs = members.join(hubs, "key").select("node", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("h"))
+    own, of_hub = F.col, lambda c: F.col(f"h.{c}")
+    facts = F.struct("node", "size", "place")
+    hubs = members.filter("hub").groupBy("key").agg(F.min(facts).alias("h1"), F.max(facts).alias("h2"))
+    pairs = members.join(hubs, "key").select("node", "size", "place", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("h")).filter(
+        fits(own, of_hub)).select("node", F.col("h.node").alias("h"))
     tested = kept_table(_ordered(pairs), "pairs")
     links = [kept_table(test(tested), "links")]
     labels = written(components(links[0]))
-    seen = [tested]
+    seen, before = [tested], float("inf")
     for turn in range(MOST_HUB_ROUNDS):
         open_members, bound = _open(members, labels)
         if not bound:
             return labels
-        last = bound <= PAIRS_PER_MEMBER * n_members or turn == MOST_HUB_ROUNDS - 1
+        last = bound <= PAIRS_PER_MEMBER * n_members or bound > ENOUGH_PROGRESS * before or turn == MOST_HUB_ROUNDS - 1
+        before = bound
         if last:
             a, b = open_members.alias("a"), open_members.alias("b")
             pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))).filter(
-                "a.label != b.label and (a.hub or b.hub)").select(F.col("a.node").alias("node"), F.col("b.node").alias("h"))
+                "a.label != b.label and (a.hub or b.hub)").filter(fits(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}"))).select(
+                F.col("a.node").alias("node"), F.col("b.node").alias("h"))
         else:
             order = F.xxhash64("node", F.lit(turn))
             hubs = open_members.filter("hub").groupBy("key").agg(
-                F.min(F.struct(order.alias("o"), F.col("node").alias("h"), F.col("label").alias("l"))).alias("x"))
-            pairs = open_members.join(hubs, "key").filter(F.col("label") != F.col("x.l")).select("node", F.col("x.h").alias("h"))
+                F.min(F.struct(order.alias("o"), F.col("node").alias("h"), F.col("label").alias("l"), "size", "place")).alias("h"))
+            pairs = open_members.join(hubs, "key").filter(F.col("label") != F.col("h.l")).filter(fits(own, of_hub)).select(
+                "node", F.col("h.h").alias("h"))
         fresh = _ordered(pairs).join(reduce(DataFrame.unionByName, seen), ["a", "b"], "left_anti")
         fresh = kept_table(fresh, "pairs")
         found = kept_table(test(fresh), "links")
@@ -98,10 +107,23 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def _open(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
     """Members (with their label) of the keys that still hold two classes, and a bound of the pairs of different classes."""
-    labelled = members.join(labels, "node", "left").select("key", "node", "hub", F.coalesce("label", "node").alias("label"))
+    labelled = members.join(labels, "node", "left").select("key", "node", "size", "place", "hub", F.coalesce("label", "node").alias("label"))
     per_class = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = per_class.groupBy("key").agg(F.sum("n").cast("double").alias("s"), F.sum(F.col("n") * F.col("n")).cast("double").alias("q"),
                                          F.count(F.lit(1)).alias("c")).filter("c > 1")
     open_members = kept_table(labelled.join(mixed.select("key", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("p")), "key"), "open")
     per_key = open_members.groupBy("key").agg(F.first("p").alias("p"))
     return open_members, int(per_key.agg(F.sum("p").alias("p")).first()["p"] or 0)
+
+
+def with_values(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """a, b, va, vb: the pairs with their nodes' values (a table of node and ``column``).
+
+    The hub of a large group is in many pairs: its value is dealt with a salt for every thousand of them.
+    """
+    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 1000).cast("int").alias("salts"))
+    left = values.join(counts, values["node"] == counts["a"]).select(
+        "a", F.col(column).alias("va"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    right = pairs.join(counts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int")).join(
+        values.select(F.col("node").alias("b"), F.col(column).alias("vb")), "b")
+    return right.join(left, ["a", "salt"]).select("a", "b", "va", "vb")
