@@ -5,7 +5,7 @@ a group that ends with one suffix drops out of the later passes, and groups that
 equal through the whole depth are exactly the repeated windows.
 
 First digit. Every window of ``depth`` bytes names an anchor: the place in it whose
-``depth // 2`` bytes have the lowest hash (the first of them). Equal windows name equal anchors at
+``3 * depth // 4`` bytes have the lowest hash (the first of them). Equal windows name equal anchors at
 equal offsets, so windows are grouped by their anchor's bytes, one row per anchor instead
 of one per window. Anchors whose bytes occur once drop out.
 
@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import kept_table
-from shelfspark.llm.hashing import Segments, bit_filter, buffers, byte_values, mix, passes, signed, text_slices
+from shelfspark.llm.common import NON_SPACE, kept_table
+from shelfspark.llm.hashing import Segments, bit_filter, buffers, byte_values, mix, passes, signed, text_slices, tidy
 
 DEPTH = 400
 ANCHOR_BITS = 25
@@ -38,10 +38,10 @@ PLACE_BITS = 25
 def _anchors(lengths: np.ndarray, offsets: np.ndarray, segments: Segments, depth: int) -> tuple[np.ndarray, ...]:
     """Of a batch: anchor place, its first and last window's start (places in the batch), the hash of its
     bytes and of its surroundings; and the text each lies in."""
-    k = depth // 2
+    k = 3 * depth // 4
     span = depth - k + 1  # anchors a window chooses from
     total = int(offsets[-1])
-    if total < depth:
+    if lengths.max(initial=0) < depth:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),)
     places = np.arange(total - k + 1)
     rank = (segments.hashes(places, places + k) & ~np.uint64((1 << 26) - 1)) | (places.astype(np.uint64) & np.uint64((1 << 26) - 1))
@@ -52,17 +52,18 @@ def _anchors(lengths: np.ndarray, offsets: np.ndarray, segments: Segments, depth
     grid = padded.reshape(blocks, span)
     to_end = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
     from_start = np.minimum.accumulate(grid, axis=1).ravel()
-    starts = np.concatenate([np.arange(o, o + n - depth + 1) for o, n in zip(offsets[:-1].tolist(), lengths.tolist()) if n >= depth] or [np.zeros(0, np.int64)])
+    starts = np.concatenate([np.arange(o, o + n - depth + 1) for o, n in zip(offsets[:-1].tolist(), lengths.tolist()) if n >= depth])
     low = np.minimum(to_end[starts], from_start[starts + span - 1])
     anchor = starts - (starts & ((1 << 26) - 1)) + (low & np.uint64((1 << 26) - 1)).astype(np.int64)
     anchor[anchor < starts] += 1 << 26
-    text = np.searchsorted(offsets, starts, side="right") - 1
+    text = np.repeat(np.arange(len(lengths)), np.maximum(lengths - depth + 1, 0))
     # Runs of windows with one anchor (and within one text).
     edge = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (starts[1:] != starts[:-1] + 1)]) if len(starts) else np.zeros(0, bool))
     at, lo, doc = anchor[edge], starts[edge], text[edge]
     hi = starts[np.concatenate([edge[1:] - 1, [len(starts) - 1]])] if len(edge) else lo
     around = segments.hashes(lo, hi + depth) ^ mix((at - lo).astype(np.uint64), 3)
-    return at, lo, hi, segments.hashes(at, at + k), around, doc
+    # Anchors have the lowest hashes, so their keys are spread over all values again.
+    return at, lo, hi, mix(segments.hashes(at, at + k), 31), around, doc
 
 
 def _scan(part: pa.RecordBatch, depth: int):
@@ -86,7 +87,7 @@ def _anchor_keys(docs: DataFrame, depth: int) -> DataFrame:
             for part in text_slices(batch):
                 yield pa.RecordBatch.from_arrays([signed(_scan(part, depth)[4][3])], ["key"])
 
-    return docs.select("text").mapInArrow(run, "key long")
+    return docs.select("text").mapInArrow(tidy(run), "key long")
 
 
 def _shared_anchors(docs: DataFrame, depth: int, bits) -> DataFrame:
@@ -102,13 +103,15 @@ def _shared_anchors(docs: DataFrame, depth: int, bits) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([signed(key), signed(around), pa.array(row), pa.array(at - base), pa.array(lo - base), pa.array(hi - base)],
                                                  ["key", "around", "row", "place", "lo", "hi"])
 
-    return _source(docs).select("row", "text").mapInArrow(run, "key long, around long, row long, place long, lo long, hi long")
+    return _source(docs).select("row", "text").mapInArrow(tidy(run), "key long, around long, row long, place long, lo long, hi long")
 
 
-def _windows(docs: DataFrame, depth: int, places) -> DataFrame:
-    """window (hash of its bytes), row, start of every window of the anchors whose (row, place) passes the filter."""
+def _windows(docs: DataFrame, depth: int, rows, places, again=None) -> DataFrame:
+    """window (hash of its bytes), row, start of every window of the anchors whose row and (row, place) pass the filters;
+    only windows that pass ``again`` if given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(passes(rows.value, batch["row"].to_numpy())))
             for part in text_slices(batch):
                 _, offsets, _, segments, (at, lo, hi, _, _, doc) = _scan(part, depth)
                 row = part["row"].to_numpy()
@@ -116,10 +119,13 @@ def _windows(docs: DataFrame, depth: int, places) -> DataFrame:
                 lo, n, doc = lo[keep], (hi - lo + 1)[keep], doc[keep]
                 starts = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 text = np.repeat(doc, n)
-                yield pa.RecordBatch.from_arrays([signed(segments.hashes(starts, starts + depth)), pa.array(row[text]), pa.array(starts - offsets[text])],
-                                                 ["window", "row", "start"])
+                window = segments.hashes(starts, starts + depth)
+                if again is not None:
+                    there = passes(again.value, window)
+                    starts, text, window = starts[there], text[there], window[there]
+                yield pa.RecordBatch.from_arrays([signed(window), pa.array(row[text]), pa.array(starts - offsets[text])], ["window", "row", "start"])
 
-    return _source(docs).select("row", "text").mapInArrow(run, "window long, row long, start long")
+    return _source(docs).select("row", "text").mapInArrow(tidy(run), "window long, row long, start long")
 
 
 def repeated_spans(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -135,10 +141,11 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     mixed = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
     ones = kept_table(kinds.join(mixed, "key", "left_semi").select("one.row", "one.place", (F.col("n") == 1).alias("alone")), "ones")
     places = spark.sparkContext.broadcast(bit_filter(_place_keys(ones), F.col("place_key"), PLACE_BITS))
-    windows = _windows(docs, depth, places)
+    rows = spark.sparkContext.broadcast(bit_filter(ones, F.col("row"), PLACE_BITS))
+    windows = _windows(docs, depth, rows, places)
     again = kept_table(windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window"), "again")
     more = spark.sparkContext.broadcast(bit_filter(again, F.col("window"), PLACE_BITS))
-    single = _filtered(windows, "window", more).join(again, "window", "left_semi").select("row", F.col("start").alias("from"), (F.col("start") + depth).alias("to"))
+    single = _windows(docs, depth, rows, places, more).join(again, "window", "left_semi").select("row", F.col("start").alias("from"), (F.col("start") + depth).alias("to"))
     return whole.unionByName(single).groupBy("row").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
 
 
@@ -147,7 +154,7 @@ def _place_keys(ones: DataFrame) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([signed(_place_key(b["row"].to_numpy(), b["place"].to_numpy()))], ["place_key"])
 
-    return ones.select("row", "place").mapInArrow(run, "place_key long")
+    return ones.select("row", "place").mapInArrow(tidy(run), "place_key long")
 
 
 def _filtered(df: DataFrame, column: str, bits) -> DataFrame:
@@ -155,13 +162,13 @@ def _filtered(df: DataFrame, column: str, bits) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array(passes(bits.value, b[column].to_numpy().astype(np.int64))))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run), df.schema)
 
 
-def _kept(text: bytes, spans) -> tuple[bytes, int, int]:
-    """The text without the spans, the bytes removed, and the number of removed runs."""
+def _kept(text: bytes, spans) -> tuple[list[bytes], int, int]:
+    """What is left of the text around the spans, the bytes removed, and the number of removed runs."""
     if not spans:
-        return text, 0, 0
+        return [text], 0, 0
     parts, end, runs, removed = [], 0, 0, 0
     last = -1
     for a, b in sorted((s["from"], s["to"]) for s in spans):
@@ -173,13 +180,27 @@ def _kept(text: bytes, spans) -> tuple[bytes, int, int]:
             removed += b - last
         end = last = max(last, b)
     parts.append(text[end:])
-    return b"".join(parts), removed, runs
+    return parts, removed, runs
 
 
-def _with_spans(docs: DataFrame, depth: int) -> DataFrame:
-    """docs with a column _spans (null where nothing repeats); only texts that may have spans are shuffled."""
-    spans = kept_table(repeated_spans(docs, depth), "spans").withColumnRenamed("row", "_row").withColumnRenamed("spans", "_spans")
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(spans, F.col("_key") == F.col("_row"), "left").drop("_key", "_row")
+def _in_two(docs: DataFrame, spans: DataFrame, columns: list[str], run, schema) -> DataFrame:
+    """``run`` over batches of (key, text, columns..., spans): texts that have no span are not shuffled.
+
+    A filter of fixed size tells most of them; the others are joined to their spans.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(spans, F.col("row"), PLACE_BITS))
+
+    def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def others() -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                b = b.filter(pa.array(~passes(bits.value, b["key"].to_numpy())))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(len(b))], [*b.schema.names, "spans"])
+
+        yield from run(others())
+
+    source = docs.select(F.xxhash64("doc_id", "text").alias("key"), "text", *columns)
+    joined = _filtered(source, "key", bits).join(spans, F.col("key") == F.col("row"), "left").drop("row")
+    return source.mapInArrow(tidy(without), schema).unionByName(joined.mapInArrow(tidy(run), schema))
 
 
 def repeat_report(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -191,13 +212,35 @@ def repeat_report(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, spans in zip(batch["text"], batch["_spans"]):
+            for text, spans in zip(batch["text"], batch["spans"]):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                kept, removed, runs = _kept(raw, spans.as_py())
-                out.append((len(raw), removed, runs, hashlib.sha256(kept).hexdigest()))
+                parts, removed, runs = _kept(raw, spans.as_py())
+                out.append((len(raw), removed, runs, hashlib.sha256(b"".join(parts)).hexdigest()))
             n, r, s, h = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(s, pa.int64()), pa.array(h, pa.string())],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     schema = docs.select("doc_id").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
-    return _with_spans(docs.select("doc_id", "text"), depth).select("doc_id", "text", "_spans").mapInArrow(run, schema)
+    return _in_two(docs.select("doc_id", "text"), kept_table(repeated_spans(docs, depth), "spans"), ["doc_id"], run, schema)
+
+
+def drop_repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """The documents without their repeated bytes, with all their columns.
+
+    A character that is cut goes as a whole. A document that loses every word is dropped; one that loses nothing stays
+    as it is. Other columns keep their values.
+    """
+    whole = docs.select("doc_id", "text", F.struct("*").alias("_doc"))
+    spans = kept_table(repeated_spans(docs, depth), "spans").select(F.col("row").alias("_row"), "spans")
+    marked = whole.select("_doc", F.xxhash64("doc_id", "text").alias("_key")).join(spans, F.col("_key") == F.col("_row"), "left")
+
+    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        out = []
+        for text, s in zip(texts.to_pylist(), spans.to_pylist()):
+            out.append(text if not s or text is None else "".join(p.decode("utf-8", "ignore") for p in _kept(text.encode(), s)[0]))
+        return pa.array(out, pa.string())
+
+    left = F.arrow_udf(cut, "string")(F.col("_doc.text"), F.col("spans"))
+    cleaned = marked.withColumn("_left", F.when(F.col("spans").isNull(), F.col("_doc.text")).otherwise(left))
+    stays = cleaned.filter(F.col("spans").isNull() | F.col("_left").rlike(NON_SPACE))
+    return stays.select(F.col("_doc").withField("text", F.col("_left")).alias("_doc")).select("_doc.*")
