@@ -132,9 +132,45 @@ def keep_good(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT)
     rules = docs.select(F.col(host).alias("_host"), text_stats(F.col("text")).alias("_s")).select(
         "_host", *[flags[r].cast("int").alias(r) for r in RULES])
     bad = written(host_verdicts(rules, "_host", limit).filter("rejected").select(F.col("_host").alias("_bad_host")))
-    good = docs.filter(~base_failed(text_stats(F.col("text"))))
+    good = docs.filter(~base_failed(text_stats(F.col("text")))).select(F.struct("*").alias("_doc"))
+    same = F.col(f"_doc.{host}").eqNullSafe(F.col("_bad_host"))
     if bad.count() <= MAX_BROADCAST_HOSTS:
-        return good.join(F.broadcast(bad), F.col(host).eqNullSafe(F.col("_bad_host")), "left_anti")
+        return good.join(F.broadcast(bad), same, "left_anti").select("_doc.*")
     dealt = bad.withColumn("_bad_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int")
-    return good.join(dealt, F.col(host).eqNullSafe(F.col("_bad_host")) & (salt == F.col("_bad_salt")), "left_anti")
+    salt = F.pmod(F.xxhash64("_doc.text"), F.lit(SALTS)).cast("int")
+    return good.join(dealt, same & (salt == F.col("_bad_salt")), "left_anti").select("_doc.*")
+
+
+def quality_sql() -> str:
+    """DuckDB SQL of ``quality_documents`` over documents."""
+    word = r"[^\x20\x09-\x0D]"
+    mean = {r: f"(sum(k_{r}) / sum(n))" for r in RULES}
+    prior = ", ".join(
+        f"{mean[r]} AS p_{r}, (sum(k_{r} * k_{r} / n) - sum(k_{r}) * {mean[r]}) / sum(n) - {mean[r]} * (1 - {mean[r]}) * count(*) / sum(n) AS v_{r}"
+        for r in RULES)
+    strength = ", ".join(
+        f"p_{r}, CASE WHEN p_{r} * (1 - p_{r}) <= v_{r} THEN 1.0 WHEN v_{r} * 1e6 <= p_{r} * (1 - p_{r}) THEN 1e6 "
+        f"ELSE greatest(1.0, p_{r} * (1 - p_{r}) / v_{r} - 1) END AS s_{r}" for r in RULES)
+    failed = ", ".join(f"CAST(sum(CAST({r} AS INTEGER)) AS DOUBLE) AS k_{r}" for r in RULES)
+    worst = "greatest(" + ", ".join(f"(k_{r} + p_{r} * s_{r}) / (n + s_{r})" for r in RULES) + ")"
+    return f"""
+WITH w AS (SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{word}+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{word}')) AS lines FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(words) - 6)) AS i, words FROM w WHERE len(words) >= 9),
+keyed AS (SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS k FROM win),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM keyed) WHERE c > 1),
+covered AS (SELECT doc_id, sum(least(8, coalesce(nxt - i, 8))) AS r FROM (
+    SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM twice) GROUP BY doc_id),
+s AS (SELECT w.doc_id, source, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r, 0) AS BIGINT) AS n_repeat_words
+    FROM w LEFT JOIN covered USING (doc_id)),
+f AS (SELECT *, n_words < 20 AS few_words, 100 * n_repeat_words > 30 * n_words AS repeats, n_symbols * 10 > n_words AS symbols,
+    n_dup_lines * 100 > n_lines * 30 AS dup_lines FROM s),
+h AS (SELECT source, CAST(count(*) AS DOUBLE) AS n, {failed} FROM f GROUP BY source),
+prior AS (SELECT {prior} FROM h),
+strength AS (SELECT {strength} FROM prior),
+verdict AS (SELECT source, {worst} > {HOST_LIMIT} AS rejected FROM h CROSS JOIN strength)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few_words OR repeats AS base_failed,
+    NOT (few_words OR repeats) AND NOT rejected AS kept, rejected AS host_rejected
+FROM f JOIN verdict ON f.source IS NOT DISTINCT FROM verdict.source""".strip()

@@ -48,7 +48,8 @@ def with_slots(df: DataFrame, shard: str, order: str, name: str = "slot") -> Dat
     rows = df.count()
     cells = max(1, -(-rows // ROWS_PER_CELL))
     others = [F.col(c).cast("string") for c in df.columns if c != order]
-    cell = F.pmod(F.xxhash64(F.col(order), F.lit(7)), F.lit(cells))
+    number = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(order).cast("string"), F.lit("")), F.lit(":cell"))), 1, 8), 16, 10)
+    cell = number.cast("bigint") % F.lit(cells)
     marked = df.withColumn("_cell", cell).withColumn("_tie", F.xxhash64(*others))
     counts = marked.groupBy(shard, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(shard).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -77,3 +78,19 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
         shard_of(F.col("doc_id"), one | {shards: 1.0}).alias("grown_shard"))
     return with_slots(narrow, "shard", "doc_id").select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+# DuckDB SQL of ``shard_documents`` over documents; CRC-32 is computed byte by byte from its table.
+SHARD_SQL = """
+WITH RECURSIVE steps(i, k, c) AS (SELECT i, 0, i FROM range(0, 256) t(i)
+    UNION ALL SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END FROM steps WHERE k < 8),
+tbl AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+hexed AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS key, octet_length(encode(coalesce(text, ''))) AS bytes,
+    regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS h FROM documents),
+sums AS (SELECT doc_id, key, bytes, xor(list_reduce(list_prepend(4294967295, list_transform(h, lambda x: CAST('0x' || x AS BIGINT))),
+    lambda a, x: xor(a // 256, t[CAST(xor(a, x) % 256 AS BIGINT) + 1])), 4294967295) AS crc FROM hexed, tbl),
+scored AS (SELECT *, list_transform(range(0, 9), lambda s: -ln((CAST('0x' || substr(md5(key || ':' || s), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)) AS scores,
+    CAST('0x' || substr(md5(key || ':cell'), 1, 8) AS BIGINT) % greatest(1, (SELECT CAST(ceil(count(*) / 20000) AS BIGINT) FROM documents)) AS cell FROM sums),
+dealt AS (SELECT *, list_position(scores[1:8], list_min(scores[1:8])) - 1 AS shard, list_position(scores, list_min(scores)) - 1 AS grown FROM scored)
+SELECT doc_id, CAST(bytes + 1 AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+    row_number() OVER (PARTITION BY shard ORDER BY cell, doc_id) - 1 AS slot, CAST(grown AS INTEGER) AS grown_shard FROM dealt"""
