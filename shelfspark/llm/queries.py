@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfspark.llm import fingerprints, jaccard, licenses, packing, piece_codec, quality, repeats, sharding, token_counts
+from shelfspark.llm import fingerprints, jaccard, licenses, lines, packing, piece_codec, quality, repeats, sharding, token_counts
 from shelfspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,8 +22,9 @@ def _on_documents(name: str, operator: Callable[[DataFrame], DataFrame], sql: st
 _on_documents("op1_license_scans", licenses.license_scan, licenses.license_sql())
 _on_documents("op2_document_fingerprints", fingerprints.edited_fingerprints)
 _on_documents("op3_best_fit_packing", packing.pack_documents)
-_on_documents("op5_sharding", sharding.shard_documents)
-_on_documents("op6_quality_rules", quality.quality_documents)
+_on_documents("op4_line_dedup", lines.line_report)
+_on_documents("op5_sharding", sharding.shard_documents, sharding.SHARD_SQL.strip())
+_on_documents("op6_quality_rules", quality.quality_documents, quality.quality_sql())
 _on_documents("op7_suffix_array_dedup", repeats.repeat_report)
 _on_documents("op8_token_counts", token_counts.token_counts)
 _on_documents("op9_ngram_jaccard_join", jaccard.jaccard_classes)

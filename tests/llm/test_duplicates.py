@@ -163,3 +163,12 @@ def test_long_text(spark):
     docs = spark.createDataFrame([(1, text), (2, text[1000:3000]), (3, text[-500:])], DOCS)
     got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in repeats.repeat_report(docs).collect()}
     assert got == {1: (2500, 2), 2: (2000, 1), 3: (500, 1)}
+
+
+def test_drop_repeats(spark, edge_docs):
+    passage = "Ein längerer Satz über das Wetter. " * 20
+    docs = spark.createDataFrame([(1, "Anfang " + passage, "a"), (2, passage + "é Ende", "b"), (3, "alone " * 3, "c"), (4, None, "d"), (5, passage, "e")],
+                                 "doc_id bigint, text string, spans string")
+    got = {r["doc_id"]: (r["text"].strip() if r["text"] else r["text"], r["spans"]) for r in repeats.drop_repeats(docs).collect()}
+    assert got == {1: ("Anfang", "a"), 2: ("é Ende", "b"), 3: (("alone " * 3).strip(), "c"), 4: (None, "d")}
+    assert repeats.drop_repeats(edge_docs).columns == edge_docs.columns
