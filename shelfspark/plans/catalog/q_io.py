@@ -6,11 +6,11 @@ directory and returns what it reads back, so the oracle is the source table.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfspark.operators import model as M
-from shelfspark.operators.transform import add_row_id
 from shelfspark.plans.catalog.base import CUT, register, sales_view, scratch, table, with_sales
 from shelfspark.plans.catalog.q_features import _TRAIN_CTES, _apply, _fit
 from shelfspark.sources import files as FI
@@ -138,8 +138,9 @@ def q_write_predictions(spark, d):
     root = scratch(spark, "tables")
     test, _, params, model = _trained(spark, d)
     scored = M.score_batch(_apply(test, params), model, "pred_Sales")
-    # (l_orderkey, l_linenumber) repeats in lineitem: the id is a generated unique key, as the feature tables use.
-    keyed = add_row_id(scored.select("l_orderkey", "l_linenumber", "pred_Sales"), "item_id")
+    # (l_orderkey, l_linenumber) repeats in lineitem: the id adds the row's number among equal keys, by prediction.
+    turn = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy("pred_Sales"))
+    keyed = scored.select(F.concat_ws("-", "l_orderkey", "l_linenumber", turn).alias("item_id"), "l_orderkey", "l_linenumber", "pred_Sales")
     TB.write_predictions(spark, root, "predictions", keyed, "item_id")
     return TB.read_table(spark, root, "predictions")
 
