@@ -36,7 +36,9 @@ SENTENCES = {
     "apache2_grant": ["Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
                       "compliance with the License."],
     "apache2_copy": ["You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-                     "You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0"],
+                     "You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0",
+                     "You may obtain a copy of the License at"],
+    "apache2_url": ["http://www.apache.org/licenses/LICENSE-2.0", "https://www.apache.org/licenses/LICENSE-2.0"],
     "apache2_as_is": ["Unless required by applicable law or agreed to in writing, software distributed under the License is "
                       "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."],
     "apache2_see": ["See the License for the specific language governing permissions and limitations under the License."],
@@ -79,6 +81,7 @@ SENTENCES = {
 # Ordered rules (licence, identifiers that stand in a row, kind); longer evidence first.
 RULES = [
     ("MIT", ["mit_grant", "mit_notice", "software_as_is", "authors_not_liable"], "permissive"),
+    ("Apache-2.0", ["apache2_grant", "apache2_copy", "apache2_url", "apache2_as_is", "apache2_see"], "permissive"),
     ("Apache-2.0", ["apache2_grant", "apache2_copy", "apache2_as_is", "apache2_see"], "permissive"),
     ("BSD-3-Clause", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_names"], "permissive"),
     ("GPL-3.0-or-later", ["gpl3_later", "gpl_no_warranty", "gpl_see", "gpl_received"], "copyleft"),
@@ -112,7 +115,8 @@ TRIGGERS = ["licen", "copyright", "warranty", "permission", "redistribution", "r
 UNKNOWN = "unknown"
 CUT = "\x01"
 BLANK_LINES = r"\n[ \t\r\f]*\n"
-SENTENCE_END = r"([\p{L}\p{N})\"]{2}[.!?:])[ \t\n\r\f]+"
+SENTENCE_END = r"([^ \t\n\r\f][\p{L}\p{N})\"][.!?])[ \t\n\r\f]+"
+COLON_END = r"([^ \t\n\r\f][\p{L}\p{N})\"]:)[ \t\n\r\f]+([^\p{Ll}])"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -134,7 +138,8 @@ def _has_trigger(lowered: Column) -> Column:
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the licence-like sentences of a text in their order.
 
-    A sentence ends at '.', '!', '?' or ':' before white space, or at a blank line. Prose
+    A sentence ends at '.', '!' or '?' before white space (not after a single letter), at ':' before anything but a small
+    letter, or at a blank line. Prose
     without punctuation may stand before a licence line, so a known sentence may start at any line
     of the sentence it ends. Sentences with a licence word that are not known give 'unknown'; others give none.
     """
@@ -149,7 +154,7 @@ def sentence_ids(text: Column) -> Column:
     def of_sentence(s: Column) -> Column:
         return let(F.filter(F.split(s, "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]")), look)
 
-    cut = F.regexp_replace(F.regexp_replace(text, BLANK_LINES, CUT), SENTENCE_END, "$1" + CUT)
+    cut = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, BLANK_LINES, CUT), SENTENCE_END, "$1" + CUT), COLON_END, "$1" + CUT + "$2")
     licence_like = F.filter(F.split(cut, CUT), lambda s: _has_trigger(F.lower(s)))
     none = F.array().cast("array<string>")
     return let(F.lower(text), lambda low: F.when(_has_trigger(low), F.transform(licence_like, of_sentence)).otherwise(none))
@@ -211,8 +216,9 @@ def license_sql() -> str:
     last = f"s{len(RULES)}"
     return f"""
 WITH known(sentence, id) AS (VALUES {lookup}),
-cut AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(coalesce(text, ''), '\\n[ \\t\\r\\f]*\\n', chr(1), 'g'),
-    '([\\p{{L}}\\p{{N}})"]{{2}}[.!?:])[ \\t\\n\\r\\f]+', '\\1' || chr(1), 'g'), chr(1)) AS parts FROM documents),
+cut AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '\\n[ \\t\\r\\f]*\\n', chr(1), 'g'),
+    '([^ \\t\\n\\r\\f][\\p{{L}}\\p{{N}})"][.!?])[ \\t\\n\\r\\f]+', '\\1' || chr(1), 'g'),
+    '([^ \\t\\n\\r\\f][\\p{{L}}\\p{{N}})"]:)[ \\t\\n\\r\\f]+([^\\p{{Ll}}])', '\\1' || chr(1) || '\\2', 'g'), chr(1)) AS parts FROM documents),
 numbered AS (SELECT doc_id, unnest(range(1, len(parts) + 1)) AS i, parts FROM cut),
 licence_like AS (SELECT doc_id, i, list_filter(string_split(parts[i], chr(10)), lambda x: regexp_matches(x, '[\\p{{L}}\\p{{N}}]')) AS lines
     FROM numbered WHERE {trigger('lower(parts[i])')}),

@@ -36,6 +36,9 @@ def test_licences(spark):
         8: ("CC-BY-NC-4.0,MIT", "restricted", 0), 9: ("", "none", 0), 10: ("", "none", 0), 11: ("", "none", 0), 12: got[12],
         13: ("Apache-2.0", "permissive", 0), 14: ("MPL-2.0", "copyleft", 0), 15: ("", "unknown", 2)}
     assert "MIT" not in got[12][0]
+    header = "\n".join([SENTENCES["apache2_grant"][0], "You may obtain a copy of the License at\n", "    http://www.apache.org/licenses/LICENSE-2.0\n",
+                        SENTENCES["apache2_as_is"][0], SENTENCES["apache2_see"][0]])
+    assert scan(spark, header) == {0: ("Apache-2.0", "permissive", 0)}
 
 
 def test_edges_match_sql(spark, edge_docs, no_docs, small_docs):
