@@ -208,23 +208,60 @@ def _tag():
     return F.col("date_created") <= F.lit(CUT).cast("date")
 
 
-@register("drift_report")
+def _report_sql(num, cat):
+    """Distance tests of all columns: normed Wasserstein for ``num`` (each has more than five values), Jensen-Shannon for ``cat``."""
+    return f"""
+, un AS ({_long_sql(num, "DOUBLE")})
+, cn AS (SELECT feature, v, sum(is_ref) AS n_ref, sum(1 - is_ref) AS n_cur FROM un WHERE v IS NOT NULL GROUP BY 1, 2)
+, cdf AS (SELECT feature, v, sum(n_ref) OVER (PARTITION BY feature ORDER BY v) / sum(n_ref) OVER (PARTITION BY feature) AS f_ref,
+                 sum(n_cur) OVER (PARTITION BY feature ORDER BY v) / sum(n_cur) OVER (PARTITION BY feature) AS f_cur,
+                 lead(v) OVER (PARTITION BY feature ORDER BY v) AS nv FROM cn)
+, w AS (SELECT feature, COALESCE(sum(abs(f_ref - f_cur) * (nv - v)), 0.0) AS distance FROM cdf GROUP BY 1)
+, sd AS (SELECT feature, sqrt(sum(n_ref * pow(v - m, 2)) / sum(n_ref)) AS ref_std
+         FROM cn JOIN (SELECT feature, sum(v * n_ref) / sum(n_ref) AS m FROM cn GROUP BY 1) mm USING (feature) GROUP BY 1)
+, uc AS ({_long_sql(cat, "VARCHAR")})
+, cc AS (SELECT feature, v, sum(is_ref) AS n_ref, sum(1 - is_ref) AS n_cur FROM uc WHERE v IS NOT NULL GROUP BY 1, 2)
+, sh AS (SELECT feature, CASE WHEN n_ref = 0 THEN 0.0001 ELSE n_ref / sum(n_ref) OVER (PARTITION BY feature) END AS p,
+                CASE WHEN n_cur = 0 THEN 0.0001 ELSE n_cur / sum(n_cur) OVER (PARTITION BY feature) END AS q FROM cc)
+, nz AS (SELECT feature, p / sum(p) OVER (PARTITION BY feature) AS pn, q / sum(q) OVER (PARTITION BY feature) AS qn FROM sh)
+, scores AS (
+    SELECT feature, 'num' AS kind, 'wasserstein' AS test, distance / greatest(COALESCE(ref_std, 0.0), 0.001) AS score FROM w JOIN sd USING (feature)
+    UNION ALL SELECT feature, 'cat', 'jensenshannon',
+        sqrt(greatest(0.0, (sum(pn * ln(pn / ((pn + qn) / 2))) + sum(qn * ln(qn / ((pn + qn) / 2)))) / 2)) FROM nz GROUP BY 1)
+"""
+
+
+_REPORT_SQL = with_sales(_report_sql(_NUM, _CAT) + """
+SELECT feature, kind, test, round(score, 8) AS score, CAST(0.1 AS DOUBLE) AS threshold, score >= 0.1 AS drift, 'ok' AS status FROM scores""")
+
+
+@register("drift_report", _REPORT_SQL)
 def q_drift_report(spark, d):
-    return DR.drift_report_tagged(sales_view(spark, d), _tag(), _NUM + _CAT)
+    return DR.drift_report_tagged(sales_view(spark, d), _tag(), _NUM + _CAT).withColumn("score", F.round("score", 8))
 
 
-@register("drift_report_two_frames")
+@register("drift_report_two_frames", _REPORT_SQL)
 def q_drift_report_two_frames(spark, d):
     ref, cur = _ref_cur(spark, d)
-    return DR.drift_report(ref, cur, _NUM + _CAT)
+    return DR.drift_report(ref, cur, _NUM + _CAT).withColumn("score", F.round("score", 8))
 
 
-@register("drift_decision")
+@register("drift_decision", with_sales(_report_sql(_NUM, _CAT) + """
+SELECT count(*) AS n_columns, CAST(sum(CASE WHEN score >= 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS n_drifted,
+       sum(CASE WHEN score >= 0.1 THEN 1 ELSE 0 END) >= 5 AS drift FROM scores"""))
 def q_drift_decision(spark, d):
     return DR.drift_decision(DR.drift_report_tagged(sales_view(spark, d), _tag(), _NUM + _CAT))
 
 
-@register("drift_monitor")
+_MONITOR_NUM = [*_NUM, "Outlet_Identifier", "Outlet_Establishment_Year"]
+_MONITOR_CAT = [*_CAT, "Item_Identifier"]
+
+
+@register("drift_monitor", with_sales(_report_sql(_MONITOR_NUM, _MONITOR_CAT) + f"""
+, gate AS (SELECT count(*) AS n_cur FROM sales WHERE date_created > DATE '{CUT}')
+, dec AS (SELECT count(*) AS n_columns, CAST(sum(CASE WHEN score >= 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS n_drifted FROM scores)
+SELECT n_cur, n_cur >= 1000 AS gate, CASE WHEN n_cur >= 1000 THEN n_columns ELSE 0 END AS n_columns,
+       CASE WHEN n_cur >= 1000 THEN n_drifted ELSE 0 END AS n_drifted, n_cur >= 1000 AND n_drifted >= 5 AS drift FROM gate, dec"""))
 def q_drift_monitor(spark, d):
     s = sales_view(spark, d).drop("l_orderkey", "l_linenumber")
     return DR.drift_monitor(s, "date_created", CUT)
