@@ -123,12 +123,17 @@ def q_read_records(spark, d):
     return FI.read_records(spark, path, schema)
 
 
-@register("save_load_fitted", with_sales(_TRAIN_CTES + "SELECT Item_Identifier, mode FROM gap_table"))
+@register("save_load_fitted", with_sales(_TRAIN_CTES + "SELECT 'mode' AS part, Item_Identifier AS name, mode AS value FROM gap_table "
+          "UNION ALL SELECT 'global', '', (SELECT gmode FROM train_gmode) " + " ".join(
+              f"UNION ALL SELECT 'cut', '{i}', round(quantile_cont(Item_MRP, {i / 4}), 6) FROM train_filled" for i in range(5))))
 def q_save_load_fitted(spark, d):
     path = scratch(spark, "fitted")
     _, _, _, params = _fit(spark, d)
     FT.save_fitted(spark, params, path)
-    return FT.load_fitted(spark, path).modes
+    back = FT.load_fitted(spark, path)
+    rest = [("global", "", float(back.global_mode))] + [("cut", str(i), round(c, 6)) for i, c in enumerate(back.cuts)]
+    modes = back.modes.select(F.lit("mode").alias("part"), F.col("Item_Identifier").alias("name"), F.col("mode").cast("double").alias("value"))
+    return modes.unionByName(spark.createDataFrame(rest, "part string, name string, value double"))
 
 
 @register("write_predictions")
