@@ -7,7 +7,8 @@ frequent tokens last (by counts over all documents in a table of fixed size), an
 they order tokens of like frequency.
 
 Two more bounds spare most candidates the shipping of whole sets: what can follow the first shared token in
-both sets must be enough, and the token counts per cell of two sets (one byte a token) bound what they share.
+both sets must be enough, and the token counts per cell of two sets (one byte a token) bound what they share. Where all
+pairs of a key are made, the parities of 504 cells bound the difference of two sets in the join itself.
 
 A document's tokens are 64-bit hashes of its five-word shingles. Documents with the same set are one node.
 """
@@ -33,6 +34,8 @@ LOG_CELLS = 20
 CELL_ROWS = 64
 TOKEN_BITS = 26
 DOCUMENT_BITS = 24
+PARITY_GROUPS = 9  # of 7 bytes
+MARKS_AT = 8 + 7 * PARITY_GROUPS
 
 
 def prefix_length(n: np.ndarray | int, t: Fraction):
@@ -177,8 +180,14 @@ def _packed(tokens: np.ndarray) -> bytes:
     return tokens.tobytes()
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """Whether the number of tokens is odd in each of 504 cells: two sets differ in at least as many tokens as bits."""
+    odd = np.bincount((mix(tokens, 77) % np.uint64(PARITY_GROUPS * 56)).astype(np.int64), minlength=PARITY_GROUPS * 56) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _marked(tokens: np.ndarray) -> bytes:
-    return len(tokens).to_bytes(8, "little") + cell_marks(tokens)
+    return len(tokens).to_bytes(8, "little") + parities(tokens) + cell_marks(tokens)
 
 
 def _alike(pairs: DataFrame, marks: DataFrame, t: Fraction) -> DataFrame:
@@ -188,7 +197,7 @@ def _alike(pairs: DataFrame, marks: DataFrame, t: Fraction) -> DataFrame:
             good = []
             for x, y in zip(batch["va"].to_pylist(), batch["vb"].to_pylist()):
                 nx, ny = int.from_bytes(x[:8], "little"), int.from_bytes(y[:8], "little")
-                both = min(most_common(x[8:], y[8:], nx, ny), nx, ny)
+                both = min(most_common(x[MARKS_AT:], y[MARKS_AT:], nx, ny), nx, ny)
                 good.append(both * t.denominator >= t.numerator * (nx + ny - both))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
@@ -241,7 +250,14 @@ def _classes(docs: DataFrame, t: Fraction, orders: int) -> DataFrame:
     # From the first shared token on, at most the rest of either set is shared: t / (1 + t) of both sizes is needed.
     fits = lambda a, b: (F.least(a("size") - a("place"), b("size") - b("place")) * (t.numerator + t.denominator)
                          >= (a("size") + b("size")) * t.numerator)
-    labels = link_members(members, test, fits)
+    group = lambda g: F.conv(F.hex(F.substring("marks", 9 + 7 * g, 7)), 16, 10).cast("bigint").alias(f"odd{g}")
+    facts = marks.select("node", *[group(g) for g in range(PARITY_GROUPS)])
+
+    def alike(a, b):
+        differ = sum((F.bit_count(a(f"odd{g}").bitwiseXOR(b(f"odd{g}"))) for g in range(1, PARITY_GROUPS)), F.bit_count(a("odd0").bitwiseXOR(b("odd0"))))
+        return differ * (t.numerator + t.denominator) <= (a("size") + b("size")) * (t.denominator - t.numerator)
+
+    labels = link_members(members, test, fits, facts, alike)
     labelled = first.join(labels, "node", "left").select("node", "node2", "doc_id", F.coalesce("label", "node").alias("label"))
     lowest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of_set = labelled.join(lowest, "label").select("node", "node2", "component_id")

@@ -33,7 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u"), F.col("m").alias("v")),
@@ -53,18 +53,20 @@ def _measure(edges: DataFrame) -> tuple:
 
 
 def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
-                 fits: Callable[[Callable, Callable], Column] = lambda a, b: F.lit(True)) -> DataFrame:
+                 fits: Callable[[Callable, Callable], Column] = lambda a, b: F.lit(True),
+                 facts: DataFrame | None = None, facts_fit: Callable[[Callable, Callable], Column] | None = None) -> DataFrame:
     """node, label of every node linked to another one.
 
     ``members`` (a written table of key, node, size, place, hub) has the keys that two different nodes at least share; ``hub``
     tells which members a pair needs one of. ``fits`` gets two members (functions from size or place to a column) and
     tells whether the key allows their pair to link; a pair that links must fit by one of its keys. ``test`` takes
-    distinct pairs (a, b), a < b, and returns those that link.
+    distinct pairs (a, b), a < b, and returns those that link. ``facts`` (node and more columns) are joined to the members
+    whose pairs are all made at the end, and a pair must also pass ``facts_fit`` on them.
     """
     n_members = members.count()
     own, of_hub = F.col, lambda c: F.col(f"h.{c}")
-    facts = F.struct("node", "size", "place")
-    hubs = members.filter("hub").groupBy("key").agg(F.min(facts).alias("h1"), F.max(facts).alias("h2"))
+    place = F.struct("node", "size", "place")
+    hubs = members.filter("hub").groupBy("key").agg(F.min(place).alias("h1"), F.max(place).alias("h2"))
     pairs = members.join(hubs, "key").select("node", "size", "place", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("h")).filter(
         fits(own, of_hub)).select("node", F.col("h.node").alias("h"))
     tested = kept_table(_ordered(pairs), "pairs")
@@ -78,9 +80,11 @@ def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
         last = bound <= PAIRS_PER_MEMBER * n_members or bound > ENOUGH_PROGRESS * before or turn == MOST_HUB_ROUNDS - 1
         before = bound
         if last:
-            a, b = open_members.alias("a"), open_members.alias("b")
+            known = open_members if facts is None else open_members.join(facts, "node")
+            a, b = known.alias("a"), known.alias("b")
+            more = F.lit(True) if facts_fit is None else facts_fit(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}"))
             pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))).filter(
-                "a.label != b.label and (a.hub or b.hub)").filter(fits(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}"))).select(
+                "a.label != b.label and (a.hub or b.hub)").filter(fits(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}")) & more).select(
                 F.col("a.node").alias("node"), F.col("b.node").alias("h"))
         else:
             order = F.xxhash64("node", F.lit(turn))
