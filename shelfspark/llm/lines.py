@@ -3,8 +3,9 @@
 A line is cut into ``edits + 1`` segments. If another line differs by at most ``edits`` edits, one
 segment of the shorter line stands unchanged in the longer one, and only at a few places: left of
 segment i lie at most i - 1 edits, right of it at most ``edits + 1 - i``. Segments are indexed by (line length,
-segment number, hash) and lines of each length from ``n - edits`` to ``n`` are probed at those places. What
-shares a key is verified by a banded bit-parallel edit distance over code points.
+segment number, hash) and lines of each length from ``n - edits`` to ``n`` are probed at those places. An edit
+changes at most two of the counts of symbols by class, so lines whose counts differ by more than twice the edits
+are not paired. What is left is verified by a banded bit-parallel edit distance over code points.
 
 Lines that are linked, directly or through others, are one class; equal lines are one node. The first line
 of a class (lowest doc_id, then line number) stays.
@@ -30,6 +31,8 @@ SHORTEST = 12  # shorter lines are alike only if equal
 INDEX_BITS = 26
 SHARED_BITS = 25
 NODE_BITS = 24
+CLASSES = 8
+CLASS_BITS = 7
 
 _symbols: list[np.ndarray] = []
 
@@ -60,6 +63,13 @@ class _Segmented:
         self.segments = Segments(_symbol_values()[symbols])
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.edits = edits
+        self.classes = _symbol_values()[symbols] >> np.uint64(61)
+
+    def counts(self) -> np.ndarray:
+        """Symbols of each class in each line, CLASS_BITS each in one integer (larger counts as the most that fits)."""
+        row = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        table = np.bincount(row * CLASSES + self.classes.astype(np.int64), minlength=len(self.lengths) * CLASSES).reshape(-1, CLASSES)
+        return (np.minimum(table, (1 << CLASS_BITS) - 1) << (np.arange(CLASSES) * CLASS_BITS)).sum(axis=1)
 
     def _cut(self, lengths: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray]:
         """Place and size of segment i of lines of the given lengths: sizes differ by one at most, longer ones last."""
@@ -139,7 +149,8 @@ def _index_keys(docs: DataFrame, edits: int) -> DataFrame:
 
 
 def _keys(docs: DataFrame, edits: int, indexed, shared=None) -> DataFrame:
-    """key, node, size, hub: all index keys (hub) and the probes that the index may hold; only keys that pass ``shared`` if given."""
+    """key, node, size, place (symbol counts), hub: all index keys (hub) and the probes that the index may hold; only keys
+    that pass ``shared`` if given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
@@ -156,10 +167,11 @@ def _keys(docs: DataFrame, edits: int, indexed, shared=None) -> DataFrame:
                 if shared is not None:
                     there = passes(shared.value, key)
                     row, key, hub = row[there], key[there], hub[there]
-                yield pa.RecordBatch.from_arrays([signed(key), pa.array(nodes[row]), pa.array(segmented.lengths[row]), pa.array(hub)],
-                                                 ["key", "node", "size", "hub"])
+                place = segmented.counts()[row] if shared is not None else np.zeros(len(row), np.int64)
+                yield pa.RecordBatch.from_arrays([signed(key), pa.array(nodes[row]), pa.array(segmented.lengths[row]), pa.array(place), pa.array(hub)],
+                                                 ["key", "node", "size", "place", "hub"])
 
-    return docs.select("text").mapInArrow(tidy(run), "key long, node long, size long, hub boolean")
+    return docs.select("text").mapInArrow(tidy(run), "key long, node long, size long, place long, hub boolean")
 
 
 def _members(docs: DataFrame, edits: int) -> DataFrame:
@@ -169,8 +181,8 @@ def _members(docs: DataFrame, edits: int) -> DataFrame:
     per_key = _keys(docs, edits, indexed).groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("hub").alias("hub"))
     shared = kept_table(per_key.filter("lo != hi and hub").select("key"), "shared")
     bits = sc.broadcast(bit_filter(shared, F.col("key"), SHARED_BITS))
-    rows = _keys(docs, edits, indexed, bits).groupBy("key", "node", "size").agg(F.max("hub").alias("hub"))
-    return kept_table(rows.join(shared, "key").select("key", "node", "size", F.lit(0).alias("place"), "hub"), "members")
+    rows = _keys(docs, edits, indexed, bits).groupBy("key", "node", "size", "place").agg(F.max("hub").alias("hub"))
+    return kept_table(rows.join(shared, "key").select("key", "node", "size", "place", "hub"), "members")
 
 
 def _line_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -214,7 +226,13 @@ def line_classes(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """
     members = _members(docs, edits)
     lines = _line_table(docs, members.select("node").distinct())
-    labels = link_members(members, lambda pairs: _verify(pairs, lines, edits), lambda a, b: F.abs(a("size") - b("size")) <= edits)
+    count = lambda m, i: F.shiftright(m("place"), i * CLASS_BITS).bitwiseAND((1 << CLASS_BITS) - 1)
+
+    def fits(a, b):
+        apart = sum((F.abs(count(a, i) - count(b, i)) for i in range(1, CLASSES)), F.abs(count(a, 0) - count(b, 0)))
+        return (F.abs(a("size") - b("size")) <= edits) & (apart <= 2 * edits)
+
+    labels = link_members(members, lambda pairs: _verify(pairs, lines, edits), fits)
     rows = line_rows(docs).join(labels, "node", "left").select("doc_id", "row", "line_no", F.coalesce("label", "node").alias("label"))
     first = rows.groupBy("label").agg(F.min(F.struct("doc_id", "line_no", "row")).alias("f"))
     kept = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("line_no") == F.col("f.line_no")) & (F.col("row") == F.col("f.row"))
