@@ -4,8 +4,8 @@ A line is cut into ``edits + 1`` segments. If another line differs by at most ``
 segment of the shorter line stands unchanged in the longer one, and only at a few places: left of
 segment i lie at most i - 1 edits, right of it at most ``edits + 1 - i``. Segments are indexed by (line length,
 segment number, hash) and lines of each length from ``n - edits`` to ``n`` are probed at those places. An edit
-changes at most two of the counts of symbols by class, so lines whose counts differ by more than twice the edits
-are not paired. What is left is verified by a banded bit-parallel edit distance over code points.
+touches at most four pairs of neighbouring symbols, so lines whose pairs differ in parity in more than four classes an
+edit are not paired. What is left is verified by a banded bit-parallel edit distance over code points.
 
 Lines that are linked, directly or through others, are one class; equal lines are one node. The first line
 of a class (lowest doc_id, then line number) stays.
@@ -31,8 +31,7 @@ SHORTEST = 12  # shorter lines are alike only if equal
 INDEX_BITS = 26
 SHARED_BITS = 25
 NODE_BITS = 24
-CLASSES = 8
-CLASS_BITS = 7
+CLASSES = 64
 
 _symbols: list[np.ndarray] = []
 
@@ -63,13 +62,16 @@ class _Segmented:
         self.segments = Segments(_symbol_values()[symbols])
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.edits = edits
-        self.classes = _symbol_values()[symbols] >> np.uint64(61)
+        # Class of each pair of neighbouring symbols (the last symbol of a line has none).
+        values = _symbol_values()[symbols]
+        self.classes = (mix(values[:-1] * np.uint64(3) + values[1:], 41) >> np.uint64(58)).astype(np.int64)
 
-    def counts(self) -> np.ndarray:
-        """Symbols of each class in each line, CLASS_BITS each in one integer (larger counts as the most that fits)."""
+    def parities(self) -> np.ndarray:
+        """Whether each class of symbol pairs occurs an odd number of times in each line, one bit a class."""
         row = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        table = np.bincount(row * CLASSES + self.classes.astype(np.int64), minlength=len(self.lengths) * CLASSES).reshape(-1, CLASSES)
-        return (np.minimum(table, (1 << CLASS_BITS) - 1) << (np.arange(CLASSES) * CLASS_BITS)).sum(axis=1)
+        inner = row[:-1] == row[1:]
+        odd = np.bincount((row[:-1] * CLASSES + self.classes)[inner], minlength=len(self.lengths) * CLASSES).reshape(-1, CLASSES) & 1
+        return (odd.astype(np.uint64) << np.arange(CLASSES, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
 
     def _cut(self, lengths: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray]:
         """Place and size of segment i of lines of the given lengths: sizes differ by one at most, longer ones last."""
@@ -149,7 +151,7 @@ def _index_keys(docs: DataFrame, edits: int) -> DataFrame:
 
 
 def _keys(docs: DataFrame, edits: int, indexed, shared=None) -> DataFrame:
-    """key, node, size, place (symbol counts), hub: all index keys (hub) and the probes that the index may hold; only keys
+    """key, node, size, place (parities), hub: all index keys (hub) and the probes that the index may hold; only keys
     that pass ``shared`` if given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,7 +169,7 @@ def _keys(docs: DataFrame, edits: int, indexed, shared=None) -> DataFrame:
                 if shared is not None:
                     there = passes(shared.value, key)
                     row, key, hub = row[there], key[there], hub[there]
-                place = segmented.counts()[row] if shared is not None else np.zeros(len(row), np.int64)
+                place = segmented.parities()[row] if shared is not None else np.zeros(len(row), np.int64)
                 yield pa.RecordBatch.from_arrays([signed(key), pa.array(nodes[row]), pa.array(segmented.lengths[row]), pa.array(place), pa.array(hub)],
                                                  ["key", "node", "size", "place", "hub"])
 
@@ -226,12 +228,8 @@ def line_classes(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """
     members = _members(docs, edits)
     lines = _line_table(docs, members.select("node").distinct())
-    count = lambda m, i: F.shiftright(m("place"), i * CLASS_BITS).bitwiseAND((1 << CLASS_BITS) - 1)
-
-    def fits(a, b):
-        apart = sum((F.abs(count(a, i) - count(b, i)) for i in range(1, CLASSES)), F.abs(count(a, 0) - count(b, 0)))
-        return (F.abs(a("size") - b("size")) <= edits) & (apart <= 2 * edits)
-
+    fits = lambda a, b: (F.abs(a("size") - b("size")) <= edits) & (
+        F.bit_count(a("place").bitwiseXOR(b("place"))) <= 4 * edits)
     labels = link_members(members, lambda pairs: _verify(pairs, lines, edits), fits)
     rows = line_rows(docs).join(labels, "node", "left").select("doc_id", "row", "line_no", F.coalesce("label", "node").alias("label"))
     first = rows.groupBy("label").agg(F.min(F.struct("doc_id", "line_no", "row")).alias("f"))
