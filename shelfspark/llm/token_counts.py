@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfspark.llm.common import written
+from shelfspark.llm.hashing import tidy
 from shelfspark.llm.wordids import encoder, slices
 
 BLOCK = 1024
@@ -29,7 +31,7 @@ def document_lengths(docs: DataFrame, tokenizer: str | None = None) -> DataFrame
             for part in slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(enc.counts(part["text"]), pa.int64())], ["doc_id", "n_tokens"])
 
-    return docs.select("doc_id", "text").mapInArrow(count, docs.select("doc_id").schema.add("n_tokens", "long"))
+    return docs.select("doc_id", "text").mapInArrow(tidy(count), docs.select("doc_id").schema.add("n_tokens", "long"))
 
 
 def length_histogram(lengths: DataFrame, column: str = "n_tokens") -> DataFrame:
@@ -62,7 +64,7 @@ def context_table(lengths: DataFrame) -> DataFrame:
     limit) over all documents), dropped_tokens, and quantile (share of documents no longer than the limit).
     Limits between two rows are exact by ``truncated_total``. An empty table gives an empty result.
     """
-    sums = suffix_sums(length_histogram(lengths))
+    sums = suffix_sums(written(length_histogram(lengths)))  # read by several branches: texts are encoded once
     total = sums.agg(F.struct(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t")).alias("a")).scalar()
     cut = F.col("longer_tokens") - F.col("longer_docs") * F.col("n_tokens")
     return sums.withColumn("_a", total).select(
