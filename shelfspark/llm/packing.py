@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfspark.llm.common import written
+from shelfspark.llm.hashing import tidy
 from shelfspark.llm.token_counts import default_tokenizer
 from shelfspark.llm.wordids import encoder, slices
 
@@ -70,7 +71,7 @@ def document_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str |
     schema = docs.select("doc_id").schema.add("piece", "integer").add("start", "long").add("length", "long").add("ids_crc32", "long")
     if with_ids:
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(cut), schema)
 
 
 def _sweep(counts: dict[tuple[int, int, int], int]) -> tuple[list[tuple], int, dict[str, int]]:

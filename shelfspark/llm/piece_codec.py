@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from shelfspark.llm.hashing import tidy
 from shelfspark.llm.wordids import _Ids, slices
 
 MARK = "▁"
@@ -186,7 +187,7 @@ def encode_documents(docs: DataFrame, model: str | None = None, threads: int = 2
                 ids, starts, _ = codec(path, threads).encode(part["text"])
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids))], ["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, docs.select("doc_id").schema.add("ids", T.ArrayType(T.IntegerType())))
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), docs.select("doc_id").schema.add("ids", T.ArrayType(T.IntegerType())))
 
 
 def decode_documents(coded: DataFrame, model: str | None = None, threads: int = 2) -> DataFrame:
@@ -198,7 +199,7 @@ def decode_documents(coded: DataFrame, model: str | None = None, threads: int =
             texts = codec(path, threads).decode([x or [] for x in batch["ids"].to_pylist()])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return coded.select("doc_id", "ids").mapInArrow(run, coded.select("doc_id").schema.add("text", "string"))
+    return coded.select("doc_id", "ids").mapInArrow(tidy(run), coded.select("doc_id").schema.add("text", "string"))
 
 
 def encoding_report(docs: DataFrame, model: str | None = None, threads: int = 2) -> DataFrame:
@@ -221,4 +222,4 @@ def encoding_report(docs: DataFrame, model: str | None = None, threads: int = 2)
                     ["doc_id", "n_tokens", "ids_crc32", "parity"])
 
     schema = docs.select("doc_id").schema.add("n_tokens", "long").add("ids_crc32", "long").add("parity", "boolean")
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)

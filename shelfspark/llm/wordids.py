@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 16 << 20
-MOST_KNOWN = 1_500_000
+BATCH_BYTES = 4 << 20
+MOST_KNOWN = 500_000
 # A run of Latin letters: its normal form and lower case are one letter each, and it is one word to the pre-tokenizer.
 LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
 # Such a run with one mark after it, which is always a word of its own.
