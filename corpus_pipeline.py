@@ -28,8 +28,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out byte strings of 400 bytes and more that start at two places; documents left without a word go."""
-    return repeats.drop_repeats(docs)
+    """Takes out passages of over 50 words, and byte strings of 400 bytes and more, that start at two places; documents left without a word go."""
+    return repeats.drop_repeats(docs, words=repeats.PASSAGE_WORDS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,9 @@ remains are groups with different surroundings.
 
 Last pass. One anchor of each kind of such a group gives its single windows, which are grouped
 by all their bytes. Hashes of 64 bits stand for the digits.
+
+The same passes over words (runs of non-blank bytes, one symbol each) find windows of ``depth`` words that start at two
+places, whatever their length in bytes and the blanks between them.
 """
 
 from __future__ import annotations
@@ -28,9 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm.common import NON_SPACE, kept_table
-from shelfspark.llm.hashing import Segments, bit_filter, buffers, byte_values, mix, passes, signed, text_slices, tidy
+from shelfspark.llm.hashing import _SPACE, Segments, bit_filter, buffers, byte_values, mix, passes, signed, text_slices, tidy
 
 DEPTH = 400
+PASSAGE_WORDS = 51
+BYTES, WORDS = "bytes", "words"
 ANCHOR_BITS = 25
 PLACE_BITS = 25
 
@@ -66,11 +71,23 @@ def _anchors(lengths: np.ndarray, offsets: np.ndarray, segments: Segments, depth
     return at, lo, hi, mix(segments.hashes(at, at + k), 31), around, doc
 
 
-def _scan(part: pa.RecordBatch, depth: int):
+def _word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a batch's texts start and end (places in the batch)."""
+    space = np.concatenate([[True], _SPACE[data], [True]])
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    inside = ~space[1:-1]
+    return np.flatnonzero(inside & (space[:-2] | edge[:-1])), np.flatnonzero(inside & (space[2:] | edge[1:])) + 1
+
+
+def _scan(part: pa.RecordBatch, depth: int, unit: str):
+    """Where each text's symbols start, their segments and their anchors."""
     data, offsets = buffers(part["text"])
-    lengths = np.diff(offsets)
     segments = Segments(byte_values(data))
-    return data, offsets, lengths, segments, _anchors(lengths, offsets, segments, depth)
+    if unit == WORDS:
+        starts, ends = _word_bounds(data, offsets)
+        segments, offsets = Segments(segments.hashes(starts, ends)), np.searchsorted(starts, offsets)
+    return offsets, segments, _anchors(np.diff(offsets), offsets, segments, depth)
 
 
 def _place_key(row: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -81,21 +98,21 @@ def _source(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
 
 
-def _anchor_keys(docs: DataFrame, depth: int) -> DataFrame:
+def _anchor_keys(docs: DataFrame, depth: int, unit: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                yield pa.RecordBatch.from_arrays([signed(_scan(part, depth)[4][3])], ["key"])
+                yield pa.RecordBatch.from_arrays([signed(_scan(part, depth, unit)[2][3])], ["key"])
 
     return docs.select("text").mapInArrow(tidy(run), "key long")
 
 
-def _shared_anchors(docs: DataFrame, depth: int, bits) -> DataFrame:
+def _shared_anchors(docs: DataFrame, depth: int, unit: str, bits) -> DataFrame:
     """key, around, row, and within the text: place, lo, hi of the anchors that pass the filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                _, offsets, _, _, (at, lo, hi, key, around, doc) = _scan(part, depth)
+                offsets, _, (at, lo, hi, key, around, doc) = _scan(part, depth, unit)
                 keep = passes(bits.value, key)
                 at, lo, hi, key, around, doc = (x[keep] for x in (at, lo, hi, key, around, doc))
                 row = part["row"].to_numpy()[doc]
@@ -106,14 +123,14 @@ def _shared_anchors(docs: DataFrame, depth: int, bits) -> DataFrame:
     return _source(docs).select("row", "text").mapInArrow(tidy(run), "key long, around long, row long, place long, lo long, hi long")
 
 
-def _windows(docs: DataFrame, depth: int, rows, places, again=None) -> DataFrame:
-    """window (hash of its bytes), row, start of every window of the anchors whose row and (row, place) pass the filters;
+def _windows(docs: DataFrame, depth: int, unit: str, rows, places, again=None) -> DataFrame:
+    """window (hash of its symbols), row, start of every window of the anchors whose row and (row, place) pass the filters;
     only windows that pass ``again`` if given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(passes(rows.value, batch["row"].to_numpy())))
             for part in text_slices(batch):
-                _, offsets, _, segments, (at, lo, hi, _, _, doc) = _scan(part, depth)
+                offsets, segments, (at, lo, hi, _, _, doc) = _scan(part, depth, unit)
                 row = part["row"].to_numpy()
                 keep = passes(places.value, _place_key(row[doc], at - offsets[doc]))
                 lo, n, doc = lo[keep], (hi - lo + 1)[keep], doc[keep]
@@ -128,12 +145,12 @@ def _windows(docs: DataFrame, depth: int, rows, places, again=None) -> DataFrame
     return _source(docs).select("row", "text").mapInArrow(tidy(run), "window long, row long, start long")
 
 
-def repeated_spans(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """row, spans: per text (xxhash64 of id and text) an array of (from, to) byte ranges whose union repeats elsewhere."""
+def repeated_spans(docs: DataFrame, depth: int = DEPTH, unit: str = BYTES) -> DataFrame:
+    """row, spans: per text (xxhash64 of id and text) an array of (from, to) ranges of its bytes or words whose union repeats elsewhere."""
     spark = docs.sparkSession
-    twice = _anchor_keys(docs, depth).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    twice = _anchor_keys(docs, depth, unit).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     bits = spark.sparkContext.broadcast(bit_filter(twice, F.col("key"), ANCHOR_BITS))
-    anchors = kept_table(_shared_anchors(docs, depth, bits), "anchors")
+    anchors = kept_table(_shared_anchors(docs, depth, unit, bits), "anchors")
     kinds = kept_table(anchors.groupBy("key", "around").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "place")).alias("one")), "kinds")
     whole = anchors.join(kinds.filter("n > 1").select("key", "around"), ["key", "around"], "left_semi").select(
@@ -142,10 +159,10 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     ones = kept_table(kinds.join(mixed, "key", "left_semi").select("one.row", "one.place", (F.col("n") == 1).alias("alone")), "ones")
     places = spark.sparkContext.broadcast(bit_filter(_place_keys(ones), F.col("place_key"), PLACE_BITS))
     rows = spark.sparkContext.broadcast(bit_filter(ones, F.col("row"), PLACE_BITS))
-    windows = _windows(docs, depth, rows, places)
+    windows = _windows(docs, depth, unit, rows, places)
     again = kept_table(windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window"), "again")
     more = spark.sparkContext.broadcast(bit_filter(again, F.col("window"), PLACE_BITS))
-    single = _windows(docs, depth, rows, places, more).join(again, "window", "left_semi").select("row", F.col("start").alias("from"), (F.col("start") + depth).alias("to"))
+    single = _windows(docs, depth, unit, rows, places, more).join(again, "window", "left_semi").select("row", F.col("start").alias("from"), (F.col("start") + depth).alias("to"))
     return whole.unionByName(single).groupBy("row").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
 
 
@@ -224,23 +241,39 @@ def repeat_report(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     return _in_two(docs.select("doc_id", "text"), kept_table(repeated_spans(docs, depth), "spans"), ["doc_id"], run, schema)
 
 
-def drop_repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+def _in_bytes(text: bytes, spans) -> list[dict[str, int]]:
+    """Spans of words as spans of bytes, from the first word's first byte to the last word's last."""
+    starts, ends = _word_bounds(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    return [{"from": int(starts[s["from"]]), "to": int(ends[s["to"] - 1])} for s in spans]
+
+
+def drop_repeats(docs: DataFrame, depth: int = DEPTH, words: int | None = None) -> DataFrame:
     """The documents without their repeated bytes, with all their columns.
 
-    A character that is cut goes as a whole. A document that loses every word is dropped; one that loses nothing stays
-    as it is. Other columns keep their values.
+    With ``words``, passages of that many words that start at two places go too, from their first word to their last;
+    what stands between words there may differ. A character that is cut goes as a whole. A document that loses every
+    word is dropped; one that loses nothing stays as it is. Other columns keep their values.
     """
     whole = docs.select("doc_id", "text", F.struct("*").alias("_doc"))
-    spans = kept_table(repeated_spans(docs, depth), "spans").select(F.col("row").alias("_row"), "spans")
+    spans = repeated_spans(docs, depth).withColumn("words", F.lit(None).cast("array<struct<from:bigint,to:bigint>>"))
+    if words is not None:
+        of_words = repeated_spans(docs, words, WORDS).withColumnRenamed("spans", "words")
+        spans = spans.drop("words").join(of_words, "row", "full")
+    spans = kept_table(spans, "spans").select(F.col("row").alias("_row"), "spans", "words")
     marked = whole.select("_doc", F.xxhash64("doc_id", "text").alias("_key")).join(spans, F.col("_key") == F.col("_row"), "left")
 
-    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    def cut(texts: pa.Array, spans: pa.Array, words: pa.Array) -> pa.Array:
         out = []
-        for text, s in zip(texts.to_pylist(), spans.to_pylist()):
-            out.append(text if not s or text is None else "".join(p.decode("utf-8", "ignore") for p in _kept(text.encode(), s)[0]))
+        for text, s, w in zip(texts.to_pylist(), spans.to_pylist(), words.to_pylist()):
+            if text is None or not s and not w:
+                out.append(text)
+                continue
+            raw = text.encode()
+            parts, _, _ = _kept(raw, (s or []) + (_in_bytes(raw, w) if w else []))
+            out.append("".join(p.decode("utf-8", "ignore") for p in parts))
         return pa.array(out, pa.string())
 
-    left = F.arrow_udf(cut, "string")(F.col("_doc.text"), F.col("spans"))
-    cleaned = marked.withColumn("_left", F.when(F.col("spans").isNull(), F.col("_doc.text")).otherwise(left))
-    stays = cleaned.filter(F.col("spans").isNull() | F.col("_left").rlike(NON_SPACE))
+    left = F.arrow_udf(cut, "string")(F.col("_doc.text"), F.col("spans"), F.col("words"))
+    cleaned = marked.withColumn("_left", F.when(F.col("_row").isNull(), F.col("_doc.text")).otherwise(left))
+    stays = cleaned.filter(F.col("_row").isNull() | F.col("_left").rlike(NON_SPACE))
     return stays.select(F.col("_doc").withField("text", F.col("_left")).alias("_doc")).select("_doc.*")

@@ -79,6 +79,39 @@ def test_stages_match_brute_force(spark):
     assert {r["doc_id"] for r in packed} == set(texts)
 
 
+def brute_passages(rows, n):
+    """Texts without the windows of n words that start at two places, cut from their first word to their last."""
+    spans = {d: [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", t)] for d, t in rows}
+    windows = {d: [tuple(t[a:b] for a, b in spans[d][i:i + n]) for i in range(len(spans[d]) - n + 1)] for d, t in rows}
+    count = Counter(w for ws in windows.values() for w in ws)
+    out = {}
+    for d, t in rows:
+        gone = {x for i, w in enumerate(windows[d]) if count[w] > 1 for x in range(spans[d][i][0], spans[d][i + n - 1][1])}
+        left = "".join(c for i, c in enumerate(t) if i not in gone)
+        if not gone or left.strip(BLANK):
+            out[d] = left
+    return out
+
+
+def test_passages_of_over_fifty_words(spark):
+    """Passages of 51 to 60 short words, under 400 bytes, go from documents that share them; of 50 words they stay."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghé") for _ in range(rng.randint(1, 4)))
+    run = lambda n: [word() for _ in range(n)]
+    texts = [" ".join(run(200)) for _ in range(5)]
+    for n in (50, 51, 55, 60):
+        p = run(n)
+        assert len(" ".join(p).encode()) < 400
+        texts += [" ".join(run(70) + p + run(70)), " ".join(run(70)) + " \n" + "\t".join(p) + "\n" + " ".join(run(70)), " ".join(run(70) + p)]
+    p = run(58)
+    texts += [" ".join(p + run(90)), " ".join(p), " ".join(run(50) + p[3:56] + run(50) + p[:54])]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame([(d, t, "en", "src", len(t)) for d, t in rows], DOCS)
+    got = rows_of(dict(corpus_pipeline.STAGES)["suffix_array_dedup"](spark, docs, ""))
+    assert got == brute_passages(rows, 51)
+    assert [got[d] == texts[d] for d in range(17)] == [True] * 8 + [False] * 9 and 18 not in got
+
+
 def test_run_over_given_documents(spark):
     from shelfspark.session import get_session  # noqa: F401
 
