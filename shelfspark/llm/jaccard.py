@@ -232,7 +232,7 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _classes(docs: DataFrame, t: Fraction, orders: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id of every row."""
+    """doc_id, text_hash, n_shingles, component_id of every row, and label: the name of its component (null without words)."""
     spark = docs.sparkSession
     all_sets = kept_table(_sets(docs), "sets-and-counts")
     weights = spark.sparkContext.broadcast(_weights(all_sets.filter("cells is not null").select("cell_row", "cells")))
@@ -260,9 +260,9 @@ def _classes(docs: DataFrame, t: Fraction, orders: int) -> DataFrame:
     labels = link_members(members, test, fits, facts, alike)
     labelled = first.join(labels, "node", "left").select("node", "node2", "doc_id", F.coalesce("label", "node").alias("label"))
     lowest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_set = labelled.join(lowest, "label").select("node", "node2", "component_id")
+    of_set = labelled.join(lowest, "label").select("node", "node2", "label", "component_id")
     linked = base.join(of_set, ["node", "node2"], "left")
-    return linked.select("doc_id", "text_hash", "n_shingles",
+    return linked.select("doc_id", "text_hash", "n_shingles", "label",
                          F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
@@ -280,14 +280,14 @@ def jaccard_classes(docs: DataFrame, t: Fraction = THRESHOLD, orders: int = ORDE
 def keep_one(docs: DataFrame, t: Fraction = THRESHOLD) -> DataFrame:
     """One row of each group of linked documents, with all columns: one with the group's smallest id.
 
-    Of several rows with that id the one with the lowest text hash stays, and of rows that repeat id and text
-    any one. Rows without words are linked with nothing and all stay.
+    Of several rows of a group with that id the one with the lowest text hash stays, and of rows that repeat id and text
+    any one. A null id comes after all others; rows that share an id, or have none, are no group unless their texts
+    link. Rows without words are linked with nothing and all stay.
     """
     rows = kept_table(_classes(docs, t, ORDERS), "classes").filter("n_shingles > 0")
-    own = rows.filter(F.col("component_id").eqNullSafe(F.col("doc_id")))
-    stays = own.groupBy(F.col("doc_id").alias("_id")).agg(F.min("text_hash").alias("_hash"))
-    gone = rows.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")) &
-                     F.col("component_id").eqNullSafe(F.col("doc_id")), "left_anti")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")))
+    stays = rows.groupBy("label").agg(first.alias("s")).select(F.col("s.id").alias("_id"), F.col("s.hash").alias("_hash"))
+    gone = rows.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left_anti")
     repeated = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "text_hash")
     repeated = kept_table(repeated, "repeated")
     whole = docs.select(F.struct("*").alias("_doc"), F.xxhash64("text").alias("_key"))

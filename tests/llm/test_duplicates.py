@@ -98,6 +98,23 @@ def test_keep_one(edge_docs, small_docs):
     assert jaccard.keep_one(edge_docs).columns == edge_docs.columns
 
 
+def test_keep_one_per_group(spark):
+    """Rows that share an id, or have none, go only if their texts link to a row that stays."""
+    rng = random.Random(8)
+    text = lambda: [f"w{rng.randrange(10 ** 6)}" for _ in range(40)]
+    near = lambda t: " ".join(t[:-1] + ["other"])
+    a, b, c, d, e, f, g, h = (text() for _ in range(8))
+    whole = lambda t: " ".join(t)
+    alone = [(None, whole(a)), (None, whole(b)), (None, whole(c)), (5, whole(d)), (5, whole(e)), (9, whole(f)), (None, None), (None, "")]
+    groups = [[(None, whole(g)), (None, near(g)), (None, whole(g))], [(None, whole(h)), (7, near(h)), (8, whole(h))], [(9, near(b))], [(6, near(e))]]
+    rows = alone + [r for x in groups for r in x]
+    got = Counter(map(tuple, jaccard.keep_one(spark.createDataFrame(rows, DOCS)).collect()))
+    of_g = [x for x in got if x in groups[0]]
+    assert len(of_g) == 1 and got[of_g[0]] == 1
+    want = [r for r in alone if r != (None, whole(b))] + [(7, near(h)), (9, near(b))]
+    assert got - Counter(of_g) == Counter(want)
+
+
 def test_filters_hold_every_key(spark):
     from pyspark.sql import functions as F
 
