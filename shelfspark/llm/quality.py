@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import NON_SPACE, let, window_hashes, words, written
+from shelfspark.llm.common import NON_SPACE, kept_table, let, window_hashes, words, written
 
 RULES = ("few_words", "repeats", "symbols", "dup_lines")
 HOST_LIMIT = 0.5
@@ -76,26 +76,35 @@ def host_verdicts(failures: DataFrame, host: str, limit: float = HOST_LIMIT) ->
     ``failures`` has the host column and one 0/1 column per rule. A null host is a host of
     its own. The prior of a rule: mean p = all failures / all documents; between-host variance v
     = weighted variance of the host rates less the sampling part p(1-p)H/N; strength
-    p(1-p)/v - 1, held within [1, 1e6]. It is one row, attached as a scalar.
+    p(1-p)/v - 1, held within [1, 1e6]. The counts are written and the prior's sums, one row, are taken once, so that
+    a filter on the verdicts stays a filter. No failures give no rows.
     """
-    counts = failures.groupBy(host).agg(
-        F.count(F.lit(1)).cast("double").alias("n"), *[F.sum(r).cast("double").alias(f"k_{r}") for r in RULES])
-    moments = counts.agg(F.struct(
+    counts = written(failures.groupBy(host).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), *[F.sum(r).cast("double").alias(f"k_{r}") for r in RULES]))
+    m = counts.agg(
         F.sum("n").alias("N"), F.count(F.lit(1)).cast("double").alias("H"),
         *[F.sum(f"k_{r}").alias(f"K_{r}") for r in RULES],
-        *[F.sum(F.col(f"k_{r}") * F.col(f"k_{r}") / F.col("n")).alias(f"Q_{r}") for r in RULES]).alias("m"))
-    m = F.col("_prior")
+        *[F.sum(F.col(f"k_{r}") * F.col(f"k_{r}") / F.col("n")).alias(f"Q_{r}") for r in RULES]).first()
     rates = []
     for r in RULES:
-        p = m[f"K_{r}"] / m["N"]
-        noise = p * (1 - p)
-        v = (m[f"Q_{r}"] - m[f"K_{r}"] * p) / m["N"] - noise * m["H"] / m["N"]
-        strength = F.when(noise <= v, 1.0).when(v * 1e6 <= noise, 1e6).otherwise(F.greatest(F.lit(1.0), noise / v - 1))
-        rates.append(((F.col(f"k_{r}") + p * strength) / (F.col("n") + strength)).alias(f"rate_{r}"))
-    shrunk = counts.withColumn("_prior", moments.scalar()).select(host, F.col("n").cast("bigint").alias("n"), *rates)
+        p, strength = _prior(m["N"], m["H"], m[f"K_{r}"], m[f"Q_{r}"]) if m["N"] else (0.0, 1.0)
+        rates.append(((F.col(f"k_{r}") + F.lit(p * strength)) / (F.col("n") + F.lit(strength))).alias(f"rate_{r}"))
+    shrunk = counts.select(host, F.col("n").cast("bigint").alias("n"), *rates)
     return shrunk.withColumn("rejected", F.greatest(*[F.col(f"rate_{r}") for r in RULES]) > limit)
 
 
+def _prior(docs: float, hosts: float, failures: float, squares: float) -> tuple[float, float]:
+    """Mean and strength of a rule's prior from its four sums over hosts."""
+    p = failures / docs
+    noise = p * (1 - p)
+    between = (squares - failures * p) / docs - noise * hosts / docs
+    if noise <= between:
+        return p, 1.0
+    if between * 1e6 <= noise:
+        return p, 1e6
+    return p, max(1.0, noise / between - 1)
+
+
 def quality_documents(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
     """Word statistics, base rules and the final verdict of every document.
 
@@ -123,17 +132,18 @@ def quality_documents(docs: DataFrame, host: str = "source", limit: float = HOST
 def keep_good(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
     """The documents that pass the base rules and whose host is not rejected, with all their columns.
 
-    The rules are a function of the text, so they are evaluated again on the rows
-    instead of joining texts to statistics by id: rows with equal or null ids are each
-    judged by their own text. The rejected hosts are written and counted; up to
+    Null text counts as empty and fails; a null host is a host of its own; an empty table gives an empty result. Each
+    text is judged once: the rows are written with their rule failures, those that fail the base rules without their
+    columns, so rows with equal or null ids keep their own verdicts. The rejected hosts are counted; up to
     ``MAX_BROADCAST_HOSTS`` they are broadcast, beyond that the anti join is salted.
     """
+    judged = docs.select(F.struct("*").alias("_doc"), F.col(host).alias("_host"), text_stats(F.col("text")).alias("_s"))
     flags = rule_failures(F.col("_s"))
-    rules = docs.select(F.col(host).alias("_host"), text_stats(F.col("text")).alias("_s")).select(
-        "_host", *[flags[r].cast("int").alias(r) for r in RULES])
-    bad = written(host_verdicts(rules, "_host", limit).filter("rejected").select(F.col("_host").alias("_bad_host")))
-    good = docs.filter(~base_failed(text_stats(F.col("text")))).select(F.struct("*").alias("_doc"))
-    same = F.col(f"_doc.{host}").eqNullSafe(F.col("_bad_host"))
+    rows = kept_table(judged.select(F.when(~base_failed(F.col("_s")), F.col("_doc")).alias("_doc"), "_host",
+                                    *[flags[r].cast("int").alias(r) for r in RULES]), "judged")
+    bad = written(host_verdicts(rows, "_host", limit).filter("rejected").select(F.col("_host").alias("_bad_host")))
+    good = rows.filter("_doc is not null").select("_doc", "_host")
+    same = F.col("_host").eqNullSafe(F.col("_bad_host"))
     if bad.count() <= MAX_BROADCAST_HOSTS:
         return good.join(F.broadcast(bad), same, "left_anti").select("_doc.*")
     dealt = bad.withColumn("_bad_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

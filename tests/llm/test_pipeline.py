@@ -121,12 +121,20 @@ def test_run_over_given_documents(spark):
 
 
 def test_edges_pass_through_all_stages(spark, edge_docs, no_docs):
-    # All edge rows are short or repetitive, so one clean document goes along.
-    clean = " ".join(f"word{i}" for i in range(60))
-    docs = edge_docs.unionByName(spark.createDataFrame([(50, clean, "en", "src0", 0, "x", 3, "y")], edge_docs.schema))
+    # All edge rows are short or repetitive: their hosts are rejected, so clean documents of another host go along.
+    clean = lambda d: " ".join(f"word{d}x{i}" for i in range(60))
+    more = [(d, clean(d), "en", h, 0, "x", 3, "y") for d, h in ((49, "src0"), (50, "src1"), (51, "src1"), (52, "src1"))]
+    docs = edge_docs.unionByName(spark.createDataFrame(more, edge_docs.schema))
+    assert {r["doc_id"] for r in corpus_pipeline.STAGES[0][1](spark, docs, "").collect()} == {50, 51, 52}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, no_docs, "").count() == 0
         docs = stage(spark, docs, "")
         assert docs.columns == edge_docs.columns, name
     assert not re.search("_doc|_key", " ".join(docs.columns))
-    assert [r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()] == [50]
+    assert [r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, docs, "").orderBy("doc_id").collect()] == [50, 51, 52]
+
+
+def test_quality_plan_stays_small(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = dict(corpus_pipeline.STAGES)["quality_rules"](spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 20_000 and plan.count("Exchange") <= 4
