@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfspark.llm import fingerprints, jaccard, licenses, lines, packing, piece_codec, quality, repeats, sharding, token_counts
+from shelfspark.llm import fingerprints, jaccard, licenses, lines, merkle, packing, piece_codec, quality, repeats, sharding, token_counts
 from shelfspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,4 @@ _on_documents("op7_suffix_array_dedup", repeats.repeat_report)
 _on_documents("op8_token_counts", token_counts.token_counts)
 _on_documents("op9_ngram_jaccard_join", jaccard.jaccard_classes)
 _on_documents("op10_sentencepiece", piece_codec.encoding_report)
+_on_documents("op11_merkle_manifest", merkle.manifest_report, merkle.manifest_sql())
