@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfspark.llm import fingerprints, jaccard, licenses, lines, merkle, packing, personal, piece_codec, quality, repeats, sharding, token_counts
+from shelfspark.llm import centroids, fingerprints, jaccard, licenses, lines, merkle, packing, personal, piece_codec, quality, repeats, sharding, token_counts
 from shelfspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,5 @@ _on_documents("op9_ngram_jaccard_join", jaccard.jaccard_classes)
 _on_documents("op10_sentencepiece", piece_codec.encoding_report)
 _on_documents("op11_merkle_manifest", merkle.manifest_report, merkle.manifest_sql())
 _on_documents("op12_personal_data", personal.personal_report, personal.personal_sql())
+QUERIES["op13_centroid_clusters"] = lambda spark, sf_dir: centroids.cluster_report(table(spark, sf_dir, "embeddings"))
+SQL["op13_centroid_clusters"] = centroids.cluster_sql()
