@@ -14,7 +14,8 @@ cover). Anchors with equal bytes and equal surroundings repeat in every window a
 remains are groups with different surroundings.
 
 Last pass. One anchor of each kind of such a group gives its single windows, which are grouped
-by all their bytes. Hashes of 64 bits stand for the digits.
+by all their bytes. Hashes of 64 bits stand for the digits; a group is equal in its anchor's hash and in that of its
+surroundings or window.
 
 The same passes over words (runs of non-blank bytes, one symbol each) find windows of ``depth`` words that start at two
 places, whatever their length in bytes and the blanks between them.
@@ -124,25 +125,25 @@ def _shared_anchors(docs: DataFrame, depth: int, unit: str, bits) -> DataFrame:
 
 
 def _windows(docs: DataFrame, depth: int, unit: str, rows, places, again=None) -> DataFrame:
-    """window (hash of its symbols), row, start of every window of the anchors whose row and (row, place) pass the filters;
-    only windows that pass ``again`` if given."""
+    """window (hash of its symbols), key (of its anchor), row, start of every window of the anchors whose row and (row, place)
+    pass the filters; only windows that pass ``again`` if given. Equal windows have equal anchors, so both hashes name a window."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(passes(rows.value, batch["row"].to_numpy())))
             for part in text_slices(batch):
-                offsets, segments, (at, lo, hi, _, _, doc) = _scan(part, depth, unit)
+                offsets, segments, (at, lo, hi, key, _, doc) = _scan(part, depth, unit)
                 row = part["row"].to_numpy()
                 keep = passes(places.value, _place_key(row[doc], at - offsets[doc]))
-                lo, n, doc = lo[keep], (hi - lo + 1)[keep], doc[keep]
+                lo, n, doc, key = lo[keep], (hi - lo + 1)[keep], doc[keep], key[keep]
                 starts = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                text = np.repeat(doc, n)
+                text, key = np.repeat(doc, n), np.repeat(key, n)
                 window = segments.hashes(starts, starts + depth)
                 if again is not None:
                     there = passes(again.value, window)
-                    starts, text, window = starts[there], text[there], window[there]
-                yield pa.RecordBatch.from_arrays([signed(window), pa.array(row[text]), pa.array(starts - offsets[text])], ["window", "row", "start"])
+                    starts, text, window, key = starts[there], text[there], window[there], key[there]
+                yield pa.RecordBatch.from_arrays([signed(window), signed(key), pa.array(row[text]), pa.array(starts - offsets[text])], ["window", "key", "row", "start"])
 
-    return _source(docs).select("row", "text").mapInArrow(tidy(run), "window long, row long, start long")
+    return _source(docs).select("row", "text").mapInArrow(tidy(run), "window long, key long, row long, start long")
 
 
 def repeated_spans(docs: DataFrame, depth: int = DEPTH, unit: str = BYTES) -> DataFrame:
@@ -156,13 +157,13 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, unit: str = BYTES) -> Da
     whole = anchors.join(kinds.filter("n > 1").select("key", "around"), ["key", "around"], "left_semi").select(
         "row", F.col("lo").alias("from"), (F.col("hi") + depth).alias("to"))
     mixed = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
-    ones = kept_table(kinds.join(mixed, "key", "left_semi").select("one.row", "one.place", (F.col("n") == 1).alias("alone")), "ones")
+    ones = kept_table(kinds.join(mixed, "key", "left_semi").select("one.row", "one.place"), "ones")
     places = spark.sparkContext.broadcast(bit_filter(_place_keys(ones), F.col("place_key"), PLACE_BITS))
     rows = spark.sparkContext.broadcast(bit_filter(ones, F.col("row"), PLACE_BITS))
     windows = _windows(docs, depth, unit, rows, places)
-    again = kept_table(windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window"), "again")
+    again = kept_table(windows.groupBy("window", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window", "key"), "again")
     more = spark.sparkContext.broadcast(bit_filter(again, F.col("window"), PLACE_BITS))
-    single = _windows(docs, depth, unit, rows, places, more).join(again, "window", "left_semi").select("row", F.col("start").alias("from"), (F.col("start") + depth).alias("to"))
+    single = _windows(docs, depth, unit, rows, places, more).join(again, ["window", "key"], "left_semi").select("row", F.col("start").alias("from"), (F.col("start") + depth).alias("to"))
     return whole.unionByName(single).groupBy("row").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
 
 
@@ -200,8 +201,17 @@ def _kept(text: bytes, spans) -> tuple[list[bytes], int, int]:
     return parts, removed, runs
 
 
+def _all_spans(docs: DataFrame, depth: int, words: int | None) -> DataFrame:
+    """row, spans (of bytes) and words (spans of words; null without ``words``) of every text that has any."""
+    spans = repeated_spans(docs, depth).withColumn("words", F.lit(None).cast("array<struct<from:bigint,to:bigint>>"))
+    if words is not None:
+        of_words = repeated_spans(docs, words, WORDS).withColumnRenamed("spans", "words")
+        spans = spans.drop("words").join(of_words, "row", "full")
+    return kept_table(spans, "spans")
+
+
 def _in_two(docs: DataFrame, spans: DataFrame, columns: list[str], run, schema) -> DataFrame:
-    """``run`` over batches of (key, text, columns..., spans): texts that have no span are not shuffled.
+    """``run`` over batches of (key, text, columns..., spans, words): texts that have no span are not shuffled.
 
     A filter of fixed size tells most of them; the others are joined to their spans.
     """
@@ -211,7 +221,7 @@ def _in_two(docs: DataFrame, spans: DataFrame, columns: list[str], run, schema)
         def others() -> Iterator[pa.RecordBatch]:
             for b in batches:
                 b = b.filter(pa.array(~passes(bits.value, b["key"].to_numpy())))
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(len(b))], [*b.schema.names, "spans"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(len(b)), pa.nulls(len(b))], [*b.schema.names, "spans", "words"])
 
         yield from run(others())
 
@@ -220,25 +230,43 @@ def _in_two(docs: DataFrame, spans: DataFrame, columns: list[str], run, schema)
     return source.mapInArrow(tidy(without), schema).unionByName(joined.mapInArrow(tidy(run), schema))
 
 
-def repeat_report(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row's UTF-8 bytes.
+def repeat_report(docs: DataFrame, depth: int = DEPTH, words: int = PASSAGE_WORDS) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row's UTF-8 bytes; n_passage_bytes, n_passage_spans, text.
 
-    Null text counts as empty. A text shorter than ``depth`` loses nothing. Rows that repeat id and text are two texts,
-    and each loses all bytes if long enough. Other columns are left out; an empty table gives an empty result.
+    The first ones tell of byte strings of ``depth`` that start at two places and of them only. Passages of ``words``
+    words that start at two places, whatever their bytes, are counted by n_passage_bytes and n_passage_spans, and
+    text is what is left without either (as ``drop_repeats`` leaves it; a null text stays null).
+
+    Null text counts as empty. A text shorter than ``depth`` and ``words`` loses nothing. Rows that repeat id and text are
+    two texts, and each loses all bytes if long enough. Other columns are left out; an empty table gives an empty result.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, spans in zip(batch["text"], batch["spans"]):
+            for text, spans, passages in zip(batch["text"], batch["spans"], batch["words"]):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                parts, removed, runs = _kept(raw, spans.as_py())
-                out.append((len(raw), removed, runs, hashlib.sha256(b"".join(parts)).hexdigest()))
-            n, r, s, h = zip(*out) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(s, pa.int64()), pa.array(h, pa.string())],
-                                             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                spans, passages = spans.as_py() or [], passages.as_py() or []
+                passages = _in_bytes(raw, passages) if passages else []
+                parts, removed, runs = _kept(raw, spans)
+                _, more, places = _kept(raw, passages)
+                left = _text_of(raw, spans + passages) if spans or passages else text.as_py()
+                out.append((len(raw), removed, runs, hashlib.sha256(b"".join(parts)).hexdigest(), more, places, left))
+            columns = list(zip(*out)) if out else [()] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *[pa.array(c, k) for c, k in zip(columns, kinds)]], _REPORT)
+
+    schema = docs.select("doc_id").schema
+    for name in _REPORT[1:]:
+        schema = schema.add(name, "string" if name in ("kept_sha256", "text") else "long")
+    return _in_two(docs.select("doc_id", "text"), _all_spans(docs, depth, words), ["doc_id"], run, schema)
 
-    schema = docs.select("doc_id").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
-    return _in_two(docs.select("doc_id", "text"), kept_table(repeated_spans(docs, depth), "spans"), ["doc_id"], run, schema)
+
+_REPORT = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_bytes", "n_passage_spans", "text"]
+
+
+def _text_of(raw: bytes, spans: list) -> str:
+    """The text without the spans; a character that is cut goes as a whole."""
+    return "".join(p.decode("utf-8", "ignore") for p in _kept(raw, spans)[0])
 
 
 def _in_bytes(text: bytes, spans) -> list[dict[str, int]]:
@@ -255,11 +283,7 @@ def drop_repeats(docs: DataFrame, depth: int = DEPTH, words: int | None = None)
     word is dropped; one that loses nothing stays as it is. Other columns keep their values.
     """
     whole = docs.select("doc_id", "text", F.struct("*").alias("_doc"))
-    spans = repeated_spans(docs, depth).withColumn("words", F.lit(None).cast("array<struct<from:bigint,to:bigint>>"))
-    if words is not None:
-        of_words = repeated_spans(docs, words, WORDS).withColumnRenamed("spans", "words")
-        spans = spans.drop("words").join(of_words, "row", "full")
-    spans = kept_table(spans, "spans").select(F.col("row").alias("_row"), "spans", "words")
+    spans = _all_spans(docs, depth, words).select(F.col("row").alias("_row"), "spans", "words")
     marked = whole.select("_doc", F.xxhash64("doc_id", "text").alias("_key")).join(spans, F.col("_key") == F.col("_row"), "left")
 
     def cut(texts: pa.Array, spans: pa.Array, words: pa.Array) -> pa.Array:
@@ -269,8 +293,7 @@ def drop_repeats(docs: DataFrame, depth: int = DEPTH, words: int | None = None)
                 out.append(text)
                 continue
             raw = text.encode()
-            parts, _, _ = _kept(raw, (s or []) + (_in_bytes(raw, w) if w else []))
-            out.append("".join(p.decode("utf-8", "ignore") for p in parts))
+            out.append(_text_of(raw, (s or []) + (_in_bytes(raw, w) if w else [])))
         return pa.array(out, pa.string())
 
     left = F.arrow_udf(cut, "string")(F.col("_doc.text"), F.col("spans"), F.col("words"))

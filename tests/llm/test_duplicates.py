@@ -138,25 +138,54 @@ def test_components(spark):
     assert got == label
 
 
-def brute_repeats(rows, depth):
-    count = Counter(b[i:i + depth] for _, b in rows for i in range(len(b) - depth + 1))
+def runs_of(covered):
+    return sum(1 for i, c in enumerate(covered) if c and not (i and covered[i - 1]))
+
+
+def brute_repeats(rows, depth, n=51):
+    count = Counter(b[i:i + depth] for b in (x.encode() for _, t in rows for x in [t or ""]) for i in range(len(b) - depth + 1))
+    spans = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for _, t in rows]
+    passages = [[tuple((t or "").encode()[a:b] for a, b in s[i:i + n]) for i in range(len(s) - n + 1)] for (_, t), s in zip(rows, spans)]
+    of_words = Counter(w for ws in passages for w in ws)
     out = Counter()
-    for d, b in rows:
-        covered = bytearray(len(b))
+    for (d, text), places, windows in zip(rows, spans, passages):
+        b = (text or "").encode()
+        covered, more = bytearray(len(b)), bytearray(len(b))
         for i in range(len(b) - depth + 1):
             if count[b[i:i + depth]] > 1:
                 covered[i:i + depth] = b"\1" * depth
-        runs = sum(1 for i, c in enumerate(covered) if c and not (i and covered[i - 1]))
+        for i, w in enumerate(windows):
+            if of_words[w] > 1:
+                more[places[i][0]:places[i + n - 1][1]] = b"\1" * (places[i + n - 1][1] - places[i][0])
         kept = bytes(x for x, c in zip(b, covered) if not c)
-        out[(d, len(b), sum(covered), runs, hashlib.sha256(kept).hexdigest())] += 1
+        left, at = [], 0
+        for i, (c, m) in enumerate(zip(covered, more)):
+            if c or m:
+                left.append(b[at:i])
+                at = i + 1
+        left.append(b[at:])
+        text = None if text is None else "".join(x.decode("utf-8", "ignore") for x in left if x) if any(covered) or any(more) else text
+        out[(d, len(b), sum(covered), runs_of(covered), hashlib.sha256(kept).hexdigest(), sum(more), runs_of(more), text)] += 1
     return out
 
 
 def check_repeats(df, depth):
-    rows = [(r["doc_id"], (r["text"] or "").encode()) for r in df.collect()]
+    rows = [(r["doc_id"], r["text"]) for r in df.collect()]
     assert Counter(map(tuple, repeats.repeat_report(df, depth).collect())) == brute_repeats(rows, depth)
 
 
+def test_passages_of_words(spark):
+    """Passages of 51 words and more that are shorter than the byte depth, or have other blanks between their words, are told apart."""
+    rng = random.Random(8)
+    run = lambda n: ["".join(rng.choice("abcdé") for _ in range(rng.randint(1, 4))) for _ in range(n)]
+    p, q = run(52), run(50)
+    texts = [" ".join(run(60) + p + run(9)), " ".join(run(5)) + " \n" + "\t".join(p), " ".join(q + run(70)), " ".join(run(30) + q), " ".join(run(300)), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    check_repeats(docs, 400)
+    got = {r["doc_id"]: r["n_passage_spans"] for r in repeats.repeat_report(docs).collect()}
+    assert got == {0: 1, 1: 1, 2: 0, 3: 0, 4: 0, 5: 0}
+
+
 def test_repeats(spark, small_docs, edge_docs, no_docs):
     check_repeats(small_docs, 400)
     check_repeats(edge_docs.filter("doc_id != 10 or doc_id is null"), 20)
