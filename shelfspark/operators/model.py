@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.operators.gram import Gram, gram
 from shelfspark.operators.ranks import cumulative_counts
 from shelfspark.operators.stats import TestResult, wilcoxon_signed
 from shelfspark.session import materialize
@@ -89,49 +90,38 @@ class LinearModel:
 
 
 def fit_linear(df: DataFrame, features: Sequence[str], label: str, reg_param: float = 0.0) -> LinearModel:
-    """Ordinary least squares with intercept, from the normal equations.
+    """Ordinary least squares with intercept, from the centred cross-product sums (``gram``).
 
-    One aggregate computes n, the column means and the covariances of all pairs
-    (one row out: k(k+5)/2 + 2 numbers for k features, never the rows). Spark's
-    covariance keeps running means, so values far from zero lose no digits. The
-    driver solves the k x k system by least squares, which gives the minimum-norm solution when columns
+    The driver solves the k x k system by least squares, which gives the minimum-norm solution when columns
     are exactly collinear (dummies that sum to one); predictions and the
     identified coefficients do not depend on that choice. Rows with a null
     feature or label are left out. ``reg_param`` adds ``reg_param * n`` to the
     diagonal (ridge on the mean squared error, intercept not penalized).
     """
+    return fit_from_gram(gram(df, [*dict.fromkeys([*features, label])]), features, label, reg_param)
+
+
+def fit_from_gram(g: Gram, features: Sequence[str], label: str, reg_param: float = 0.0) -> LinearModel:
+    """The linear model of some columns of a Gram matrix: several models of one table need one pass over it.
+
+    The rows are those without a null in any of the matrix's columns.
+    """
     import numpy as np
 
-    feats = list(features)
-    k = len(feats)
-    xs = [F.col(f).cast("double") for f in feats]
-    y = F.col(label).cast("double")
-    rows = df.select(*[x.alias(f"__x{i}") for i, x in enumerate(xs)], y.alias("__y")).dropna()
-    x = [F.col(f"__x{i}") for i in range(k)]
-    yc = F.col("__y")
-    sums = [F.count(F.lit(1)).alias("n"), F.avg(yc).alias("my")]
-    sums += [F.avg(x[i]).alias(f"mx{i}") for i in range(k)]
-    sums += [F.covar_pop(x[i], yc).alias(f"sxy{i}") for i in range(k)]
-    sums += [F.covar_pop(x[i], x[j]).alias(f"sxx{i}_{j}") for i in range(k) for j in range(i, k)]
-    r = rows.agg(*sums).first()
-    n = int(r["n"] or 0)
-    if n == 0:
+    if g.n == 0:
         raise ValueError("no rows with a label and all features to fit on")
-    mx = np.array([r[f"mx{i}"] for i in range(k)], dtype=float)
-    my = r["my"]
-    sxx = np.empty((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            sxx[i, j] = sxx[j, i] = n * r[f"sxx{i}_{j}"]
-    sxy = np.array([r[f"sxy{i}"] for i in range(k)], dtype=float) * n
+    feats = list(features)
+    at = [g.columns.index(f) for f in feats]
+    y = g.columns.index(label)
+    sxx, sxy, mx = g.sums[np.ix_(at, at)], g.sums[at, y], g.means[at]
     if reg_param:
-        sxx = sxx + reg_param * n * np.eye(k)
+        sxx = sxx + reg_param * g.n * np.eye(len(feats))
     # Solve on the correlation scale, so the cut-off for "exactly collinear" is relative
     # to each column's own spread (columns with no spread keep scale 1).
     d = np.sqrt(np.diag(sxx))
     d[d == 0] = 1.0
     beta = np.linalg.lstsq(sxx / np.outer(d, d), sxy / d, rcond=1e-10)[0] / d
-    intercept = float(my - mx @ beta)
+    intercept = float(g.means[y] - mx @ beta)
     return LinearModel(feats, [float(b) for b in beta], intercept, label)
 
 
@@ -142,7 +132,13 @@ def fit_simple_linear(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def simple_model(df: DataFrame, x: str, y: str) -> LinearModel:
-    r = fit_simple_linear(df, x, y).first()
+    """The one-feature model; a constant feature has slope 0 and the label's mean as intercept. No complete row is an error."""
+    r = df.agg(F.regr_slope(F.col(y), F.col(x)).alias("slope"), F.regr_intercept(F.col(y), F.col(x)).alias("intercept"),
+               F.regr_avgy(F.col(y), F.col(x)).alias("mean")).first()
+    if r["mean"] is None:
+        raise ValueError("no rows with a label and the feature to fit on")
+    if r["slope"] is None:
+        return LinearModel([x], [0.0], float(r["mean"]), y)
     return LinearModel([x], [float(r["slope"])], float(r["intercept"]), y)
 
 
@@ -150,14 +146,14 @@ def score_batch(df: DataFrame, model: LinearModel, out: str = "prediction") -> D
     return df.withColumn(out, model.predict_expr())
 
 
-def regression_metrics(df: DataFrame, label: str, prediction: str | Column) -> DataFrame:
-    """n, MSE, RMSE and R2 in one aggregate (R2 from the stable ``var_pop``; null for a constant label)."""
+def regression_metrics(df: DataFrame, label: str, prediction: str | Column, by: Sequence[str] = ()) -> DataFrame:
+    """n, MSE, RMSE and R2 in one aggregate, per group of ``by`` (R2 from the stable ``var_pop``; null for a constant label)."""
     pred = F.col(prediction) if isinstance(prediction, str) else prediction
     err = F.col(label) - pred
-    agg = df.filter(F.col(label).isNotNull() & pred.isNotNull()).agg(
+    agg = df.filter(F.col(label).isNotNull() & pred.isNotNull()).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.avg(err * err).alias("mse"), F.var_pop(F.col(label)).alias("__var")
     )
-    return agg.select("n", "mse", F.sqrt("mse").alias("rmse"), (1 - F.try_divide(F.col("mse"), F.col("__var"))).alias("r2"))
+    return agg.select(*by, "n", "mse", F.sqrt("mse").alias("rmse"), (1 - F.try_divide(F.col("mse"), F.col("__var"))).alias("r2"))
 
 
 @dataclass
@@ -169,9 +165,10 @@ class Comparison:
 
 
 def compare_models(df: DataFrame, label: str, pred_new: str | Column, pred_old: str | Column | None = None,
-                   alpha: float = 0.05) -> Comparison:
+                   alpha: float = 0.05, method: str = "normal") -> Comparison:
     """Accept the new model if its R2 is higher and the paired signed-rank test on the
-    errors has p < alpha. The first model (no old predictions) passes.
+    errors has p < alpha (``method`` of ``wilcoxon_signed``: "exact" for few pairs). The first model (no old
+    predictions) passes.
 
     Both R2 come from one aggregate; the three needed columns are kept while the
     two passes (metrics, signed ranks) read them, then released.
@@ -190,7 +187,7 @@ def compare_models(df: DataFrame, label: str, pred_new: str | Column, pred_old:
         ).first()
         r2_new = None if not m["var"] else 1 - m["mse_new"] / m["var"]
         r2_old = None if not m["var"] else 1 - m["mse_old"] / m["var"]
-        w = wilcoxon_signed(scored, F.col("p_new") - F.col("y"), F.col("p_old") - F.col("y"))
+        w = wilcoxon_signed(scored, F.col("p_new") - F.col("y"), F.col("p_old") - F.col("y"), method)
     finally:
         scored.unpersist()
     accept = (r2_new is not None and r2_old is not None and r2_new > r2_old

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfspark.operators.gram import correlations
 from shelfspark.operators.ranks import exact_quantiles_by, exact_quantiles_from_counts, null_safe_join
 from shelfspark.operators.ranks import value_counts as value_count_table
 
@@ -216,17 +217,14 @@ def density_grid(df: DataFrame, column: str, n_grid: int = 100, n_bins: int = 10
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation for every pair (pairwise-complete), one aggregate, unpivoted."""
+    """Pearson correlation for every pair (pairwise-complete), from sums of products of deviations (``gram.py``).
+
+    Null where a pair has fewer than two rows or a column without spread in them. A column with itself has 1.
+    """
     cols = list(columns or numeric_columns(df))
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[F.corr(a, b).alias(f"r{k}") for k, (a, b) in enumerate(pairs)])
-    rows = []
-    for k, (a, b) in enumerate(pairs):
-        rows.append((a, [F.lit(b), F.col(f"r{k}")]))
-        if a != b:
-            rows.append((b, [F.lit(a), F.col(f"r{k}")]))
-    out = _stack(rows, ["a", "b", "r"], wide)
-    return out.withColumn("r", F.when(F.col("a") == F.col("b"), F.lit(1.0)).otherwise(F.col("r")))
+    r = correlations(df, cols)
+    rows = [(a, b, 1.0 if a == b else (None if math.isnan(r[i, j]) else float(r[i, j]))) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
 def skewness_corrected(c: str | Column) -> Column:

@@ -14,7 +14,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.functions.distributions import chi2_sf, norm_ppf, norm_sf
+from shelfspark.functions.distributions import chi2_sf, norm_ppf, norm_sf, signed_rank_tails, t_ppf
 from shelfspark.operators.ranks import cumulative_counts, exact_quantiles
 from shelfspark.session import materialize
 
@@ -125,8 +125,8 @@ def mann_whitney(df: DataFrame, value: str, group: str, first, second, continuit
     return TestResult(u, min(1.0, 2.0 * norm_sf(z)), N)
 
 
-def wilcoxon_frame(df: DataFrame, a: str | Column, b: str | Column | None = None, n_buckets: int | None = None) -> DataFrame:
-    """Paired signed-rank sums of ``d = a - b`` (zeros dropped): W+, W-, n, tie term."""
+def _signed_ranks(df: DataFrame, a: str | Column, b: str | Column | None, n_buckets: int | None) -> DataFrame:
+    """Per distinct ``abs(a - b)`` (zeros and nulls dropped): rows n, positive ones n_pos, and their average rank r."""
     ca = F.col(a) if isinstance(a, str) else a
     d = ca if b is None else ca - (F.col(b) if isinstance(b, str) else b)
     src = df.select(d.alias("d")).filter(F.col("d").isNotNull() & (F.col("d") != 0))
@@ -134,22 +134,48 @@ def wilcoxon_frame(df: DataFrame, a: str | Column, b: str | Column | None = None
         F.count(F.lit(1)).alias("n"), F.sum((F.col("d") > 0).cast("long")).alias("n_pos")
     )
     cum = cumulative_counts(vc, "v", ["n"], (), n_buckets)
-    r = F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2.0
-    return cum.agg(
-        F.sum(F.col("n_pos") * r).alias("w_plus"),
-        F.sum((F.col("n") - F.col("n_pos")) * r).alias("w_minus"),
+    return cum.select("n", "n_pos", (F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2.0).alias("r"))
+
+
+def _rank_sums(ranked: DataFrame) -> DataFrame:
+    return ranked.agg(
+        F.sum(F.col("n_pos") * F.col("r")).alias("w_plus"),
+        F.sum((F.col("n") - F.col("n_pos")) * F.col("r")).alias("w_minus"),
         F.sum("n").alias("n"),
         _tie_term().alias("ties"),
     )
 
 
-def wilcoxon_signed(df: DataFrame, a: str | Column, b: str | Column | None = None) -> TestResult:
-    """Two-sided signed-rank test, normal approximation with tie correction.
+def wilcoxon_frame(df: DataFrame, a: str | Column, b: str | Column | None = None, n_buckets: int | None = None) -> DataFrame:
+    """Paired signed-rank sums of ``d = a - b`` (zeros dropped): W+, W-, n, tie term."""
+    return _rank_sums(_signed_ranks(df, a, b, n_buckets))
+
 
-    The statistic is min(W+, W-). For n <= 50 without ties an exact test would
-    be used elsewhere; this build always uses the normal approximation.
+MOST_EXACT_PAIRS = 1000
+
+
+def wilcoxon_signed(df: DataFrame, a: str | Column, b: str | Column | None = None, method: str = "normal") -> TestResult:
+    """Two-sided signed-rank test; the statistic is min(W+, W-).
+
+    ``method``: "normal" is the normal approximation with tie correction, for any number of pairs. "exact" takes the
+    null distribution of W+ over all signs of the observed ranks (ties keep their average ranks); the ranks, at most
+    ``MOST_EXACT_PAIRS`` of them, come to the driver, and more pairs are an error. Which one is used is the
+    caller's choice, never a matter of the size.
     """
-    r = wilcoxon_frame(df, a, b).first()
+    if method not in ("normal", "exact"):
+        raise ValueError(f"unknown method {method!r}")
+    ranked = _signed_ranks(df, a, b, None)
+    if method == "exact":
+        rows = ranked.limit(MOST_EXACT_PAIRS + 1).collect()
+        n = sum(r["n"] for r in rows)
+        if n > MOST_EXACT_PAIRS:
+            raise ValueError(f"the exact test takes up to {MOST_EXACT_PAIRS} pairs that differ")
+        if n == 0:
+            return TestResult(None, None, 0)
+        w_plus = sum(r["n_pos"] * r["r"] for r in rows)
+        low, high = signed_rank_tails([r["r"] for r in rows for _ in range(r["n"])], w_plus)
+        return TestResult(float(min(w_plus, n * (n + 1) / 2.0 - w_plus)), min(1.0, 2.0 * min(low, high)), n)
+    r = _rank_sums(ranked).first()
     n = int(r["n"] or 0)
     if n == 0:
         return TestResult(None, None, 0)
@@ -160,11 +186,81 @@ def wilcoxon_signed(df: DataFrame, a: str | Column, b: str | Column | None = Non
     return TestResult(float(t), min(1.0, 2.0 * norm_sf(abs(z))), n)
 
 
-def qq_points(df: DataFrame, column: str, n_points: int = 100) -> DataFrame:
-    """Sample quantiles at (i - 0.5) / m against standard-normal quantiles (fitted-t needs SciPy: not built)."""
+@dataclass
+class TFit:
+    """A fitted location-scale t; converged is False if the last step still moved."""
+    loc: float
+    scale: float
+    dof: float
+    n: int
+    steps: int
+    converged: bool
+
+
+MOST_DOF = 1e4  # beyond it a t is a normal for any purpose here
+
+
+def fit_t(df: DataFrame, column: str, max_steps: int = 100, tol: float = 1e-7) -> TFit:
+    """Maximum-likelihood location, scale and degrees of freedom of Student's t, by EM with one aggregate a step.
+
+    A step sums the weights w = (v + 1) / (v + z^2) and w d, w d^2 of the deviations d from the present location, which
+    gives the next location and scale (scale by the sum of weights: the parameter-expanded update), and the sums of
+    ln(1 + z^2 / u) for five degrees of freedom u around the present ones; the likelihoods of the five and a parabola
+    through the best three give the next. Nulls and non-finite values are left out. Only these sums reach the driver.
+    """
+    x = F.col(column).cast("double")
+    rows = materialize(df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") < float("inf"))), "persist")
+    try:
+        start = rows.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", [0.25, 0.5, 0.75], 1000).alias("q"), F.stddev_samp("x").alias("sd")).first()
+        n = start["n"]
+        if n < 3 or not start["sd"]:
+            raise ValueError("a t needs three values and some spread")
+        loc = start["q"][1]
+        scale, dof, ratio = ((start["q"][2] - start["q"][0]) / 1.4 or start["sd"]), 8.0, 2.0
+        for step in range(1, max_steps + 1):
+            tries = [min(dof * ratio ** k, 2 * MOST_DOF) for k in (-2, -1, 0, 1, 2)]
+            d = F.col("x") - F.lit(loc)
+            z2 = d * d / F.lit(scale * scale)
+            w = F.lit(dof + 1.0) / (F.lit(dof) + z2)
+            r = rows.agg(F.sum(w).alias("w"), F.sum(w * d).alias("wd"), F.sum(w * d * d).alias("wdd"),
+                         *[F.sum(F.log1p(z2 / F.lit(u))).alias(f"l{k}") for k, u in enumerate(tries)]).first()
+            like = [n * (math.lgamma((u + 1) / 2) - math.lgamma(u / 2) - 0.5 * math.log(u)) - (u + 1) / 2 * r[f"l{k}"] for k, u in enumerate(tries)]
+            shift = r["wd"] / r["w"]
+            spread = math.sqrt(max(r["wdd"] / r["w"] - shift * shift, 0.0))
+            best = max(range(5), key=lambda k: like[k])
+            if 0 < best < 4:
+                left, mid, right = like[best - 1:best + 2]
+                bend = left - 2 * mid + right
+                new_dof = tries[best] * ratio ** (0.5 * (left - right) / bend if bend < 0 else 0.0)
+                ratio = max(1.0 + 1e-4, math.sqrt(ratio))
+            else:
+                new_dof = tries[best]
+            new_dof = min(max(new_dof, 0.05), MOST_DOF)
+            moved = max(abs(shift) / scale, abs(spread - scale) / scale, abs(new_dof - dof) / dof)
+            loc, scale, dof = loc + shift, spread, new_dof
+            if moved < tol or scale == 0:
+                return TFit(loc, scale, dof, n, step, moved < tol)
+        return TFit(loc, scale, dof, n, max_steps, False)
+    finally:
+        rows.unpersist()
+
+
+def qq_points(df: DataFrame, column: str, n_points: int = 100, distribution: str = "normal") -> DataFrame:
+    """Sample quantiles at (i - 0.5) / m against theoretical ones.
+
+    ``distribution``: "normal" gives standard-normal quantiles; "t" gives those of a Student's t fitted to the column
+    (``fit_t``, location and scale applied), so points on the diagonal speak for it.
+    """
+    if distribution not in ("normal", "t"):
+        raise ValueError(f"unknown distribution {distribution!r}")
     probs = [(i - 0.5) / n_points for i in range(1, n_points + 1)]
     sample = exact_quantiles(df, column, probs)
-    rows = [(i, p, norm_ppf(p), q) for i, (p, q) in enumerate(zip(probs, sample), start=1)]
+    if distribution == "normal":
+        theory = [norm_ppf(p) for p in probs]
+    else:
+        fit = fit_t(df, column)
+        theory = [fit.loc + fit.scale * t_ppf(p, fit.dof) for p in probs]
+    rows = [(i, p, t, q) for i, (p, t, q) in enumerate(zip(probs, theory, sample), start=1)]
     return df.sparkSession.createDataFrame(rows, "i int, p double, theoretical double, sample double")
 
 

@@ -8,6 +8,7 @@ from shelfspark.operators import model as M
 from shelfspark.plans.catalog.base import register, table
 from shelfspark.plans.catalog.q_features import _apply, _fit
 from shelfspark.plans.retail import TESTDATA_PRESET as P
+from shelfspark.session import materialize
 
 _THRESH = M.split_threshold(0.7)
 _FEATURES = ["Item_Weight", "Item_Visibility", "Item_MRP", "Outlet_Establishment_Year", "Outlet_Size",
@@ -94,20 +95,26 @@ def q_train_metrics(spark, d):
     """RMSE and R2 of the multi-feature model on its train and validation split (hash split, seed 28)."""
     _, _, feats, _ = _fit(spark, d)
     tagged = M.train_val_split_tag(feats, ["l_orderkey", "l_linenumber"], 28, 0.7)
-    model = M.fit_linear(tagged.filter(F.col("split") == "train"), _FEATURES, "Item_Outlet_Sales")
-    out = None
-    for side in ("train", "val"):
-        r = M.regression_metrics(tagged.filter(F.col("split") == side), "Item_Outlet_Sales", model.predict_expr())
-        r = r.select(F.lit(side).alias("split"), "*")
-        out = r if out is None else out.unionByName(r)
-    return out
+    rows = materialize(tagged.select("split", *_FEATURES, "Item_Outlet_Sales"), "persist")  # three passes read them
+    try:
+        model = M.fit_linear(rows.filter(F.col("split") == "train"), _FEATURES, "Item_Outlet_Sales")
+        got = M.regression_metrics(rows, "Item_Outlet_Sales", model.predict_expr(), by=["split"])
+        return spark.createDataFrame(got.collect(), got.schema)  # two rows
+    finally:
+        rows.unpersist()
 
 
 @register("compare_models")
 def q_compare_models(spark, d):
     """New model (all features) against the current one (price bin only) on the new rows."""
-    test, feats, params, new_model = _trained(spark, d)
-    old_model = M.fit_linear(feats, ["Item_MRP"], "Item_Outlet_Sales")
+    _, test, feats, params = _fit(spark, d)
+    rows = materialize(feats.select(*_FEATURES, "Item_Outlet_Sales"), "persist")  # two passes read them
+    try:
+        sums = M.gram(rows, [*_FEATURES, "Item_Outlet_Sales"])  # the price-only model is a sub-block of it
+    finally:
+        rows.unpersist()
+    new_model = M.fit_from_gram(sums, _FEATURES, "Item_Outlet_Sales")
+    old_model = M.fit_from_gram(sums, ["Item_MRP"], "Item_Outlet_Sales")
     applied = _apply(test, params)
     scored = applied.select("Item_Outlet_Sales", new_model.predict_expr().alias("pred_new"),
                             old_model.predict_expr().alias("pred_old"))

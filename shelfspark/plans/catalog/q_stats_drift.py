@@ -69,6 +69,27 @@ def q_wilcoxon_signed(spark, d):
                     F.col("ties").cast("double").alias("ties"))
 
 
+@register("wilcoxon_exact", f"""
+WITH RECURSIVE pairs AS (SELECT avg(CASE WHEN CAST(o_orderdate AS DATE) <= DATE '{CUT}' THEN o_totalprice END) - avg(CASE WHEN CAST(o_orderdate AS DATE) > DATE '{CUT}' THEN o_totalprice END) AS d
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey)
+, vc AS (SELECT abs(d) AS v, count(*) AS n, sum(CASE WHEN d > 0 THEN 1 ELSE 0 END) AS n_pos FROM pairs WHERE d <> 0 GROUP BY 1)
+, rk AS (SELECT n, n_pos, sum(n) OVER (ORDER BY v) - n + (n + 1) / 2.0 AS r FROM vc)
+, sums AS (SELECT CAST(sum(n) AS BIGINT) AS n, sum(n_pos * r) AS w, CAST(sum(2 * n * r) AS BIGINT) AS top FROM rk)
+, each_rank AS (SELECT list(CAST(2 * r AS BIGINT)) AS rs FROM (SELECT r, unnest(range(n)) FROM rk))
+, dp(k, p) AS (SELECT 0, list_prepend(1.0::DOUBLE, list_transform(range(top), lambda i: 0.0::DOUBLE)) FROM sums
+    UNION ALL SELECT k + 1, list_transform(range(1, len(p) + 1), lambda i: (p[i] + CASE WHEN i > rs[k + 1] THEN p[i - rs[k + 1]] ELSE 0 END) / 2) FROM dp, each_rank WHERE k < len(rs))
+SELECT round(CAST(least(w, n * (n + 1) / 2.0 - w) AS DOUBLE), 4) AS t,
+       round(least(1.0, 2 * least(list_sum(p[1:CAST(2 * w AS BIGINT) + 1]), list_sum(p[CAST(2 * w AS BIGINT) + 1:]))), 8) AS p_value, n
+FROM dp, sums WHERE k = n""")
+def q_wilcoxon_exact(spark, d):
+    """Exact test of the nations' mean order prices before and after the cut (one pair per nation)."""
+    o = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    old = F.col("o_orderdate").cast("date") <= F.lit(CUT).cast("date")
+    pairs = o.groupBy("c_nationkey").agg(F.avg(F.when(old, F.col("o_totalprice"))).alias("old"), F.avg(F.when(~old, F.col("o_totalprice"))).alias("new"))
+    r = ST.wilcoxon_signed(pairs, "old", "new", method="exact")
+    return spark.createDataFrame([(round(r.statistic, 4), round(r.p_value, 8), r.n)], "t double, p_value double, n long")
+
+
 _QQ_M = 50
 _QQ_P = [(i - 0.5) / _QQ_M for i in range(1, _QQ_M + 1)]
 
@@ -267,6 +288,12 @@ def q_drift_monitor(spark, d):
     return DR.drift_monitor(s, "date_created", CUT)
 
 
+@register("qq_points_t")
+def q_qq_points_t(spark, d):
+    """Price quantiles against those of a Student's t fitted to the prices (no SQL: the fit is iterative)."""
+    return ST.qq_points(table(spark, d, "lineitem"), "l_extendedprice", _QQ_M, distribution="t")
+
+
 @register("kruskal_wallis_test")
 def q_kruskal_wallis_test(spark, d):
     """H with its chi-square p-value (p computed on the driver from the aggregate)."""

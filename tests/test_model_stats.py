@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from shelfspark.functions.distributions import chi2_sf, norm_sf
@@ -115,3 +116,137 @@ def test_fit_linear_matches_numpy_with_collinear_dummies(spark):
     assert m.coefficients[0] == pytest.approx(coef[1], rel=1e-9)
     got = m.intercept + np.column_stack([x1, *d]) @ np.array(m.coefficients)
     assert np.allclose(got, X @ coef, rtol=1e-9, atol=1e-7)
+
+
+def test_gram_of_many_columns_matches_numpy(spark):
+    """60 columns (1,830 products) go through the blocks; some lie far from zero."""
+    from pyspark.sql import functions as F
+
+    from shelfspark.operators.gram import cross_sums, gram
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, 60)) + np.linspace(0, 1e8, 60)
+    names = [f"c{i}" for i in range(60)]
+    df = spark.createDataFrame(x.tolist(), names)
+    g = gram(df, names)
+    d = x - x.mean(axis=0)
+    assert np.allclose(g.means, x.mean(axis=0)) and np.allclose(g.sums, d.T @ d, rtol=1e-6, atol=1e-6)
+    few = gram(df, names[:5])
+    assert np.allclose(few.sums, g.sums[:5, :5], rtol=1e-9)
+    other = cross_sums(df, [F.col(n) for n in names[:10]], [F.col(n) for n in names[10:23]])
+    assert np.allclose(other, x[:, :10].T @ x[:, 10:23], rtol=1e-9)
+    m = M.fit_linear(df, names[:59], "c59")
+    want = np.linalg.lstsq(d[:, :59], d[:, 59], rcond=None)[0]
+    assert np.allclose(m.coefficients, want, atol=1e-5)
+
+
+def test_several_models_of_one_gram(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 3))
+    y = x @ [1.0, -2.0, 0.5] + rng.normal(size=300)
+    df = spark.createDataFrame(np.column_stack([x, y]).tolist(), ["a", "b", "c", "y"])
+    from shelfspark.operators.gram import gram
+
+    g = gram(df, ["a", "b", "c", "y"])
+    for feats in (["a", "b", "c"], ["b"], ["c", "a"]):
+        assert np.allclose(M.fit_from_gram(g, feats, "y").coefficients, M.fit_linear(df, feats, "y").coefficients, atol=1e-9)
+
+
+def test_correlations_with_gaps_match_pandas(spark):
+    import pandas as pd
+
+    from shelfspark.operators import profile as PR
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(200, 14)) + 1e6
+    x[:, 1] += 3 * x[:, 0]
+    gaps = rng.random(x.shape) < 0.2
+    rows = [[None if g else float(v) for v, g in zip(r, gs)] for r, gs in zip(x, gaps)]
+    names = [f"c{i}" for i in range(14)]
+    for frame in (rows, x.tolist()):
+        df = spark.createDataFrame([[*r, 5.0] for r in frame], ", ".join(f"{n} double" for n in [*names, "flat"]))
+        got = {(r["a"], r["b"]): r["r"] for r in PR.corr_matrix(df).collect()}
+        want = pd.DataFrame(frame, columns=names).astype(float).corr()
+        assert all(abs(got[a, b] - want.loc[a, b]) < 1e-8 for a in names for b in names)
+        assert got["flat", "flat"] == 1.0 and got["flat", "c0"] is None
+
+
+def test_simple_model_of_a_constant_feature(spark):
+    df = spark.createDataFrame([(2.0, 1.0), (2.0, 4.0)], "x double, y double")
+    m = M.simple_model(df, "x", "y")
+    assert m.coefficients == [0.0] and m.intercept == 2.5
+    with pytest.raises(ValueError):
+        M.simple_model(df.filter("x > 5"), "x", "y")
+
+
+def brute_signed_rank(d):
+    """Two-sided p over all signs of the ranks of |d|."""
+    d = [x for x in d if x]
+    size = sorted(abs(x) for x in d)
+    ranks = [size.index(abs(x)) + (size.count(abs(x)) + 1) / 2 for x in d]
+    w = sum(r for r, x in zip(ranks, d) if x > 0)
+    sums = [sum(r for k, r in enumerate(ranks) if s >> k & 1) for s in range(1 << len(d))]
+    return min(1.0, 2 * min(sum(x <= w for x in sums), sum(x >= w for x in sums)) / len(sums))
+
+
+@pytest.mark.parametrize("d", [[1.0, 2, 3, 4, 5], [1.0, -2, 3, 3, -3, 0], [2.0], [-1.0, -1, -1, 1], [0.5 * i * (-1) ** (i // 3) for i in range(1, 13)],
+                               [1.0, 1, 2, 2, -2, 7, -9, 9, 4, 0.5, -4]])
+def test_exact_signed_rank(spark, d):
+    df = spark.createDataFrame([(float(x), 0.0) for x in d], "a double, b double")
+    r = ST.wilcoxon_signed(df, "a", "b", method="exact")
+    assert abs(r.p_value - brute_signed_rank(d)) < 1e-12 and r.n == sum(x != 0 for x in d)
+    assert r.statistic == ST.wilcoxon_signed(df, "a", "b").statistic
+
+
+def test_exact_signed_rank_known_values_and_limits(spark):
+    df = spark.createDataFrame([(float(x), 0.0) for x in range(1, 6)], "a double, b double")
+    assert ST.wilcoxon_signed(df, "a", "b", method="exact").p_value == 0.0625
+    assert ST.wilcoxon_signed(df.filter("a > 9"), "a", "b", method="exact").p_value is None
+    many = spark.range(1500).selectExpr("cast(id + 1 as double) as a", "0.0 as b")
+    with pytest.raises(ValueError):
+        ST.wilcoxon_signed(many, "a", "b", method="exact")
+    with pytest.raises(ValueError):
+        ST.wilcoxon_signed(df, "a", "b", method="auto")
+    rng = random.Random(1)
+    some = spark.createDataFrame([(rng.gauss(0.2, 1), 0.0) for _ in range(400)], "a double, b double")
+    exact, normal = (ST.wilcoxon_signed(some, "a", "b", method=m).p_value for m in ("exact", "normal"))
+    assert abs(exact - normal) < 0.01 * exact + 1e-4
+
+
+def test_compare_models_passes_the_choice_through(spark):
+    df = spark.createDataFrame([(float(i), float(i) + 0.01 * i, float(i) - 0.5 - 0.1 * i) for i in range(1, 6)], "y double, new double, old double")
+    exact, normal = (M.compare_models(df, "y", "new", "old", method=m) for m in ("exact", "normal"))
+    assert exact.wilcoxon.p_value == 0.0625 and not exact.accept
+    assert normal.wilcoxon.p_value < 0.05 and normal.accept
+
+
+def test_t_quantiles():
+    from shelfspark.functions.distributions import t_ppf, t_sf
+
+    for p, dof, want in [(0.975, 5, 2.570581836), (0.975, 10, 2.228138852), (0.95, 3, 2.353363435), (0.75, 1, 1.0), (0.995, 30, 2.749995654)]:
+        assert abs(t_ppf(p, dof) - want) < 1e-8 and abs(t_ppf(1 - p, dof) + want) < 1e-8
+        assert abs(t_sf(want, dof) - (1 - p)) < 1e-9
+    assert abs(t_ppf(0.9, 1e6) - 1.2815515655) < 1e-5 and t_ppf(0.5, 2) == 0
+
+
+@pytest.mark.parametrize("loc, scale, dof", [(3.0, 2.0, 4.0), (-1e4, 50.0, 2.5), (0.0, 1e-3, 12.0)])
+def test_t_fit_recovers_planted_parameters(spark, loc, scale, dof):
+    from shelfspark.functions.distributions import t_ppf
+
+    n = 4001  # the distribution's own quantiles: no sampling error
+    values = [(loc + scale * t_ppf((i + 0.5) / n, dof),) for i in range(n)] + [(None,), (float("nan"),), (float("inf"),)]
+    fit = ST.fit_t(spark.createDataFrame(values, "x double"), "x")
+    assert fit.converged and fit.n == n
+    assert abs(fit.loc - loc) < 1e-3 * scale and abs(fit.scale / scale - 1) < 0.01 and abs(fit.dof / dof - 1) < 0.08
+
+
+def test_t_points_lie_on_the_diagonal(spark):
+    from shelfspark.functions.distributions import t_ppf
+
+    df = spark.createDataFrame([(5 + 2 * t_ppf((i + 0.5) / 999, 3.0),) for i in range(999)], "x double")
+    got = ST.qq_points(df, "x", 20, distribution="t").collect()
+    assert max(abs(r["theoretical"] - r["sample"]) for r in got) < 0.15
+    normal = ST.qq_points(df, "x", 20).collect()
+    assert [r["sample"] for r in normal] == [r["sample"] for r in got] and abs(normal[0]["theoretical"] + 1.959964) < 1e-5
+    with pytest.raises(ValueError):
+        ST.fit_t(spark.createDataFrame([(1.0,), (1.0,), (1.0,)], "x double"), "x")
