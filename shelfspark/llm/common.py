@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,10 +72,27 @@ def key_bounds(df: DataFrame, key: str, n_buckets: int) -> list[int]:
     return sorted(set(got or []))
 
 
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most BATCH_ROWS rows for the actions inside: texts and sets make rows of kilobytes, and the
+    JVM and the worker each hold a whole batch. The session's own setting is put back."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def written(df: DataFrame) -> DataFrame:
     """The frame written to the shared checkpoint folder and read back: later passes neither
     recompute it nor depend on an executor that may be lost."""
-    return cut_lineage(df)
+    with small_batches(df.sparkSession):
+        return cut_lineage(df)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -84,5 +102,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def kept_table(df: DataFrame, name: str) -> DataFrame:
     """The frame written as Parquet under the shared checkpoint folder and read back (smaller than a checkpoint)."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
