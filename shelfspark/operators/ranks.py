@@ -23,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfspark.operators.selection import column_quantiles
 from shelfspark.operators.sizing import broadcast_known
 
 BUCKET = "__bucket"
@@ -213,6 +214,10 @@ def exact_quantiles_from_counts(
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float], n_buckets: int | None = None) -> list[float | None]:
-    """Driver list of exact quantiles (k numbers), in the order of ``probs``."""
-    rows = {r["p"]: r["q"] for r in exact_quantiles_by(df, value, probs, (), n_buckets).collect()}
-    return [rows.get(float(p)) for p in probs]
+    """Driver list of exact quantiles (k numbers), in the order of ``probs``: ranges are counted and narrowed, and rows are not
+    shuffled (``selection.py``). With ``n_buckets`` they come from the bucketed value counts of ``exact_quantiles_by`` instead."""
+    if n_buckets:
+        rows = {r["p"]: r["q"] for r in exact_quantiles_by(df, value, probs, (), n_buckets).collect()}
+        return [rows.get(float(p)) for p in probs]
+    v = F.col(value) if isinstance(value, str) else value
+    return column_quantiles(df.select(v.alias("v")), ["v"], probs)["v"]

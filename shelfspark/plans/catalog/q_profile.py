@@ -107,6 +107,25 @@ def q_grouped_mean(spark, d):
     return r.select("Item_Type", "n", *[F.round(c, 4).alias(c) for c in ("mean", "std", "ci_low", "ci_high")])
 
 
+_BOOT_B = 40
+_BOOT_WEIGHT = "CASE " + " ".join(f"WHEN word < '{w}' THEN {k}" for k, w in enumerate(PR.POISSON_STEPS)) + f" ELSE {len(PR.POISSON_STEPS)} END"
+
+
+@register("grouped_mean_bootstrap", f"""
+WITH li AS (SELECT l_returnflag AS g, l_extendedprice AS v, CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) || '|' ||
+                   CAST(l_partkey AS VARCHAR) || '|' || CAST(l_suppkey AS VARCHAR) AS k FROM lineitem),
+w AS (SELECT g, v, c * 8 + j AS b, substr(h, 4 * j + 1, 4) AS word
+      FROM (SELECT g, v, c, md5(k || '|28|' || c) AS h FROM li, range(0, {_BOOT_B // 8}) t(c)), range(0, 8) u(j)),
+m AS (SELECT g, b, sum({_BOOT_WEIGHT} * v) / sum({_BOOT_WEIGHT}) AS m FROM w GROUP BY g, b)
+SELECT m.g AS l_returnflag, any_value(n) AS n, round(any_value(mean), 4) AS mean, round(quantile_cont(m, 0.025), 4) AS ci_low, round(quantile_cont(m, 0.975), 4) AS ci_high
+FROM m JOIN (SELECT g, count(v) AS n, avg(v) AS mean FROM li GROUP BY g) a ON m.g = a.g GROUP BY m.g""")
+def q_grouped_mean_bootstrap(spark, d):
+    """Bootstrap interval of the mean price per return flag."""
+    r = PR.grouped_mean_bootstrap(table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice",
+                                  ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], replicates=_BOOT_B)
+    return r.select("l_returnflag", "n", *[F.round(c, 4).alias(c) for c in ("mean", "ci_low", "ci_high")])
+
+
 @register("box_stats", with_sales("""
 , named AS (SELECT NULLIF(Outlet_Type, 'BUILDING') AS Outlet_Type, Item_Outlet_Sales FROM sales)
 , q AS (SELECT Outlet_Type, quantile_cont(Item_Outlet_Sales, 0.25) AS q1, quantile_cont(Item_Outlet_Sales, 0.5) AS median,
@@ -138,20 +157,26 @@ def q_histogram(spark, d):
     return r.select("bin", F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"), "n")
 
 
-@register("density_grid", """
+_KDE_ERROR = 1e-4
+
+
+@register("density_grid", f"""
 WITH st AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, stddev_samp(l_extendedprice) AS sd,
                    count(l_extendedprice) AS n FROM lineitem),
-p AS (SELECT lo, hi, n, sd * pow(n, -0.2) AS bw, (hi - lo) / 1024 AS width, (hi - lo) / 99 AS step FROM st),
-b AS (SELECT LEAST(CAST(floor((l_extendedprice - lo) / width) AS INTEGER), 1023) AS bin, count(*) AS c
-      FROM lineitem, p WHERE l_extendedprice IS NOT NULL GROUP BY 1),
+p AS (SELECT lo, n, sd * pow(n, -0.2) AS bw, sd * pow(n, -0.2) * sqrt(4 * {_KDE_ERROR}) AS width, lo - 3 * sd * pow(n, -0.2) AS start,
+             (hi - lo + 6 * sd * pow(n, -0.2)) / 99 AS step FROM st),
+v AS (SELECT (l_extendedprice - lo) / width AS at FROM lineitem, p),
+nodes AS (SELECT node, sum(mass) AS mass FROM (SELECT floor(at) AS node, 1 - (at - floor(at)) AS mass FROM v
+          UNION ALL SELECT floor(at) + 1, at - floor(at) FROM v) GROUP BY node),
 g AS (SELECT CAST(i AS INTEGER) AS i FROM range(0, 100) t(i))
-SELECT g.i, round(lo + g.i * step, 4) AS x,
-       round(1e6 * sum(c * exp(-0.5 * pow((lo + g.i * step - (lo + (bin + 0.5) * width)) / bw, 2))) / (n * bw * sqrt(2 * pi())), 6) AS density
-FROM g, b, p GROUP BY g.i, lo, step, n, bw""")
+SELECT g.i, round(start + g.i * step, 4) AS x,
+       round(1e6 * sum(CASE WHEN abs(start + g.i * step - lo - node * width) <= bw * sqrt(-2 * ln({_KDE_ERROR} / 2))
+                            THEN mass * exp(-0.5 * pow((start + g.i * step - lo - node * width) / bw, 2)) ELSE 0 END) / (n * bw * sqrt(2 * pi())), 4) AS density
+FROM g, nodes, p GROUP BY g.i, start, step, n, bw""")
 def q_density_grid(spark, d):
-    r = PR.density_grid(table(spark, d, "lineitem"), "l_extendedprice", n_grid=100, n_bins=1024)
+    r = PR.density_grid(table(spark, d, "lineitem"), "l_extendedprice", n_grid=100, error=_KDE_ERROR)
     # density per million units of price, rounded
-    return r.select("i", F.round("x", 4).alias("x"), F.round(F.col("density") * 1e6, 6).alias("density"))
+    return r.select("i", F.round("x", 4).alias("x"), F.round(F.col("density") * 1e6, 4).alias("density"))
 
 
 _CORR_PAIRS = [(a, b) for i, a in enumerate(_LI_NUM) for b in _LI_NUM[i:]]
