@@ -35,7 +35,10 @@ CELL_ROWS = 64
 TOKEN_BITS = 26
 DOCUMENT_BITS = 24
 PARITY_GROUPS = 9  # of 7 bytes
-MARKS_AT = 8 + 7 * PARITY_GROUPS
+ORDERS_AT = 8 + 7 * PARITY_GROUPS
+SHORT_PREFIX = 32
+ORDER_BYTES = 64  # 16 bits a token
+HUB_PAIRS = 1000
 
 
 def prefix_length(n: np.ndarray | int, t: Fraction):
@@ -142,23 +145,46 @@ def _members(docs: DataFrame, weights, t: Fraction) -> DataFrame:
 
 
 def cell_marks(tokens: np.ndarray) -> bytes:
-    """Tokens per cell, as many cells as tokens (the next power of two): one byte each. Empty if a count needs more."""
-    cells = 1 << max(6, (len(tokens) - 1).bit_length())
-    counts = np.bincount((tokens & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
-    return counts.astype(np.uint8).tobytes() if counts.max() < 255 else b""
+    """Tokens per cell, one to two tokens a cell: four bits each. Empty if a count needs more."""
+    cells = 1 << max(6, (len(tokens) // 2).bit_length())
+    counts = np.bincount((tokens & np.uint64(cells - 1)).astype(np.int64), minlength=cells).astype(np.uint8)
+    return (counts[::2] | counts[1::2] << 4).tobytes() if counts.max() < 16 else b""
+
+
+def _counts(marks: bytes) -> np.ndarray:
+    packed = np.frombuffer(marks, np.uint8)
+    return np.column_stack([packed & 15, packed >> 4]).ravel().astype(np.int64)
 
 
 def most_common(x: bytes, y: bytes, nx: int, ny: int) -> int:
     """Upper bound of the tokens that two sets share, from their marks."""
     if not x or not y:
         return min(nx, ny)
-    x, y = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    x, y = _counts(x), _counts(y)
     cells = min(len(x), len(y))
     return int(np.minimum(x.reshape(-1, cells).sum(axis=0), y.reshape(-1, cells).sum(axis=0)).sum())
 
 
-def _values(docs: DataFrame, nodes: DataFrame, column: str, make) -> DataFrame:
-    """node and ``make`` of its tokens (binary ``column``) for the nodes (doc_id, node) given."""
+def order_bits(tokens: np.ndarray, weights: np.ndarray, t: Fraction, orders: int) -> bytes:
+    """A bitmap of the prefix under each further order, ORDER_BYTES each; empty for prefixes of over SHORT_PREFIX tokens."""
+    if prefix_length(len(tokens), t) > SHORT_PREFIX:
+        return b""
+    maps = np.zeros((orders - 1, ORDER_BYTES * 8), np.uint8)
+    for k in range(1, orders):
+        maps[k - 1, (mix(prefix(tokens, weights, k, t), 300 + k) % np.uint64(ORDER_BYTES * 8)).astype(np.int64)] = 1
+    return np.packbits(maps, axis=1).tobytes()
+
+
+def orders_meet(x: bytes, y: bytes) -> bool:
+    """Whether the bitmaps of two sets have a bit in common under every order (sets without bitmaps may)."""
+    if not x or not y:
+        return True
+    both = np.frombuffer(x, np.uint8) & np.frombuffer(y, np.uint8)
+    return bool(both.reshape(-1, ORDER_BYTES).any(axis=1).all())
+
+
+def _scanned(docs: DataFrame, nodes: DataFrame, column: str, make) -> DataFrame:
+    """node and ``make`` of its tokens (binary ``column``) for the nodes (doc_id, node) given, and a few more that pass their filter."""
     spark = docs.sparkSession
     wanted = nodes.select(F.xxhash64("doc_id").alias("h"), "node")
     bits = spark.sparkContext.broadcast(bit_filter(wanted, F.col("h"), DOCUMENT_BITS))
@@ -171,13 +197,17 @@ def _values(docs: DataFrame, nodes: DataFrame, column: str, make) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([set_key(s)[0] for s in sets], pa.int64()), pa.array([make(s) for s in sets], pa.binary())], ["node", column])
 
-    found = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(tidy(run), f"node long, {column} binary")
-    exact = found.join(nodes.select("node"), "node", "left_semi")
-    return kept_table(exact.groupBy("node").agg(F.first(column).alias(column)), column)
+    return docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(tidy(run), f"node long, {column} binary")
 
 
-def _packed(tokens: np.ndarray) -> bytes:
-    return tokens.tobytes()
+def _marks(docs: DataFrame, nodes: DataFrame, weights, t: Fraction, orders: int) -> DataFrame:
+    """node and marks of the nodes (doc_id, node) given (written): size, parities, order bitmaps and cell counts."""
+    def marked(tokens: np.ndarray) -> bytes:
+        bits = order_bits(tokens, weights.value, t, orders)
+        return len(tokens).to_bytes(8, "little") + parities(tokens) + len(bits).to_bytes(2, "little") + bits + cell_marks(tokens)
+
+    found = _scanned(docs, nodes, "marks", marked).join(nodes.select("node"), "node", "left_semi")
+    return kept_table(found.groupBy("node").agg(F.first("marks").alias("marks")), "marks")
 
 
 def parities(tokens: np.ndarray) -> bytes:
@@ -186,40 +216,54 @@ def parities(tokens: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def _marked(tokens: np.ndarray) -> bytes:
-    return len(tokens).to_bytes(8, "little") + parities(tokens) + cell_marks(tokens)
-
-
 def _alike(pairs: DataFrame, marks: DataFrame, t: Fraction) -> DataFrame:
     """The pairs whose marks allow a link."""
+    def parts(m: bytes) -> tuple[int, bytes, bytes]:
+        cells = ORDERS_AT + 2 + int.from_bytes(m[ORDERS_AT:ORDERS_AT + 2], "little")
+        return int.from_bytes(m[:8], "little"), m[ORDERS_AT + 2:cells], m[cells:]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for x, y in zip(batch["va"].to_pylist(), batch["vb"].to_pylist()):
-                nx, ny = int.from_bytes(x[:8], "little"), int.from_bytes(y[:8], "little")
-                both = min(most_common(x[MARKS_AT:], y[MARKS_AT:], nx, ny), nx, ny)
-                good.append(both * t.denominator >= t.numerator * (nx + ny - both))
+                (nx, ox, cx), (ny, oy, cy) = parts(x), parts(y)
+                both = min(most_common(cx, cy, nx, ny), nx, ny)
+                good.append(both * t.denominator >= t.numerator * (nx + ny - both) and orders_meet(ox, oy))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return kept_table(with_values(pairs, marks, "marks").mapInArrow(tidy(run), "a long, b long"), "alike")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, weights, t: Fraction, orders: int) -> DataFrame:
-    """The pairs (a, b) whose sets link: a shared prefix token under every further order, then the exact count."""
+def _linked(docs: DataFrame, pairs: DataFrame, named, t: Fraction) -> DataFrame:
+    """The pairs (a, b) whose whole sets link.
+
+    Node a is the hub of its pairs; they are dealt by (a, salt), HUB_PAIRS or so each. A set goes to its own roles first and then, once
+    a role, to its hub's place, where the hub's row comes first and the others are compared with it one by one.
+    """
+    salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_PAIRS).cast("int").alias("salts"))
+    others = pairs.join(salts, "a").select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), "b")
+    hubs = salts.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("bigint").alias("b"))
+    roles = kept_table(others.unionByName(hubs), "roles")
+    sets = _scanned(docs, named(roles.select("node").distinct()), "tokens", lambda s: s.tobytes())
+    dealt = sets.join(roles, "node").select("a", "salt", "b", "tokens").repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").isNotNull())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = weights.value
+        hub, own = None, np.zeros(0, np.uint64)
         for batch in batches:
-            good = []
-            for x, y in zip(batch["va"], batch["vb"]):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if not all(_common(np.sort(prefix(x, w, k, t)), np.sort(prefix(y, w, k, t))) for k in range(1, orders)):
-                    good.append(False)
+            left, right = [], []
+            for a, b, x in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), batch["tokens"]):
+                x = np.frombuffer(x.as_buffer(), np.uint64)
+                if b is None:
+                    hub, own = a, x.copy()
                     continue
-                both = _common(x, y)
-                good.append(both * t.denominator >= t.numerator * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+                assert a == hub
+                both = _common(own, x)
+                if both * t.denominator >= t.numerator * (len(own) + len(x) - both):
+                    left.append(a)
+                    right.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-    return with_values(pairs, sets, "tokens").mapInArrow(tidy(run), "a long, b long")
+    return dealt.mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -240,12 +284,8 @@ def _classes(docs: DataFrame, t: Fraction, orders: int) -> DataFrame:
     first = kept_table(base.filter("n_shingles > 0").groupBy("node", "node2").agg(F.min("doc_id").alias("doc_id")), "firsts")
     members = _members(docs, weights, t)
     named = lambda nodes: first.join(nodes, "node", "left_semi").select("doc_id", "node")
-    marks = _values(docs, named(members.select("node").distinct()), "marks", _marked)
-
-    def test(pairs: DataFrame) -> DataFrame:
-        alike = _alike(pairs, marks, t)
-        sets = _values(docs, named(alike.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "tokens", _packed)
-        return _verify(alike, sets, weights, t, orders)
+    marks = _marks(docs, named(members.select("node").distinct()), weights, t, orders)
+    test = lambda pairs: _linked(docs, _alike(pairs, marks, t), named, t)
 
     # From the first shared token on, at most the rest of either set is shared: t / (1 + t) of both sizes is needed.
     fits = lambda a, b: (F.least(a("size") - a("place"), b("size") - b("place")) * (t.numerator + t.denominator)

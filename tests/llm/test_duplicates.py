@@ -218,3 +218,27 @@ def test_drop_repeats(spark, edge_docs):
     got = {r["doc_id"]: (r["text"].strip() if r["text"] else r["text"], r["spans"]) for r in repeats.drop_repeats(docs).collect()}
     assert got == {1: ("Anfang", "a"), 2: ("é Ende", "b"), 3: (("alone " * 3).strip(), "c"), 4: (None, "d")}
     assert repeats.drop_repeats(edge_docs).columns == edge_docs.columns
+
+
+def test_marks_lose_no_link():
+    """Cell counts and order bitmaps bound what two sets share, for sets of all sizes and shares."""
+    rng = np.random.default_rng(12)
+    t = jaccard.THRESHOLD
+    weights = rng.integers(0, 20, 1 << jaccard.LOG_CELLS).astype(np.uint8)
+    pruned = 0
+    for n in (1, 2, 5, 30, 100, 128, 700, 5000):
+        for share in (0.0, 0.3, 0.7, 0.86, 0.95, 1.0):
+            k = round(n * share)
+            both = rng.integers(0, 1 << 63, k, dtype=np.uint64)
+            x, y = (np.unique(np.concatenate([both, rng.integers(0, 1 << 63, n - k, dtype=np.uint64)])) for _ in range(2))
+            common = len(np.intersect1d(x, y))
+            bound = jaccard.most_common(jaccard.cell_marks(x), jaccard.cell_marks(y), len(x), len(y))
+            assert bound >= common
+            meets = jaccard.orders_meet(*(jaccard.order_bits(s, weights, t, 3) for s in (x, y)))
+            if 4 * common >= 3 * (len(x) + len(y) - common):
+                assert meets and 4 * bound >= 3 * (len(x) + len(y) - bound)
+            elif share < 0.5:
+                pruned += not meets or 4 * bound < 3 * (len(x) + len(y) - bound)
+    assert pruned >= 10
+    same = np.full(40, 7, np.uint64)
+    assert jaccard.cell_marks(same) == b"" and jaccard.most_common(b"", jaccard.cell_marks(same[:3]), 40, 3) == 3
