@@ -7,16 +7,18 @@ so the frame being transformed is never gathered anywhere.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.functions.scalar import code_lookup, safe_name
 from shelfspark.operators.ranks import exact_quantiles
-from shelfspark.session import cut_lineage
+from shelfspark.operators.sizing import broadcast_known
+from shelfspark.session import cut_lineage, scratch_path
 
 # ---- modes -------------------------------------------------------------------
 
@@ -193,3 +195,42 @@ def one_hot_inferred(df: DataFrame, column: str, max_labels: int = 1000, prefix:
         raise ValueError(f"{column!r} has more than {max_labels} labels; pass them explicitly")
     labels = sorted(labels)
     return one_hot_fixed(df, column, labels, prefix, drop), labels
+
+
+def label_index(df: DataFrame, column: str) -> DataFrame:
+    """label, index (dense, from 0, in order of the labels) of the column's distinct non-null values; any number of them.
+
+    The labels are range-sorted over the shuffle partitions and written with their place in a partition; a label's index is
+    its place plus the labels of earlier partitions, so no list of labels reaches the driver.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    labels = df.select(F.col(column).alias("label")).filter("label is not null").distinct()
+    ordered = labels.repartitionByRange(parts, "label").sortWithinPartitions("label")
+    path = scratch_path(spark, f"labels-{uuid.uuid4().hex[:12]}")
+    ordered.select("label", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    runs = dealt.groupBy("part").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per shuffle partition
+    starts = runs.select("part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return dealt.join(broadcast_known(starts, parts), "part").select("label", (F.col("at") + F.col("shift")).alias("index"))
+
+
+def one_hot_sparse(df: DataFrame, column: str, index: DataFrame | None = None, drop: bool = True) -> DataFrame:
+    """One-hot columns of any number of labels as ``<column>_ones``: the array of places that hold a 1, all others hold 0.
+
+    A label's place is its ``label_index`` (of the data, or the one given, to encode new rows as the fitted ones); null and unknown labels have no
+    place, as they have no 1 in the wide form. The rows are joined to the index by label as the planner sees fit.
+    """
+    table = (label_index(df, column) if index is None else index).select(F.col("label").alias("__label"), F.col("index").alias("__index"))
+    joined = df.join(table, F.col(column) == F.col("__label"), "left")
+    ones = F.when(F.col("__index").isNull(), F.array().cast("array<bigint>")).otherwise(F.array("__index")).alias(f"{column}_ones")
+    return joined.select(*[F.col(c) for c in df.columns if not (drop and c == column)], ones)
+
+
+def crosstab_long(df: DataFrame, row: str, col: str) -> DataFrame:
+    """Contingency counts of any number of labels: row, col, the column label's place (``label_index``) and n; pairs that do not occur
+    have no row. Null labels of ``col`` are left out, a null in ``row`` is a group."""
+    counts = df.groupBy(row, col).agg(F.count(F.lit(1)).alias("n")).filter(F.col(col).isNotNull())
+    places = label_index(df, col).select(F.col("label").alias("__label"), F.col("index").alias("col_index"))
+    return counts.join(places, F.col(col) == F.col("__label")).select(row, col, "col_index", "n")

@@ -176,6 +176,27 @@ def q_one_hot_inferred(spark, d):
     return out
 
 
+_LABELS = "SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx FROM (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS label FROM lineitem)"
+
+
+@register("one_hot_sparse", f"""
+WITH labels AS ({_LABELS})
+SELECT l_orderkey, l_linenumber, CAST(idx AS BIGINT) AS one, CAST(1 AS INTEGER) AS n_ones FROM lineitem JOIN labels ON CAST(l_partkey AS VARCHAR) = label""")
+def q_one_hot_sparse(spark, d):
+    """Part keys as labels: as many as there are parts, so the ones are places, not columns."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    return FE.one_hot_sparse(li, "part").select("l_orderkey", "l_linenumber", F.col("part_ones")[0].alias("one"), F.size("part_ones").alias("n_ones"))
+
+
+@register("crosstab_long", f"""
+WITH labels AS ({_LABELS}), c AS (SELECT l_returnflag, CAST(l_partkey AS VARCHAR) AS part, count(*) AS n FROM lineitem GROUP BY 1, 2)
+SELECT l_returnflag, part, CAST(idx AS BIGINT) AS col_index, n FROM c JOIN labels ON part = label""")
+def q_crosstab_long(spark, d):
+    """Return flags against part keys, which a pivot could not hold as columns."""
+    li = table(spark, d, "lineitem").select("l_returnflag", F.col("l_partkey").cast("string").alias("part"))
+    return FE.crosstab_long(li, "l_returnflag", "part")
+
+
 @register("feature_pipeline_fit", with_sales(_TRAIN_CTES + "SELECT * FROM train_feat"))
 def q_feature_pipeline_fit(spark, d):
     _, _, feats, _ = _fit(spark, d)

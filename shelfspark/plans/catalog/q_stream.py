@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from shelfspark.operators import model as M
-from shelfspark.plans.catalog.base import register, scratch
+from shelfspark.plans.catalog.base import CUT, register, scratch, with_sales
 from shelfspark.plans.catalog.q_features import _fit
 from shelfspark.plans.catalog.q_model import _FEATURES
 from shelfspark.plans.retail import TESTDATA_PRESET as P
-from shelfspark.streaming.scoring import score_stream
+from shelfspark.sources.tables import read_table
+from shelfspark.streaming.scoring import score_stream, score_stream_to_table
 
 
 @register("score_stream")
@@ -22,4 +26,23 @@ def q_score_stream(spark, d):
     q = score_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", records.schema, P, params, model,
                      keep=("l_orderkey", "l_linenumber"))
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
+
+
+@register("stream_predictions", with_sales(f"""
+, keyed AS (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY Item_Outlet_Sales, Item_MRP, Outlet_Identifier) AS turn
+            FROM sales WHERE date_created > DATE '{CUT}')
+SELECT l_orderkey || '-' || l_linenumber || '-' || turn AS item_id, l_orderkey, l_linenumber, 1 AS scored FROM keyed"""))
+def q_stream_predictions(spark, d):
+    """The keyed predictions table that a stream of several micro-batches fills by merging; the oracle holds its ids."""
+    _, test, feats, params = _fit(spark, d)
+    model = M.fit_linear(feats, _FEATURES, "Item_Outlet_Sales")
+    base = scratch(spark, "stream")
+    turn = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy("Item_Outlet_Sales", "Item_MRP", "Outlet_Identifier"))
+    records = test.withColumn("item_id", F.concat_ws("-", "l_orderkey", "l_linenumber", turn)).drop("date_created")
+    records.repartition(3, "item_id").write.json(f"{base}/in")
+    q = score_stream_to_table(spark, f"{base}/in", base, "predictions", "item_id", f"{base}/ckpt", records.schema, P, params, model,
+                              keep=("l_orderkey", "l_linenumber"), max_files_per_trigger=1)
+    q.awaitTermination()
+    table = read_table(spark, base, "predictions")
+    return table.select("item_id", "l_orderkey", "l_linenumber", F.col("pred_Sales").isNotNull().cast("int").alias("scored"))

@@ -1,11 +1,12 @@
-"""Keyed feature tables on plain Parquet: create, overwrite, merge, snapshot.
-
-A table is a folder ``<root>/<name>`` holding ``_meta.json`` (schema, key,
-description) and versions ``v=00000001``, ... . A write goes to a new version
-folder; it becomes current once Spark's commit marker ``_SUCCESS`` is there.
-So a merge never overwrites the path its own plan reads, and readers never see
-a half-written table. File access goes through the Hadoop FileSystem of the
-session, so the same code works on any shared storage.
+"""Keyed feature tables: create, overwrite, merge, snapshot; Spark owns the storage.
+
+A table is one Parquet dataset ``<root>/<name>/rows``, partitioned by a bucket of the key's hash, beside a one-row
+dataset ``<root>/<name>/about`` with its schema, key, description and number of buckets. A merge joins only the buckets that the new rows
+fall into and writes them by dynamic partition overwrite; all others stay as they are. The joined rows are written
+to the shared checkpoint folder before they replace a bucket, so no write reads what it replaces.
+Spark's commit moves the finished files of a write at its end; readers that list files during that moment can
+see some buckets old and some new, and of two writers at once the later one's buckets stay. A table that needs
+more (snapshots for readers, several writers) needs a table format in Spark's catalog.
 """
 
 from __future__ import annotations
@@ -13,93 +14,43 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfspark.session import materialize
 
-_PREFIX = "v="
-_CLAIM = "_claim_"
+BUCKET = "key_bucket"
+BUCKETS = 32
 
 
 class KeyError_(ValueError):
     pass
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def _rows_path(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}/rows"
 
 
-def _path(spark: SparkSession, *parts: str):
-    jvm = spark.sparkContext._jvm
-    return jvm.org.apache.hadoop.fs.Path("/".join(p.rstrip("/") for p in parts))
+def _about_path(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}/about"
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
+def meta(spark: SparkSession, root: str, name: str) -> dict | None:
+    """Schema, primary keys, description and buckets of a table; None if there is no such table."""
     try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def table_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}"
+        row = spark.read.parquet(_about_path(root, name)).first()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    return {"schema": T.StructType.fromJson(json.loads(row["schema"])), "primary_keys": list(row["primary_keys"]),
+            "description": row["description"], "buckets": row["buckets"]}
 
 
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
-    fs, p = _fs(spark, table_path(root, name) + "/_meta.json")
-    return bool(fs.exists(p))
-
-
-def _versions(spark: SparkSession, root: str, name: str) -> list[int]:
-    fs, p = _fs(spark, table_path(root, name))
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        nm = st.getPath().getName()
-        if st.isDirectory() and nm.startswith(_PREFIX):
-            if fs.exists(_path(spark, st.getPath().toString(), "_SUCCESS")):
-                out.append(int(nm[len(_PREFIX):]))
-    return sorted(out)
-
-
-def _claim_version(spark: SparkSession, root: str, name: str) -> int:
-    """The next version number, claimed by creating its claim file: of several writers only one can create it."""
-    taken = [0]
-    fs, p = _fs(spark, table_path(root, name))
-    if fs.exists(p):
-        for st in fs.listStatus(p):
-            nm = st.getPath().getName()
-            if nm.startswith(_PREFIX) or nm.startswith(_CLAIM):
-                taken.append(int(nm[len(_PREFIX if nm.startswith(_PREFIX) else _CLAIM):]))
-    v = max(taken) + 1
-    while True:
-        cfs, claim = _fs(spark, f"{table_path(root, name)}/{_CLAIM}{v:08d}")
-        try:
-            cfs.create(claim, False).close()
-            return v
-        except Exception as e:  # the file exists: another writer has this version
-            if not cfs.exists(claim):
-                raise e
-            v += 1
-
-
-def meta(spark: SparkSession, root: str, name: str) -> dict:
-    return json.loads(_read_text(spark, table_path(root, name) + "/_meta.json"))
+    return meta(spark, root, name) is not None
 
 
 def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
@@ -119,20 +70,37 @@ def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def create_keyed_table(spark: SparkSession, root: str, name: str, schema: T.StructType, primary_keys: Sequence[str],
-                       description: str = "", df: DataFrame | None = None) -> bool:
-    """Make a table with schema and key. An existing table is reported (False), not replaced."""
-    if table_exists(spark, root, name):
-        return False
+                       description: str = "", df: DataFrame | None = None, buckets: int = BUCKETS) -> bool:
+    """Make a table with schema and key. An existing table is reported (False), not replaced.
+
+    ``buckets`` is the unit that a merge rewrites: choose it so that one holds a few files.
+    """
     for k in primary_keys:
         if k not in schema.fieldNames():
             raise KeyError_(f"key {k!r} not in schema")
-    m = {"name": name, "primary_keys": list(primary_keys), "description": description, "schema": schema.json()}
-    _write_text(spark, table_path(root, name) + "/_meta.json", json.dumps(m))
+    if BUCKET in schema.fieldNames():
+        raise KeyError_(f"{BUCKET!r} is the name of the table's partition column")
+    if table_exists(spark, root, name):
+        return False
+    about = spark.createDataFrame([(schema.json(), list(primary_keys), description, buckets)],
+                                  "schema string, primary_keys array<string>, description string, buckets int")
+    _store(spark.createDataFrame([], schema), list(primary_keys), buckets, _rows_path(root, name), "overwrite", "static")
+    about.coalesce(1).write.mode("error").parquet(_about_path(root, name))
     if df is not None:
         write_table(spark, root, name, df, mode="overwrite")
     return True
 
 
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(BUCKET)
+
+
+def _store(df: DataFrame, keys: Sequence[str], buckets: int, path: str, mode: str, overwrite: str) -> None:
+    """Write rows to their buckets; adaptive execution sizes a bucket's files."""
+    dealt = df.select("*", _bucket(keys, buckets)).hint("rebalance", BUCKET)
+    dealt.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(BUCKET).parquet(path)
+
+
 def _conform(df: DataFrame, schema: T.StructType, allow_missing: bool) -> DataFrame:
     unknown = [c for c in df.columns if c not in schema.fieldNames()]
     if unknown:
@@ -146,54 +114,54 @@ def _conform(df: DataFrame, schema: T.StructType, allow_missing: bool) -> DataFr
     return df.select(*cols)
 
 
-def read_table(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
-    vs = _versions(spark, root, name)
-    if not vs:
-        m = meta(spark, root, name)
-        return spark.createDataFrame([], T.StructType.fromJson(json.loads(m["schema"])))
-    v = version if version is not None else vs[-1]
-    return spark.read.parquet(f"{table_path(root, name)}/{_PREFIX}{v:08d}")
+def _known(spark: SparkSession, root: str, name: str) -> dict:
+    about = meta(spark, root, name)
+    if about is None:
+        raise KeyError_(f"no table {name!r}")
+    return about
+
+
+def _bucketed(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
+    stored = T.StructType([*[T.StructField(f.name, f.dataType) for f in schema.fields], T.StructField(BUCKET, T.IntegerType())])
+    return spark.read.schema(stored).parquet(_rows_path(root, name))
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The table's rows, with the columns of its schema."""
+    return _bucketed(spark, root, name, _known(spark, root, name)["schema"]).drop(BUCKET)
 
 
 def write_table(spark: SparkSession, root: str, name: str, df: DataFrame, mode: str = "overwrite",
-                check: bool = True) -> int:
-    """``overwrite`` replaces the content; ``merge`` upserts by the key.
+                check: bool = True) -> list[int]:
+    """``overwrite`` replaces the content; ``merge`` upserts by the key. Returns the buckets that were written by a merge.
 
     Merge: rows of a known key take the columns that the new frame has and keep the
     others; rows of a new key have null in columns the new frame lacks. A column
-    that the table does not know is an error. Returns the committed version. A version
-    is claimed by making its folder, which only one writer can do.
+    that the table does not know is an error. Merging the same rows again changes nothing.
     """
-    m = meta(spark, root, name)
-    schema = T.StructType.fromJson(json.loads(m["schema"]))
-    keys = m["primary_keys"]
     if mode not in ("overwrite", "merge"):
         raise ValueError(f"unknown mode {mode!r}")
+    about = _known(spark, root, name)
+    schema, keys, buckets = about["schema"], about["primary_keys"], about["buckets"]
     new = _conform(df, schema, allow_missing=(mode == "merge"))
     if check:
         check_keys(new, keys)
-    if mode == "overwrite" or not _versions(spark, root, name):
-        out = new.select(*[F.col(f.name) if f.name in new.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    else:
-        old = read_table(spark, root, name)
-        have = [c for c in new.columns if c not in keys]
-        mine = new.select(*keys, *[F.col(c).alias(f"__new_{c}") for c in have], F.lit(True).alias("__in_new"))
-        both = old.join(mine, on=keys, how="full")
-        out = both.select(*[
-            F.col(f.name) if f.name not in have else F.when(F.col("__in_new"), F.col(f"__new_{f.name}")).otherwise(F.col(f.name)).alias(f.name)
-            for f in schema.fields])
-    v = _claim_version(spark, root, name)
-    out.write.mode("append").parquet(f"{table_path(root, name)}/{_PREFIX}{v:08d}")
-    return v
-
-
-def drop_old_versions(spark: SparkSession, root: str, name: str, keep: int = 2) -> list[int]:
-    """Delete all but the newest ``keep`` committed versions; returns the deleted ones."""
-    old = _versions(spark, root, name)[:-keep] if keep else []
-    for v in old:
-        fs, p = _fs(spark, f"{table_path(root, name)}/{_PREFIX}{v:08d}")
-        fs.delete(p, True)
-    return old
+    path = _rows_path(root, name)
+    if mode == "overwrite":
+        _store(new, keys, buckets, path, "overwrite", "static")
+        return []
+    touched = sorted(r[0] for r in new.select(_bucket(keys, buckets)).distinct().collect())  # at most ``buckets`` numbers
+    if not touched:
+        return []
+    old = _bucketed(spark, root, name, schema).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    have = [c for c in new.columns if c not in keys]
+    mine = new.select(*keys, *[F.col(c).alias(f"__new_{c}") for c in have], F.lit(True).alias("__in_new"))
+    both = old.join(mine, on=keys, how="full")
+    merged = materialize(both.select(*[
+        F.col(f.name) if f.name not in have else F.when(F.col("__in_new"), F.col(f"__new_{f.name}")).otherwise(F.col(f.name)).alias(f.name)
+        for f in schema.fields]), "checkpoint")
+    _store(merged, keys, buckets, path, "overwrite", "dynamic")
+    return touched
 
 
 def snapshot_table(df: DataFrame, path: str, job_id: str, snapshot_date: str) -> None:
@@ -210,7 +178,7 @@ def read_snapshot(spark: SparkSession, path: str, job_id: str, snapshot_date: st
             .drop("job_id", "snapshot_date"))
 
 
-def write_predictions(spark: SparkSession, root: str, name: str, df: DataFrame, key: str) -> int:
-    """Create the predictions table (if new) and write to that same table."""
+def write_predictions(spark: SparkSession, root: str, name: str, df: DataFrame, key: str, mode: str = "overwrite") -> list[int]:
+    """Create the predictions table (if new) and write to that same table; ``merge`` adds to what it holds."""
     create_keyed_table(spark, root, name, df.schema, [key], "predictions")
-    return write_table(spark, root, name, df, mode="overwrite")
+    return write_table(spark, root, name, df, mode)

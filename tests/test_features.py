@@ -142,3 +142,34 @@ def test_no_local_checkpoint_folder_on_a_cluster():
     session = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
     with pytest.raises(RuntimeError, match="shared"):
         checkpoint_dir(session)
+
+
+def test_sparse_one_hot_means_the_same_as_the_wide_one(spark):
+    from shelfspark.operators import features as FE
+
+    df = spark.createDataFrame([(0, "b"), (1, None), (2, "a"), (3, "c"), (4, "b")], "i int, x string")
+    wide, labels = FE.one_hot_inferred(df, "x")
+    index = FE.label_index(df, "x")
+    assert sorted((r["label"], r["index"]) for r in index.collect()) == [(x, k) for k, x in enumerate(labels)]
+    sparse = {r["i"]: r["x_ones"] for r in FE.one_hot_sparse(df, "x").collect()}
+    for r in wide.collect():
+        assert [r[f"x_{x}"] for x in labels] == [int(k in sparse[r["i"]]) for k in range(len(labels))]
+    later = spark.createDataFrame([(9, "z"), (8, "c")], "i int, x string")
+    assert {r["i"]: r["x_ones"] for r in FE.one_hot_sparse(later, "x", index).collect()} == {9: [], 8: [2]}
+    assert FE.label_index(df.filter("i > 50"), "x").count() == 0
+
+
+def test_label_index_of_100_000_labels(spark):
+    """More labels than any list on the driver should hold, one of them on a third of all rows."""
+    from pyspark.sql import functions as F
+
+    from shelfspark.operators import features as FE
+
+    df = spark.range(150_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("label"), F.col("id"))).alias("x"))
+    got = FE.label_index(df, "x")
+    r = got.agg(F.count("*").alias("n"), F.min("index").alias("lo"), F.max("index").alias("hi"), F.countDistinct("index").alias("d")).first()
+    assert tuple(r) == (100_001, 0, 100_000, 100_001)
+    near = got.alias("a").join(got.alias("b"), F.col("b.index") == F.col("a.index") + 1)
+    assert near.filter("a.label >= b.label").count() == 0
+    counts = FE.crosstab_long(df.withColumn("g", F.lit("one")), "g", "x")
+    assert counts.count() == 100_001 and counts.filter("x = 'hot'").first()["n"] == 50_000

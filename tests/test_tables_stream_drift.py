@@ -31,17 +31,84 @@ def test_feature_table_round_trip_and_merge(spark):
     assert len(got) == 501 and got[1] == (100, 501) and got[2] == (2, 502) and got[1000] == (5, None)
     with pytest.raises(TB.KeyError_, match="extra"):
         TB.write_table(spark, root, "test", upd.withColumn("extra", F.lit(1)), mode="merge")
-    assert len(TB.drop_old_versions(spark, root, "test", keep=1)) == 3
     assert TB.read_table(spark, root, "test").count() == 501
 
 
-def test_one_writer_gets_a_version(spark):
+def test_merge_rewrites_only_the_buckets_it_touches(spark):
     root = _root(spark)
-    TB.create_keyed_table(spark, root, "claims", spark.range(1).schema, ["id"])
-    assert TB._claim_version(spark, root, "claims") == 1
-    assert TB._claim_version(spark, root, "claims") == 2
-    assert TB.write_table(spark, root, "claims", spark.range(3)) == 3
-    assert TB.read_table(spark, root, "claims").count() == 3
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(300)], "id long, v string")
+    TB.create_keyed_table(spark, root, "b", df.schema, ["id"], df=df, buckets=8)
+    files = lambda: {r["f"] for r in spark.read.parquet(f"{root}/b/rows").select(F.input_file_name().alias("f")).distinct().collect()}
+    before = files()
+    touched = TB.write_table(spark, root, "b", spark.createDataFrame([(7, "new"), (1007, "more")], "id long, v string"), mode="merge")
+    assert 1 <= len(touched) <= 2
+    kept = [f for f in before if not any(f"{TB.BUCKET}={k}/" in f for k in touched)]
+    assert set(kept) == {f for f in files() if not any(f"{TB.BUCKET}={k}/" in f for k in touched)} and len(kept) >= 6
+    got = {r["id"]: r["v"] for r in TB.read_table(spark, root, "b").collect()}
+    assert len(got) == 301 and got[7] == "new" and got[1007] == "more" and got[8] == "v8"
+    assert TB.write_table(spark, root, "b", df.filter("id < 0"), mode="merge") == []
+    TB.write_table(spark, root, "b", df.filter("id < 10"))
+    assert TB.read_table(spark, root, "b").count() == 10
+
+
+def test_empty_and_missing_tables(spark):
+    root = _root(spark)
+    schema = spark.createDataFrame([], "id long, v string").schema
+    assert not TB.table_exists(spark, root, "none")
+    with pytest.raises(TB.KeyError_):
+        TB.read_table(spark, root, "none")
+    assert TB.create_keyed_table(spark, root, "e", schema, ["id"], "nothing yet")
+    back = TB.read_table(spark, root, "e")
+    assert back.columns == ["id", "v"] and back.count() == 0
+    assert TB.meta(spark, root, "e")["description"] == "nothing yet"
+    TB.write_table(spark, root, "e", spark.createDataFrame([(1, "a")], schema), mode="merge")
+    assert TB.read_table(spark, root, "e").count() == 1
+    with pytest.raises(TB.KeyError_):
+        TB.create_keyed_table(spark, root, "x", spark.createDataFrame([], "key_bucket int").schema, ["key_bucket"])
+
+
+def test_a_repeated_micro_batch_changes_nothing(spark):
+    from shelfspark.streaming import scoring
+
+    out = _root(spark) + "/out"
+    first, second = (spark.createDataFrame([(i, float(i)) for i in ids], "id long, pred_Sales double") for ids in ([1, 2, 3], [4, 5]))
+    rows = lambda: sorted(tuple(r) for r in spark.read.parquet(out).select("batch_id", "id", "pred_Sales").collect())
+    scoring.write_batch(first, 0, out)
+    scoring.write_batch(second, 1, out)
+    once = rows()
+    scoring.write_batch(first, 0, out)
+    scoring.write_batch(second, 1, out)
+    assert rows() == once and len(once) == 5
+
+
+def test_stream_fills_the_keyed_table_in_batches(spark):
+    """Several micro-batches, then a stream that starts over without its checkpoint: the table equals batch scoring both times."""
+    from pyspark.sql import types as T
+
+    from shelfspark.operators.model import score_batch
+    from shelfspark.plans.catalog.q_model import _trained
+    from shelfspark.plans.retail import TESTDATA_PRESET as P
+    from shelfspark.plans.retail import feature_pipeline_apply
+    from shelfspark.streaming import scoring
+
+    base = _root(spark)
+    test, _, params, model = _trained(spark, "/root/testdata/sf0.001")
+    records = test.withColumn("item_id", F.monotonically_increasing_id()).drop("date_created").persist()
+    records.repartition(3).write.json(f"{base}/in")
+    schema = T.StructType([f for f in records.schema.fields])
+    batch = score_batch(feature_pipeline_apply(records, P, params, fallback=params.global_mode), model, "pred_Sales")
+    want = sorted((r["item_id"], round(r["pred_Sales"], 6)) for r in batch.select("item_id", "pred_Sales").collect())
+    for run in (1, 2):
+        scoring.score_stream_to_table(spark, f"{base}/in", base, "predictions", "item_id", f"{base}/ckpt{run}", schema, P, params, model,
+                                      max_files_per_trigger=1).awaitTermination()
+        got = sorted((r["item_id"], round(r["pred_Sales"], 6)) for r in TB.read_table(spark, base, "predictions").collect())
+        assert got == want and len(got) > 10
+    scoring.score_stream(spark, f"{base}/in", f"{base}/parts", f"{base}/ckpt3", schema, P, params, model, keep=("item_id",),
+                         max_files_per_trigger=1).awaitTermination()
+    parts = spark.read.parquet(f"{base}/parts")
+    assert parts.select("batch_id").distinct().count() == 3
+    assert sorted((r["item_id"], round(r["pred_Sales"], 6)) for r in parts.collect()) == want
+    records.unpersist()
 
 
 def test_malformed_records_are_kept_apart(spark):
