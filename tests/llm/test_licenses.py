@@ -56,3 +56,40 @@ def test_edges_match_sql(spark, edge_docs, no_docs, small_docs):
 def test_normalised():
     assert normalised("Permission, is (hereby)\n granted:") == "permission is hereby granted"
     assert licenses.MOST_WORDS < 100
+
+
+def wrapped(sentence, width=76, indent=""):
+    import textwrap
+
+    return textwrap.fill(sentence, width, initial_indent="", subsequent_indent=indent)
+
+
+def test_licences_as_they_are_published(spark):
+    """Titles, copyright lines, numbered clauses on lines of their own, wrapped lines, SPDX tags in comments."""
+    one = {n: v[0] for n, v in SENTENCES.items()}
+    clauses = lambda *names: "\n\n".join(f"{i}. {wrapped(one[n], indent='   ')}" for i, n in enumerate(names, 1))
+    end = "\n\n" + wrapped(one["bsd_as_is"] + " " + one["bsd_not_liable"]) + "\n"
+    head = "Copyright (c) 2019, Some Person\nAll rights reserved.\n\n" + wrapped(one["bsd_grant"]) + "\n\n"
+    mit = "MIT License\n\nCopyright (c) 2021 Some Person\n\n" + "\n\n".join(
+        wrapped(x) for x in (one["mit_grant"], one["mit_notice"], one["software_as_is"] + " " + one["authors_not_liable"]))
+    lgpl = "\n".join(" * " + x for x in wrapped(one["lgpl21_later"] + "\n").split("\n"))
+    got = scan(spark, "BSD 2-Clause License\n\n" + head + clauses("bsd_source", "bsd_binary") + end, head + clauses("bsd_source", "bsd_binary", "bsd_names") + end, mit,
+               "// SPDX-License-Identifier: MIT\nint main() { return 0; }", "/* SPDX-License-Identifier: LGPL-2.1-or-later */\n# a licensed thing of no name.",
+               lgpl, " ".join(one[n] for n in ("agpl3_later", "gpl_no_warranty", "agpl_see")), wrapped(one["cc0"]), one["epl2"],
+               " ".join(one[n] for n in ("zlib_as_is", "zlib_not_liable", "zlib_grant", "zlib_notice")), "Copyright 2020 Someone. All rights reserved.",
+               "# SPDX-License-Identifier: Made-Up-1.0", "All rights reserved. Licensed under CC BY-NC 4.0.")
+    assert got == {
+        0: ("BSD-2-Clause", "permissive", 0), 1: ("BSD-3-Clause", "permissive", 0), 2: ("MIT", "permissive", 0), 3: ("MIT", "permissive", 0),
+        4: ("LGPL-2.1-or-later", "copyleft", 1), 5: ("LGPL-2.1-or-later", "copyleft", 0), 6: ("AGPL-3.0-or-later", "copyleft", 0),
+        7: ("CC0-1.0", "permissive", 0), 8: ("EPL-2.0", "copyleft", 0), 9: ("Zlib", "permissive", 0), 10: ("Proprietary", "restricted", 0),
+        11: ("", "unknown", 1), 12: ("CC-BY-NC-4.0", "restricted", 0)}
+
+
+def test_published_layouts_match_sql(spark):
+    texts = ["Copyright (c) 2019, X\nAll rights reserved.\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions "
+             "and the\n   following disclaimer.\n(b) All rights reserved.", "x SPDX-License-Identifier: MIT */ y\nz", "MIT License\n\nCopyright 2020 A", "* All rights reserved."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    assert sorted(map(tuple, license_scan(df).collect())) == sorted(con.sql(license_sql()).fetchall())
