@@ -13,6 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfspark.llm.common import kept_table
+
 ROWS_PER_CELL = 20_000
 
 
@@ -36,28 +38,34 @@ def assign(df: DataFrame, key: str, weights: Mapping[int, float], name: str = "s
     return df.withColumn(name, shard_of(F.col(key), weights))
 
 
+def dealt(df: DataFrame, shard: str, order: str) -> DataFrame:
+    """``df`` (written) with ``_cell`` and ``_sub``: a row's cell within its shard comes from a hash of the order column, and a cell of far
+    more than ROWS_PER_CELL rows (an order value that many rows share, null included) is cut into sub-cells by the rows' own numbers."""
+    cells = max(1, -(-df.count() // ROWS_PER_CELL))
+    number = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(order).cast("string"), F.lit("")), F.lit(":cell"))), 1, 8), 16, 10)
+    rows = kept_table(df.withColumn("_cell", number.cast("bigint") % F.lit(cells)).withColumn("_row", F.monotonically_increasing_id()), "cells")
+    full = rows.groupBy(shard, "_cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 2 * ROWS_PER_CELL).select(
+        F.col(shard).alias("_full_shard"), F.col("_cell").alias("_full_cell"), F.ceil(F.col("n") / ROWS_PER_CELL).alias("_parts"))
+    same = (F.col(shard) == F.col("_full_shard")) & (F.col("_cell") == F.col("_full_cell"))
+    sub = F.coalesce(F.pmod(F.xxhash64("_row"), F.col("_parts")), F.lit(0)).cast("int")
+    return rows.join(full, same, "left").withColumn("_sub", sub).drop("_full_shard", "_full_cell", "_parts")
+
+
 def with_slots(df: DataFrame, shard: str, order: str, name: str = "slot") -> DataFrame:
     """Gapless position (from 0) of each row within its shard.
 
-    A shard may hold any number of rows, so it is cut into cells by a hash of the
-    order column. A row's slot is the rows of earlier cells plus its place in its
-    own cell. The number of cells follows the row count; rows that share an
-    order value (repeated rows, nulls) are dealt over sub-cells by their
-    remaining columns and a random tie stays without effect on the set of slots.
+    A shard may hold any number of rows, so it is cut into cells and, where one order value fills a cell, sub-cells (see
+    ``dealt``). A row's slot is the rows of earlier ones plus its place in its own. Rows are numbered and written
+    first, so that copies of a row can be told apart and keep their places in every later pass.
     """
-    rows = df.count()
-    cells = max(1, -(-rows // ROWS_PER_CELL))
-    others = [F.col(c).cast("string") for c in df.columns if c != order]
-    number = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(order).cast("string"), F.lit("")), F.lit(":cell"))), 1, 8), 16, 10)
-    cell = number.cast("bigint") % F.lit(cells)
-    marked = df.withColumn("_cell", cell).withColumn("_tie", F.xxhash64(*others))
-    counts = marked.groupBy(shard, "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(shard).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col(shard).alias("_shard"), F.col("_cell").alias("_start_cell"),
+    marked = dealt(df, shard, order)
+    counts = marked.groupBy(shard, "_cell", "_sub").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(shard).orderBy("_cell", "_sub").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col(shard).alias("_shard"), F.col("_cell").alias("_start_cell"), F.col("_sub").alias("_start_sub"),
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy(shard, "_cell").orderBy(F.col(order).asc_nulls_first(), "_tie"))
+    place = F.row_number().over(Window.partitionBy(shard, "_cell", "_sub").orderBy(F.col(order).asc_nulls_first(), "_row"))
     placed = marked.withColumn("_place", place)
-    joined = placed.join(starts, (F.col(shard) == F.col("_shard")) & (F.col("_cell") == F.col("_start_cell")))
+    joined = placed.join(starts, (F.col(shard) == F.col("_shard")) & (F.col("_cell") == F.col("_start_cell")) & (F.col("_sub") == F.col("_start_sub")))
     return joined.withColumn(name, F.col("_start") + F.col("_place") - 1).select(*[c for c in df.columns if c != name], name)
 
 

@@ -166,3 +166,18 @@ def test_bad_host_is_rejected(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     kept = {r["doc_id"] for r in quality.quality_documents(docs).filter("kept").collect()}
     assert kept == set(range(60)) | {400}
+
+
+def test_slots_of_a_hot_key(spark, monkeypatch):
+    """A third of all rows share a null id and a text: no cell holds far more rows than it should, and slots stay gapless."""
+    monkeypatch.setattr(sharding, "ROWS_PER_CELL", 200)
+    rows = [(None, "same") for _ in range(3000)] + [(i, f"text {i}") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    narrow = docs.select("doc_id", sharding.shard_of(docs.doc_id, {s: 1.0 for s in range(8)}).alias("shard"))
+    sizes = [r["count"] for r in sharding.dealt(narrow, "shard", "doc_id").groupBy("shard", "_cell", "_sub").count().collect()]
+    assert max(sizes) < 450 and sum(sizes) == 9000
+    got = sharding.shard_documents(docs).collect()
+    by_shard = defaultdict(list)
+    for r in got:
+        by_shard[r["shard"]].append(r["slot"])
+    assert len(got) == 9000 and all(sorted(v) == list(range(len(v))) for v in by_shard.values())
