@@ -1,8 +1,9 @@
 """Connected classes of rows that share a key and pass a pair test.
 
 All pairs within a large group are never made. In each round every key names a hub among its
-members, and the members are tested against the hub only; what links is merged. Members of
-one key that are already in one class need no test. Rounds with other hubs repeat while
+members, and the members are tested against the hub only; what links is merged. A hub that all others of its key were tested against
+leaves the key, so a key of two or three members is done after the first round, and the rounds carry only what is open.
+Members of one key that are already in one class need no test. Rounds with other hubs repeat while
 many pairs of different classes are left, and then all pairs that are left are tested.
 Two rows are in one class exactly if links lead from one to the other.
 """
@@ -65,16 +66,20 @@ def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
     """
     n_members = members.count()
     own, of_hub = F.col, lambda c: F.col(f"h.{c}")
+    columns = ["key", "node", "size", "place", "hub"]
     place = F.struct("node", "size", "place")
-    hubs = members.filter("hub").groupBy("key").agg(F.min(place).alias("h1"), F.max(place).alias("h2"))
-    pairs = members.join(hubs, "key").select("node", "size", "place", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("h")).filter(
+    hubs = members.filter("hub").groupBy("key").agg(F.min(place).alias("h1"), F.max(place).alias("h2"), F.count(F.lit(1)).alias("c"))
+    both = members.join(hubs, "key")
+    pairs = both.select("node", "size", "place", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("h")).filter(
         fits(own, of_hub)).select("node", F.col("h.node").alias("h"))
     tested = kept_table(_ordered(pairs), "pairs")
+    # Every pair of a key has a member that may be a hub: with two of these in all, all pairs are tested.
+    rest = kept_table(both.filter("c > 2 and node != h1.node and node != h2.node").select(columns), "rest")
     links = [kept_table(test(tested), "links")]
     labels = written(components(links[0]))
     seen, before = [tested], float("inf")
     for turn in range(MOST_HUB_ROUNDS):
-        open_members, bound = _open(members, labels)
+        open_members, bound = _open(rest, labels)
         if not bound:
             return labels
         last = bound <= PAIRS_PER_MEMBER * n_members or bound > ENOUGH_PROGRESS * before or turn == MOST_HUB_ROUNDS - 1
@@ -90,8 +95,9 @@ def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
             order = F.xxhash64("node", F.lit(turn))
             hubs = open_members.filter("hub").groupBy("key").agg(
                 F.min(F.struct(order.alias("o"), F.col("node").alias("h"), F.col("label").alias("l"), "size", "place")).alias("h"))
-            pairs = open_members.join(hubs, "key").filter(F.col("label") != F.col("h.l")).filter(fits(own, of_hub)).select(
-                "node", F.col("h.h").alias("h"))
+            both = open_members.join(hubs, "key")
+            pairs = both.filter(F.col("label") != F.col("h.l")).filter(fits(own, of_hub)).select("node", F.col("h.h").alias("h"))
+            rest = kept_table(both.filter("node != h.h").select(columns), "rest")
         fresh = _ordered(pairs).join(reduce(DataFrame.unionByName, seen), ["a", "b"], "left_anti")
         fresh = kept_table(fresh, "pairs")
         found = kept_table(test(fresh), "links")
