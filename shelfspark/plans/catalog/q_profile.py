@@ -165,9 +165,9 @@ WITH st AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, stdde
                    count(l_extendedprice) AS n FROM lineitem),
 p AS (SELECT lo, n, sd * pow(n, -0.2) AS bw, sd * pow(n, -0.2) * sqrt(4 * {_KDE_ERROR}) AS width, lo - 3 * sd * pow(n, -0.2) AS start,
              (hi - lo + 6 * sd * pow(n, -0.2)) / 99 AS step FROM st),
-v AS (SELECT (l_extendedprice - lo) / width AS at FROM lineitem, p),
-nodes AS (SELECT node, sum(mass) AS mass FROM (SELECT floor(at) AS node, 1 - (at - floor(at)) AS mass FROM v
-          UNION ALL SELECT floor(at) + 1, at - floor(at) FROM v) GROUP BY node),
+v AS (SELECT (l_extendedprice - lo) / width AS spot FROM lineitem, p),
+nodes AS (SELECT node, sum(mass) AS mass FROM (SELECT floor(spot) AS node, 1 - (spot - floor(spot)) AS mass FROM v
+          UNION ALL SELECT floor(spot) + 1, spot - floor(spot) FROM v) GROUP BY node),
 g AS (SELECT CAST(i AS INTEGER) AS i FROM range(0, 100) t(i))
 SELECT g.i, round(start + g.i * step, 4) AS x,
        round(1e6 * sum(CASE WHEN abs(start + g.i * step - lo - node * width) <= bw * sqrt(-2 * ln({_KDE_ERROR} / 2))
