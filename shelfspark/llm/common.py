@@ -95,6 +95,12 @@ def written(df: DataFrame) -> DataFrame:
         return cut_lineage(df)
 
 
+def sized(df: DataFrame, rows: int, per_partition: int) -> DataFrame:
+    """``df``, which comes from about ``rows`` rows, in as many partitions as these need: a small table that is written takes
+    no more files than that, however many partitions a shuffle has. All cores have one, and a partition is never split."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // per_partition)))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -16,11 +16,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import kept_table, written
+from shelfspark.llm.common import kept_table, sized, written
 
 MOST_HUB_ROUNDS = 6
 PAIRS_PER_MEMBER = 1
 ENOUGH_PROGRESS = 0.75
+PAIRS_PER_PARTITION = 2_000  # with the values that a test ships
+EDGES_PER_PARTITION = 50_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -30,7 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
     smaller ones. The edges stay as many or fewer and end as stars around the smallest nodes.
     """
     now = written(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    size = _measure(now)
+    size = _measure(now)  # the number of edges never grows
     while True:
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -39,7 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u"), F.col("m").alias("v")),
             F.when(F.col("v") != F.col("m"), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))).alias("x"))
-        now = written(small.filter("x is not null").select("x.*").distinct())
+        now = written(sized(small.filter("x is not null").select("x.*").distinct(), size[0], EDGES_PER_PARTITION))
         after = _measure(now)
         if after == size:
             break
@@ -75,7 +77,7 @@ def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
     tested = kept_table(_ordered(pairs), "pairs")
     # Every pair of a key has a member that may be a hub: with two of these in all, all pairs are tested.
     rest = kept_table(both.filter("c > 2 and node != h1.node and node != h2.node").select(columns), "rest")
-    links = [kept_table(test(tested), "links")]
+    links = [kept_table(sized(test(tested), tested.count(), PAIRS_PER_PARTITION), "links")]
     labels = written(components(links[0]))
     seen, before = [tested], float("inf")
     for turn in range(MOST_HUB_ROUNDS):
@@ -100,7 +102,7 @@ def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
             rest = kept_table(both.filter("node != h.h").select(columns), "rest")
         fresh = _ordered(pairs).join(reduce(DataFrame.unionByName, seen), ["a", "b"], "left_anti")
         fresh = kept_table(fresh, "pairs")
-        found = kept_table(test(fresh), "links")
+        found = kept_table(sized(test(fresh), fresh.count(), PAIRS_PER_PARTITION), "links")
         if not found.isEmpty():
             links.append(found)
             labels = written(components(reduce(DataFrame.unionByName, links)))

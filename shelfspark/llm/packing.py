@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfspark.llm.common import written
+from shelfspark.llm.common import sized, written
 from shelfspark.llm.hashing import tidy
 from shelfspark.llm.token_counts import default_tokenizer
 from shelfspark.llm.wordids import encoder, slices
@@ -36,6 +36,7 @@ from shelfspark.llm.wordids import encoder, slices
 CAPACITY = 2048
 END_ID = 0
 SALTS = 8
+ROWS_PER_PARTITION = 100_000
 PIECE, GAP = 0, 1
 
 
@@ -128,8 +129,8 @@ def _deal(ranked: DataFrame, left: int, sequences: int, capacity: int) -> DataFr
     return fresh.unionByName(_unfold(ranked.filter(F.col("kind") == GAP), _row("gap", F.col("id"), F.col("size"))))
 
 
-def _round(spark: SparkSession, rows: DataFrame, capacity: int) -> DataFrame | None:
-    """One round over rows (kind, id, size): rows tagged 'placed', 'gap' or 'piece'. None if no piece is left."""
+def _round(spark: SparkSession, rows: DataFrame, capacity: int) -> tuple[DataFrame, int] | None:
+    """One round over rows (kind, id, size): rows tagged 'placed', 'gap' or 'piece', and how many came in. None if no piece is left."""
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
     counts = {(r["size"], r["kind"], r["salt"]): r["n"] for r in rows.groupBy("size", "kind", "salt").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not any(kind == PIECE for _, kind, _ in counts):
@@ -139,7 +140,7 @@ def _round(spark: SparkSession, rows: DataFrame, capacity: int) -> DataFrame | N
     cell = Window.partitionBy("size", "kind", "salt").orderBy("id")
     ranked = rows.join(F.broadcast(ranks), ["size", "kind", "salt"]).withColumn("rank", F.col("before") + F.row_number().over(cell))
     if not sums["matched"]:
-        return _deal(ranked, left, max(1, -(-sums["left"] // capacity)), capacity)
+        return _deal(ranked, left, max(1, -(-sums["left"] // capacity)), capacity), sum(counts.values())
     opened = max(0, -(-(sums["left"] - sums["room"]) // capacity))
     is_piece = F.col("kind") == PIECE
     level = F.when(is_piece, F.col("depth") + F.col("rank")).otherwise(F.col("depth") - F.col("rank") + 1)
@@ -149,13 +150,14 @@ def _round(spark: SparkSession, rows: DataFrame, capacity: int) -> DataFrame | N
     fits = is_piece & F.coalesce(F.col("after.kind") == GAP, F.lit(False))
     opens = is_piece & ~fits & (F.lit(left) - F.col("level") < opened)  # the piece that waits on the top level is the largest
     rest = F.col("size") - F.when(F.col("prior.kind") == PIECE, F.col("prior.size")).otherwise(0)
-    return _unfold(
+    after = _unfold(
         paired,
         F.when(fits, _row("placed", F.col("id"), F.col("size"), F.col("after.id"), F.lit(capacity) - F.col("after.size")))
         .when(opens, _row("placed", F.col("id"), F.col("size"), F.col("id"), F.lit(0)))
         .when(is_piece, _row("piece", F.col("id"), F.col("size")))
         .when(rest > 0, _row("gap", F.col("id"), rest)),
         F.when(opens, _row("gap", F.col("id"), F.lit(capacity) - F.col("size"))))
+    return after, sum(counts.values())
 
 
 def best_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -165,8 +167,8 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     state = pieces.filter(~big).select(F.lit(PIECE).alias("kind"), "id", "size").unionByName(
         pieces.filter(big & (F.col("size") < capacity)).select(F.lit(GAP).alias("kind"), "id", (F.lit(capacity) - F.col("size")).alias("size")))
     placed = [pieces.filter(big).select("id", F.col("id").alias("bin"), F.lit(0).cast("bigint").alias("offset"))]
-    while (after := _round(spark, state, capacity)) is not None:
-        after = written(after)
+    while (done := _round(spark, state, capacity)) is not None:
+        after = written(sized(*done, ROWS_PER_PARTITION))
         placed.append(after.filter("tag = 'placed'").select("id", "bin", "offset"))
         state = after.filter("tag != 'placed'").select(F.when(F.col("tag") == "gap", GAP).otherwise(PIECE).alias("kind"), "id", "size")
     return reduce(DataFrame.unionByName, placed)
