@@ -14,8 +14,8 @@ cover). Anchors with equal bytes and equal surroundings repeat in every window a
 remains are groups with different surroundings.
 
 Last pass. One anchor of each kind of such a group gives its single windows, which are grouped
-by all their bytes. Hashes of 64 bits stand for the digits; a group is equal in its anchor's hash and in that of its
-surroundings or window.
+by all their bytes. Hashes stand for the digits, 96 bits in all: a group is equal in the 64 bits of its anchor and 32 of its
+surroundings, or in the 64 bits of its window and 32 of its anchor.
 
 The same passes over words (runs of non-blank bytes, one symbol each) find windows of ``depth`` words that start at two
 places, whatever their length in bytes and the blanks between them.
@@ -91,6 +91,11 @@ def _scan(part: pa.RecordBatch, depth: int, unit: str):
     return offsets, segments, _anchors(np.diff(offsets), offsets, segments, depth)
 
 
+def _short(x: np.ndarray) -> pa.Array:
+    """The upper half of 64-bit hashes."""
+    return pa.array((x >> np.uint64(32)).astype(np.uint32).view(np.int32))
+
+
 def _place_key(row: np.ndarray, place: np.ndarray) -> np.ndarray:
     return mix(row.view(np.uint64) ^ mix(place.astype(np.uint64), 11), 5)
 
@@ -109,23 +114,25 @@ def _anchor_keys(docs: DataFrame, depth: int, unit: str) -> DataFrame:
 
 
 def _shared_anchors(docs: DataFrame, depth: int, unit: str, bits) -> DataFrame:
-    """key, around, row, and within the text: place, lo, hi of the anchors that pass the filter."""
+    """key, around (32 bits), row, and within the text: lo, hi (the first and last window) of the anchors that pass the filter.
+
+    A text's anchors have windows of their own, so (row, lo) names one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
                 offsets, _, (at, lo, hi, key, around, doc) = _scan(part, depth, unit)
                 keep = passes(bits.value, key)
-                at, lo, hi, key, around, doc = (x[keep] for x in (at, lo, hi, key, around, doc))
+                lo, hi, key, around, doc = (x[keep] for x in (lo, hi, key, around, doc))
                 row = part["row"].to_numpy()[doc]
                 base = offsets[doc]
-                yield pa.RecordBatch.from_arrays([signed(key), signed(around), pa.array(row), pa.array(at - base), pa.array(lo - base), pa.array(hi - base)],
-                                                 ["key", "around", "row", "place", "lo", "hi"])
+                yield pa.RecordBatch.from_arrays([signed(key), _short(around), pa.array(row), pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32))],
+                                                 ["key", "around", "row", "lo", "hi"])
 
-    return _source(docs).select("row", "text").mapInArrow(tidy(run), "key long, around long, row long, place long, lo long, hi long")
+    return _source(docs).select("row", "text").mapInArrow(tidy(run), "key long, around int, row long, lo int, hi int")
 
 
 def _windows(docs: DataFrame, depth: int, unit: str, rows, places, again=None) -> DataFrame:
-    """window (hash of its symbols), key (of its anchor), row, start of every window of the anchors whose row and (row, place)
+    """window (hash of its symbols), key (of its anchor, 32 bits), row, start of every window of the anchors whose row and (row, place)
     pass the filters; only windows that pass ``again`` if given. Equal windows have equal anchors, so both hashes name a window."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,7 +140,7 @@ def _windows(docs: DataFrame, depth: int, unit: str, rows, places, again=None) -
             for part in text_slices(batch):
                 offsets, segments, (at, lo, hi, key, _, doc) = _scan(part, depth, unit)
                 row = part["row"].to_numpy()
-                keep = passes(places.value, _place_key(row[doc], at - offsets[doc]))
+                keep = passes(places.value, _place_key(row[doc], lo - offsets[doc]))
                 lo, n, doc, key = lo[keep], (hi - lo + 1)[keep], doc[keep], key[keep]
                 starts = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 text, key = np.repeat(doc, n), np.repeat(key, n)
@@ -141,9 +148,10 @@ def _windows(docs: DataFrame, depth: int, unit: str, rows, places, again=None) -
                 if again is not None:
                     there = passes(again.value, window)
                     starts, text, window, key = starts[there], text[there], window[there], key[there]
-                yield pa.RecordBatch.from_arrays([signed(window), signed(key), pa.array(row[text]), pa.array(starts - offsets[text])], ["window", "key", "row", "start"])
+                yield pa.RecordBatch.from_arrays([signed(window), _short(key), pa.array(row[text]), pa.array((starts - offsets[text]).astype(np.int32))],
+                                                 ["window", "key", "row", "start"])
 
-    return _source(docs).select("row", "text").mapInArrow(tidy(run), "window long, key long, row long, start long")
+    return _source(docs).select("row", "text").mapInArrow(tidy(run), "window long, key int, row long, start int")
 
 
 def repeated_spans(docs: DataFrame, depth: int = DEPTH, unit: str = BYTES) -> DataFrame:
@@ -153,26 +161,27 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, unit: str = BYTES) -> Da
     bits = spark.sparkContext.broadcast(bit_filter(twice, F.col("key"), ANCHOR_BITS))
     anchors = kept_table(_shared_anchors(docs, depth, unit, bits), "anchors")
     kinds = kept_table(anchors.groupBy("key", "around").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "place")).alias("one")), "kinds")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "lo")).alias("one")), "kinds")
     whole = anchors.join(kinds.filter("n > 1").select("key", "around"), ["key", "around"], "left_semi").select(
-        "row", F.col("lo").alias("from"), (F.col("hi") + depth).alias("to"))
+        "row", F.col("lo").cast("bigint").alias("from"), (F.col("hi").cast("bigint") + depth).alias("to"))
     mixed = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
-    ones = kept_table(kinds.join(mixed, "key", "left_semi").select("one.row", "one.place"), "ones")
+    ones = kept_table(kinds.join(mixed, "key", "left_semi").select("one.row", "one.lo"), "ones")
     places = spark.sparkContext.broadcast(bit_filter(_place_keys(ones), F.col("place_key"), PLACE_BITS))
     rows = spark.sparkContext.broadcast(bit_filter(ones, F.col("row"), PLACE_BITS))
     windows = _windows(docs, depth, unit, rows, places)
     again = kept_table(windows.groupBy("window", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window", "key"), "again")
     more = spark.sparkContext.broadcast(bit_filter(again, F.col("window"), PLACE_BITS))
-    single = _windows(docs, depth, unit, rows, places, more).join(again, ["window", "key"], "left_semi").select("row", F.col("start").alias("from"), (F.col("start") + depth).alias("to"))
+    single = _windows(docs, depth, unit, rows, places, more).join(again, ["window", "key"], "left_semi").select(
+        "row", F.col("start").cast("bigint").alias("from"), (F.col("start").cast("bigint") + depth).alias("to"))
     return whole.unionByName(single).groupBy("row").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
 
 
 def _place_keys(ones: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([signed(_place_key(b["row"].to_numpy(), b["place"].to_numpy()))], ["place_key"])
+            yield pa.RecordBatch.from_arrays([signed(_place_key(b["row"].to_numpy(), b["lo"].to_numpy()))], ["place_key"])
 
-    return ones.select("row", "place").mapInArrow(tidy(run), "place_key long")
+    return ones.select("row", "lo").mapInArrow(tidy(run), "place_key long")
 
 
 def _filtered(df: DataFrame, column: str, bits) -> DataFrame:
