@@ -37,8 +37,8 @@ from shelfspark.llm.hashing import _SPACE, Segments, bit_filter, buffers, byte_v
 DEPTH = 400
 PASSAGE_WORDS = 51
 BYTES, WORDS = "bytes", "words"
-ANCHOR_BITS = 25
-PLACE_BITS = 25
+ANCHOR_BITS = 26
+PLACE_BITS = 26
 
 
 def _anchors(lengths: np.ndarray, offsets: np.ndarray, segments: Segments, depth: int) -> tuple[np.ndarray, ...]:
