@@ -11,12 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import key_bounds, let, range_bucket, shuffle_partitions, window_hashes, words
+from shelfspark.llm.common import kept_table, let, shuffle_partitions, window_hashes, words
 
 SHINGLE = 5
 K = 128
 HASH_BITS = 52
-ROWS_PER_BUCKET = 4_000
+BUCKET_BYTES = 8 << 20
+MOST_BUCKETS = 1 << 20
+SAME_ROWS = 1_000
+MOST_SAME = 10_000
+COPIES_PER_CHUNK = 1_000
 MERGE_SALTS = 64
 
 
@@ -78,39 +82,10 @@ def merge_sketches(parts: DataFrame, key: str, column: str = "sketch", k: int =
         F.col("l._key").alias(key), F.coalesce(F.col("r._s"), F.array().cast("array<bigint>")).alias(column))
 
 
-def edited_fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
-    """Fingerprints of every text and of its edited text (its last quarter replaced by the start of the next document).
-
-    The next document is the one with the next higher doc_id (after the last: the first). Rows are
-    bucketed by doc_id ranges found from all ids, and the first rows of a bucket are copied
-    into the bucket before it, so that one shuffle and a window per bucket give every row
-    its successor. Null text counts as empty. A null doc_id sorts first; rows with equal ids
-    follow one another in the order of their text hash. Other columns are left out;
-    an empty table gives an empty result; a single document is its own successor.
-    """
-    base = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"),
-                       F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2 ** 63)).cast("bigint")).alias("_at"))
-    n = max(shuffle_partitions(docs.sparkSession) * 2, -(-docs.count() // ROWS_PER_BUCKET))
-    bounds = key_bounds(base, "_at", n)
-    marked = base.withColumn("_bucket", range_bucket(F.col("_at"), bounds))
-    firsts = {r["_bucket"]: r["a"] for r in marked.groupBy("_bucket").agg(F.min("_at").alias("a")).collect()}
-    order = sorted(firsts)
-    before = {b: order[i - 1] for i, b in enumerate(order)}  # the first bucket's rows follow the last bucket's
-    one = lambda b, copy: F.struct(F.lit(b).alias("bucket"), F.lit(copy).alias("copy"))
-    own = F.struct(F.col("_bucket").alias("bucket"), F.lit(0).alias("copy"))
-    copies = F.array(own)
-    if order:
-        head = F.array(*[F.lit(firsts.get(b, 0)).cast("bigint") for b in range(len(bounds) + 1)])
-        prior = F.array(*[F.lit(before.get(b, -1)) for b in range(len(bounds) + 1)])
-        copied = F.array(own, F.struct(F.get(prior, F.col("_bucket")).alias("bucket"), F.lit(1).alias("copy")))
-        copies = F.when(F.get(head, F.col("_bucket")) == F.col("_at"), copied).otherwise(copies)
-    dealt = marked.select("doc_id", "text", "_at", F.explode(copies).alias("_c")).select(
-        "doc_id", "text", "_at", F.col("_c.bucket").alias("_b"), F.col("_c.copy").alias("_copy"))
-    sketched = dealt.repartition("_b").withColumn("_s", sketch(F.col("text"), k)).withColumn("_tie", F.xxhash64("text"))
-    w = Window.partitionBy("_b").orderBy("_copy", "_at", "_tie")
-    followed = sketched.withColumn("_next", F.lead(F.struct("text", "_s")).over(w)).filter("_copy = 0")
+def _results(pairs: DataFrame, k: int) -> DataFrame:
+    """The result columns of rows with a text, its sketch (_s) and the next text and sketch (_next)."""
     n_chars = F.char_length("text")
-    edited = followed.select(
+    edited = pairs.select(
         "doc_id", n_chars.cast("bigint").alias("n_chars"), "_s", F.col("_next._s").alias("_ns"),
         F.concat(F.substring(F.col("text"), F.lit(1), n_chars - F.floor(n_chars / 4).cast("int")),
                  F.substring(F.col("_next.text"), F.lit(1), F.floor(n_chars / 4).cast("int"))).alias("_e"))
@@ -119,3 +94,64 @@ def edited_fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("_s")).alias("fingerprint"), as_text(F.col("_es")).alias("edited_fingerprint"),
         resemblance(F.col("_s"), F.col("_es"), k).alias("near_edited"), resemblance(F.col("_s"), F.col("_ns"), k).alias("near_next"),
         distinct_shingles(F.col("_s"), k).alias("distinct_shingles"))
+
+
+def _copies_of_hot_rows(heads: DataFrame, k: int) -> DataFrame:
+    """All copies but one of the rows that are repeated often: each is followed by its own text. The result is made once per
+    COPIES_PER_CHUNK copies, and the chunks are dealt before they are repeated."""
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 2) / COPIES_PER_CHUNK))
+    dealt = heads.filter("_n > 1").select("doc_id", "text", "_n", F.explode(chunks).alias("_chunk")).withColumn(
+        "_times", F.least(F.lit(COPIES_PER_CHUNK), F.col("_n") - 1 - F.col("_chunk") * COPIES_PER_CHUNK).cast("int"))
+    spread = dealt.repartition(shuffle_partitions(heads.sparkSession), F.xxhash64("doc_id", "_chunk", "text"))
+    own = spread.withColumn("_s", sketch(F.col("text"), k)).withColumn("_next", F.struct("text", "_s"))
+    times = own.select(F.struct("doc_id", "text", "_s", "_next").alias("_r"), F.explode(F.array_repeat(F.lit(1), F.col("_times"))).alias("_one"))
+    return _results(times.select("_r.*"), k)
+
+
+def edited_fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
+    """Fingerprints of every text and of its edited text (its last quarter replaced by the start of the next document).
+
+    The next document is the one with the next higher doc_id (after the last: the first). Null text counts as empty. A
+    null doc_id sorts first; rows with equal ids follow one another in the order of their text hash. Other columns
+    are left out; an empty table gives an empty result; a single document is its own successor.
+
+    Rows are dealt to ranges of (doc_id, text hash), so that an id that many rows share is cut as well. The ranges start
+    at keys that exist, and a range's first row is copied to the range before it: one shuffle of the texts and a window
+    per range give every row its successor. A row (id and 64-bit text hash) that is repeated over SAME_ROWS times, and over
+    1 / MOST_SAME of all rows, goes through as one row with a count. There is a range per BUCKET_BYTES of text, at most
+    MOST_BUCKETS (16 MB of starts, kept in one row that the scan's tasks read); beyond that ranges grow, and their sorts spill.
+    """
+    base = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"),
+                       F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2 ** 63)).cast("bigint")).alias("_at")).withColumn(
+        "_tie", F.xxhash64("text"))
+    keys = kept_table(base.groupBy("_at", "_tie").agg(F.count(F.lit(1)).alias("_n"), F.max(F.octet_length("text")).cast("bigint").alias("_b")), "keys")
+    total = keys.agg(F.sum("_n").alias("n"), F.sum("_b").alias("b")).first()
+    n = min(MOST_BUCKETS, max(shuffle_partitions(docs.sparkSession) * 2, -(-(total["b"] or 0) // BUCKET_BYTES)))
+    ranges = keys.repartitionByRange(n, "_at", "_tie").select(F.struct("_at", "_tie").alias("_key"), F.spark_partition_id().alias("_p"))
+    starts = kept_table(ranges.groupBy("_p").agg(F.min("_key").alias("_start")), "starts")
+    hot = keys.filter(F.col("_n") > max(SAME_ROWS, (total["n"] or 0) // MOST_SAME)).select("_at", "_tie")
+    heads = kept_table(base.join(F.broadcast(hot), ["_at", "_tie"]).groupBy("doc_id", "_at", "_tie").agg(
+        F.first("text").alias("text"), F.count(F.lit(1)).alias("_n")), "heads")  # hot has at most MOST_SAME rows
+    rows = base.join(F.broadcast(hot), ["_at", "_tie"], "left_anti").select("doc_id", "text", "_at", "_tie").unionByName(
+        heads.select("doc_id", "text", "_at", "_tie"))
+    n_starts = starts.count()
+    found = starts.agg(F.sort_array(F.collect_list("_start")).alias("_all")).scalar()
+    key = F.struct("_at", "_tie")
+    bucket = _at_most(F.col("_starts"), key, n_starts)
+    place = let(bucket, lambda i: F.struct(i.alias("bucket"), (F.get(F.col("_starts"), i) == key).alias("first")))
+    own = F.struct(F.col("_place.bucket").alias("bucket"), F.lit(0).alias("copy"))
+    before = F.struct(F.pmod(F.col("_place.bucket") + n_starts - 1, F.lit(max(1, n_starts))).alias("bucket"), F.lit(1).alias("copy"))
+    dealt = rows.withColumn("_starts", found).withColumn("_place", place).select("doc_id", "text", "_at", "_tie", F.explode(
+        F.when(F.col("_place.first"), F.array(own, before)).otherwise(F.array(own))).alias("_c")).select(
+        "doc_id", "text", "_at", "_tie", F.col("_c.bucket").alias("_b"), F.col("_c.copy").alias("_copy"))
+    sketched = dealt.repartition(n, "_b").withColumn("_s", sketch(F.col("text"), k))
+    w = Window.partitionBy("_b").orderBy("_copy", "_at", "_tie")
+    followed = sketched.withColumn("_next", F.lead(F.struct("text", "_s")).over(w)).filter("_copy = 0")
+    return _results(followed, k).unionByName(_copies_of_hot_rows(heads, k))
+
+
+def _at_most(values: Column, key: Column, size: int) -> Column:
+    """Index of the last of ``size`` ascending values that is no greater than ``key`` (the first is not): a binary search."""
+    steps = [1 << s for s in reversed(range(max(1, size).bit_length()))]
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0),
+                       lambda acc, step: F.when(F.get(values, acc + step) <= key, acc + step).otherwise(acc))

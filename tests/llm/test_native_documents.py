@@ -44,7 +44,8 @@ def near(a, b, k=fingerprints.K):
 
 
 def check_fingerprints(df):
-    docs = sorted(rows_of(df), key=lambda d: (d[0] is not None, d[0] or 0))
+    tie = lambda text: (xxhash.xxh64_intdigest(text.encode(), 42) + (1 << 63)) % (1 << 64)  # noqa: E731  (order of the signed hash)
+    docs = sorted(rows_of(df), key=lambda d: (d[0] is not None, d[0] or 0, tie(d[1])))
     got = defaultdict(list)
     for r in fingerprints.edited_fingerprints(df).collect():
         got[r["doc_id"]].append(r)
@@ -74,6 +75,17 @@ def test_fingerprint_edges(edge_docs, no_docs):
     check_fingerprints(edge_docs.filter("doc_id = 0"))
 
 
+def test_fingerprints_of_a_hot_id_and_a_hot_row(spark, monkeypatch):
+    # A third of the rows has no id and many texts, a third is one row over and over.
+    monkeypatch.setattr(fingerprints, "BUCKET_BYTES", 256)
+    monkeypatch.setattr(fingerprints, "SAME_ROWS", 20)
+    monkeypatch.setattr(fingerprints, "COPIES_PER_CHUNK", 7)
+    text = lambda i: " ".join(f"w{i * j % 11}" for j in range(1, 4 + i % 9))
+    rows = [(None, text(i)) for i in range(60)] + [(7, "one row over and over again")] * 60 + [(i, text(i)) for i in range(60)]
+    check_fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5))
+    check_fingerprints(spark.createDataFrame([(None, None)] * 50, "doc_id bigint, text string"))
+
+
 def test_sketches_merge_and_estimate(spark, small_docs):
     from pyspark.sql import functions as F
 
