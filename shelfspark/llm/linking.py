@@ -3,8 +3,8 @@
 All pairs within a large group are never made. In each round every key names a hub among its
 members, and the members are tested against the hub only; what links is merged. A hub that all others of its key were tested against
 leaves the key, so a key of two or three members is done after the first round, and the rounds carry only what is open.
-Members of one key that are already in one class need no test. Rounds with other hubs repeat while
-many pairs of different classes are left, and then all pairs that are left are tested.
+Members of one key that are already in one class need no test. Rounds with other hubs repeat while they merge
+classes, and then all pairs of different classes that are left are tested.
 Two rows are in one class exactly if links lead from one to the other.
 """
 
@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from shelfspark.llm.common import kept_table, sized, written
 
 MOST_HUB_ROUNDS = 6
+HUBS_A_KEY = 16  # where facts rule out most pairs before a test
 PAIRS_PER_MEMBER = 1
 ENOUGH_PROGRESS = 0.75
+FEWER_CLASSES = 0.9  # the same with facts, where a round's tests are few
 PAIRS_PER_PARTITION = 2_000  # with the values that a test ships
 EDGES_PER_PARTITION = 50_000
 
@@ -64,7 +66,7 @@ def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
     tells which members a pair needs one of. ``fits`` gets two members (functions from size or place to a column) and
     tells whether the key allows their pair to link; a pair that links must fit by one of its keys. ``test`` takes
     distinct pairs (a, b), a < b, and returns those that link. ``facts`` (node and more columns) are joined to the members
-    whose pairs are all made at the end, and a pair must also pass ``facts_fit`` on them.
+    that the first round leaves open, and a pair must also pass ``facts_fit`` on them; then a key has up to HUBS_A_KEY hubs a round.
     """
     n_members = members.count()
     own, of_hub = F.col, lambda c: F.col(f"h.{c}")
@@ -79,27 +81,32 @@ def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
     rest = kept_table(both.filter("c > 2 and node != h1.node and node != h2.node").select(columns), "rest")
     links = [kept_table(sized(test(tested), tested.count(), PAIRS_PER_PARTITION), "links")]
     labels = written(components(links[0]))
+    hubs_a_key = 1 if facts is None else HUBS_A_KEY
     seen, before = [tested], float("inf")
     for turn in range(MOST_HUB_ROUNDS):
-        open_members, bound = _open(rest, labels)
+        open_members, bound, classes = _open(rest, labels)
         if not bound:
             return labels
-        last = bound <= PAIRS_PER_MEMBER * n_members or bound > ENOUGH_PROGRESS * before or turn == MOST_HUB_ROUNDS - 1
-        before = bound
+        # With facts, most pairs of different classes are ruled out before a test, so their number says little.
+        stuck = bound > ENOUGH_PROGRESS * before if facts is None else classes > FEWER_CLASSES * before
+        last = bound <= PAIRS_PER_MEMBER * n_members or stuck or turn == MOST_HUB_ROUNDS - 1
+        before = bound if facts is None else classes
+        known = open_members if facts is None else open_members.join(facts, "node")
         if last:
-            known = open_members if facts is None else open_members.join(facts, "node")
             a, b = known.alias("a"), known.alias("b")
-            more = F.lit(True) if facts_fit is None else facts_fit(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}"))
+            of_a, of_b = lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}")
+            fit = fits(of_a, of_b) if facts_fit is None else fits(of_a, of_b) & facts_fit(of_a, of_b)
             pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))).filter(
-                "a.label != b.label and (a.hub or b.hub)").filter(fits(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}")) & more).select(
-                F.col("a.node").alias("node"), F.col("b.node").alias("h"))
+                "a.label != b.label and (a.hub or b.hub)").filter(fit).select(F.col("a.node").alias("node"), F.col("b.node").alias("h"))
         else:
-            order = F.xxhash64("node", F.lit(turn))
-            hubs = open_members.filter("hub").groupBy("key").agg(
-                F.min(F.struct(order.alias("o"), F.col("node").alias("h"), F.col("label").alias("l"), "size", "place")).alias("h"))
-            both = open_members.join(hubs, "key")
-            pairs = both.filter(F.col("label") != F.col("h.l")).filter(fits(own, of_hub)).select("node", F.col("h.h").alias("h"))
-            rest = kept_table(both.filter("node != h.h").select(columns), "rest")
+            # Keys with nearly the same members get different hubs: a hub is the first of a part of its key's members.
+            part = F.pmod(F.xxhash64("node", "key", F.lit(turn)), F.lit(hubs_a_key)).alias("part")
+            hub = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), F.col("node").alias("h"), F.col("label").alias("l"),
+                           *[c for c in known.columns if c not in ("key", "node", "label", "hub", "p")])
+            hubs = kept_table(sized(known.filter("hub").groupBy("key", part).agg(F.min(hub).alias("h")).select("key", "h"), n_members, EDGES_PER_PARTITION), "hubs")
+            fit = fits(own, of_hub) if facts_fit is None else fits(own, of_hub) & facts_fit(own, of_hub)
+            pairs = known.join(hubs, "key").filter(F.col("label") != F.col("h.l")).filter(fit).select("node", F.col("h.h").alias("h"))
+            rest = kept_table(open_members.join(hubs.select("key", F.col("h.h").alias("node")), ["key", "node"], "left_anti").select(columns), "rest")
         fresh = _ordered(pairs).join(reduce(DataFrame.unionByName, seen), ["a", "b"], "left_anti")
         fresh = kept_table(fresh, "pairs")
         found = kept_table(sized(test(fresh), fresh.count(), PAIRS_PER_PARTITION), "links")
@@ -117,15 +124,16 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("node != h").select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b")).distinct()
 
 
-def _open(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
-    """Members (with their label) of the keys that still hold two classes, and a bound of the pairs of different classes."""
+def _open(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, int]:
+    """Members (with their label) of the keys that still hold two classes, a bound of the pairs of different classes, and the classes."""
     labelled = members.join(labels, "node", "left").select("key", "node", "size", "place", "hub", F.coalesce("label", "node").alias("label"))
     per_class = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = per_class.groupBy("key").agg(F.sum("n").cast("double").alias("s"), F.sum(F.col("n") * F.col("n")).cast("double").alias("q"),
                                          F.count(F.lit(1)).alias("c")).filter("c > 1")
     open_members = kept_table(labelled.join(mixed.select("key", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("p")), "key"), "open")
     per_key = open_members.groupBy("key").agg(F.first("p").alias("p"))
-    return open_members, int(per_key.agg(F.sum("p").alias("p")).first()["p"] or 0)
+    bound = int(per_key.agg(F.sum("p").alias("p")).first()["p"] or 0)
+    return open_members, bound, open_members.select("label").distinct().count() if bound else 0
 
 
 def with_values(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
