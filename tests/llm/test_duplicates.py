@@ -88,6 +88,25 @@ def test_classes_by_hub_rounds(spark, monkeypatch, rounds, per_member):
     check_classes(spark.createDataFrame(planted(4, 10, 9), DOCS))
 
 
+def test_hubs_of_a_large_key(spark):
+    """Two chains of 200 members under the same three keys: facts and hubs leave few of the 79,800 pairs to be tested."""
+    from pyspark.sql import functions as F
+
+    rows = [(k, n, 1, 0, True) for k in range(3) for n in range(400)]
+    members = spark.createDataFrame(rows, "key long, node long, size long, place long, hub boolean")
+    facts = spark.range(400).select(F.col("id").alias("node"), F.col("id").alias("x"))
+    tested = []
+
+    def test(pairs):
+        tested.append(pairs.count())
+        return pairs.filter("b - a <= 20 and (a < 200) = (b < 200)")
+
+    near = lambda a, b: F.abs(a("x") - b("x")) <= 25
+    got = {r["node"]: r["label"] for r in linking.link_members(members, test, facts=facts, facts_fit=near).collect()}
+    assert got == {n: 0 if n < 200 else 200 for n in range(400)}
+    assert sum(tested) < 5_000, tested
+
+
 def test_keep_one(edge_docs, small_docs):
     for df in (edge_docs, small_docs):
         rows = [(r["doc_id"], r["text"]) for r in df.collect()]
