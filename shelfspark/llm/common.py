@@ -13,7 +13,10 @@ import os
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
+from typing import Any
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,25 +77,32 @@ def key_bounds(df: DataFrame, key: str, n_buckets: int) -> list[int]:
 
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Arrow batches of at most BATCH_ROWS rows for the actions inside: texts and sets make rows of kilobytes, and the
-    JVM and the worker each hold a whole batch. The session's own setting is put back."""
-    before = spark.conf.get(_BATCH)
-    spark.conf.set(_BATCH, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+def table_writes(spark: SparkSession) -> Iterator[None]:
+    """Settings for the actions inside; the session's own are put back.
+
+    Arrow batches of at most BATCH_ROWS rows: texts and sets make rows of kilobytes, and the JVM and the worker each hold
+    a whole batch. Shuffle files go when their action ends: its rows are written or collected by then, and an
+    executor lost during the action is made up for from its shuffles as ever.
+    """
+    before = {k: spark.conf.get(k) for k in (_BATCH, _CLEAN)}
+    spark.conf.set(_BATCH, str(min(BATCH_ROWS, int(before[_BATCH])) if int(before[_BATCH]) > 0 else BATCH_ROWS))
+    spark.conf.set(_CLEAN, "true")
     try:
         yield
     finally:
-        spark.conf.set(_BATCH, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def written(df: DataFrame) -> DataFrame:
     """The frame written to the shared checkpoint folder and read back: later passes neither
     recompute it nor depend on an executor that may be lost."""
-    with small_batches(df.sparkSession):
-        return cut_lineage(df)
+    with table_writes(df.sparkSession):
+        return cut_lineage(df.select("*"))  # planned anew, under these settings
 
 
 def sized(df: DataFrame, rows: int, per_partition: int) -> DataFrame:
@@ -105,9 +115,50 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def kept_table(df: DataFrame, name: str) -> DataFrame:
+_scopes: ContextVar[tuple[list[Callable[[], None]], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What ``kept_table`` and ``for_tasks`` make inside goes at the end, when nothing reads it any more; actions run as in ``table_writes``.
+
+    Frames that leave the block must be written: by ``written``, or by ``kept_table`` with ``stays``, whose table
+    goes with the block around this one, if any.
+    """
+    ends: list[Callable[[], None]] = []
+    token = _scopes.set((*_scopes.get(), ends))
+    try:
+        with table_writes(spark):
+            yield
+    finally:
+        _scopes.reset(token)
+        for end in reversed(ends):
+            end()
+
+
+def _at_end(end: Callable[[], None], blocks_out: int = 1) -> None:
+    scopes = _scopes.get()
+    if len(scopes) >= blocks_out:
+        scopes[-blocks_out].append(end)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def for_tasks(spark: SparkSession, value: Any) -> Broadcast:
+    """The value (of a bounded size) for all tasks. Every executor keeps a file of it until it is destroyed."""
+    out = spark.sparkContext.broadcast(value)
+    _at_end(out.destroy)
+    return out
+
+
+def kept_table(df: DataFrame, name: str, stays: bool = False) -> DataFrame:
     """The frame written as Parquet under the shared checkpoint folder and read back (smaller than a checkpoint)."""
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
-    with small_batches(df.sparkSession):
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    _at_end(lambda: _remove(spark, path), 2 if stays else 1)
+    with table_writes(spark):
         df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

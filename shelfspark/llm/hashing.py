@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.llm.common import table_writes
+
 BASE = 0x9E3779B97F4A7C55  # odd, so powers have inverses modulo 2^64
 SLICE_BYTES = 512 << 10
 BITS_PER_ROW = 32_768
@@ -137,8 +139,9 @@ def bit_filter(df: DataFrame, key: Column, log_bits: int) -> np.ndarray:
     number of keys. A full filter lets more rows pass and loses none; an exact join follows each use.
     """
     place = F.shiftrightunsigned(key, 64 - log_bits) + 1  # buckets count from 1 and hold the places from 1 on
-    rows = df.select(place.alias("_p")).groupBy(F.bitmap_bucket_number("_p").alias("b")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_p")).alias("m")).collect()
+    with table_writes(df.sparkSession):
+        rows = df.select(place.alias("_p")).groupBy(F.bitmap_bucket_number("_p").alias("b")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("_p")).alias("m")).collect()
     bits = np.zeros((1 << log_bits) // 8, np.uint8)
     for r in rows:
         start = (r["b"] - 1) * (BITS_PER_ROW // 8)

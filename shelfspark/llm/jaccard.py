@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import kept_table
+from shelfspark.llm.common import for_tasks, kept_table, scratch
 from shelfspark.llm.hashing import bit_filter, mix, passes, shingle_hashes, signed, text_slices, tidy
 from shelfspark.llm.linking import link_members, with_values
 
@@ -139,7 +139,7 @@ def _members(docs: DataFrame, weights, t: Fraction) -> DataFrame:
     spark = docs.sparkSession
     by_key = lambda rows: rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi")
     shared = kept_table(by_key(_prefixes(docs, weights, t)).select("key"), "shared")
-    bits = spark.sparkContext.broadcast(bit_filter(shared, F.col("key"), TOKEN_BITS))
+    bits = for_tasks(spark, bit_filter(shared, F.col("key"), TOKEN_BITS))
     rows = _prefixes(docs, weights, t, bits).distinct()
     return kept_table(rows.join(shared, "key").select("key", "node", "size", "place", F.lit(True).alias("hub")), "members")
 
@@ -187,7 +187,7 @@ def _scanned(docs: DataFrame, nodes: DataFrame, column: str, make) -> DataFrame:
     """node and ``make`` of its tokens (binary ``column``) for the nodes (doc_id, node) given, and a few more that pass their filter."""
     spark = docs.sparkSession
     wanted = nodes.select(F.xxhash64("doc_id").alias("h"), "node")
-    bits = spark.sparkContext.broadcast(bit_filter(wanted, F.col("h"), DOCUMENT_BITS))
+    bits = for_tasks(spark, bit_filter(wanted, F.col("h"), DOCUMENT_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,25 +279,26 @@ def _classes(docs: DataFrame, t: Fraction, orders: int) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id of every row, and label: the name of its component (null without words)."""
     spark = docs.sparkSession
     all_sets = kept_table(_sets(docs), "sets-and-counts")
-    weights = spark.sparkContext.broadcast(_weights(all_sets.filter("cells is not null").select("cell_row", "cells")))
     base = all_sets.filter("cells is null").select("doc_id", "text_hash", "n_shingles", "node", "node2")
     first = kept_table(base.filter("n_shingles > 0").groupBy("node", "node2").agg(F.min("doc_id").alias("doc_id")), "firsts")
-    members = _members(docs, weights, t)
     named = lambda nodes: first.join(nodes, "node", "left_semi").select("doc_id", "node")
-    marks = _marks(docs, named(members.select("node").distinct()), weights, t, orders)
-    test = lambda pairs: _linked(docs, _alike(pairs, marks, t), named, t)
 
     # From the first shared token on, at most the rest of either set is shared: t / (1 + t) of both sizes is needed.
     fits = lambda a, b: (F.least(a("size") - a("place"), b("size") - b("place")) * (t.numerator + t.denominator)
                          >= (a("size") + b("size")) * t.numerator)
     group = lambda g: F.conv(F.hex(F.substring("marks", 9 + 7 * g, 7)), 16, 10).cast("bigint").alias(f"odd{g}")
-    facts = marks.select("node", *[group(g) for g in range(PARITY_GROUPS)])
 
     def alike(a, b):
         differ = sum((F.bit_count(a(f"odd{g}").bitwiseXOR(b(f"odd{g}"))) for g in range(1, PARITY_GROUPS)), F.bit_count(a("odd0").bitwiseXOR(b("odd0"))))
         return differ * (t.numerator + t.denominator) <= (a("size") + b("size")) * (t.denominator - t.numerator)
 
-    labels = link_members(members, test, fits, facts, alike)
+    with scratch(spark):
+        weights = for_tasks(spark, _weights(all_sets.filter("cells is not null").select("cell_row", "cells")))
+        members = _members(docs, weights, t)
+        marks = _marks(docs, named(members.select("node").distinct()), weights, t, orders)
+        test = lambda pairs: _linked(docs, _alike(pairs, marks, t), named, t)
+        facts = marks.select("node", *[group(g) for g in range(PARITY_GROUPS)])
+        labels = link_members(members, test, fits, facts, alike)
     labelled = first.join(labels, "node", "left").select("node", "node2", "doc_id", F.coalesce("label", "node").alias("label"))
     lowest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of_set = labelled.join(lowest, "label").select("node", "node2", "label", "component_id")
@@ -324,7 +325,8 @@ def keep_one(docs: DataFrame, t: Fraction = THRESHOLD) -> DataFrame:
     any one. A null id comes after all others; rows that share an id, or have none, are no group unless their texts
     link. Rows without words are linked with nothing and all stay.
     """
-    rows = kept_table(_classes(docs, t, ORDERS), "classes").filter("n_shingles > 0")
+    with scratch(docs.sparkSession):
+        rows = kept_table(_classes(docs, t, ORDERS), "classes", stays=True).filter("n_shingles > 0")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")))
     stays = rows.groupBy("label").agg(first.alias("s")).select(F.col("s.id").alias("_id"), F.col("s.hash").alias("_hash"))
     gone = rows.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left_anti")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import NON_SPACE, kept_table, let
+from shelfspark.llm.common import NON_SPACE, for_tasks, kept_table, let, scratch
 from shelfspark.llm.hashing import Segments, bit_filter, mix, passes, signed, text_slices, tidy
 from shelfspark.llm.linking import link_members, with_values
 
@@ -178,18 +178,18 @@ def _keys(docs: DataFrame, edits: int, indexed, shared=None) -> DataFrame:
 
 def _members(docs: DataFrame, edits: int) -> DataFrame:
     """Keys that two lines share, one of them by its index, with their lines (written)."""
-    sc = docs.sparkSession.sparkContext
-    indexed = sc.broadcast(bit_filter(_index_keys(docs, edits), F.col("key"), INDEX_BITS))
+    spark = docs.sparkSession
+    indexed = for_tasks(spark, bit_filter(_index_keys(docs, edits), F.col("key"), INDEX_BITS))
     per_key = _keys(docs, edits, indexed).groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("hub").alias("hub"))
     shared = kept_table(per_key.filter("lo != hi and hub").select("key"), "shared")
-    bits = sc.broadcast(bit_filter(shared, F.col("key"), SHARED_BITS))
+    bits = for_tasks(spark, bit_filter(shared, F.col("key"), SHARED_BITS))
     rows = _keys(docs, edits, indexed, bits).groupBy("key", "node", "size", "place").agg(F.max("hub").alias("hub"))
     return kept_table(rows.join(shared, "key").select("key", "node", "size", "place", "hub"), "members")
 
 
 def _line_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and line of the nodes given."""
-    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(nodes, F.col("node"), NODE_BITS))
+    bits = for_tasks(docs.sparkSession, bit_filter(nodes, F.col("node"), NODE_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,11 +226,12 @@ def line_classes(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     Null and empty texts have no lines; blank lines belong to no class. A null id comes first. Rows that repeat id
     and text are one document to this rule. An empty table gives an empty result.
     """
-    members = _members(docs, edits)
-    lines = _line_table(docs, members.select("node").distinct())
     fits = lambda a, b: (F.abs(a("size") - b("size")) <= edits) & (
         F.bit_count(a("place").bitwiseXOR(b("place"))) <= 4 * edits)
-    labels = link_members(members, lambda pairs: _verify(pairs, lines, edits), fits)
+    with scratch(docs.sparkSession):
+        members = _members(docs, edits)
+        lines = _line_table(docs, members.select("node").distinct())
+        labels = link_members(members, lambda pairs: _verify(pairs, lines, edits), fits)
     rows = line_rows(docs).join(labels, "node", "left").select("doc_id", "row", "line_no", F.coalesce("label", "node").alias("label"))
     first = rows.groupBy("label").agg(F.min(F.struct("doc_id", "line_no", "row")).alias("f"))
     kept = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("line_no") == F.col("f.line_no")) & (F.col("row") == F.col("f.row"))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfspark.llm.common import sized, written
+from shelfspark.llm.common import sized, table_writes, written
 from shelfspark.llm.hashing import tidy
 from shelfspark.llm.token_counts import default_tokenizer
 from shelfspark.llm.wordids import encoder, slices
@@ -167,10 +167,11 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     state = pieces.filter(~big).select(F.lit(PIECE).alias("kind"), "id", "size").unionByName(
         pieces.filter(big & (F.col("size") < capacity)).select(F.lit(GAP).alias("kind"), "id", (F.lit(capacity) - F.col("size")).alias("size")))
     placed = [pieces.filter(big).select("id", F.col("id").alias("bin"), F.lit(0).cast("bigint").alias("offset"))]
-    while (done := _round(spark, state, capacity)) is not None:
-        after = written(sized(*done, ROWS_PER_PARTITION))
-        placed.append(after.filter("tag = 'placed'").select("id", "bin", "offset"))
-        state = after.filter("tag != 'placed'").select(F.when(F.col("tag") == "gap", GAP).otherwise(PIECE).alias("kind"), "id", "size")
+    with table_writes(spark):
+        while (done := _round(spark, state, capacity)) is not None:
+            after = written(sized(*done, ROWS_PER_PARTITION))
+            placed.append(after.filter("tag = 'placed'").select("id", "bin", "offset"))
+            state = after.filter("tag != 'placed'").select(F.when(F.col("tag") == "gap", GAP).otherwise(PIECE).alias("kind"), "id", "size")
     return reduce(DataFrame.unionByName, placed)
 
 

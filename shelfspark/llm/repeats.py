@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import NON_SPACE, kept_table
+from shelfspark.llm.common import NON_SPACE, for_tasks, kept_table, scratch
 from shelfspark.llm.hashing import _SPACE, Segments, bit_filter, buffers, byte_values, mix, passes, signed, text_slices, tidy
 
 DEPTH = 400
@@ -155,10 +155,15 @@ def _windows(docs: DataFrame, depth: int, unit: str, rows, places, again=None) -
 
 
 def repeated_spans(docs: DataFrame, depth: int = DEPTH, unit: str = BYTES) -> DataFrame:
-    """row, spans: per text (xxhash64 of id and text) an array of (from, to) ranges of its bytes or words whose union repeats elsewhere."""
+    """row, spans: per text (xxhash64 of id and text) an array of (from, to) ranges of its bytes or words whose union repeats elsewhere (written)."""
+    with scratch(docs.sparkSession):
+        return kept_table(_repeated(docs, depth, unit), f"{unit}-spans", stays=True)
+
+
+def _repeated(docs: DataFrame, depth: int, unit: str) -> DataFrame:
     spark = docs.sparkSession
     twice = _anchor_keys(docs, depth, unit).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    bits = spark.sparkContext.broadcast(bit_filter(twice, F.col("key"), ANCHOR_BITS))
+    bits = for_tasks(spark, bit_filter(twice, F.col("key"), ANCHOR_BITS))
     anchors = kept_table(_shared_anchors(docs, depth, unit, bits), "anchors")
     kinds = kept_table(anchors.groupBy("key", "around").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "lo")).alias("one")), "kinds")
@@ -166,11 +171,11 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, unit: str = BYTES) -> Da
         "row", F.col("lo").cast("bigint").alias("from"), (F.col("hi").cast("bigint") + depth).alias("to"))
     mixed = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
     ones = kept_table(kinds.join(mixed, "key", "left_semi").select("one.row", "one.lo"), "ones")
-    places = spark.sparkContext.broadcast(bit_filter(_place_keys(ones), F.col("place_key"), PLACE_BITS))
-    rows = spark.sparkContext.broadcast(bit_filter(ones, F.col("row"), PLACE_BITS))
+    places = for_tasks(spark, bit_filter(_place_keys(ones), F.col("place_key"), PLACE_BITS))
+    rows = for_tasks(spark, bit_filter(ones, F.col("row"), PLACE_BITS))
     windows = _windows(docs, depth, unit, rows, places)
     again = kept_table(windows.groupBy("window", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window", "key"), "again")
-    more = spark.sparkContext.broadcast(bit_filter(again, F.col("window"), PLACE_BITS))
+    more = for_tasks(spark, bit_filter(again, F.col("window"), PLACE_BITS))
     single = _windows(docs, depth, unit, rows, places, more).join(again, ["window", "key"], "left_semi").select(
         "row", F.col("start").cast("bigint").alias("from"), (F.col("start").cast("bigint") + depth).alias("to"))
     return whole.unionByName(single).groupBy("row").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
@@ -212,11 +217,11 @@ def _kept(text: bytes, spans) -> tuple[list[bytes], int, int]:
 
 def _all_spans(docs: DataFrame, depth: int, words: int | None) -> DataFrame:
     """row, spans (of bytes) and words (spans of words; null without ``words``) of every text that has any."""
-    spans = repeated_spans(docs, depth).withColumn("words", F.lit(None).cast("array<struct<from:bigint,to:bigint>>"))
-    if words is not None:
+    if words is None:
+        return repeated_spans(docs, depth).withColumn("words", F.lit(None).cast("array<struct<from:bigint,to:bigint>>"))
+    with scratch(docs.sparkSession):
         of_words = repeated_spans(docs, words, WORDS).withColumnRenamed("spans", "words")
-        spans = spans.drop("words").join(of_words, "row", "full")
-    return kept_table(spans, "spans")
+        return kept_table(repeated_spans(docs, depth).join(of_words, "row", "full"), "spans", stays=True)
 
 
 def _in_two(docs: DataFrame, spans: DataFrame, columns: list[str], run, schema) -> DataFrame:
@@ -224,7 +229,7 @@ def _in_two(docs: DataFrame, spans: DataFrame, columns: list[str], run, schema)
 
     A filter of fixed size tells most of them; the others are joined to their spans.
     """
-    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(spans, F.col("row"), PLACE_BITS))
+    bits = for_tasks(docs.sparkSession, bit_filter(spans, F.col("row"), PLACE_BITS))
 
     def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def others() -> Iterator[pa.RecordBatch]:
