@@ -76,8 +76,8 @@ def long_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str], numeric:
     return long_counts_tagged(both, F.col("__is_ref"), cols, numeric)
 
 
-def _cdf(counts: DataFrame) -> DataFrame:
-    cum = cumulative_counts(counts, "v", ["n_ref", "n_cur"], by=["feature"])
+def _cdf(counts: DataFrame, n_features: int | None) -> DataFrame:
+    cum = cumulative_counts(counts, "v", ["n_ref", "n_cur"], by=["feature"], n_groups=n_features)
     return cum.select(
         "feature", "v", "next_value",
         F.try_divide(F.col("cum_n_ref"), F.col("total_n_ref")).alias("f_ref"),
@@ -92,7 +92,7 @@ def ks_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFram
 
 
 def ks_from_counts(counts: DataFrame, n_features: int | None = None) -> DataFrame:
-    cdf = _cdf(counts)
+    cdf = _cdf(counts, n_features)
     return cdf.groupBy("feature").agg(
         F.max(F.abs(F.col("f_ref") - F.col("f_cur"))).alias("ks_d"),
         F.first("total_n_ref").alias("n_ref"), F.first("total_n_cur").alias("n_cur"),
@@ -105,7 +105,7 @@ def wasserstein_frame(ref: DataFrame, cur: DataFrame, columns: Sequence[str], mi
 
 
 def wasserstein_from_counts(counts: DataFrame, min_norm: float = 0.001, n_features: int | None = None) -> DataFrame:
-    cdf = _cdf(counts)
+    cdf = _cdf(counts, n_features)
     dist = cdf.groupBy("feature").agg(
         F.when((F.max("total_n_ref") > 0) & (F.max("total_n_cur") > 0), F.coalesce(
             F.sum(F.abs(F.col("f_ref") - F.col("f_cur")) * (F.col("next_value") - F.col("v"))), F.lit(0.0))).alias("distance")
