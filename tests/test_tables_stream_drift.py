@@ -231,3 +231,19 @@ def test_small_reference_uses_p_value_tests(spark):
     assert rep["l_tax"]["test"] == "ks"          # 9 distinct values: more than five
     for r in rep.values():
         assert 0.0 <= r["score"] <= 1.0 and r["drift"] == (r["score"] < 0.05)
+
+
+def test_stream_predictions_writes_and_reads_in_many_files(spark, monkeypatch):
+    """Three micro-batches of several files each: three files would be written by three tasks, whatever the cluster."""
+    import glob
+
+    from shelfspark.plans.catalog import q_stream
+
+    base = _root(spark).removeprefix("file:")
+    monkeypatch.setattr(q_stream, "scratch", lambda spark, name: base)
+    rows = q_stream.q_stream_predictions(spark, "/root/testdata/sf0.001")
+    files, per_batch = glob.glob(f"{base}/in/*.json"), int(spark.conf.get("spark.sql.shuffle.partitions")) // 3
+    assert 3 < len(files) <= 3 * per_batch
+    assert 1 < len(glob.glob(f"{base}/ckpt/commits/[0-9]*")) <= 3
+    read = spark.read.json(f"{base}/in")
+    assert rows.select("item_id").distinct().count() == rows.count() == read.count() > 10
