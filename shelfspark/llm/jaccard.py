@@ -30,8 +30,9 @@ from shelfspark.llm.linking import link_members, with_values
 SHINGLE = 5
 THRESHOLD = Fraction(3, 4)
 ORDERS = 3
-LOG_CELLS = 20
+LOG_CELLS = 22  # a hundred million tokens are a few dozen a cell: rare ones still stand apart
 CELL_ROWS = 64
+COUNT_GROUPS = 15
 TOKEN_BITS = 26
 DOCUMENT_BITS = 24
 PARITY_GROUPS = 9  # of 7 bytes
@@ -69,7 +70,8 @@ _SET_COLUMNS = ["doc_id", "text_hash", "n_shingles", "node", "node2", "cell_row"
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """Per row doc_id, the text's hash, n_shingles and the set's 128-bit name; and per task the token counts of all cells, in CELL_ROWS rows."""
+    """Per row doc_id, the text's hash, n_shingles and the set's 128-bit name; and per task the token counts of all cells
+    (up to 255, one byte each), in CELL_ROWS rows."""
     schema = docs.select("doc_id").schema.add("text_hash", "long").add("n_shingles", "long").add("node", "long").add("node2", "long").add(
         "cell_row", "integer").add("cells", "binary")
 
@@ -81,14 +83,14 @@ def _sets(docs: DataFrame) -> DataFrame:
             for part in text_slices(batch):
                 sets = shingle_hashes(part["text"], SHINGLE)
                 if sum(map(len, sets)):
-                    counts += np.bincount(_cells(np.concatenate(sets)), minlength=len(counts)).astype(np.uint32)
+                    np.add.at(counts, _cells(np.concatenate(sets)), np.uint32(1))
                 keys = [set_key(s) for s in sets]
                 none = pa.nulls(len(sets))
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part["text_hash"], pa.array(list(map(len, sets)), pa.int64()), pa.array([k[0] for k in keys], pa.int64()),
                      pa.array([k[1] for k in keys], pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], _SET_COLUMNS)
         if kind is not None:
-            rows = [r.tobytes() for r in counts.reshape(CELL_ROWS, -1)]
+            rows = [r.tobytes() for r in np.minimum(counts, 255).astype(np.uint8).reshape(CELL_ROWS, -1)]
             none = pa.nulls(CELL_ROWS)
             yield pa.RecordBatch.from_arrays(
                 [none.cast(kind), *[none.cast(pa.int64())] * 4, pa.array(range(CELL_ROWS), pa.int32()), pa.array(rows, pa.binary())], _SET_COLUMNS)
@@ -96,19 +98,32 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(tidy(run), schema)
 
 
+def _total(table: pa.Table) -> np.ndarray:
+    """Sum of the counts of one row of cells; 1, 2 or 4 bytes a count."""
+    total = np.zeros((1 << LOG_CELLS) // CELL_ROWS, np.uint32)
+    for x in table["cells"]:
+        x = x.as_buffer()
+        total += np.frombuffer(x, f"u{len(x) // len(total)}")
+    return total
+
+
 def _weights(parts: DataFrame) -> np.ndarray:
     """Of the partial counts (cell_row, cells): per cell twice the logarithm of its count, as one byte. Summed in two levels."""
     def add(table: pa.Table) -> pa.Table:
-        total = np.sum([np.frombuffer(x, np.uint64 if len(x) > (4 << LOG_CELLS) // CELL_ROWS else np.uint32).astype(np.uint64)
-                        for x in table["cells"].to_pylist()], axis=0, dtype=np.uint64)
+        total = _total(table)
+        total = total.astype(np.min_scalar_type(int(total.max())))
         return pa.table({"cell_row": table["cell_row"][:1], "cells": pa.array([total.tobytes()], pa.binary())})
 
-    some = parts.withColumn("_g", F.pmod(F.monotonically_increasing_id(), F.lit(251))).groupBy("cell_row", "_g").applyInArrow(add, "cell_row int, cells binary")
-    rows = some.groupBy("cell_row").applyInArrow(add, "cell_row int, cells binary").collect()
-    counts = np.zeros((CELL_ROWS, (1 << LOG_CELLS) // CELL_ROWS), np.uint64)
-    for r in rows:
-        counts[r["cell_row"]] = np.frombuffer(r["cells"], np.uint64)
-    return np.minimum(255, 2 * np.log2(counts.ravel() + 1.0)).astype(np.uint8)
+    def weigh(table: pa.Table) -> pa.Table:
+        out = np.minimum(255, 2 * np.log2(_total(table) + 1.0)).astype(np.uint8)
+        return pa.table({"cell_row": table["cell_row"][:1], "cells": pa.array([out.tobytes()], pa.binary())})
+
+    kind = "cell_row int, cells binary"
+    some = parts.withColumn("_g", F.pmod(F.monotonically_increasing_id(), F.lit(COUNT_GROUPS))).groupBy("cell_row", "_g").applyInArrow(add, kind)
+    weights = np.zeros((CELL_ROWS, (1 << LOG_CELLS) // CELL_ROWS), np.uint8)
+    for r in some.groupBy("cell_row").applyInArrow(weigh, kind).collect():
+        weights[r["cell_row"]] = np.frombuffer(r["cells"], np.uint8)
+    return weights.ravel()
 
 
 def _prefixes(docs: DataFrame, weights, t: Fraction, shared=None) -> DataFrame:
@@ -135,13 +150,17 @@ def _prefixes(docs: DataFrame, weights, t: Fraction, shared=None) -> DataFrame:
 
 
 def _members(docs: DataFrame, weights, t: Fraction) -> DataFrame:
-    """Prefix tokens that two different sets at least share, with their sets (written)."""
+    """Prefix tokens that two different sets at least share, with their sets (written).
+
+    The smaller of two sets that link has their first shared token at a place that leaves 2t / (1 + t) of its own size: only such members are hubs.
+    """
     spark = docs.sparkSession
     by_key = lambda rows: rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi")
     shared = kept_table(by_key(_prefixes(docs, weights, t)).select("key"), "shared")
     bits = for_tasks(spark, bit_filter(shared, F.col("key"), TOKEN_BITS))
     rows = _prefixes(docs, weights, t, bits).distinct()
-    return kept_table(rows.join(shared, "key").select("key", "node", "size", "place", F.lit(True).alias("hub")), "members")
+    hub = (F.col("size") - F.col("place")) * (t.numerator + t.denominator) >= F.col("size") * 2 * t.numerator
+    return kept_table(rows.join(shared, "key").select("key", "node", "size", "place", hub.alias("hub")), "members")
 
 
 def cell_marks(tokens: np.ndarray) -> bytes:

@@ -125,11 +125,11 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def _open(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, int]:
-    """Members (with their label) of the keys that still hold two classes, a bound of the pairs of different classes, and the classes."""
+    """Members (with their label) of the keys that still hold two classes and a hub, a bound of the pairs of different classes, and the classes."""
     labelled = members.join(labels, "node", "left").select("key", "node", "size", "place", "hub", F.coalesce("label", "node").alias("label"))
-    per_class = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    per_class = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.max("hub").alias("hub"))
     mixed = per_class.groupBy("key").agg(F.sum("n").cast("double").alias("s"), F.sum(F.col("n") * F.col("n")).cast("double").alias("q"),
-                                         F.count(F.lit(1)).alias("c")).filter("c > 1")
+                                         F.count(F.lit(1)).alias("c"), F.max("hub").alias("hub")).filter("c > 1 and hub")
     open_members = kept_table(labelled.join(mixed.select("key", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("p")), "key"), "open")
     per_key = open_members.groupBy("key").agg(F.first("p").alias("p"))
     bound = int(per_key.agg(F.sum("p").alias("p")).first()["p"] or 0)
