@@ -22,7 +22,6 @@ MOST_HUB_ROUNDS = 6
 HUBS_A_KEY = 16  # where facts rule out most pairs before a test
 PAIRS_PER_MEMBER = 1
 ENOUGH_PROGRESS = 0.75
-FEWER_CLASSES = 0.9  # the same with facts, where a round's tests are few
 PAIRS_PER_PARTITION = 2_000  # with the values that a test ships
 EDGES_PER_PARTITION = 50_000
 
@@ -66,7 +65,7 @@ def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
     tells which members a pair needs one of. ``fits`` gets two members (functions from size or place to a column) and
     tells whether the key allows their pair to link; a pair that links must fit by one of its keys. ``test`` takes
     distinct pairs (a, b), a < b, and returns those that link. ``facts`` (node and more columns) are joined to the members
-    that the first round leaves open, and a pair must also pass ``facts_fit`` on them; then a key has up to HUBS_A_KEY hubs a round.
+    that a round leaves open, and a pair must also pass ``facts_fit`` on them; then a key has up to HUBS_A_KEY hubs a round.
     """
     n_members = members.count()
     own, of_hub = F.col, lambda c: F.col(f"h.{c}")
@@ -84,16 +83,16 @@ def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
     hubs_a_key = 1 if facts is None else HUBS_A_KEY
     seen, before = [tested], float("inf")
     for turn in range(MOST_HUB_ROUNDS):
-        open_members, bound, classes = _open(rest, labels)
+        open_members, bound, classes = _open(rest, labels, facts)
         if not bound:
             return labels
-        # With facts, most pairs of different classes are ruled out before a test, so their number says little.
-        stuck = bound > ENOUGH_PROGRESS * before if facts is None else classes > FEWER_CLASSES * before
+        # With facts, most pairs of different classes are ruled out before a test, so their number says little; a round
+        # that leaves nearly as many classes costs more than the pairs it spares.
+        stuck = (bound if facts is None else classes) > ENOUGH_PROGRESS * before
         last = bound <= PAIRS_PER_MEMBER * n_members or stuck or turn == MOST_HUB_ROUNDS - 1
         before = bound if facts is None else classes
-        known = open_members if facts is None else open_members.join(facts, "node")
         if last:
-            a, b = known.alias("a"), known.alias("b")
+            a, b = open_members.alias("a"), open_members.alias("b")
             of_a, of_b = lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}")
             fit = fits(of_a, of_b) if facts_fit is None else fits(of_a, of_b) & facts_fit(of_a, of_b)
             pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))).filter(
@@ -102,10 +101,10 @@ def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
             # Keys with nearly the same members get different hubs: a hub is the first of a part of its key's members.
             part = F.pmod(F.xxhash64("node", "key", F.lit(turn)), F.lit(hubs_a_key)).alias("part")
             hub = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), F.col("node").alias("h"), F.col("label").alias("l"),
-                           *[c for c in known.columns if c not in ("key", "node", "label", "hub", "p")])
-            hubs = kept_table(sized(known.filter("hub").groupBy("key", part).agg(F.min(hub).alias("h")).select("key", "h"), n_members, EDGES_PER_PARTITION), "hubs")
+                           *[c for c in open_members.columns if c not in ("key", "node", "label", "hub", "p")])
+            hubs = kept_table(sized(open_members.filter("hub").groupBy("key", part).agg(F.min(hub).alias("h")).select("key", "h"), n_members, EDGES_PER_PARTITION), "hubs")
             fit = fits(own, of_hub) if facts_fit is None else fits(own, of_hub) & facts_fit(own, of_hub)
-            pairs = known.join(hubs, "key").filter(F.col("label") != F.col("h.l")).filter(fit).select("node", F.col("h.h").alias("h"))
+            pairs = open_members.join(hubs, "key").filter(F.col("label") != F.col("h.l")).filter(fit).select("node", F.col("h.h").alias("h"))
             rest = kept_table(open_members.join(hubs.select("key", F.col("h.h").alias("node")), ["key", "node"], "left_anti").select(columns), "rest")
         fresh = _ordered(pairs).join(reduce(DataFrame.unionByName, seen), ["a", "b"], "left_anti")
         fresh = kept_table(fresh, "pairs")
@@ -124,13 +123,15 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("node != h").select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b")).distinct()
 
 
-def _open(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, int]:
-    """Members (with their label) of the keys that still hold two classes and a hub, a bound of the pairs of different classes, and the classes."""
+def _open(members: DataFrame, labels: DataFrame, facts: DataFrame | None = None) -> tuple[DataFrame, int, int]:
+    """Members (with their label and facts, written once for all that reads them) of the keys that still hold two classes and a hub,
+    a bound of the pairs of different classes, and the classes."""
     labelled = members.join(labels, "node", "left").select("key", "node", "size", "place", "hub", F.coalesce("label", "node").alias("label"))
     per_class = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.max("hub").alias("hub"))
     mixed = per_class.groupBy("key").agg(F.sum("n").cast("double").alias("s"), F.sum(F.col("n") * F.col("n")).cast("double").alias("q"),
                                          F.count(F.lit(1)).alias("c"), F.max("hub").alias("hub")).filter("c > 1 and hub")
-    open_members = kept_table(labelled.join(mixed.select("key", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("p")), "key"), "open")
+    open_members = labelled.join(mixed.select("key", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("p")), "key")
+    open_members = kept_table(open_members if facts is None else open_members.join(facts, "node"), "open")
     per_key = open_members.groupBy("key").agg(F.first("p").alias("p"))
     bound = int(per_key.agg(F.sum("p").alias("p")).first()["p"] or 0)
     return open_members, bound, open_members.select("label").distinct().count() if bound else 0

@@ -107,6 +107,36 @@ def test_hubs_of_a_large_key(spark):
     assert sum(tested) < 5_000, tested
 
 
+def test_slow_rounds_end(spark):
+    """A key of 320 members in groups of four: each round of hubs would merge too few classes, so all pairs follow at once;
+    the facts are joined once a round, to a table that is written."""
+    from pyspark.sql import functions as F
+
+    members = spark.createDataFrame([(1, n, 10, 0, True) for n in range(320)], "key long, node long, size long, place long, hub boolean")
+    facts = spark.createDataFrame([(n, n // 4) for n in range(320)], "node long, x long")
+    tested, was = [], linking._open
+    written = []
+
+    def opened(*args):
+        got = was(*args)
+        written.append(got[0].columns)
+        return got
+
+    def test(pairs):
+        tested.append(pairs.count())
+        return pairs.filter("floor(a / 4) = floor(b / 4)")
+
+    linking._open = opened
+    try:
+        near = lambda a, b: a("x") == b("x")
+        got = {r["node"]: r["label"] for r in linking.link_members(members, test, facts=facts, facts_fit=near).collect()}
+    finally:
+        linking._open = was
+    assert got == {n: n // 4 * 4 for n in range(320)}
+    assert len(tested) <= 3, tested
+    assert all("x" in c for c in written) and written
+
+
 def test_keep_one(edge_docs, small_docs):
     for df in (edge_docs, small_docs):
         rows = [(r["doc_id"], r["text"]) for r in df.collect()]
