@@ -39,6 +39,7 @@ PASSAGE_WORDS = 51
 BYTES, WORDS = "bytes", "words"
 ANCHOR_BITS = 26
 PLACE_BITS = 26
+SCAN_BYTES = 64 << 10  # a scan holds some twenty arrays of 8 bytes a byte of text: these stay small, and in the processor's cache
 
 
 def _anchors(lengths: np.ndarray, offsets: np.ndarray, segments: Segments, depth: int) -> tuple[np.ndarray, ...]:
@@ -81,6 +82,10 @@ def _word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return np.flatnonzero(inside & (space[:-2] | edge[:-1])), np.flatnonzero(inside & (space[2:] | edge[1:])) + 1
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return text_slices(batch, most=SCAN_BYTES)
+
+
 def _scan(part: pa.RecordBatch, depth: int, unit: str):
     """Where each text's symbols start, their segments and their anchors."""
     data, offsets = buffers(part["text"])
@@ -107,7 +112,7 @@ def _source(docs: DataFrame) -> DataFrame:
 def _anchor_keys(docs: DataFrame, depth: int, unit: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
+            for part in _slices(batch):
                 yield pa.RecordBatch.from_arrays([signed(_scan(part, depth, unit)[2][3])], ["key"])
 
     return docs.select("text").mapInArrow(tidy(run), "key long")
@@ -119,7 +124,7 @@ def _shared_anchors(docs: DataFrame, depth: int, unit: str, bits) -> DataFrame:
     A text's anchors have windows of their own, so (row, lo) names one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
+            for part in _slices(batch):
                 offsets, _, (at, lo, hi, key, around, doc) = _scan(part, depth, unit)
                 keep = passes(bits.value, key)
                 lo, hi, key, around, doc = (x[keep] for x in (lo, hi, key, around, doc))
@@ -137,7 +142,7 @@ def _windows(docs: DataFrame, depth: int, unit: str, rows, places, again=None) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(passes(rows.value, batch["row"].to_numpy())))
-            for part in text_slices(batch):
+            for part in _slices(batch):
                 offsets, segments, (at, lo, hi, key, _, doc) = _scan(part, depth, unit)
                 row = part["row"].to_numpy()
                 keep = passes(places.value, _place_key(row[doc], lo - offsets[doc]))

@@ -312,3 +312,23 @@ def test_cell_weights(spark):
     got = jaccard._weights(spark.createDataFrame(parts, "cell_row int, cells binary")).reshape(jaccard.CELL_ROWS, cells)
     assert (got[3] == np.floor(2 * np.log2(3.0 * (np.arange(cells) % 7) + 1))).all() and not got[:3].any() and not got[4:].any()
     assert 1e8 / (1 << jaccard.LOG_CELLS) < 32
+
+
+def test_scan_memory():
+    """A batch is scanned in slices whose arrays take a few megabytes, with the same anchors as at once."""
+    import tracemalloc
+
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(10 ** 5)}" for _ in range(600)) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    for depth, unit in ((400, repeats.BYTES), (51, repeats.WORDS)):
+        keys = lambda part: repeats._scan(part, depth, unit)[2][3]
+        at_once = np.concatenate([keys(p) for p in hashing.text_slices(batch, most=1 << 30)])
+        tracemalloc.start()
+        try:
+            found = [keys(p) for p in repeats._slices(batch)]
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert np.array_equal(np.concatenate(found), at_once) and len(at_once)
+        assert peak < 24_000_000, peak
