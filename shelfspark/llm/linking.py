@@ -30,16 +30,18 @@ def components(edges: DataFrame) -> DataFrame:
     """node, label of every node of the edges (a, b): label is the smallest node reachable.
 
     Large-star and small-star steps: each node's larger neighbours are tied to the smallest neighbour, then its
-    smaller ones. The edges stay as many or fewer and end as stars around the smallest nodes.
+    smaller ones. The edges stay as many or fewer and end as stars around the smallest nodes. Edges that fit into one
+    partition (EDGES_PER_PARTITION of them) are kept in one and their minima are broadcast, so that a step has no shuffle.
     """
-    now = written(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    now = written(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
     size = _measure(now)  # the number of edges never grows
     while True:
-        both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        now, small_side = (now.coalesce(1), F.broadcast) if size[0] <= EDGES_PER_PARTITION else (now, lambda df: df)
+        both = now.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("x")).select("x.*")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.filter("v > u").join(small_side(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(
+        small = large.join(small_side(low), "u").select(F.explode(F.array(
             F.struct(F.col("u"), F.col("m").alias("v")),
             F.when(F.col("v") != F.col("m"), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))).alias("x"))
         now = written(sized(small.filter("x is not null").select("x.*").distinct(), size[0], EDGES_PER_PARTITION))
@@ -47,8 +49,10 @@ def components(edges: DataFrame) -> DataFrame:
         if after == size:
             break
         size = after
-    stars = now.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label")
-    return stars.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()).groupBy("node").agg(F.min("label").alias("label"))
+    stars = (now.coalesce(1) if size[0] <= EDGES_PER_PARTITION else now).select(F.explode(F.array(
+        F.struct(F.col("u").alias("node"), F.col("v").alias("label")),
+        F.struct(F.col("v").alias("node"), F.col("v").alias("label")))).alias("x"))
+    return stars.select("x.*").groupBy("node").agg(F.min("label").alias("label"))
 
 
 def _measure(edges: DataFrame) -> tuple:
@@ -126,15 +130,16 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _open(members: DataFrame, labels: DataFrame, facts: DataFrame | None = None) -> tuple[DataFrame, int, int]:
     """Members (with their label and facts, written once for all that reads them) of the keys that still hold two classes and a hub,
     a bound of the pairs of different classes, and the classes."""
-    labelled = members.join(labels, "node", "left").select("key", "node", "size", "place", "hub", F.coalesce("label", "node").alias("label"))
+    near = F.broadcast(labels) if labels.count() <= EDGES_PER_PARTITION else labels  # then members need no shuffle for their labels
+    labelled = members.join(near, "node", "left").select("key", "node", "size", "place", "hub", F.coalesce("label", "node").alias("label"))
     per_class = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.max("hub").alias("hub"))
     mixed = per_class.groupBy("key").agg(F.sum("n").cast("double").alias("s"), F.sum(F.col("n") * F.col("n")).cast("double").alias("q"),
                                          F.count(F.lit(1)).alias("c"), F.max("hub").alias("hub")).filter("c > 1 and hub")
-    open_members = labelled.join(mixed.select("key", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("p")), "key")
+    # Each member carries its share of its key's pairs, so that one aggregate tells both numbers.
+    open_members = labelled.join(mixed.select("key", ((F.col("s") * F.col("s") - F.col("q")) / 2 / F.col("s")).alias("p")), "key")
     open_members = kept_table(open_members if facts is None else open_members.join(facts, "node"), "open")
-    per_key = open_members.groupBy("key").agg(F.first("p").alias("p"))
-    bound = int(per_key.agg(F.sum("p").alias("p")).first()["p"] or 0)
-    return open_members, bound, open_members.select("label").distinct().count() if bound else 0
+    found = open_members.agg(F.sum("p").alias("p"), F.count_distinct("label").alias("classes")).first()
+    return open_members, round(found["p"] or 0), found["classes"]
 
 
 def with_values(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:

@@ -187,6 +187,27 @@ def test_components(spark):
     assert got == label
 
 
+@pytest.mark.parametrize("most", [10, 50_000])
+def test_few_edges_stay_in_one_partition(spark, monkeypatch, most):
+    """A step over few edges is one task, however many partitions a shuffle has; many edges are dealt, with the same classes."""
+    monkeypatch.setattr(linking, "EDGES_PER_PARTITION", most)
+    edges = spark.createDataFrame([(c * 100 + i, c * 100 + i + 1) for c in range(5) for i in range(40)], "a bigint, b bigint").coalesce(1)
+    key, sc = "spark.sql.adaptive.coalescePartitions.enabled", spark.sparkContext
+    before, group = spark.conf.get(key), f"components-{most}"
+    spark.conf.set(key, "false")
+    sc.setJobGroup(group, group)
+    try:
+        got = {r["node"]: r["label"] for r in linking.components(edges).collect()}
+    finally:
+        spark.conf.set(key, before)
+        sc.setJobGroup("", "")
+    assert got == {c * 100 + i: c * 100 for c in range(5) for i in range(41)}
+    tracker = sc.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    tasks = sum(s.numCompletedTasks for j in jobs for s in map(tracker.getStageInfo, j.stageIds) if s)
+    assert tasks / len(jobs) <= 2 if most > 200 else tasks / len(jobs) > 5, (tasks, len(jobs))
+
+
 def runs_of(covered):
     return sum(1 for i, c in enumerate(covered) if c and not (i and covered[i - 1]))
 
