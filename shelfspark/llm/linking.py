@@ -82,8 +82,7 @@ def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
     tested = kept_table(_ordered(pairs), "pairs")
     # Every pair of a key has a member that may be a hub: with two of these in all, all pairs are tested.
     rest = kept_table(both.filter("c > 2 and node != h1.node and node != h2.node").select(columns), "rest")
-    links = [kept_table(sized(test(tested), tested.count(), PAIRS_PER_PARTITION), "links")]
-    labels = written(components(links[0]))
+    labels = written(components(kept_table(sized(test(tested), tested.count(), PAIRS_PER_PARTITION), "links")))
     hubs_a_key = 1 if facts is None else HUBS_A_KEY
     seen, before = [tested], float("inf")
     for turn in range(MOST_HUB_ROUNDS):
@@ -112,16 +111,34 @@ def link_members(members: DataFrame, test: Callable[[DataFrame], DataFrame],
             rest = kept_table(open_members.join(hubs.select("key", F.col("h.h").alias("node")), ["key", "node"], "left_anti").select(columns), "rest")
         fresh = _ordered(pairs).join(reduce(DataFrame.unionByName, seen), ["a", "b"], "left_anti")
         fresh = kept_table(fresh, "pairs")
-        found = kept_table(sized(test(fresh), fresh.count(), PAIRS_PER_PARTITION), "links")
-        if not found.isEmpty():
-            links.append(found)
-            labels = written(components(reduce(DataFrame.unionByName, links)))
+        labels = _merged(labels, kept_table(sized(test(fresh), fresh.count(), PAIRS_PER_PARTITION), "links"))
         if last:
             break
         seen.append(fresh)
     return labels
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links (written): the classes that they join are linked, not their nodes, so that a round goes over
+    none of the links before it and once over each two classes."""
+    n_links = links.count()
+    if not n_links:
+        return labels
+    near, few = _near(labels), n_links <= EDGES_PER_PARTITION
+    of = lambda c: near.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+    edges = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
+    lower = written(components((edges.coalesce(1) if few else edges).distinct()))
+    to = _near(lower.select(F.col("node").alias("label"), F.col("label").alias("lower")))
+    moved = labels.join(to, "label", "left").select("node", F.coalesce("lower", "label").alias("label"))
+    return written(moved.unionByName(lower.join(near.select("node"), "node", "left_anti")))
+
+
+def _near(table: DataFrame) -> DataFrame:
+    """The written table, broadcast in a join if it fits into one partition: then the other side needs no shuffle."""
+    return F.broadcast(table) if table.count() <= EDGES_PER_PARTITION else table
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     """Distinct pairs (a, b), a < b, of pairs (node, h)."""
     return pairs.filter("node != h").select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b")).distinct()
@@ -130,8 +147,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _open(members: DataFrame, labels: DataFrame, facts: DataFrame | None = None) -> tuple[DataFrame, int, int]:
     """Members (with their label and facts, written once for all that reads them) of the keys that still hold two classes and a hub,
     a bound of the pairs of different classes, and the classes."""
-    near = F.broadcast(labels) if labels.count() <= EDGES_PER_PARTITION else labels  # then members need no shuffle for their labels
-    labelled = members.join(near, "node", "left").select("key", "node", "size", "place", "hub", F.coalesce("label", "node").alias("label"))
+    labelled = members.join(_near(labels), "node", "left").select("key", "node", "size", "place", "hub", F.coalesce("label", "node").alias("label"))
     per_class = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.max("hub").alias("hub"))
     mixed = per_class.groupBy("key").agg(F.sum("n").cast("double").alias("s"), F.sum(F.col("n") * F.col("n")).cast("double").alias("q"),
                                          F.count(F.lit(1)).alias("c"), F.max("hub").alias("hub")).filter("c > 1 and hub")

@@ -137,6 +137,40 @@ def test_slow_rounds_end(spark):
     assert all("x" in c for c in written) and written
 
 
+@pytest.mark.parametrize("most", [3, 50_000])
+def test_rounds_link_classes(spark, monkeypatch, most):
+    """Each round links the classes that its own links join, once each: no round goes over the links before it, or over all links between two classes."""
+    rng = random.Random(6)
+    rows = [(k, n, 10, 0, True) for k in range(6) for n in rng.sample(range(120), 50)]
+    members = spark.createDataFrame(rows, "key long, node long, size long, place long, hub boolean")
+    shared = {(a, b) for k in range(6) for x in [[r[1] for r in rows if r[0] == k]] for a in x for b in x if a < b and abs(a - b) <= 30 and a // 60 == b // 60}
+    monkeypatch.setattr(linking, "EDGES_PER_PARTITION", most)
+    monkeypatch.setattr(linking, "PAIRS_PER_MEMBER", 0)
+    monkeypatch.setattr(linking, "ENOUGH_PROGRESS", 2)
+    monkeypatch.setattr(linking, "MOST_HUB_ROUNDS", 3)
+    was, edges, found = linking.components, [], []
+
+    def components(df):
+        edges.append([tuple(r) for r in df.collect()])
+        return was(df)
+
+    def test(pairs):
+        got = pairs.filter("b - a <= 30 and floor(a / 60) = floor(b / 60)")
+        found.append(got.count())
+        return got
+
+    monkeypatch.setattr(linking, "components", components)
+    got = {r["node"]: r["label"] for r in linking.link_members(members, test).collect()}
+    want = {n: n for pair in shared for n in pair}
+    for _ in range(120):
+        for a, b in shared:
+            want[a] = want[b] = min(want[a], want[b])
+    assert got == want
+    assert len(edges) >= 3 and len(edges[0]) == found[0]
+    for x, n in zip(edges[1:], [n for n in found[1:] if n]):
+        assert len(x) == len(set(x)) <= n, (len(x), n)
+
+
 def test_keep_one(edge_docs, small_docs):
     for df in (edge_docs, small_docs):
         rows = [(r["doc_id"], r["text"]) for r in df.collect()]
